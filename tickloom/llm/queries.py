@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontam, licenses
 from .exact_dedup import exact_dedup
 
 
@@ -13,12 +14,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read(spark, sf_dir, "documents")).drop("spans")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep="max")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_exact_dedup": op6_exact_dedup}
+    return {
+        "op2_license_scan": op2_license_scan,
+        "op4_decontamination": op4_decontamination,
+        "op6_exact_dedup": op6_exact_dedup,
+    }
 
 
 AZ = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -26,6 +39,8 @@ AZ = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmno
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_license_scan": licenses.oracle_sql(),
+        "op4_decontamination": decontam.oracle_sql(),
         "op6_exact_dedup": f"""
 WITH n AS (SELECT doc_id, {AZ.format('text')} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
