@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, licenses
+from . import decontam, licenses, secret_scan
 from .exact_dedup import exact_dedup
 
 
@@ -22,6 +22,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(read(spark, sf_dir, "documents")).drop("found")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep="max")
 
@@ -30,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_license_scan": op2_license_scan,
         "op4_decontamination": op4_decontamination,
+        "op5_secret_scan": op5_secret_scan,
         "op6_exact_dedup": op6_exact_dedup,
     }
 
@@ -41,6 +46,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_license_scan": licenses.oracle_sql(),
         "op4_decontamination": decontam.oracle_sql(),
+        "op5_secret_scan": secret_scan.oracle_sql(),
         "op6_exact_dedup": f"""
 WITH n AS (SELECT doc_id, {AZ.format('text')} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
