@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, licenses, secret_scan
+from . import decontam, licenses, secret_scan, warc
 from .exact_dedup import exact_dedup
+from .textops import shared_dir
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,12 +32,19 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep="max")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    archive = warc.write_warc(pages, f"{shared_dir(spark)}/warc-{uuid.uuid4()}")
+    return warc.read_records(spark, archive, dict(pages.dtypes)["page_id"]).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_license_scan": op2_license_scan,
         "op4_decontamination": op4_decontamination,
         "op5_secret_scan": op5_secret_scan,
         "op6_exact_dedup": op6_exact_dedup,
+        "op9_warc": op9_warc,
     }
 
 
@@ -53,4 +62,9 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
        sha256(t) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY t)""",
+        "op9_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) > 1 AND strlen(html) >= 1000 AS again, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to FROM r""",
     }

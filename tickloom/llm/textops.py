@@ -44,3 +44,19 @@ def keyed(docs: DataFrame, id_col: str, *columns: str) -> DataFrame:
         F.col(id_col).alias("_id"),
         *[F.col(c).alias(f"_{c}") for c in columns],
     )
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The frame with its lineage cut by a reliable checkpoint."""
+    context = frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(frame.sparkSession))
+    return frame.checkpoint()
