@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, licenses, secret_scan, warc
+from . import bpe, decontam, licenses, secret_scan, warc
 from .exact_dedup import exact_dedup
 from .textops import shared_dir
 
@@ -38,6 +40,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(spark, archive, dict(pages.dtypes)["page_id"]).drop("url")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = bpe.bpe_encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    coded = coded.withColumn("ids_sha256", F.sha2("ids", 256))
+    return bpe.bpe_decode(coded, ranks).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_license_scan": op2_license_scan,
@@ -45,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secret_scan": op5_secret_scan,
         "op6_exact_dedup": op6_exact_dedup,
         "op9_warc": op9_warc,
+        "op10_byte_bpe": op10_byte_bpe,
     }
 
 
