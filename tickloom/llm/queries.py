@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, licenses, secret_scan, warc
+from . import bpe, decontam, language_id, licenses, quality, secret_scan, warc
 from .exact_dedup import exact_dedup
 from .textops import shared_dir
 
@@ -22,6 +22,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -34,6 +39,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep="max")
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~language_id.held_out() & F.col("doc_id").isNotNull()))
+    return language_id.identify(docs, model, carry={"held_out": language_id.held_out()})
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     archive = warc.write_warc(pages, f"{shared_dir(spark)}/warc-{uuid.uuid4()}")
@@ -50,9 +61,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_license_scan": op2_license_scan,
+        "op3_quality": op3_quality,
         "op4_decontamination": op4_decontamination,
         "op5_secret_scan": op5_secret_scan,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_language_id": op7_language_id,
         "op9_warc": op9_warc,
         "op10_byte_bpe": op10_byte_bpe,
     }
