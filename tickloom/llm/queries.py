@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, decontam, language_id, licenses, quality, secret_scan, warc
 from .exact_dedup import exact_dedup
+from .near_dedup import near_duplicates
 from .textops import shared_dir
 
 
@@ -45,6 +46,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model, carry={"held_out": language_id.held_out()})
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), words=4)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
     archive = warc.write_warc(pages, f"{shared_dir(spark)}/warc-{uuid.uuid4()}")
@@ -66,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secret_scan": op5_secret_scan,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_language_id": op7_language_id,
+        "op8_near_dedup": op8_near_dedup,
         "op9_warc": op9_warc,
         "op10_byte_bpe": op10_byte_bpe,
     }
