@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Code points of texts that are split and encoded at once.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 4_000_000
 #: Words that a Python worker remembers between blocks; beyond that it starts anew.
 MAX_REMEMBERED = 400_000
 #: Bytes of a word up to which it is encoded by the query. The query makes as many rounds as its longest
@@ -42,7 +42,7 @@ WITH RECURSIVE step AS (
 SELECT word, tokens FROM step WHERE NOT live ORDER BY word"""
 
 _BYTES = """
-SELECT run, string_agg(piece, '' ORDER BY place) AS text
+SELECT run, list_aggregate(list(piece ORDER BY place), 'string_agg', '') AS text
 FROM (SELECT run, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM runs) JOIN vocabulary USING (token)
 GROUP BY run ORDER BY run"""
 
@@ -107,7 +107,7 @@ def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Coder:
-    """The tables of one vocabulary in a Python worker, and the words and runs it has seen."""
+    """The tables of one vocabulary in a Python worker, and the words it has seen."""
 
     def __init__(self, raw: bytes):
         import duckdb
@@ -124,14 +124,14 @@ class _Coder:
         starts = np.zeros(max(self.bytes_of) + 1, dtype=bool)
         starts[[r for t, r in ranks.items() if t[:1].isspace()]] = True
         self.starts_run = starts
+        self.bits = len(starts).bit_length()
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '400MB'")
+        self.db.execute("SET memory_limit = '256MB'")
         self._table("merges", pair=pa.array([p for p, _ in pairs], pa.int64()), rank=pa.array([r for _, r in pairs], pa.int64()))
         # Bytes as the characters of the same number, since tokens need not be whole characters.
         self._table("vocabulary", token=pa.array(ranks.values(), pa.int64()), piece=pa.array([t.decode("latin-1") for t in ranks]))
         self.words: dict[str, bytes] = {}
-        self.runs: dict[bytes, bytes] = {}
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         self.db.register("given", pa.table(columns))
@@ -158,8 +158,8 @@ class _Coder:
             else:
                 hard.append((word, raw))
         hard.sort(key=lambda x: len(x[1]))
-        for at in range(0, len(hard), 50_000):
-            part = hard[at : at + 50_000]
+        for at in range(0, len(hard), 25_000):
+            part = hard[at : at + 25_000]
             flat = self.byte_ids[np.frombuffer(b"".join(r for _, r in part), np.uint8)]
             self._lists("words", "word", [len(r) for _, r in part], flat)
             tokens = self.db.sql(_WORDS).to_arrow_table().column("tokens").combine_chunks()
@@ -178,24 +178,37 @@ class _Coder:
         return [b"".join(map(known, p)) for p in parts]
 
     def decode(self, coded: list[bytes]) -> list[bytes]:
-        """Runs start at tokens that start with white space. Each distinct run is decoded by the query."""
-        parts = []
-        for ids in coded:
-            cuts = np.flatnonzero(self.starts_run[np.frombuffer(ids, "<u4")]) * 4
-            ends = [0, *cuts[cuts > 0].tolist(), len(ids)]
-            parts.append([ids[a:b] for a, b in zip(ends, ends[1:], strict=False)] if ids else [])
-        new = set(chain.from_iterable(parts))
-        if len(self.runs) > MAX_REMEMBERED:
-            self.runs.clear()
-        new.difference_update(self.runs)
-        runs = list(new)
-        for at in range(0, len(runs), 100_000):
-            part = runs[at : at + 100_000]
-            self._lists("runs", "run", [len(r) // 4 for r in part], np.frombuffer(b"".join(part), "<u4").astype(np.int64))
-            for run, text in zip(part, self.db.sql(_BYTES).to_arrow_table().column("text").to_pylist(), strict=True):
-                self.runs[run] = text.encode("latin-1")
-        known = self.runs.__getitem__
-        return [b"".join(map(known, p)) for p in parts]
+        """The tokens of a block are cut into runs, at tokens that start with white space and wherever a run's
+        numbers fill 64 bits. The query decodes each distinct run once; then the runs' bytes are laid out."""
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        if not len(ids):
+            return [b""] * len(coded)
+        if ids.max() >= len(self.starts_run):
+            raise ValueError(f"no token has the number {ids.max()}")
+        per_run = 64 // self.bits
+        ends = np.cumsum([len(c) // 4 for c in coded])
+        first = self.starts_run[ids]
+        first[0] = True
+        first[ends[ends < len(ids)]] = True
+        starts = np.flatnonzero(first)
+        inside = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
+        place = inside % per_run
+        starts = np.flatnonzero(place == 0)
+        # A number is kept plus one, so that runs of fewer tokens differ from longer ones.
+        keys = np.add.reduceat((ids.astype(np.uint64) + np.uint64(1)) << (place * self.bits).astype(np.uint64), starts)
+        distinct, which = np.unique(keys, return_inverse=True)
+        fields = distinct[:, None] >> np.arange(0, per_run * self.bits, self.bits, dtype=np.uint64) & np.uint64((1 << self.bits) - 1)
+        used = fields > 0
+        self._lists("runs", "run", used.sum(axis=1).tolist(), fields[used].astype(np.int64) - 1)
+        texts = self.db.sql(_BYTES).to_arrow_table().column("text").to_pylist()
+        raw = np.frombuffer("".join(texts).encode("latin-1"), np.uint8)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        at = np.cumsum(sizes) - sizes
+        size = sizes[which]
+        out_end = np.cumsum(size)
+        out = raw[np.arange(int(out_end[-1])) + np.repeat(at[which] - (out_end - size), size)].tobytes()
+        cuts = [0, *np.concatenate([[0], out_end])[np.searchsorted(starts, ends)].tolist()]
+        return [out[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
 
 
 _coders: dict[int, _Coder] = {}
