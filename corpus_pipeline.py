@@ -2,11 +2,38 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickloom.llm import bpe, quality
+from tickloom.llm.decontam import contained_items
 from tickloom.llm.exact_dedup import exact_dedup
+from tickloom.llm.near_dedup import near_duplicates
+from tickloom.llm.textops import checkpointed
 
+#: The stages train a classifier and verify links on full sets; SQL expresses neither.
 ORACLE_SQL = None
+RANKS = "byte_bpe_50k.tiktoken"
+#: Dropped documents up to which their identifiers are broadcast; beyond that the join shuffles.
+MAX_BROADCAST_IDS = 500_000
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not among ids."""
+    ids = checkpointed(ids.distinct())
+    small = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(docs.columns)
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained quality classifier rejects go."""
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs, model, carry=True).filter("kept").select("_row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,12 +41,36 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry=True).filter("kept").select("_row.*")
 
 
-STAGES = [("exact_dedup", exact)]
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: that with the smallest doc_id."""
+    return without(docs, near_duplicates(docs).filter("NOT kept").select("doc_id"))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go. Documents without a doc_id stay."""
+    return without(docs, contained_items(docs, read(spark, sf_dir, "benchmark")).select("doc_id"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (32-bit little-endian numbers), decoded_sha256 (of the bytes that the ids give back)."""
+    ranks = public_tokenizers.path(RANKS)
+    coded = bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN)
+    decoded = bpe.bpe_decode(coded.withColumn("again", F.col("ids")), ranks, "again")
+    return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+
+
+STAGES = [
+    ("quality", good),
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("decontamination", clean),
+    ("byte_bpe", encode),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, over documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from . import bpe, decontam, language_id, licenses, quality, secret_scan, warc
 from .exact_dedup import exact_dedup
 from .near_dedup import near_duplicates
+from .suffix_dedup import repeated_spans
 from .textops import shared_dir
 
 
@@ -19,6 +20,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(read(spark, sf_dir, "documents"), keep="none").drop("spans", "kept_bytes")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf_dir, "documents")).drop("spans")
 
@@ -65,6 +70,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_license_scan": op2_license_scan,
         "op3_quality": op3_quality,
         "op4_decontamination": op4_decontamination,
