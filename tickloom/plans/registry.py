@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import q_telemetry, q_trades
+
+_PARTS = [q_trades, q_telemetry]
+
 
 def queries() -> dict:
-    return {}
+    return {name: query for part in _PARTS for name, query in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
