@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Code points of texts that are split and encoded at once.
 BLOCK_CHARS = 4_000_000
 #: Words that a Python worker remembers between blocks; beyond that it starts anew.
@@ -249,6 +251,7 @@ def _map_column(frame: DataFrame, source: str, target: str, work: Callable) -> D
                 kept = [batch.column(i).slice(start, len(values)) for i in rest]
                 yield pa.RecordBatch.from_arrays([*kept, made], names=[*(batch.schema.names[i] for i in rest), target])
 
+    ship(frame.sparkSession)
     kinds = [f"`{c}` {t}" for c, t in frame.dtypes if c != source]
     return frame.mapInArrow(run, ", ".join([*kinds, f"`{target}` binary"]))
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .features import apply, map_rows, ngram_counts, ridge, unit
 
 #: Buckets of hashed byte trigrams.
@@ -78,6 +79,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         x = _features(columns["_text"]).astype(np.float16)
         return {"x": pa.array([row.tobytes() for row in x], pa.binary())}
 
+    ship(docs.sparkSession)
     rows = sample.drop("_at").mapInArrow(map_rows(["_lang"], work), "_lang string, x binary").collect()
     code = codewords(len(langs))
     if not rows:
@@ -104,6 +106,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         *[c.alias(f"_c_{n}") for n, c in carry.items()],
         F.when(_has_letter(F.col(text_col)), F.col(text_col)).alias("_text"),
     )
+    ship(docs.sparkSession)
     langs, code, weights, trust = model
     small = weights.astype(np.float32)
 

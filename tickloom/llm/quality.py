@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .features import apply, logistic, map_rows, ngram_counts, sigmoid, unit
 
 #: Buckets of hashed byte trigrams in the text view.
@@ -74,6 +75,7 @@ def _with_views(rows: DataFrame, kept: list[str]) -> DataFrame:
         packed = [(a.astype(np.float16).tobytes(), b.astype(np.float16).tobytes()) for a, b in views]
         return {"a": pa.array([a for a, _ in packed], pa.binary()), "b": pa.array([b for _, b in packed], pa.binary())}
 
+    ship(rows.sparkSession)
     schema = ", ".join([f"`{c}` {t}" for c, t in rows.dtypes if c in kept] + ["a binary", "b binary"])
     return rows.mapInArrow(map_rows(kept, work), schema)
 
@@ -166,6 +168,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", carry: bool = F
     Defined cases: a null text counts as empty; null or missing metadata as unknown; rows that repeat an
     identifier give a row each; other columns are ignored, and come back in the struct `_row` if carry is set.
     """
+    ship(docs.sparkSession)
     kept = ["_id", *(["_row"] if carry else [])]
     rows = _given(docs, F.col(id_col).alias("_id"), *([F.struct("*").alias("_row")] if carry else []))
     even = float(np.log(max(model.prior, 1e-6) / max(1 - model.prior, 1e-6)))

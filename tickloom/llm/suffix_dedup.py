@@ -12,6 +12,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .features import map_rows
 from .textops import shared_dir, text_of
 
@@ -247,6 +248,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if length < 2 * GRAM or keep not in ("first", "none"):
         raise ValueError(f"length is at least {2 * GRAM}, keep is first or none")
     spark = docs.sparkSession
+    ship(spark)
     keep_first = keep == "first"
     folder = f"{shared_dir(spark)}/suffix-{uuid.uuid4()}"
 

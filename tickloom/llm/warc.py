@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .textops import keyed, text_of
 
 CHUNK_BYTES = 1 << 20
@@ -183,6 +184,7 @@ def read_records(spark: SparkSession, archive: Archive, id_type: str = "long") -
     digested where it is read. The chunks of longer ones meet in chunk order in one task, which holds a
     chunk at a time. A revisit has no block; its length and digest are those that it declares.
     """
+    ship(spark)
     chunks = read_chunks(spark, archive)
     single = chunks.filter("chunks = 1").select(
         "page_id", "url", "record_type", "refers_to", "digest", "length",
