@@ -190,3 +190,44 @@ def imbalance(bid: Column, ask: Column) -> Column:
 
 def distance_bps(price: Column, reference: Column) -> Column:
     return (price - reference) / reference * 10_000
+
+
+# Exact arithmetic, arrays, maps, JSON
+
+
+def ceil_ratio(a: Column | str, b: Column | str) -> Column:
+    """a / b rounded up, for whole numbers of which b is positive; in integers throughout."""
+    up = _c(a) + _c(b) - 1
+    return ((up - F.pmod(up, _c(b))) / _c(b)).cast("long")
+
+
+def half_even(a: Column | str, b: Column | str, digits: int) -> Column:
+    """a / b rounded half to even, from an exact decimal quotient."""
+    return F.bround(_c(a).cast("decimal(20,6)") / _c(b).cast("decimal(12,3)"), digits)
+
+
+def added(a: Column | str, b: Column | str) -> Column:
+    """Element-wise sum of two arrays; a missing element counts as zero."""
+    return F.zip_with(_c(a), _c(b), lambda x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
+
+
+def steps(values: Column | str) -> Column:
+    """Differences of neighbouring elements."""
+    v = _c(values)
+    return F.when(F.size(v) < 2, F.slice(v, 1, 0)).otherwise(F.zip_with(F.slice(v, F.lit(2), F.size(v) - 1), F.slice(v, F.lit(1), F.size(v) - 1), lambda b, a: b - a))
+
+
+def first_true(flags: Column | str) -> Column:
+    """Index (from 0) of the first true element, or null."""
+    at = F.array_position(_c(flags), F.lit(True))
+    return F.when(at > 0, at - 1)
+
+
+def wire_symbols(names: Column | str, symbols: Column | str) -> Column:
+    """Map from channel to the symbol used on it."""
+    return F.map_from_arrays(_c(names), _c(symbols))
+
+
+def canonical_json(*columns: Column | str) -> Column:
+    """Compact JSON of some columns in the given order; null fields are left out."""
+    return F.to_json(F.struct(*columns))

@@ -102,3 +102,15 @@ def materialization_identity(inputs: DataFrame, keys: list[str], sha: str, confi
 def lineage(rows: DataFrame, keys: list[str], sha: str) -> DataFrame:
     """All inputs that contributed to each output partition, also those of earlier hours."""
     return rows.groupBy(*keys).agg(F.sort_array(F.collect_set(sha)).alias("inputs"))
+
+
+def committed_if_current(state: DataFrame, proposals: DataFrame, keys: list[str]) -> DataFrame:
+    """Proposed states with `accepted`: only those made from the revisions that are current (null: none yet), and of several for
+    one key only that of the smallest proposal number. An accepted one raises the revision."""
+    from pyspark.sql import Window
+
+    rows = proposals.join(state.select(*keys, F.col("revision").alias("_now")), keys, "left")
+    fresh = F.col("expected_revision").eqNullSafe(F.col("_now"))
+    w = Window.partitionBy(*keys, fresh).orderBy("proposal")
+    rows = rows.withColumn("accepted", fresh & (F.row_number().over(w) == 1))
+    return rows.withColumn("revision", F.when(F.col("accepted"), F.coalesce("_now", F.lit(0)) + 1).otherwise(F.col("_now"))).drop("_now")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_books, q_storage, q_streaming, q_telemetry, q_trades, q_universe
+from . import q_books, q_functions, q_storage, q_streaming, q_telemetry, q_trades, q_universe
 
-_PARTS = [q_trades, q_telemetry, q_universe, q_books, q_storage, q_streaming]
+_PARTS = [q_trades, q_telemetry, q_universe, q_books, q_storage, q_streaming, q_functions]
 
 
 def queries() -> dict:
