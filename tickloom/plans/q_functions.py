@@ -10,7 +10,7 @@ from ..functions.scalar import added, canonical_json, ceil_ratio, first_true, ha
 from ..operators import revisions as rv
 from ..shared import shared_dir
 from ..sources import raw
-from .tables import doubles, events, table
+from .tables import EVENTS_SQL, doubles, events, table
 
 
 def h5_exact_math(spark, sf_dir):
@@ -89,6 +89,4 @@ SELECT l_orderkey, array_to_string(list_transform(range(1, greatest(len(s), len(
     "g7_optimistic_commit": """WITH s AS (SELECT o_custkey, count(*) AS now FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1), x AS (SELECT o.o_custkey, o_orderkey AS proposal, now, (CASE WHEN o.o_custkey % 3 <> 0 THEN o_orderkey % 20 END) IS NOT DISTINCT FROM now AS f FROM orders o LEFT JOIN s ON s.o_custkey = o.o_custkey),
 a AS (SELECT *, f AND row_number() OVER (PARTITION BY o_custkey, f ORDER BY proposal) = 1 AS accepted FROM x) SELECT proposal, accepted, CASE WHEN accepted THEN coalesce(now, 0) + 1 ELSE now END AS revision FROM a""",
 }
-from .tables import EVENTS_SQL  # noqa: E402
-
 ORACLES["a3_hour_sink"] = f"""WITH {EVENTS_SQL} SELECT instrument_key AS p_key, strftime(make_timestamp((received_at_ns - received_at_ns % {240 * 3_600_000_000_000}) // 1000), '%Y-%m-%d-%H') AS p_hour, count(*) AS n, CAST(sum(record_index) AS BIGINT) AS ids FROM ev GROUP BY 1, 2"""

@@ -11,7 +11,7 @@ from ..operators import revisions as rv
 from ..shared import shared_dir
 from ..shipping import ship
 from ..streaming import jobs as s
-from . import q_books, q_telemetry, q_universe
+from . import q_books, q_storage, q_telemetry, q_universe
 from .tables import EVENTS_SQL, doubles, events, table, trades
 
 KEY = "instrument_key"
@@ -106,6 +106,4 @@ SELECT instrument_key, b AS silent_from, t AS silent_to FROM p WHERE t - b > {2
     "i10_slo_monitor": q_telemetry.ORACLES["e8_slo_transitions"],
     "i11_gap_generations": f"WITH {_VALID} SELECT instrument_key, CAST(sum(broke::INT) AS BIGINT) AS gaps, CAST(sum((NOT valid)::INT) AS BIGINT) AS invalid FROM val GROUP BY 1",
 }
-from .q_storage import ORACLES as _STORAGE  # noqa: E402
-
-ORACLES["i4_late_revisions"] = _STORAGE["c11_affected_hours"]
+ORACLES["i4_late_revisions"] = q_storage.ORACLES["c11_affected_hours"]
