@@ -25,8 +25,6 @@ CHUNK_BYTES = 1 << 20
 #: Distinct segments up to which those of one least gram are sorted in one task. The windows of larger
 #: groups are counted by digest over all tasks.
 MAX_GROUP = 2000
-#: Bytes of per-document lists up to which they are broadcast to the documents; beyond that the join shuffles.
-MAX_BROADCAST_BYTES = 48 << 20
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _Q = 0x9E3779B97F4A7C15
@@ -299,11 +297,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     compared = saved(compared, "compared")
 
     def attached(lists: DataFrame, how: str) -> DataFrame:
-        """The documents with their lists, joined by broadcast if those are small."""
-        size = lists.agg(F.sum(F.size("list") * 24 + 64)).first()[0] or 0
+        """The documents with their lists. Both sides are shuffled, whatever their size: the lists grow with the documents."""
         lists = lists.select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), "list")
-        right = F.broadcast(lists) if size <= MAX_BROADCAST_BYTES else lists
-        return texts.join(right, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), how).drop("_i", "_k")
+        return texts.join(lists, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), how).drop("_i", "_k")
 
     wanted = saved(compared.groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "count", "least", "members", "whole")).alias("list")), "wanted")
     with_text = attached(wanted, "inner").select("_id", "_key", "_text", F.explode("list").alias("s"))
