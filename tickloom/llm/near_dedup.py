@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .features import map_rows
 from .textops import checkpointed, shared_dir
 
@@ -18,7 +19,7 @@ from .textops import checkpointed, shared_dir
 COORDINATES = 64
 MATCHES = 34
 #: Pairs that share a first document are verified in tasks' groups of about so many.
-PAIRS_PER_GROUP = 400
+PAIRS_PER_GROUP = 100
 #: Identifiers up to which the documents to verify are found by a broadcast; beyond that the join shuffles.
 MAX_BROADCAST_IDS = 500_000
 
@@ -82,6 +83,10 @@ def _sketch(words: int):
     return map_rows(["_id"], work)
 
 
+def _lists(texts: list[str], words: int) -> pa.Array:
+    return pa.array([shingles(t, words).view(np.int64) for t in texts], pa.list_(pa.int64()))
+
+
 def _confirm(words: int, percent: int):
     """For rows sorted so that each group's first document comes before those to compare with it."""
 
@@ -132,9 +137,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, carry: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
-    """One row per input row: <id_col>, n_shingles, component_id, kept (and _row, if carry).
+    """One row per input row: <id_col>, n_shingles, component_id, kept.
 
     Documents are linked if their sets of word shingles have a Jaccard similarity of percent or more.
     component_id is the smallest identifier that links reach; the document that has it is kept.
@@ -143,16 +148,18 @@ def near_duplicates(
     under each pair of a coordinate and its value. Postings are ordered by how many share them, and only a
     class's rarest ones are merged: all but MATCHES - 1 of those that it shares with anyone (prefix
     filter). A class with fewer than MATCHES shared postings is skipped. Each list's members first meet
-    its smallest member; lists whose members are then all linked are done, and members of the others meet
-    each other across the classes linked so far. Pairs with MATCHES or more equal coordinates, and sizes that
-    allow the similarity, are confirmed on the full sets of their whole texts.
+    its smallest member. Lists whose members are then all linked are done. The members of the others are prefix-filtered
+    once more, on their full sets: ordered by how many of them have a shingle, two sets of the wanted similarity share
+    one of the rarest fifth of the larger and the rarest ninth of the smaller set. So groups of texts that are somewhat
+    alike, but not enough, do not meet pair by pair. Pairs with MATCHES or more equal coordinates, and sizes that allow
+    the similarity, are confirmed on the full sets of their whole texts.
 
     Defined cases: null and empty texts, and texts without words, have no shingles and no links; rows that
     repeat an identifier share a component and are all kept or all dropped; rows without an identifier are
-    linked with nothing (component_id null) and kept; other columns are ignored, and come back in the
-    struct `_row` if carry is set.
+    linked with nothing (component_id null) and kept; other columns are ignored.
     """
     spark = docs.sparkSession
+    ship(spark)
     folder = f"{shared_dir(spark)}/near-{uuid.uuid4()}"
 
     def saved(frame: DataFrame, name: str) -> DataFrame:
@@ -190,16 +197,19 @@ def near_duplicates(
         both = pairs.join(side("a"), "a").join(side("b"), "b").filter(similar_enough(F.col("n_a"), F.col("n_b")))
         return saved(both.filter(matches >= MATCHES).select("a", "b"), name)
 
+    def with_text(ids: DataFrame, name: str) -> DataFrame:
+        ids = ids.distinct()
+        small = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
+        return saved(texts.join(F.broadcast(ids) if small else ids, "_id", "left_semi"), name)
+
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs whose full sets are similar."""
-        ids = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-        small = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-        wanted = saved(texts.join(F.broadcast(ids) if small else ids, "_id", "left_semi"), f"{name}-texts")
+        wanted = with_text(pairs.select(F.col("a").alias("_id")).union(pairs.select("b")), f"{name}-texts")
         groups = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PAIRS_PER_GROUP).cast("int").alias("salts"))
         firsts = groups.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast(id_type).alias("b"))
         others = pairs.join(groups, "a").select("a", F.pmod(F.hash("b"), F.col("salts")).cast("int").alias("salt"), "b")
-        with_text = lambda rows, c: rows.join(wanted.withColumnRenamed("_id", "_c"), F.col(c) == F.col("_c")).select("a", "salt", "b", "_text")
-        rows = with_text(firsts, "a").union(with_text(others, "b"))
+        told = lambda rows, c: rows.join(wanted.withColumnRenamed("_id", "_c"), F.col(c) == F.col("_c")).select("a", "salt", "b", "_text")
+        rows = told(firsts, "a").union(told(others, "b"))
         rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
         return saved(rows.mapInArrow(_confirm(words, percent), f"a {id_type}, b {id_type}"), f"{name}-links")
 
@@ -210,11 +220,25 @@ def near_duplicates(
     labelled = prefix.join(found, F.col("id") == F.col("_id"), "left").select("_id", "n", "key", F.coalesce("component", "_id").alias("class"))
     mixed = labelled.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("key")
     open_ = saved(labelled.join(mixed, "key"), "open")
-    side = lambda c: open_.select("key", F.col("_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("class").alias(f"class_{c}"))
+    wanted = with_text(open_.select("_id"), "open-texts")
+    sets = saved(wanted.mapInArrow(map_rows(["_id"], lambda columns: {"own": _lists(columns["_text"], words)}), f"_id {id_type}, own array<long>"), "open-sets")
+    about = open_.select("_id", "n", "class").distinct()
+    held = sets.select("_id", F.explode("own").alias("h"))
+    common = held.join(held.groupBy("h").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "h").join(about, "_id")
+    ranked = common.withColumns({"m": F.count(F.lit(1)).over(own), "rank": F.row_number().over(own.orderBy("members", "h"))})
+    ranked = ranked.withColumn("rest", F.col("m") - F.col("rank"))  # shingles that come later in the order
+    # Of a pair, the larger set shares at least percent of its shingles, the smaller one at least the share for two equal sizes.
+    least_large, least_small = F.ceil(F.col("n") * percent / 100), F.ceil(F.col("n") * (2 * percent) / (100 + percent))
+    ranked = saved(
+        ranked.filter(F.col("rank") <= F.col("m") - least_large + 1).select("h", "_id", "n", "class", "rest", (F.col("rank") <= F.col("m") - least_small + 1).alias("small")), "open-prefix"
+    )
+    side = lambda c: ranked.select("h", F.col("_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("class").alias(f"class_{c}"), F.col("rest").alias(f"rest_{c}"), F.col("small").alias(f"small_{c}"))
+    # At the first shingle that two sets share, enough must be left of both.
+    enough = F.least("rest_s", "rest_l") + 1 >= F.ceil((F.col("n_s") + F.col("n_l")) * percent / (100 + percent))
     rest = (
-        side("a").join(side("b"), "key")
-        .filter((F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & similar_enough(F.col("n_a"), F.col("n_b")))
-        .select("a", "b").distinct().join(first_pairs, ["a", "b"], "left_anti")
+        side("s").filter("small_s").join(side("l"), "h")
+        .filter(enough & (F.struct("n_s", "s") < F.struct("n_l", "l")) & (F.col("class_s") != F.col("class_l")) & similar_enough(F.col("n_s"), F.col("n_l")))
+        .select(F.least("s", "l").alias("a"), F.greatest("s", "l").alias("b")).distinct().join(first_pairs, ["a", "b"], "left_anti")
     )
     more = confirmed(matching(rest, "matching-rest"), "rest")
     if not more.isEmpty():
@@ -222,10 +246,5 @@ def near_duplicates(
     members = classes.join(found, F.col("id") == F.col("_id"), "left").select("h1", "h2", "n", F.coalesce("component", "_id").alias("component_id"))
     of_id = sketches.join(members, ["h1", "h2", "n"], "left").groupBy("_id").agg(F.min(F.coalesce("component_id", "_id")).alias("component_id"), F.max("n").alias("n"))
     kept = F.coalesce(F.col("_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    if not carry:
-        rows = sketches.select("_id").union(texts.filter("_id IS NULL").select("_id"))
-        found = rows.join(of_id, "_id", "left")
-        return found.select(F.col("_id").alias(id_col), F.coalesce("n", F.lit(0)).alias("n_shingles"), "component_id", kept)
-    rows = docs.select(F.col(id_col).alias("_id"), F.struct("*").alias("_row"))
-    found = rows.join(of_id, "_id", "left")
-    return found.select(F.col("_id").alias(id_col), F.coalesce("n", F.lit(0)).alias("n_shingles"), "component_id", kept, "_row")
+    rows = sketches.select("_id").union(texts.filter("_id IS NULL").select("_id"))
+    return rows.join(of_id, "_id", "left").select(F.col("_id").alias(id_col), F.coalesce("n", F.lit(0)).alias("n_shingles"), "component_id", kept)
