@@ -33,7 +33,7 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained quality classifier rejects go."""
     model = quality.train(docs, read(spark, sf_dir, "labels"))
-    return quality.score(docs, model, carry=True).filter("kept").select("_row.*")
+    return without(docs, quality.score(docs, model).filter("NOT kept").select("doc_id"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +54,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (32-bit little-endian numbers), decoded_sha256 (of the bytes that the ids give back)."""
     ranks = public_tokenizers.path(RANKS)
-    coded = bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN)
-    decoded = bpe.bpe_decode(coded.withColumn("again", F.col("ids")), ranks, "again")
-    return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    coded = bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN, decode=True)
+    return coded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [

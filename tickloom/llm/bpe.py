@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from .workers import give_back
 
 #: Code points of texts that are split and encoded at once.
-BLOCK_CHARS = 4_000_000
-#: Words that a Python worker remembers between blocks; beyond that it starts anew.
-MAX_REMEMBERED = 400_000
+BLOCK_CHARS = 2_000_000
+#: Words that a task remembers between blocks; beyond that it starts anew.
+MAX_REMEMBERED = 300_000
 #: Bytes of a word up to which it is encoded by the query. The query makes as many rounds as its longest
 #: word has merges, over all of that word's tokens; longer words take the same merges from a heap.
 LONG_WORD = 256
@@ -109,7 +110,7 @@ def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Coder:
-    """The tables of one vocabulary in a Python worker, and the words it has seen."""
+    """The tables of one vocabulary in a task, and the words that the task has seen."""
 
     def __init__(self, raw: bytes):
         import duckdb
@@ -129,7 +130,7 @@ class _Coder:
         self.bits = len(starts).bit_length()
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '256MB'")
+        self.db.execute("SET memory_limit = '200MB'")
         self._table("merges", pair=pa.array([p for p, _ in pairs], pa.int64()), rank=pa.array([r for _, r in pairs], pa.int64()))
         # Bytes as the characters of the same number, since tokens need not be whole characters.
         self._table("vocabulary", token=pa.array(ranks.values(), pa.int64()), piece=pa.array([t.decode("latin-1") for t in ranks]))
@@ -170,6 +171,10 @@ class _Coder:
             for i, (word, _) in enumerate(part):
                 self.words[word] = ids[ends[i] : ends[i + 1]]
 
+    def close(self) -> None:
+        self.db.close()
+        self.words.clear()
+
     def encode(self, texts: list[str], split: Callable[[str], list[str]]) -> list[bytes]:
         parts = [split(t) for t in texts]
         new = set(chain.from_iterable(parts))
@@ -213,17 +218,6 @@ class _Coder:
         return [out[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
 
 
-_coders: dict[int, _Coder] = {}
-
-
-def _coder(raw: bytes) -> _Coder:
-    """One for each vocabulary in a Python worker, kept from task to task."""
-    if (key := hash(raw)) not in _coders:
-        _coders.clear()
-        _coders[key] = _Coder(raw)
-    return _coders[key]
-
-
 def _blocks(column: pa.Array, weight: int) -> Iterator[tuple[int, list]]:
     """The column's values in blocks, each with its first row's number."""
     block, start, size = [], 0, 0
@@ -238,31 +232,38 @@ def _blocks(column: pa.Array, weight: int) -> Iterator[tuple[int, list]]:
         yield start, block
 
 
-def _map_column(frame: DataFrame, source: str, target: str, work: Callable) -> DataFrame:
-    """Replaces the text or binary column source by the binary column target, a block of rows at a time."""
+def _map_column(frame: DataFrame, source: str, targets: list[str], work: Callable) -> DataFrame:
+    """Replaces the text or binary column source by binary columns, a block of rows at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = work()
-        for batch in batches:
-            at = batch.schema.get_field_index(source)
-            rest = [i for i in range(batch.num_columns) if i != at]
-            for start, values in _blocks(batch.column(at), BLOCK_CHARS):
-                made = pa.array(step(values), pa.binary())
-                kept = [batch.column(i).slice(start, len(values)) for i in rest]
-                yield pa.RecordBatch.from_arrays([*kept, made], names=[*(batch.schema.names[i] for i in rest), target])
+        coder, step = work()
+        try:
+            for batch in batches:
+                at = batch.schema.get_field_index(source)
+                rest = [i for i in range(batch.num_columns) if i != at]
+                names = [*(batch.schema.names[i] for i in rest), *targets]
+                for start, values in _blocks(batch.column(at), BLOCK_CHARS):
+                    made = [pa.array(c, pa.binary()) for c in step(values)]
+                    kept = [batch.column(i).slice(start, len(values)) for i in rest]
+                    yield pa.RecordBatch.from_arrays([*kept, *made], names=names)
+        finally:
+            coder.close()
+            del coder, step
+            give_back()
 
     ship(frame.sparkSession)
     kinds = [f"`{c}` {t}" for c, t in frame.dtypes if c != source]
-    return frame.mapInArrow(run, ", ".join([*kinds, f"`{target}` binary"]))
+    return frame.mapInArrow(run, ", ".join([*kinds, *[f"`{t}` binary" for t in targets]]))
 
 
 def bpe_encode(
-    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decode: bool = False
 ) -> DataFrame:
-    """One row per input row: <id_col>, n_tokens, ids (32-bit little-endian numbers, as binary).
+    """One row per input row: <id_col>, n_tokens, ids (32-bit little-endian numbers, as binary), and if `decode` is set
+    decoded, the bytes that the ids give back, as bpe_decode() finds them, in the same task.
 
     Each match of the pattern is a word of its own. In each partition, a block's distinct words that the
-    worker has not seen before go through one recursive query: the adjacent tokens of each word join the
+    task has not seen before go through one recursive query: the adjacent tokens of each word join the
     merge table, the leftmost pair of least rank is contracted, until no word has a pair left.
 
     The vocabulary, read from ranks_path by the driver, is broadcast; its size is fixed.
@@ -274,12 +275,18 @@ def bpe_encode(
         raw = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def work():
-        coder, split = _coder(raw.value), splitter(pattern)
-        return lambda texts: coder.encode(texts, split)
+        coder, split = _Coder(raw.value), splitter(pattern)
+
+        def step(texts: list[str]) -> list[list[bytes]]:
+            ids = coder.encode(texts, split)
+            return [ids, coder.decode(ids)] if decode else [ids]
+
+        return coder, step
 
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    coded = _map_column(texts, "_text", "ids", work)
-    return coded.select(F.col("_id").alias(id_col), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    more = ["decoded"] if decode else []
+    coded = _map_column(texts, "_text", ["ids", *more], work)
+    return coded.select(F.col("_id").alias(id_col), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", *more)
 
 
 def bpe_decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids", target: str = "decoded") -> DataFrame:
@@ -291,6 +298,7 @@ def bpe_decode(coded: DataFrame, ranks_path: str, ids_col: str = "ids", target:
         raw = coded.sparkSession.sparkContext.broadcast(file.read())
 
     def work():
-        return _coder(raw.value).decode
+        coder = _Coder(raw.value)
+        return coder, lambda ids: [coder.decode(ids)]
 
-    return _map_column(coded.withColumn(ids_col, F.coalesce(ids_col, F.lit(b""))), ids_col, target, work)
+    return _map_column(coded.withColumn(ids_col, F.coalesce(ids_col, F.lit(b""))), ids_col, [target], work)

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from .workers import give_back
+
 #: Bytes whose n-grams are hashed at once; bounds memory for very long texts.
 BLOCK = 1 << 22
 
@@ -70,5 +72,6 @@ def map_rows(
                 made = work({n: part.column(n).to_pylist() for n in part.schema.names if n not in kept})
                 columns = {n: part.column(n) for n in kept} | made
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        give_back()
 
     return run

@@ -63,9 +63,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    coded = bpe.bpe_encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    coded = coded.withColumn("ids_sha256", F.sha2("ids", 256))
-    return bpe.bpe_decode(coded, ranks).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    coded = bpe.bpe_encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, decode=True)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
