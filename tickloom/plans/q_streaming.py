@@ -17,12 +17,23 @@ from .tables import EVENTS_SQL, doubles, events, table, trades
 KEY = "instrument_key"
 
 
-def _stream(frame):
-    """A batch table as files of a landing folder, and those as a stream."""
+def _stream(frame, order=None):
+    """A batch table as files of a landing folder, and those as a stream. With order, batches come in that order: files hold
+    ranges of it, none of its values is in two files, and as streams take files by time, they get theirs by name."""
     spark = frame.sparkSession
     ship(spark)
     folder = f"{shared_dir(spark)}/landing-{uuid.uuid4()}"
-    frame.write.parquet(folder)
+    (frame.repartitionByRange(order).sortWithinPartitions(order) if order else frame).write.parquet(folder)
+    if order:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = sorted((x.getPath() for x in fs.listStatus(path)), key=lambda x: x.getName())
+        first = max(x.getModificationTime() for x in fs.listStatus(path)) - len(files)
+        for i, x in enumerate(files):
+            fs.setTimes(x, first + i, -1)
+        times = [fs.getFileStatus(x).getModificationTime() for x in files]
+        if times != sorted(set(times)):
+            raise ValueError(f"{folder}: the store does not keep the files' times")
     return s.file_stream(spark, folder, frame.schema, "*.parquet")
 
 
@@ -37,14 +48,14 @@ def i1_ingest(spark, sf_dir):
 
 def i2_stream_bars(spark, sf_dir):
     e = trades(spark, sf_dir).select(KEY, "time_ns", "record_index", "price", "quantity", F.timestamp_micros(F.floor(F.col("time_ns") / 1000)).alias("ts"))
-    bars = s.windowed_bars(_stream(e), [KEY], "ts", "1 hour", ["time_ns", "record_index"])
+    bars = s.windowed_bars(_stream(e, "time_ns"), [KEY], "ts", "1 hour", ["time_ns", "record_index"], delay=None)
     rows = s.results(bars, "update", [KEY, "window_start"])
     return doubles(rows.withColumn("window_start", F.unix_micros("window_start")))
 
 
 def i5_stream_dedup(spark, sf_dir):
     e = trades(spark, sf_dir).select(KEY, "trade_id", F.timestamp_micros(F.floor(F.col("time_ns") / 1000)).alias("ts"))
-    rows = s.results(s.deduplicated(_stream(e), [KEY], "ts", "30 days"))
+    rows = s.results(s.deduplicated(_stream(e, "ts"), [KEY], "ts", "30 days"))
     return rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("kept"), F.count_distinct("trade_id").alias("identifiers"))
 
 
@@ -57,7 +68,7 @@ def i4_late_revisions(spark, sf_dir):
 
 def i6_hysteresis(spark, sf_dir):
     rows = q_universe._months(spark, sf_dir).select("p_partkey", "month", "rank", "eligible")
-    return s.results(s.hysteresis(_stream(rows), "p_partkey", "month", 3))
+    return s.results(s.hysteresis(_stream(rows, "month"), "p_partkey", "month", 3))
 
 
 def _snapshots(spark, sf_dir):
@@ -67,27 +78,27 @@ def _snapshots(spark, sf_dir):
 
 
 def i7_lifecycle(spark, sf_dir):
-    return s.results(s.lifecycle(_stream(_snapshots(spark, sf_dir)), "o_custkey", "o_orderkey"))
+    return s.results(s.lifecycle(_stream(_snapshots(spark, sf_dir), "o_orderkey"), "o_custkey", "o_orderkey"))
 
 
 def i8_book_validity(spark, sf_dir):
     rows = q_books.messages(spark, sf_dir).select(KEY, "seq", "prev_seq", "kind")
-    return s.results(s.book_validity(_stream(rows), KEY, "seq"))
+    return s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq"))
 
 
 def i9_silences(spark, sf_dir):
     rows = events(spark, sf_dir).select(KEY, F.col("received_at_ns").alias("at"))
-    return s.results(s.silences(_stream(rows), KEY, "at", 2 * HOUR))
+    return s.results(s.silences(_stream(rows, "at"), KEY, "at", 2 * HOUR))
 
 
 def i10_slo_monitor(spark, sf_dir):
     rows = q_telemetry.lags(spark, sf_dir).select("worker_instance_id", "hour", "lag_ns")
-    return s.results(s.slo_monitor(_stream(rows), "worker_instance_id", "hour", 2, 4_850_000_000))
+    return s.results(s.slo_monitor(_stream(rows, "hour"), "worker_instance_id", "hour", 2, 4_850_000_000))
 
 
 def i11_gap_generations(spark, sf_dir):
     rows = q_books.messages(spark, sf_dir).select(KEY, "seq", "prev_seq", "kind")
-    found = s.results(s.book_validity(_stream(rows), KEY, "seq"))
+    found = s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq"))
     return found.join(rows.select(KEY, "seq"), "seq").groupBy(KEY).agg(F.sum(F.col("break").cast("int")).alias("gaps"), F.sum((~F.col("valid")).cast("int")).alias("invalid"))
 
 

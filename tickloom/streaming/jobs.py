@@ -47,11 +47,12 @@ def results(stream: DataFrame, mode: str = "append", keys: list[str] | None = No
     return rows.drop("batch")
 
 
-def windowed_bars(trades: DataFrame, keys: list[str], time: str, size: str, order: list[str], delay: str = CLOSE_DELAY) -> DataFrame:
-    """Bars of tumbling, epoch-aligned, half-open windows that close `delay` after their end by event time."""
+def windowed_bars(trades: DataFrame, keys: list[str], time: str, size: str, order: list[str], delay: str | None = CLOSE_DELAY) -> DataFrame:
+    """Bars of tumbling, epoch-aligned, half-open windows that close `delay` after their end by event time; rows that come later
+    are dropped. Without a delay windows never close: a late row gives its bar anew, and the state is one row a bar."""
     at = F.struct(*order)
     return (
-        trades.withWatermark(time, delay)
+        (trades.withWatermark(time, delay) if delay else trades)
         .groupBy(*keys, F.window(time, size))
         .agg(F.min_by("price", at).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", at).alias("close"), F.sum("quantity").alias("base_volume"), F.count(F.lit(1)).alias("trade_count"))
         .select(*keys, F.col("window.start").alias("window_start"), "open", "high", "low", "close", "base_volume", "trade_count")
@@ -66,18 +67,22 @@ def deduplicated(trades: DataFrame, keys: list[str], time: str, delay: str = "1
 
 def stateful(stream: DataFrame, keys: list[str], order: str, start: dict, step: Callable[[dict, dict], dict | None], out: str, state: str) -> DataFrame:
     """A fold over each key's rows in order: step(state, row) changes the state and may give a row. The state is as large as
-    `state` says, whatever the number of rows."""
+    `state` says, and the last row's order, whatever the number of rows. Batches must come in order too: a row behind one
+    that an earlier batch has folded ends the stream with an error."""
     names = [x.split()[0] for x in state.split(", ")]
     columns = [x.split()[0] for x in out.split(", ")]
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
-        now = dict(zip(names, kept.get, strict=True)) if kept.exists else dict(start)
+        *values, last = kept.get if kept.exists else (*(start[n] for n in names), None)
+        now = dict(zip(names, values, strict=True))
         rows = pd.concat(list(batches)).sort_values(order)
+        if last is not None and rows[order].iloc[0] < last:
+            raise ValueError(f"{key}: {order} {rows[order].iloc[0]} came after {last}")
         made = [r for r in (step(now, row) for row in rows.astype(object).where(rows.notna(), None).to_dict("records")) if r is not None]
-        kept.update(tuple(now[n] for n in names))
+        kept.update((*(now[n] for n in names), int(rows[order].iloc[-1])))
         yield pd.DataFrame(made, columns=columns)
 
-    return stream.groupBy(*keys).applyInPandasWithState(run, out, state, "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(*keys).applyInPandasWithState(run, out, f"{state}, _order long", "append", GroupStateTimeout.NoTimeout)
 
 
 def hysteresis(refreshes: DataFrame, key: str, time: str, grace: int, key_type: str = "long") -> DataFrame:
@@ -173,7 +178,8 @@ def silence_alarms(events: DataFrame, key: str, time: str, delay: str, threshold
 
 def slo_monitor(samples: DataFrame, key: str, slot: str, slots: int, slo_ns: int) -> DataFrame:
     """Transitions between met and breached of a rolling histogram over the last `slots` slots. The state is the histogram of each
-    live slot; samples older than that are dropped."""
+    live slot; a sample older than that ends the stream with an error. Batches should hold whole slots: each slot's state is
+    told as of the batch it comes in."""
     size = len(BOUNDS_NS)
 
     def run(k: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
@@ -184,7 +190,7 @@ def slo_monitor(samples: DataFrame, key: str, slot: str, slots: int, slo_ns: int
         buckets = pd.Series(BOUNDS_NS, dtype="int64").searchsorted(rows["lag_ns"])
         for now, part in rows.assign(_b=buckets).groupby(slot):
             if live and now <= max(live) - slots:
-                continue
+                raise ValueError(f"{k}: {slot} {now} came after {max(live)}")
             slot_counts, top = live.setdefault(int(now), [[0] * size, 0])
             for b, n in part["_b"].value_counts().items():
                 slot_counts[int(b)] += int(n)
