@@ -17,23 +17,32 @@ ORACLE_SQL = None
 RANKS = "byte_bpe_50k.tiktoken"
 #: Dropped documents up to which their identifiers are broadcast; beyond that the join shuffles.
 MAX_BROADCAST_IDS = 500_000
+DIGEST = "_read_sha256"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among ids."""
+def without(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The documents whose key is not among ids."""
     ids = checkpointed(ids.distinct())
     small = ids.limit(MAX_BROADCAST_IDS + 1).count() <= MAX_BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(F.broadcast(ids) if small else ids, key, "left_anti")
+
+
+def digested(docs: DataFrame, *columns: str) -> DataFrame:
+    """The documents with DIGEST, of all that the columns hold: what is decided by them alone holds for all rows that share
+    it and for no other, whatever their doc_id."""
+    told = F.concat(*[F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in columns])
+    return docs.withColumn(DIGEST, F.unhex(F.sha2(told, 256)))
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained quality classifier rejects go."""
+    """Rows that the co-trained quality classifier rejects go, each by what it holds, with or without a doc_id."""
     model = quality.train(docs, read(spark, sf_dir, "labels"))
-    return without(docs, quality.score(docs, model).filter("NOT kept").select("doc_id"))
+    rows = digested(docs, *[c for c in ("text", "source", "lang", "n_chars") if c in docs.columns])
+    return without(rows, quality.score(rows, model, DIGEST).filter("NOT kept").select(DIGEST), DIGEST).select(docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,12 +52,13 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: that with the smallest doc_id."""
-    return without(docs, near_duplicates(docs).filter("NOT kept").select("doc_id"))
+    return without(docs, near_duplicates(docs).filter("NOT kept").select("doc_id")).select(docs.columns)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark item go. Documents without a doc_id stay."""
-    return without(docs, contained_items(docs, read(spark, sf_dir, "benchmark")).select("doc_id"))
+    """Rows whose text contains a benchmark item go, each by its text, with or without a doc_id."""
+    rows = digested(docs, "text")
+    return without(rows, contained_items(rows, read(spark, sf_dir, "benchmark"), DIGEST).select(DIGEST), DIGEST).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
