@@ -62,7 +62,7 @@ def windowed_bars(trades: DataFrame, keys: list[str], time: str, size: str, orde
 def deduplicated(trades: DataFrame, keys: list[str], time: str, delay: str = "1 day") -> DataFrame:
     """The first row of each identifier, remembered until the watermark passes it. Rows without an identifier all stay."""
     known = trades.filter(F.col("trade_id").isNotNull()).withWatermark(time, delay).dropDuplicatesWithinWatermark([*keys, "trade_id"])
-    return known
+    return known.unionByName(trades.filter(F.col("trade_id").isNull()))
 
 
 def stateful(stream: DataFrame, keys: list[str], order: str, start: dict, step: Callable[[dict, dict], dict | None], out: str, state: str) -> DataFrame:
