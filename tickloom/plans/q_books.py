@@ -82,8 +82,9 @@ def _one_quantity(states):
 
 
 def e19_valid_coverage(spark, sf_dir):
-    rows = b.validated(messages(spark, sf_dir).filter("seq % 50 <> 0"), KEY, ["seq"], "kraken_futures").unionByName(b.validated(messages(spark, sf_dir).filter("seq % 1000 = 500"), KEY, ["seq"], "bybit"))
-    return b.valid_coverage(rows.select(*KEY, "time_ns", (F.col("seq") % 3 != 0).alias("valid")).groupBy(*KEY, "time_ns").agg(F.max("valid").alias("valid")), KEY, "time_ns", STEP)
+    """Of messages of one time the last in order tells the state."""
+    rows = b.validated(messages(spark, sf_dir), KEY, ["seq"], "okx")
+    return b.valid_coverage(rows.groupBy(*KEY, "time_ns").agg(F.max_by("valid", "seq").alias("valid")), KEY, "time_ns", STEP)
 
 
 def c9_authority(spark, sf_dir):
