@@ -7,29 +7,23 @@ from pyspark.sql import functions as F
 
 from .textops import lower_az, partitions, text_of
 
-#: Bytes of text in a range key. Longer common prefixes are told apart by the key's second part, a hash.
+#: Characters of text in a range key. Longer common prefixes are told apart by the key's second part, a hash.
 PREFIX = 64
 #: Rows of the sample that finds texts too frequent for one partition, for each partition.
 SAMPLE_PER_PARTITION = 200
 
 
-def _hot_texts(keyed: DataFrame, n: int, rows: int) -> dict[int, int]:
-    """Hash -> number of salts, for texts with at least about half of a mean partition.
+def _hot_texts(docs: DataFrame, text_col: str, n: int) -> dict[int, int]:
+    """Hash -> number of salts, for normalised texts with at least about half of a mean partition.
 
     Reads a sample of at most about SAMPLE_PER_PARTITION rows a partition; a text needs 1/(2n) of the
     sample to be returned, so that there are at most 2n of them.
     """
-    want = SAMPLE_PER_PARTITION * n
-    fraction = min(1.0, want / max(rows, 1))
+    want, rows = SAMPLE_PER_PARTITION * n, docs.count()
     least = max(8.0, min(want, rows) / (2 * n))
-    found = (
-        keyed.sample(fraction=fraction, seed=17)
-        .groupBy("_h")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= least)
-        .collect()
-    )
-    return {r["_h"]: max(2, round(r["n"] / least) * 2) for r in found}
+    sample = docs.select(F.col(text_col).alias("_text")).sample(fraction=min(1.0, want / max(rows, 1)), seed=17)
+    found = sample.groupBy(F.xxhash64(lower_az(text_of("_text"))).alias("_h")).agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    return {r["_h"]: max(2, round(r["n"] / least) * 2) for r in found.collect()}
 
 
 def exact_dedup(
@@ -45,7 +39,8 @@ def exact_dedup(
     with the smallest (keep="min") or largest ("max") identifier stays.
 
     The normalised texts are range-partitioned by sampled splitters on (prefix, hash), sorted inside
-    each partition by Spark's external sort, and full neighbours are compared in that order. A text
+    each partition by Spark's external sort, and full neighbours are compared in that order. That is the only
+    shuffle of the texts. A text
     that the sample shows to be frequent gets a salt in the range key, so that its rows fill several
     partitions; its few runs are then merged by digest.
 
@@ -63,7 +58,7 @@ def exact_dedup(
         lower_az(text_of(text_col)).alias("_norm"),
         *([F.struct("*").alias("_row")] if carry else []),
     ).withColumns({"_prefix": F.substring("_norm", 1, PREFIX), "_h": F.xxhash64("_norm")})
-    hot = _hot_texts(base.select("_h"), n, docs.count())
+    hot = _hot_texts(docs, text_col, n)
     if hot:
         salts = spark.createDataFrame(list(hot.items()), "_h long, _salts int")
         base = base.join(F.broadcast(salts), "_h", "left")  # at most 2n rows
@@ -71,16 +66,14 @@ def exact_dedup(
             "_salt",
             F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_salts"))).otherwise(0),
         )
-    else:
-        base = base.withColumns({"_salts": F.lit(None).cast("int"), "_salt": F.lit(0).cast("long")})
-
-    sorted_ = base.repartitionByRange(n, "_prefix", "_h", "_salt")
-    run = Window.partitionBy("_prefix", "_h", "_salt", "_norm")
+    # The range partitions serve the windows, so that the texts are shuffled once: both have the same keys.
+    keys = ["_prefix", "_h", *(["_salt"] if hot else [])]
+    sorted_ = base.repartitionByRange(n, *keys)
+    run = Window.partitionBy(*keys, "_norm")
     order = F.col("_id").asc_nulls_last() if keep == "min" else F.col("_id").desc_nulls_last()
     best = F.min if keep == "min" else F.max
     runs = sorted_.select(
         "_id",
-        "_salts",
         F.row_number().over(run.orderBy(order)).alias("_rank"),
         best("_id").over(run).alias("_keep"),
         F.count(F.lit(1)).over(run).alias("_size"),
