@@ -7,20 +7,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textops import keyed, words_of
+from .textops import checkpointed, text_of, words_of
 
 SHINGLE_WORDS = 5
 MIN_CONTAINMENT = 0.8
-#: Distinct shingles of the benchmark up to which they are broadcast; beyond that the join shuffles.
-MAX_BROADCAST_SHINGLES = 1_000_000
+#: Rows of the benchmark's sketches or shingles, and candidate pairs, up to which they are broadcast; beyond that the join
+#: shuffles.
+MAX_BROADCAST_SHINGLES = 500_000
 
 
 def _hash(words: str, at: Column | int, k: int) -> Column:
     return F.xxhash64(*[F.get(words, F.lit(i) + at) for i in range(k)])
 
 
-def _gram(words: str, at: Column | int, k: int) -> Column:
-    return F.concat_ws(" ", *[F.get(words, F.lit(i) + at) for i in range(k)])
+def _grams(words: str, k: Column) -> Column:
+    """All shingles of k words, as text."""
+    return F.transform(F.sequence(F.lit(1), F.size(words) - k + 1), lambda p: F.concat_ws(" ", F.slice(words, p, k)))
+
+
+def _small(frame: DataFrame) -> DataFrame:
+    """The frame, to be broadcast if its rows are few enough."""
+    return F.broadcast(frame) if frame.limit(MAX_BROADCAST_SHINGLES + 1).count() <= MAX_BROADCAST_SHINGLES else frame
 
 
 def item_shingles(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
@@ -41,7 +48,7 @@ def item_shingles(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
         F.concat_ws(" ", F.slice("_words", F.col("_p") + 1, F.col("_k"))).alias("_gram"),
         reduce(lambda rest, n: F.when(F.col("_k") == n, _hash("_words", F.col("_p"), n)).otherwise(rest), range(1, SHINGLE_WORDS), _hash("_words", F.col("_p"), SHINGLE_WORDS)).alias("_h"),
     ).distinct()
-    item = Window.partitionBy("_item")
+    item = Window.partitionBy("_item", "_k")
     size = F.count(F.lit(1)).over(item)
     largest = F.pow(F.lit(2), F.floor(F.log2("_q")) + 1) - 1
     return (
@@ -52,6 +59,32 @@ def item_shingles(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """_id, _t1, _t2 (128 bits of the text, which tell rows of one identifier apart), _words."""
+    text = text_of(text_col)
+    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(1), text).alias("_t2"), words_of(text_col).alias("_words"))
+
+
+def candidates(texts: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Distinct _id, _t1, _t2, _item, _k: the documents that hold one of an item's minima, and are long enough to contain it.
+
+    Only the sketches meet the documents' rolling shingles: a pair that merely has some other shingle in common is never
+    made. The two may be a class of item sizes too far apart, or share a minimum by chance; contained_items() verifies.
+    """
+    sketch = checkpointed(shingles.filter("_sketch").select("_k", "_h", "_item", F.ceil(F.col("_q") * MIN_CONTAINMENT - 1e-9).alias("_least")))
+    found = []
+    for k in sorted(r["_k"] for r in sketch.select("_k").distinct().collect()):  # 5 rows at most
+        wanted = _small(sketch.filter(F.col("_k") == k).drop("_k"))
+        here = texts.filter(F.size("_words") >= k).select(
+            "_id", "_t1", "_t2", "_words", F.explode(F.sequence(F.lit(0), F.size("_words") - k)).alias("_p")
+        )
+        hits = here.select("_id", "_t1", "_t2", (F.size("_words") - k + 1).alias("_places"), _hash("_words", F.col("_p"), k).alias("_h"))
+        found.append(hits.join(wanted, "_h").filter("_places >= _least").select("_id", "_t1", "_t2", "_item", F.lit(k).alias("_k")))
+    if not found:
+        return texts.select("_id", "_t1", "_t2").join(shingles.select("_item", "_k").limit(0), F.lit(True), "inner")
+    return reduce(DataFrame.union, found).distinct()
+
+
 def contained_items(
     docs: DataFrame,
     items: DataFrame,
@@ -63,42 +96,25 @@ def contained_items(
     """Pairs of a document and a benchmark item it contains: <id_col>, <item_col>, n_item, n_found,
     containment - the share of the item's distinct word shingles that the whole document has.
 
-    One pass over the texts: each rolling shingle meets the items' shingles in a hash join (their words
-    are compared too). A pair becomes a candidate by a shingle of the item's MinHash sketch, and is
-    verified on all shingles of the item.
+    A MinHash search by size classes of the items gives the candidate pairs (see candidates()). The texts of the
+    candidates alone are read again, and the item's shingles are looked up among all of theirs, word for word.
 
     Defined cases: null, empty and short texts match only items short enough; items without words match
-    nothing; rows that repeat an identifier are documents of their own, and can give equal pairs; empty
-    tables give an empty result; other columns are ignored.
+    nothing; rows that repeat an identifier are documents of their own, and can give equal pairs; items that repeat an
+    identifier count as one, with the shingles of all (but those of fewer words apart from the others); empty tables give an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
     shingles = item_shingles(items, item_col, item_text_col)
-    by_gram = shingles.groupBy("_k", "_h", "_gram").agg(F.collect_list(F.struct("_item", "_q", "_sketch")).alias("_items"))
-    sizes = {r["_k"]: r["n"] for r in by_gram.groupBy("_k").agg(F.count("*").alias("n")).collect()}  # 5 rows at most
-    words = keyed(docs, id_col, text_col).select("_row", "_id", words_of(f"_{text_col}").alias("_words"))
-    found = []
-    for k, n in sorted(sizes.items()):
-        wanted = by_gram.filter(F.col("_k") == k).select("_h", "_gram", "_items")
-        here = words.filter(F.size("_words") >= k).select(
-            "_row", "_id", "_words", F.explode(F.sequence(F.lit(0), F.size("_words") - k)).alias("_p")
-        )
-        if n <= MAX_BROADCAST_SHINGLES:
-            hits = here.join(
-                F.broadcast(wanted),
-                (_hash("_words", F.col("_p"), k) == F.col("_h")) & (_gram("_words", F.col("_p"), k) == F.col("_gram")),
-            )
-        else:
-            here = here.select("_row", "_id", _hash("_words", F.col("_p"), k).alias("_h"), _gram("_words", F.col("_p"), k).alias("_gram"))
-            hits = here.distinct().join(wanted, ["_h", "_gram"])
-        found.append(hits.select("_row", "_id", "_h", F.explode("_items").alias("_i")))
-    if not found:
-        pairs = words.limit(0).select("_row", "_id", F.lit(0).alias("_h"), F.lit(None).cast(items.schema[item_col].dataType).alias("_item"), F.lit(0).alias("_q"), F.lit(False).alias("_sketch"))
-    else:
-        pairs = reduce(DataFrame.union, found).select("_row", "_id", "_h", "_i._item", "_i._q", "_i._sketch")
+    texts = _texts(docs, id_col, text_col)
+    pairs = checkpointed(candidates(texts, shingles).select(*[F.col(c).alias(f"{c}_") for c in ("_id", "_t1", "_t2")], "_item", "_k"))
+    same = F.col("_id").eqNullSafe(F.col("_id_")) & (F.col("_t1") == F.col("_t1_")) & (F.col("_t2") == F.col("_t2_"))
+    whole = checkpointed(shingles.groupBy("_item", "_k", "_q").agg(F.collect_list("_gram").alias("_wanted")))
+    few = F.broadcast(whole) if (whole.agg(F.sum("_q")).first()[0] or 0) <= MAX_BROADCAST_SHINGLES else whole
+    found = F.size(F.array_intersect("_wanted", _grams("_words", F.col("_k"))))
     return (
-        pairs.groupBy("_row", "_id", "_item", "_q")
-        .agg(F.count_distinct("_h").alias("n_found"), F.max("_sketch").alias("_candidate"))
-        .filter(F.col("_candidate") & (F.col("n_found") >= MIN_CONTAINMENT * F.col("_q")))
+        texts.join(_small(pairs), same)
+        .join(few, ["_item", "_k"])
+        .select("_id", "_item", "_q", found.cast("long").alias("n_found"))
+        .filter(F.col("n_found") >= MIN_CONTAINMENT * F.col("_q"))
         .select(
             F.col("_id").alias(id_col),
             F.col("_item").alias(item_col),
@@ -111,19 +127,15 @@ def contained_items(
 
 def oracle_sql() -> str:
     """The same pairs in DuckDB SQL, by joining all shingles."""
-
-    def shingles(table: str, key: str, short: bool) -> str:
-        return rf"""
-  SELECT DISTINCT {key}, gram FROM (
-    SELECT {key}, p, n, word || ' ' || lead(word, 1) OVER w || ' ' || lead(word, 2) OVER w || ' ' || lead(word, 3) OVER w || ' ' || lead(word, 4) OVER w AS gram
-    FROM (SELECT {key}, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM (
-      SELECT {key}, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM {table}))
-    WINDOW w AS (PARTITION BY {key} ORDER BY p)) WHERE gram IS NOT NULL"""
-
+    words = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w"""
+    grams = "array_to_string(w[p:p + k - 1], ' ') AS gram"
     return f"""
-WITH d AS ({shingles('documents', 'doc_id', False)}), i AS ({shingles('benchmark', 'item_id', True)}),
+WITH iw AS (SELECT *, least(len(w), {SHINGLE_WORDS}) AS k FROM (SELECT item_id, {words} FROM benchmark) WHERE len(w) > 0),
+dw AS (SELECT * FROM (SELECT doc_id, {words} FROM documents), (SELECT DISTINCT k FROM iw) WHERE len(w) >= k),
+i AS (SELECT DISTINCT item_id, k, {grams} FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM iw)),
+d AS (SELECT DISTINCT doc_id, k, {grams} FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM dw)),
 q AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY 1),
-m AS (SELECT doc_id, item_id, count(*) AS n_found FROM d JOIN i USING (gram) GROUP BY 1, 2)
+m AS (SELECT doc_id, item_id, count(*) AS n_found FROM d JOIN i USING (k, gram) GROUP BY 1, 2)
 SELECT doc_id, item_id, n_item, n_found, round(n_found / n_item, 6) AS containment
 FROM m JOIN q USING (item_id) WHERE n_found >= {MIN_CONTAINMENT} * n_item"""
