@@ -8,7 +8,9 @@ import re
 import numpy as np
 import pytest
 
-from tickloom.llm import bpe, decontam, language_id, licenses, near_dedup, quality, secret_scan, suffix_dedup, warc
+from pyspark.sql import functions as F
+
+from tickloom.llm import bpe, decontam, language_id, licenses, near_dedup, quality, secret_scan, suffix_dedup, textops, warc
 from tickloom.llm.exact_dedup import exact_dedup
 
 WORDS = [a + b for a in ("tion", "the", "on", "é", "re", "sch", "ou", "an") for b in ("er", "e", "ing", "ä", "st", "x", "nd")]
@@ -53,11 +55,10 @@ def empty(docs):
 @pytest.mark.parametrize("keep", ["max", "min"])
 @pytest.mark.parametrize("sample", [1, 200])
 def test_exact_dedup(docs, texts, keep, sample, monkeypatch):
-    from tickloom.llm import exact_dedup as module
-
     monkeypatch.setattr("tickloom.llm.exact_dedup.SAMPLE_PER_PARTITION", 200)
     if sample == 1:  # every repeated text counts as hot
-        hot = lambda keyed, n, rows: {r["_h"]: 3 for r in keyed.groupBy("_h").count().filter("count > 1").collect()}
+        hashed = lambda docs: docs.select(F.xxhash64(textops.lower_az(textops.text_of("text"))).alias("_h"))
+        hot = lambda docs, column, n: {r["_h"]: 3 for r in hashed(docs).groupBy("_h").count().filter("count > 1").collect()}
         monkeypatch.setattr("tickloom.llm.exact_dedup._hot_texts", hot)
     groups = collections.defaultdict(list)
     for i, t in texts:
@@ -69,10 +70,12 @@ def test_exact_dedup(docs, texts, keep, sample, monkeypatch):
         g = groups[low(t)]
         want.append(((i is None, i or 0), best(x for x in g if x is not None), len(g), hashlib.sha256(low(t).encode()).hexdigest()))
     assert got == sorted(want)
+    if sample == 200:  # no text is hot: one exchange, by range
+        plan = exact_dedup(docs, keep=keep)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning") == 1
     kept = [r for r in exact_dedup(docs, keep=keep, carry=True).filter("kept").collect()]
     assert len(kept) == len(groups) and kept[0]["_row"]["keep_id"] == "x"
     assert exact_dedup(empty(docs)).count() == 0
-    assert module is not None
 
 
 def test_near_duplicates(spark, docs, texts):
@@ -137,14 +140,25 @@ def test_suffix_dedup(docs, texts, keep, group, monkeypatch):
     assert suffix_dedup.repeated_spans(empty(docs)).count() == 0
 
 
-def test_longest_previous_factors():
-    text = np.frombuffer(b"banana bandana banana", np.uint8)
-    starts = np.arange(len(text) - 3)
-    factor, source = suffix_dedup.longest_previous_factors(text, starts, 4)
+@pytest.mark.parametrize("length", [8, 13, 40])
+def test_longest_previous_factors(length):
+    text = np.frombuffer(b"banana bandana banana and bananas, bananas and banana bandana banana and" + b"ab" * 40, np.uint8)
+    starts = np.arange(0, len(text) - length + 1)
+    factor, source = suffix_dedup.longest_previous_factors(text, starts, length)
     for p in starts:
-        best = max((next((k for k in range(4) if text[q + k] != text[p + k]), 4) for q in range(p)), default=0)
+        best = max((next((k for k in range(length) if text[q + k] != text[p + k]), length) for q in range(p)), default=0)
         assert factor[p] == best
-        assert source[p] < p if best else True
+        assert source[p] < p and text[p : p + best].tobytes() == text[source[p] : source[p] + best].tobytes() if best else True
+
+
+def test_segments_of_blocks(monkeypatch):
+    raw = prose(8, 3000).encode()
+    whole = suffix_dedup.segments(raw, 200)
+    monkeypatch.setattr(suffix_dedup, "BLOCK_WINDOWS", 777)
+    cut = suffix_dedup.segments(raw, 200)
+    assert whole["count"].sum() == cut["count"].sum() == len(raw) - 199
+    assert (np.repeat(whole["least"], whole["count"]) == np.repeat(cut["least"], cut["count"])).all()
+    assert suffix_dedup.segments(raw[:199], 200) is None
 
 
 def test_license_scan(spark, docs):
@@ -210,6 +224,15 @@ def test_contained_items(spark, docs, texts, broadcast, monkeypatch):
                 want.append(((d is None, d or 0), i, len(g), both))
     got = rows_of(decontam.contained_items(docs, spark.createDataFrame(items, "item_id long, text string")), "item_id", "n_item", "n_found")
     assert got == sorted(want) and len(want) > 5
+    shingles = decontam.item_shingles(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text")
+    some = {(r._id, r._item) for r in decontam.candidates(decontam._texts(docs, "doc_id", "text"), shingles).collect()}
+    common = 0
+    for d, t in texts:
+        for i, u in items:
+            w = tok(u)
+            common += bool(w and grams(w, min(len(w), 5)) & grams(tok(t), min(len(w), 5)))
+    assert {(None if d[0] else d[1], i) for d, i, *_ in want} <= some and len(some) < common
+    assert decontam.contained_items(empty(docs), spark.createDataFrame(items, "item_id long, text string")).count() == 0
     assert decontam.contained_items(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 

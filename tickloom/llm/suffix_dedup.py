@@ -8,7 +8,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,10 +19,12 @@ from .textops import shared_dir, text_of
 GRAM = 32
 #: Windows of a segment at most; bounds a row where one gram stays the least for long (periodic texts).
 MAX_WINDOWS = 1024
+#: Windows of a text that are cut into segments at once; bounds memory for very long texts.
+BLOCK_WINDOWS = 1 << 20
 #: Bytes of segments that are suffix-sorted at once.
 CHUNK_BYTES = 1 << 20
 #: Distinct segments up to which those of one least gram are sorted in one task. The windows of larger
-#: groups are counted by digest over all tasks.
+#: groups are counted by digest over all tasks: exact too, but not by the factor array.
 MAX_GROUP = 2000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -67,14 +68,24 @@ def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(raw: bytes, length: int) -> dict[str, np.ndarray] | None:
+    """The segments of a whole text (see _segments()), worked out a block of windows at a time."""
+    if len(raw) < length:
+        return None
+    parts = []
+    for at in range(0, len(raw) - length + 1, BLOCK_WINDOWS):
+        part = _segments(raw[at : at + BLOCK_WINDOWS + length - 1], length)
+        part["start"] += at
+        parts.append(part)
+    return {n: np.concatenate([p[n] for p in parts]) for n in parts[0]}
+
+
+def _segments(raw: bytes, length: int) -> dict[str, np.ndarray]:
     """Cuts a text's windows (strings of length bytes, one for each start) into segments of neighbouring
     windows with the same least gram hash. Equal windows have equal ones, wherever they stand.
 
     start, count (windows), least, content (hash of the segment's bytes), again (the least gram
     stands in the segment more than once, so that its own windows may repeat).
     """
-    if len(raw) < length:
-        return None
     text = np.frombuffer(raw, np.uint8)
     width = length - GRAM + 1
     grams = _span_hashes(text, GRAM)
@@ -118,19 +129,56 @@ def _smaller_before(place: np.ndarray, lcp: np.ndarray) -> tuple[np.ndarray, np.
     return j, np.where(j >= 0, common, 0)
 
 
+def _dense(keys: np.ndarray) -> np.ndarray:
+    """The rank of each key among the distinct ones."""
+    order = np.argsort(keys)
+    sorted_ = keys[order]
+    rank = np.empty(len(keys), np.uint32)
+    rank[order] = np.concatenate([[0], np.cumsum(sorted_[1:] != sorted_[:-1])]) if len(keys) else 0
+    return rank
+
+
+def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first.astype(np.uint64) << np.uint64(32) | second
+
+
+def suffix_ranks(text: np.ndarray, length: int) -> dict[int, np.ndarray]:
+    """Width -> rank of the string of so many bytes at each place in their order, for 8, 16, 32 ... up to length bytes, each
+    width found from the one half as wide."""
+    words = np.ndarray(len(text) - 7, ">u8", np.ascontiguousarray(text), strides=(1,)).astype(np.uint64)
+    width, ranks = 8, {8: _dense(words)}
+    while 2 * width <= length:
+        half = ranks[width]
+        ranks[2 * width] = _dense(_pairs(half[:-width], half[width:]))
+        width *= 2
+    return ranks
+
+
 def longest_previous_factors(text: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """For each window start (ascending) the length, up to `length`, of the longest string from there on
-    that also starts at an earlier one, and that earlier start (or -1)."""
-    rows = np.ascontiguousarray(sliding_window_view(text, length)[starts])
-    order = np.argsort(rows.view(f"S{length}").ravel(), kind="stable")
-    rows = rows[order]
-    differ = rows[1:] != rows[:-1]
-    lcp = np.zeros(len(rows), np.int64)
-    lcp[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), length)
+    that also starts at an earlier one, and that earlier start (or -1). `length` is at least 8.
+
+    The windows are put in suffix order by their ranks, and neighbours' common prefixes measured from wide to narrow ranks.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ranks = suffix_ranks(text, length)
+    widest = max(ranks)
+    order = np.argsort(_pairs(ranks[widest][starts], ranks[widest][starts + length - widest]), kind="stable")
     place = starts[order]
+    a, b, common = place[:-1], place[1:], np.zeros(len(place) - 1, np.int64)
+    for width in sorted(ranks, reverse=True):
+        at = np.flatnonzero(common + width <= length)
+        at = at[ranks[width][a[at] + common[at]] == ranks[width][b[at] + common[at]]]
+        common[at] += width
+    open_ = np.flatnonzero(common < length)
+    while len(open_):
+        open_ = open_[text[a[open_] + common[open_]] == text[b[open_] + common[open_]]]
+        common[open_] += 1
+        open_ = open_[common[open_] < length]
+    lcp = np.concatenate([[0], common])
     before, with_before = _smaller_before(place, lcp)
-    flipped = np.concatenate([[0], lcp[1:][::-1]]) if len(lcp) else lcp
-    after, with_after = _smaller_before(place[::-1], flipped)
+    after, with_after = _smaller_before(place[::-1], np.concatenate([[0], common[::-1]]))
     after, with_after = np.where(after >= 0, len(place) - 1 - after, -1)[::-1], with_after[::-1]
     nearer = with_before >= with_after
     source = np.where(nearer, before, after)
@@ -147,19 +195,12 @@ def _repeated(texts: list[bytes], counts: list[int], length: int, keep_first: bo
     begins = np.cumsum(sizes) - sizes
     inside = np.arange(int(counts_.sum())) - np.repeat(np.cumsum(counts_) - counts_, counts_)
     windows = np.repeat(begins, counts_) + inside
-    hashes = _span_hashes(text, length)[windows]
-    order = np.argsort(hashes)
-    same = hashes[order][1:] == hashes[order][:-1]
-    twice = np.zeros(len(hashes), bool)
-    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    factor, earlier = longest_previous_factors(text, windows, length)
+    later = factor >= length
     removed = np.zeros(len(text), bool)
-    if twice.any():
-        starts = windows[twice]
-        factor, earlier = longest_previous_factors(text, starts, length)
-        later = factor >= length
-        removed[starts[later]] = True
-        if not keep_first:
-            removed[earlier[later]] = True
+    removed[windows[later]] = True
+    if not keep_first:
+        removed[earlier[later]] = True
     return removed
 
 
@@ -237,7 +278,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rest, with its text, meets the others of its least gram in one task, which sorts their windows as
     suffixes and builds the longest-previous-factor array: previous and next smaller positions in suffix order
     give the earlier matches. The windows of least grams with more than MAX_GROUP distinct segments are
-    counted by 128-bit digest instead, so that no task meets them all.
+    counted by 128-bit digest instead, so that no task meets them all. Memory in a task is bounded by blocks of windows and
+    by the longest row.
 
     Defined cases: texts shorter than `length` lose nothing; rows of equal identifier and text share their marks
     (with keep="first" they count as one document); null
@@ -294,23 +336,20 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     compared = distinct.join(groups, "least").select(
         "first.*", "least", "members", ((F.col("copies") > 1) & F.lit(not keep_first)).alias("whole")
     )
-    compared = saved(compared, "compared")
-
-    def attached(lists: DataFrame, how: str) -> DataFrame:
-        """The documents with their lists. Both sides are shuffled, whatever their size: the lists grow with the documents."""
-        lists = lists.select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), "list")
-        return texts.join(lists, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), how).drop("_i", "_k")
-
-    wanted = saved(compared.groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "count", "least", "members", "whole")).alias("list")), "wanted")
-    with_text = attached(wanted, "inner").select("_id", "_key", "_text", F.explode("list").alias("s"))
-    pieces = with_text.select(
-        "_id", "_key", F.col("s.start").alias("start"), F.col("s.count").alias("count"), F.col("s.least").alias("least"), F.col("s.members").alias("members"),
-        F.col("s.whole").alias("whole"), F.substring("_text", F.col("s.start") + 1, F.col("s.count") + length - 1).alias("text"),
-    )
+
+    def same_text(i: str, k: str):
+        return F.col("_id").eqNullSafe(F.col(i)) & (F.col("_key") == F.col(k))
+
+    # Both sides are shuffled, whatever their size: what is compared grows with the documents.
+    wanted = compared.withColumnsRenamed({"_id": "_i", "_key": "_k"}).hint("shuffle_merge")
+    pieces = texts.join(wanted, same_text("_i", "_k")).select(
+        "_id", "_key", "start", "count", "least", "members", "whole", F.substring("_text", F.col("start") + 1, F.col("count") + length - 1).alias("text")
+    )
+    pieces = saved(pieces, "pieces")
     few = pieces.filter(F.col("members") <= MAX_GROUP).repartition("least").sortWithinPartitions("least")
     spans_schema = f"_id {id_type}, _key long, start int, end int"
     marks = few.mapInArrow(_sort_chunks(length, keep_first), spans_schema)
-    if compared.filter(F.col("members") > MAX_GROUP).limit(1).count():
+    if not pieces.filter(F.col("members") > MAX_GROUP).isEmpty():
         many = pieces.filter(F.col("members") > MAX_GROUP).mapInArrow(
             _window_digests(length), f"_id {id_type}, _key long, whole boolean, start int, d1 long, d2 long"
         )
@@ -324,7 +363,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if keep_first:
         copied = copied.filter(~place.eqNullSafe(F.col("first")))
     marks = marks.union(copied.select("_id", "_key", "start", (F.col("start") + F.col("count")).alias("end")))
-    lists = saved(marks.groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "end")).alias("list")), "marks")
+    lists = marks.groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "end")).alias("list"))
+    lists = lists.withColumnsRenamed({"_id": "_i", "_key": "_k"}).hint("shuffle_merge")
 
     def remove(columns: dict[str, list]) -> dict[str, pa.Array]:
         kept, spans = [], []
@@ -347,7 +387,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "kept_bytes": pa.array(kept, pa.binary()),
         }
 
-    given = attached(lists, "left").drop("_key")
+    given = texts.join(lists, same_text("_i", "_k"), "left").drop("_key", "_i", "_k")
     passed = [c for c in given.columns if c not in ("_text", "list")]
     made = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>, kept_bytes binary"
     schema = ", ".join([f"`{c}` {t}" for c, t in given.dtypes if c in passed] + [made])
