@@ -25,7 +25,9 @@ HANDED = 0.1
 SURE = 0.9
 #: Documents below this score are rejected.
 THRESHOLD = 0.5
-_SOURCES, _LANGS = 64, 32
+#: Hashed sources and languages, and powers of two of the length, in the metadata view.
+_SOURCES, _LANGS, _SIZES = 64, 32, 24
+_TEXT, _META = DIMS + 16, _SOURCES + _LANGS + _SIZES + 1
 
 
 class Model(NamedTuple):
@@ -37,41 +39,44 @@ class Model(NamedTuple):
 
 
 def text_view(text: str) -> np.ndarray:
-    """What the text says: its byte trigrams, and how much of it repeats."""
+    """What the text holds: its byte trigrams, how much of it repeats, and how it is laid out."""
     words = text.split()
     n = max(len(words), 1)
     repeats = sum(map(eq, words, words[1:])) / n
     own = len(set(words)) / n
-    return np.concatenate([4 * unit(ngram_counts(text.encode(), DIMS)), [repeats, own, own * np.log1p(n) / 5, np.sqrt(repeats)]])
-
-
-def meta_view(text: str, source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
-    """What is known of the page: source, language, length and layout."""
     raw = text.encode()
-    n = max(len(raw), 1)
-    kinds = np.bincount(np.frombuffer(raw, np.uint8), minlength=256) / n
+    size = max(len(raw), 1)
+    kinds = np.bincount(np.frombuffer(raw, np.uint8), minlength=256) / size
     lines = raw.count(b"\n") + 1
-    v = np.zeros(_SOURCES + _LANGS + 14)
-    if source is not None:
-        v[zlib.crc32(source.encode()) % _SOURCES] = 0.3
-    if lang is not None:
-        v[_SOURCES + zlib.crc32(lang.encode()) % _LANGS] = 0.3
-    size = np.log1p(n_chars if n_chars is not None else len(text))
     marks = kinds[33:48].sum() + kinds[58:65].sum() + kinds[91:97].sum() + kinds[123:127].sum()
     common = kinds[44] + kinds[46]
-    v[_SOURCES + _LANGS :] = [
-        size / 10, max(size - 6, 0) / 5, np.log1p(lines) / 5, np.log1p(len(raw) / lines) / 5,
+    layout = [
+        repeats, own, own * np.log1p(n) / 5, np.sqrt(repeats), np.log1p(lines) / 5, np.log1p(len(raw) / lines) / 5,
         10 * kinds[65:91].sum(), 10 * kinds[48:58].sum(), 10 * kinds[32], 10 * kinds[10],
         20 * (marks - common), np.sqrt(max(marks - common, 0)) * 4, 20 * common,
         20 * kinds[124], 20 * kinds[33], 2 * (kinds[97:123].sum() + kinds[128:].sum()),
     ]
+    return np.concatenate([4 * unit(ngram_counts(raw, DIMS)), layout])
+
+
+def meta_view(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
+    """What is known of the page without a look at its text: source, language and stated length."""
+    v = np.zeros(_SOURCES + _LANGS + _SIZES + 1)
+    if source is not None:
+        v[zlib.crc32(source.encode()) % _SOURCES] = 1
+    if lang is not None:
+        v[_SOURCES + zlib.crc32(lang.encode()) % _LANGS] = 1
+    if n_chars is not None:
+        size = float(np.log2(max(n_chars, 0) + 1))
+        v[_SOURCES + _LANGS + min(int(size), _SIZES - 1)] = 1
+        v[-1] = size / 10
     return v
 
 
 def _with_views(rows: DataFrame, kept: list[str]) -> DataFrame:
     def work(columns: dict[str, list]) -> dict[str, pa.Array]:
         given = list(zip(columns["_text"], columns["_source"], columns["_lang"], columns["_n"], strict=True))
-        views = ((text_view(t), meta_view(t, s, g, n)) for t, s, g, n in given)
+        views = ((text_view(t), meta_view(*m)) for t, *m in given)
         packed = [(a.astype(np.float16).tobytes(), b.astype(np.float16).tobytes()) for a, b in views]
         return {"a": pa.array([a for a, _ in packed], pa.binary()), "b": pa.array([b for _, b in packed], pa.binary())}
 
@@ -82,7 +87,7 @@ def _with_views(rows: DataFrame, kept: list[str]) -> DataFrame:
 
 def _given(docs: DataFrame, *more) -> DataFrame:
     """The columns the views read. Missing ones count as null."""
-    column = lambda c, t: (F.col(c) if c in docs.columns else F.lit(None)).cast(t)
+    column = lambda c, t: (docs[c] if c in docs.columns else F.lit(None)).cast(t)
     return docs.select(
         *more,
         F.coalesce(F.col("text"), F.lit("")).alias("_text"),
@@ -105,20 +110,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     labelled sample is held back to calibrate the views (Platt scaling).
 
     Defined cases: null labels and labels of unknown documents count for nothing; a document labelled
-    more than once takes the mean; without labels of both kinds every document gets the same score.
+    more than once takes the mean; without labels of both kinds (or without documents) every document gets the same
+    score; null identifiers have no label; missing metadata are unknown; other columns are ignored, whatever their names.
     """
     known = labels.groupBy(F.col(id_col).alias("_id")).agg(F.avg(label_col).alias("_y")).filter("_id IS NOT NULL AND _y IS NOT NULL")
     n_labels, n_docs = labels.count(), docs.count()
     sample = known.filter(_part("_id", 1) < min(1.0, MAX_LABELLED / max(n_labels, 1)))
-    chosen = docs.join(F.broadcast(sample), docs[id_col] == F.col("_id"), "left").filter(  # a bounded sample
-        F.col("_y").isNotNull() | (_part(id_col, 2) < min(1.0, MAX_POOL / max(n_docs, 1)))
+    given = _given(docs, F.col(id_col).alias("_id"))  # no other column's name can clash from here on
+    chosen = given.join(F.broadcast(sample), "_id", "left").filter(  # a bounded sample
+        F.col("_y").isNotNull() | (_part("_id", 2) < min(1.0, MAX_POOL / max(n_docs, 1)))
     )
-    rows = _with_views(_given(chosen, F.col("_y"), _part(id_col, 3).alias("_fold")), ["_y", "_fold"]).collect()
+    rows = _with_views(chosen.withColumn("_fold", _part("_id", 3)).drop("_id"), ["_y", "_fold"]).collect()
     seen = [r for r in rows if r["_y"] is not None]
     good = sum(r["_y"] >= 0.5 for r in seen)
     prior = good / len(seen) if seen else 1.0
     if not 0 < good < len(seen):
-        return Model(np.zeros(DIMS + 5), np.zeros(_SOURCES + _LANGS + 15), (0.0, 0.0), (0.0, 0.0), prior)
+        return Model(np.zeros(_TEXT + 1), np.zeros(_META + 1), (0.0, 0.0), (0.0, 0.0), prior)
     matrix = lambda part, c: np.stack([np.frombuffer(r[c], np.float16) for r in part]).astype(np.float64)
     fit = [r for r in seen if r["_fold"] >= 0.2] or seen
     held = [r for r in seen if r["_fold"] < 0.2]
@@ -163,7 +170,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", carry: bool = False) -> DataFrame:
     """One row per input row: <id_col>, text_score, meta_score, score, kept (and _row, if carry).
 
-    The views' calibrated log odds are averaged; documents of THRESHOLD or more are kept.
+    The views' calibrated log odds are added, less the prior's, which both contain: the views are taken as independent
+    given the label, as co-training has it. Documents of THRESHOLD or more are kept.
 
     Defined cases: a null text counts as empty; null or missing metadata as unknown; rows that repeat an
     identifier give a row each; other columns are ignored, and come back in the struct `_row` if carry is set.
@@ -177,10 +185,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", carry: bool = F
     def work(columns: dict[str, list]) -> dict[str, pa.Array]:
         given = list(zip(columns["_text"], columns["_source"], columns["_lang"], columns["_n"], strict=True))
         a = apply(np.stack([text_view(t) for t, *_ in given]), model.text) * model.text_scale[0] + model.text_scale[1]
-        b = apply(np.stack([meta_view(*g) for g in given]), model.meta) * model.meta_scale[0] + model.meta_scale[1]
+        b = apply(np.stack([meta_view(*m) for _, *m in given]), model.meta) * model.meta_scale[0] + model.meta_scale[1]
         if flat:
             a, b = np.full(len(given), even), np.full(len(given), even)
-        both = sigmoid((a + b) / 2)
+        both = sigmoid(a + b - even)  # each view's log odds hold the prior's
         made = {"text_score": sigmoid(a), "meta_score": sigmoid(b), "score": both}
         return {n: pa.array(v, pa.float64()) for n, v in made.items()} | {"kept": pa.array(both >= THRESHOLD)}
 
