@@ -155,7 +155,7 @@ def near_duplicates(
     the similarity, are confirmed on the full sets of their whole texts.
 
     Defined cases: null and empty texts, and texts without words, have no shingles and no links; rows that
-    repeat an identifier share a component and are all kept or all dropped; rows without an identifier are
+    repeat an identifier have shingles of their own, share a component and are all kept or all dropped; rows without an identifier are
     linked with nothing (component_id null) and kept; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -169,10 +169,10 @@ def near_duplicates(
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     id_type = dict(texts.dtypes)["_id"]
     sketches = saved(
-        texts.filter("_id IS NOT NULL").mapInArrow(_sketch(words), f"_id {id_type}, n long, h1 long, h2 long, sig array<int>"), "sketches"
+        texts.mapInArrow(_sketch(words), f"_id {id_type}, n long, h1 long, h2 long, sig array<int>"), "sketches"
     )
     classes = saved(
-        sketches.filter("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("_id", "sig")).alias("s")).select("h1", "h2", "n", F.col("s._id").alias("_id"), F.col("s.sig").alias("sig")),
+        sketches.filter("n > 0 AND _id IS NOT NULL").groupBy("h1", "h2", "n").agg(F.min(F.struct("_id", "sig")).alias("s")).select("h1", "h2", "n", F.col("s._id").alias("_id"), F.col("s.sig").alias("sig")),
         "classes",
     )
     key = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
@@ -244,7 +244,8 @@ def near_duplicates(
     if not more.isEmpty():
         found = components(links.union(more))
     members = classes.join(found, F.col("id") == F.col("_id"), "left").select("h1", "h2", "n", F.coalesce("component", "_id").alias("component_id"))
-    of_id = sketches.join(members, ["h1", "h2", "n"], "left").groupBy("_id").agg(F.min(F.coalesce("component_id", "_id")).alias("component_id"), F.max("n").alias("n"))
-    kept = F.coalesce(F.col("_id") == F.col("component_id"), F.lit(True)).alias("kept")
-    rows = sketches.select("_id").union(texts.filter("_id IS NULL").select("_id"))
-    return rows.join(of_id, "_id", "left").select(F.col("_id").alias(id_col), F.coalesce("n", F.lit(0)).alias("n_shingles"), "component_id", kept)
+    known = sketches.filter("_id IS NOT NULL")
+    of_id = known.join(members, ["h1", "h2", "n"], "left").groupBy("_id").agg(F.min(F.coalesce("component_id", "_id")).alias("component_id"))
+    rows = known.select("_id", "n").join(of_id, "_id").withColumn("kept", F.col("_id") == F.col("component_id"))
+    rest = sketches.filter("_id IS NULL").select("_id", "n", F.lit(None).cast(id_type).alias("component_id"), F.lit(True).alias("kept"))
+    return rows.union(rest).select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
