@@ -236,6 +236,21 @@ def test_contained_items(spark, docs, texts, broadcast, monkeypatch):
     assert decontam.contained_items(docs, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def parse_warc(raw):
+    """Records of an archive, read by their Content-Length alone."""
+    at, found = 0, []
+    while at < len(raw):
+        end = raw.index(b"\r\n\r\n", at)
+        version, *lines = raw[at:end].decode().split("\r\n")
+        head = dict(x.split(": ", 1) for x in lines)
+        block = raw[end + 4 : end + 4 + int(head["Content-Length"])]
+        at = end + 4 + len(block)
+        assert version == "WARC/1.0" and raw[at : at + 4] == b"\r\n\r\n"
+        found.append((head, block))
+        at += 4
+    return found
+
+
 @pytest.mark.parametrize("chunk", [1 << 20, 64])
 def test_warc_round_trip(spark, tmp_path, chunk):
     big = "é<p>" * 900
@@ -251,6 +266,14 @@ def test_warc_round_trip(spark, tmp_path, chunk):
         raw = (html or "").encode()
         assert (got[i].payload_bytes, got[i].payload_digest) == (len(raw), hashlib.sha1(raw).hexdigest())
         assert (got[i].record_type, got[i].refers_to) == (("revisit", 2) if i == 1 else ("response", None))
+    records = parse_warc(b"".join(p.read_bytes() for p in sorted((tmp_path / "w").glob("part-*"))))
+    ids = [h["WARC-Record-ID"] for h, _ in records]
+    assert len(set(ids)) == len(ids) and sum(h["WARC-Type"] == "warcinfo" for h, _ in records) == 1
+    assert all({"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= h.keys() for h, _ in records)
+    assert all(h[n] in ids for h, _ in records for n in ("WARC-Refers-To", "WARC-Segment-Origin-ID") if n in h)
+    assert all(("WARC-Segment-Origin-ID" in h) == (h["WARC-Type"] == "continuation") for h, _ in records)
+    own = b"".join(b for h, b in sorted(records, key=lambda r: int(r[0].get("WARC-Segment-Number", 0))) if h.get("Page-ID") == "2")
+    assert own == big.encode() and (chunk > 64) == all(h["WARC-Type"] != "continuation" for h, _ in records)
     empty_ = warc.write_warc(frame.limit(0), str(tmp_path / "e"))
     assert warc.read_records(spark, empty_).count() == 0
 

@@ -55,9 +55,13 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), words=4)
 
 
+#: Larger pages than this are stored and digested as chunks; small, so that pages of common size use the chunk table.
+PAGE_CHUNK_BYTES = 16 << 10
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages")
-    archive = warc.write_warc(pages, f"{shared_dir(spark)}/warc-{uuid.uuid4()}")
+    archive = warc.write_warc(pages, f"{shared_dir(spark)}/warc-{uuid.uuid4()}", chunk_bytes=PAGE_CHUNK_BYTES)
     return warc.read_records(spark, archive, dict(pages.dtypes)["page_id"]).drop("url")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from datetime import UTC, datetime
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -22,8 +23,8 @@ MAX_BROADCAST_GROUPS = 100_000
 
 
 class Archive(NamedTuple):
-    """A folder of WARC files. All its records name one warcinfo record, whose random identifier no
-    payload can hold: the reader splits the files at it."""
+    """A folder of WARC files. All its records name its warcinfo record, whose random identifier no
+    payload can hold: the reader splits the files at it, so that Spark can read parts of a file by themselves."""
 
     path: str
     info_id: str
@@ -33,6 +34,13 @@ class Archive(NamedTuple):
         return f"WARC/1.0\r\nWARC-Warcinfo-ID: <urn:uuid:{self.info_id}>\r\n"
 
 
+def _record_id(archive: Archive, row: Column, segment: Column) -> Column:
+    """A record's URN: a UUID (of version 8) of the archive, the row's number and the segment's."""
+    h = F.sha2(F.concat_ws(":", F.lit(archive.info_id), row, segment), 256)
+    part = lambda at, n: F.substring(h, at, n)
+    return F.when(row.isNotNull(), F.concat(F.lit("<urn:uuid:"), part(1, 8), F.lit("-"), part(9, 4), F.lit("-8"), part(14, 3), F.lit("-8"), part(18, 3), F.lit("-"), part(21, 12), F.lit(">")))
+
+
 def _line(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
 
@@ -48,11 +56,14 @@ def write_warc(
 ) -> Archive:
     """Writes a record for each page under path, as Spark's text writer deals out the rows.
 
-    A payload of more than chunk_bytes becomes several records (segments, numbered from 1, as the format
-    has them), so that no record outgrows a chunk. Of equal payloads of at least min_revisit bytes, that
-    of the largest identifier is a response, and the others are revisit records without a block.
+    A warcinfo record comes first. A payload of more than chunk_bytes becomes several records (segments, numbered from 1,
+    as the format has them), so that no record outgrows a chunk. Of equal payloads of at least min_revisit bytes, that
+    of the largest identifier is a response, and the others are revisit records without a block. Numbers of pages stand in
+    fields of their own (Page-ID, Refers-To-Page-ID), since the format's own name records.
+
+    Rows are numbered where they are read: pages is a table, or a frame cut by a checkpoint.
 
-    Defined cases: a null payload is empty; a null identifier or URL leaves its header out (such a page
+    Defined cases: a null payload is empty; a null identifier or URL leaves its header out, or names an unknown page (a page without identifier
     is never referred to if another has an identifier); pages that repeat an identifier are records of
     their own; line breaks in a URL are written as %0D and %0A.
     """
@@ -85,32 +96,43 @@ def write_warc(
     url = F.replace(F.replace(F.col(f"_{url_col}"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     kind = F.when(F.col("_revisit"), "revisit").when(F.col("_segment") > 1, "continuation").otherwise("response")
     archive = Archive(path, str(uuid.uuid4()))
+    date = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    one, segment = F.lit(1), F.col("_segment")
     head = F.concat(
         F.lit(archive.start),
         _line("WARC-Type", kind),
-        _line("WARC-Record-ID", F.format_string("<urn:row:%d:%d>", "_row", "_segment")),
-        _line("WARC-Page-ID", F.col("_id")),
-        _line("WARC-Target-URI", url),
+        _line("WARC-Record-ID", _record_id(archive, F.col("_row"), segment)),
+        _line("WARC-Date", F.lit(date)),
+        _line("Page-ID", F.col("_id")),
+        _line("WARC-Target-URI", F.coalesce(url, F.lit("urn:page:unknown"))),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("_digest"))),
-        _line("WARC-Payload-Length", F.octet_length("_payload")),
-        _line("WARC-Refers-To", F.when(F.col("_revisit"), F.col("_first_id"))),
-        _line("WARC-Segment-Origin-ID", F.when(F.col("_count") > 1, F.col("_row"))),
-        _line("WARC-Segment-Number", F.when(F.col("_count") > 1, F.col("_segment"))),
-        _line("WARC-Segment-Total", F.when(F.col("_count") > 1, F.col("_count"))),
+        _line("Payload-Length", F.octet_length("_payload")),
+        _line("WARC-Profile", F.when(F.col("_revisit"), F.lit("http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"))),
+        _line("WARC-Refers-To", F.when(F.col("_revisit"), _record_id(archive, F.col("_first_row"), one))),
+        _line("Refers-To-Page-ID", F.when(F.col("_revisit"), F.col("_first_id"))),
+        _line("WARC-Segment-Number", F.when(F.col("_count") > 1, segment)),
+        _line("WARC-Segment-Origin-ID", F.when(segment > 1, _record_id(archive, F.col("_row"), one))),
+        _line("WARC-Segment-Total-Length", F.when((F.col("_count") > 1) & (segment == F.col("_count")), F.octet_length("_payload"))),
+        _line("Segment-Count", F.when(F.col("_count") > 1, F.col("_count"))),
+        _line("Record-Row", F.col("_row")),
         _line("Content-Length", F.octet_length("_block")),
         F.lit("\r\n"),
     )
     # The writer ends each row with a line feed, the last byte of a record.
     record = F.concat(head.cast("binary"), F.col("_block"), F.lit(b"\r\n\r")).cast("string")
-    segments.withColumn("_block", block).select(record.alias("value")).write.text(path, lineSep="\n")
+    block_ = "software: tickloom\r\nformat: WARC File Format 1.0\r\n"
+    info = f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{archive.info_id}>\r\nWARC-Date: {date}\r\nContent-Type: application/warc-fields\r\n"
+    info += f"Content-Length: {len(block_)}\r\n\r\n{block_}\r\n\r"
+    spark.createDataFrame([(info,)], "value string").coalesce(1).write.text(path, lineSep="\n")
+    segments.withColumn("_block", block).select(record.alias("value")).write.mode("append").text(path, lineSep="\n")
     return archive
 
 
 def open_warc(spark: SparkSession, path: str) -> Archive:
     """An archive that write_warc() left under path."""
-    for row in spark.read.text(path).head(2):
-        if row.value.startswith("WARC-Warcinfo-ID: <urn:uuid:"):
-            return Archive(path, row.value.split("uuid:")[1].split(">")[0])
+    kinds = spark.read.text(path, lineSep="\r\n\r\n").filter(F.col("value").startswith("WARC/1.0\r\nWARC-Type: warcinfo\r\n"))
+    for row in kinds.head(1):
+        return Archive(path, row.value.split("WARC-Record-ID: <urn:uuid:")[1].split(">")[0])
     raise ValueError(f"no archive at {path}")
 
 
@@ -118,7 +140,7 @@ def read_chunks(spark: SparkSession, archive: Archive) -> DataFrame:
     """The chunk table: record_row, chunk, chunks, page_id, url, record_type, refers_to, digest, length
     (both as declared; of the whole payload), block. A row for each record; a long payload has several.
 
-    Fails on a block whose length is not the declared one.
+    The warcinfo record has no row. Fails on a block whose length is not the declared one.
     """
     value = F.col("value")
     inner = F.when(value.startswith(archive.start), F.substr(value, F.lit(len(archive.start) + 1))).otherwise(value)
@@ -134,17 +156,18 @@ def read_chunks(spark: SparkSession, archive: Archive) -> DataFrame:
     return (
         spark.read.text(archive.path, lineSep=f"\r\n\r\n{archive.start}")
         .select(inner.alias("_record"))
+        .filter(~F.col("_record").startswith("WARC/1.0\r\nWARC-Type: warcinfo\r\n"))
         .select("_record", head.alias("_head"))
         .select(
-            F.regexp_extract("_head", r"WARC-Record-ID: <urn:row:(\d+)", 1).cast("long").alias("record_row"),
+            field("Record-Row").cast("long").alias("record_row"),
             F.coalesce(field("WARC-Segment-Number").cast("int"), F.lit(1)).alias("chunk"),
-            F.coalesce(field("WARC-Segment-Total").cast("int"), F.lit(1)).alias("chunks"),
-            field("WARC-Page-ID").alias("page_id"),
-            field("WARC-Target-URI").alias("url"),
+            F.coalesce(field("Segment-Count").cast("int"), F.lit(1)).alias("chunks"),
+            field("Page-ID").alias("page_id"),
+            F.nullif(field("WARC-Target-URI"), F.lit("urn:page:unknown")).alias("url"),
             field("WARC-Type").alias("record_type"),
-            field("WARC-Refers-To").alias("refers_to"),
+            field("Refers-To-Page-ID").alias("refers_to"),
             F.substring(field("WARC-Payload-Digest"), 6, 40).alias("digest"),
-            field("WARC-Payload-Length").cast("long").alias("length"),
+            field("Payload-Length").cast("long").alias("length"),
             block.alias("block"),
         )
     )
