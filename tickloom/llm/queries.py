@@ -38,7 +38,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.secret_scan(read(spark, sf_dir, "documents")).drop("found")
+    return secret_scan.secret_scan(read(spark, sf_dir, "documents")).drop("found", "links")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,8 +33,10 @@ ENDPOINT = _any("https", "http", "ftps", "ftp", "ssh", "postgresql", "postgres",
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ["assign", "access", "hex", "ident", "weak", "endpoint"]
 BASE = KINDS[:3]
-#: A scope: parts whose starts are at most so many code points apart.
+NAMES, SECRETS = ["access", "ident"], ["assign", "hex", "weak"]
+#: A scope: parts of one block of text (between blank lines) whose starts are at most so many code points apart.
 SCOPE = 300
+BLANK = r"\n[\x20\x09\x0D]*\n"
 
 # What a text must hold for a kind's pattern to match anywhere; spares most texts the search.
 _NEEDS = {
@@ -45,7 +47,8 @@ _NEEDS = {
     "weak": ["pwd", "pass", "credential", "key", "secret", "token"],
     "endpoint": ["://"],
 }
-_PATTERNS = dict(zip(KINDS, [ASSIGN, ACCESS, f"(?<![0-9a-f]){HEX}", IDENT, WEAK, ENDPOINT], strict=True))
+_FOUND = [*KINDS, "blank"]  # blank lines are no parts, but bound the blocks
+_PATTERNS = dict(zip(_FOUND, [ASSIGN, ACCESS, f"(?<![0-9a-f]){HEX}", IDENT, WEAK, ENDPOINT, BLANK], strict=True))
 
 
 def _may_match(kind: str) -> Column:
@@ -53,6 +56,8 @@ def _may_match(kind: str) -> Column:
         return F.contains("_text", F.lit("AKIA"))
     if kind == "hex":
         return F.lit(True)
+    if kind == "blank":  # of use only where something may be linked
+        return _may_match("ident") | _may_match("weak") | F.contains("_lower", F.lit("://"))
     found = reduce(lambda a, b: a | b, [F.contains("_lower", F.lit(w)) for w in _NEEDS[kind]])
     return found & (F.contains("_text", F.lit(":")) | F.contains("_text", F.lit("=")))
 
@@ -66,19 +71,21 @@ def _matches(kind: str) -> Column:
     measured = F.zip_with(matches, before, lambda m, b: F.struct(F.length(b).alias("gap"), F.length(m).alias("len"), value(m).alias("value")))
     return F.when(
         F.size(matches) > 0,
-        F.transform(measured, lambda m, i: F.struct(F.lit(KINDS.index(kind)).alias("kind"), i.alias("at"), m["gap"].alias("gap"), m["len"].alias("len"), m["value"].alias("value"))),
+        F.transform(measured, lambda m, i: F.struct(F.lit(_FOUND.index(kind)).alias("kind"), i.alias("at"), m["gap"].alias("gap"), m["len"].alias("len"), m["value"].alias("value"))),
     )
 
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: <id_col>, n_assign, n_access, n_hex, base_sha256, spans (text
-    kind:start:end by start, comma-joined), found (the same as an array of structs).
+    kind:start:end by start, comma-joined), found (the same as an array of structs), links (array of the
+    credentials put together: secret, name and endpoint, each with kind, start and end).
 
     Base kinds are reported wherever they match, leftmost and without overlaps in a kind. The weak kinds
-    (account names, short or oddly named secrets, endpoints) are parts of credentials: each is joined
-    to the parts whose starts lie within SCOPE code points of its own, an interval join that is worked
-    out as counts over range frames, so that no pairs are made. A name is reported with a secret in its
-    scope, a weak secret (outside base matches) with a name or an endpoint, an endpoint with both.
+    (account names, short or oddly named secrets, endpoints) are parts of credentials. A part's scope is its
+    block of text (blank lines part blocks), as far as starts lie within SCOPE code points of its own. The interval
+    join gives each part the nearest name, secret and endpoint of its scope (the earlier of two equally near), so that no
+    pairs are made. A name is reported with a secret in its scope, a weak secret (outside base matches) with a name or
+    an endpoint, an endpoint with both; a secret with a name or an endpoint gives a link.
 
     Defined cases: null and empty texts have no spans, and the digest of the empty text; rows that
     repeat an identifier give a row each; other columns are ignored.
@@ -89,12 +96,12 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     none = F.array().cast("array<string>")
     matched = texts.select(
         "_row", "_id", "_text",
-        *[F.when(_may_match(k), F.regexp_extract_all("_text", F.lit(_PATTERNS[k]), F.lit(0))).otherwise(none).alias(f"_{k}") for k in KINDS],
+        *[F.when(_may_match(k), F.regexp_extract_all("_text", F.lit(_PATTERNS[k]), F.lit(0))).otherwise(none).alias(f"_{k}") for k in _FOUND],
     )
     empty = F.array().cast("array<struct<kind:int,at:int,gap:int,len:int,value:int>>")
     so_far = Window.partitionBy("_row", "_id", "kind").orderBy("at")
     parts = (
-        matched.select("_row", "_id", F.concat(*[F.coalesce(_matches(k), empty) for k in KINDS]).alias("_parts"))
+        matched.select("_row", "_id", F.concat(*[F.coalesce(_matches(k), empty) for k in _FOUND]).alias("_parts"))
         .select("_row", "_id", F.explode_outer("_parts").alias("_p"))
         .select("_row", "_id", "_p.*")
         .repartition("_row")  # serves all windows and the grouping below
@@ -111,16 +118,23 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     before = F.max(F.when(is_base, F.col("end"))).over(doc.rangeBetween(Window.unboundedPreceding, 0)) > F.col("start")
     after = F.min(F.when(is_base, F.col("start"))).over(doc.rangeBetween(0, Window.unboundedFollowing)) < F.col("end")
     fresh = parts.withColumn("_shadowed", F.coalesce(before | after, F.lit(False)) & (F.col("kind") == number("weak")))
-    scope = doc.rangeBetween(-SCOPE, SCOPE)
-
-    def near(*kinds: str) -> Column:
-        return F.count(F.when(F.col("kind").isin([number(k) for k in kinds]) & ~F.col("_shadowed"), True)).over(scope) > 0
-
-    linked = fresh.withColumns({"_secret": near("assign", "hex", "weak"), "_name": near("access", "ident"), "_place": near("endpoint")})
+    blocks = fresh.withColumn("_block", F.count(F.when(F.col("kind") == _FOUND.index("blank"), True)).over(doc.rangeBetween(Window.unboundedPreceding, 0)))
+    block = Window.partitionBy("_row", "_id", "_block").orderBy("start")
+
+    def nearest(kinds: list[str]) -> Column:
+        """The nearest part of these kinds in the scope, with its distance."""
+        part = F.when(F.col("kind").isin([number(k) for k in kinds]) & ~F.col("_shadowed"), F.struct("start", "kind", "end"))
+        back = F.last(part, ignorenulls=True).over(block.rangeBetween(-SCOPE, 0))
+        ahead = F.first(part, ignorenulls=True).over(block.rangeBetween(0, SCOPE))
+        return F.when(back.isNull() | (ahead["start"] - F.col("start") < F.col("start") - back["start"]), ahead).otherwise(back)
+
+    linked = blocks.withColumns({"_secret": nearest(SECRETS), "_name": nearest(NAMES), "_place": nearest(["endpoint"])})
+    has = lambda c: F.col(c).isNotNull()
+    is_secret = F.col("kind").isin([number(k) for k in SECRETS]) & ~F.col("_shadowed") & (has("_name") | has("_place"))
     kept = is_base | (
-        F.when(F.col("kind") == number("ident"), F.col("_secret"))
-        .when(F.col("kind") == number("weak"), ~F.col("_shadowed") & (F.col("_name") | F.col("_place")))
-        .when(F.col("kind") == number("endpoint"), F.col("_secret") & F.col("_name"))
+        F.when(F.col("kind") == number("ident"), has("_secret"))
+        .when(F.col("kind") == number("weak"), ~F.col("_shadowed") & (has("_name") | has("_place")))
+        .when(F.col("kind") == number("endpoint"), has("_secret") & has("_name"))
     )
     span = F.struct("start", "kind", "end")
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -129,13 +143,16 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         *[F.count(F.when(F.col("kind") == number(k), True)).alias(f"n_{k}") for k in BASE],
         F.sort_array(F.collect_list(F.when(is_base, span))).alias("_base"),
         F.sort_array(F.collect_list(F.when(kept, span))).alias("_all"),
+        F.sort_array(F.collect_list(F.when(is_secret, F.struct(span.alias("secret"), F.col("_name").alias("name"), F.col("_place").alias("endpoint"))))).alias("_links"),
     )
+    told = lambda s: F.when(s.isNotNull(), F.struct(F.get(names, s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return spans.select(
         F.col("_id").alias(id_col),
         *[f"n_{k}" for k in BASE],
         F.sha2(text(F.col("_base")), 256).alias("base_sha256"),
         text(F.col("_all")).alias("spans"),
-        F.transform("_all", lambda s: F.struct(F.get(names, s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("found"),
+        F.transform("_all", told).alias("found"),
+        F.transform("_links", lambda x: F.struct(*[told(x[n]).alias(n) for n in ("secret", "name", "endpoint")])).alias("links"),
     )
 
 
@@ -146,7 +163,7 @@ def oracle_sql() -> str:
         pattern = {"hex": HEX}.get(kind, _PATTERNS[kind]).replace("'", "''")
         length = f"length(regexp_extract(m, '{pattern}', 2))" if kind == "assign" else str(MIN_VALUE)
         return f"""
-  SELECT doc_id, {KINDS.index(kind)} AS kind, before + sum(gap + len) OVER (PARTITION BY doc_id ORDER BY i) - len AS start,
+  SELECT doc_id, {_FOUND.index(kind)} AS kind, before + sum(gap + len) OVER (PARTITION BY doc_id ORDER BY i) - len AS start,
          before + sum(gap + len) OVER (PARTITION BY doc_id ORDER BY i) AS stop, {length} AS value
   FROM (SELECT doc_id, i, 0 AS before, ms[i] AS m, length(ms[i]) AS len, length(ps[i]) AS gap
         FROM (SELECT doc_id, ms, ps, unnest(range(1, len(ms) + 1)) AS i
@@ -159,7 +176,7 @@ def oracle_sql() -> str:
     said = f"CASE kind {order} END || ':' || start || ':' || stop"
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-parts AS (SELECT doc_id, kind, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM ({' UNION ALL '.join(map(spans, KINDS))}) WHERE value >= {MIN_VALUE}),
+parts AS (SELECT doc_id, kind, CAST(start AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM ({' UNION ALL '.join(map(spans, _FOUND))}) WHERE value >= {MIN_VALUE}),
 fresh AS (
   SELECT *, kind = {number('weak')} AND (
       coalesce(max(CASE WHEN kind < 3 THEN stop END) OVER (PARTITION BY doc_id ORDER BY start RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > start, false)
@@ -167,9 +184,10 @@ fresh AS (
   FROM parts),
 linked AS (
   SELECT *, {near('assign', 'hex', 'weak')} AS secret, {near('access', 'ident')} AS named, {near('endpoint')} AS placed
-  FROM fresh WINDOW s AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN {SCOPE} PRECEDING AND {SCOPE} FOLLOWING)),
+  FROM (SELECT *, count(*) FILTER (WHERE kind = {len(KINDS)}) OVER (PARTITION BY doc_id ORDER BY start) AS block FROM fresh)
+  WINDOW s AS (PARTITION BY doc_id, block ORDER BY start RANGE BETWEEN {SCOPE} PRECEDING AND {SCOPE} FOLLOWING)),
 kept AS (
-  SELECT * FROM linked WHERE CASE kind WHEN {number('ident')} THEN secret WHEN {number('weak')} THEN NOT shadowed AND (named OR placed)
+  SELECT * FROM linked WHERE kind < {len(KINDS)} AND CASE kind WHEN {number('ident')} THEN secret WHEN {number('weak')} THEN NOT shadowed AND (named OR placed)
     WHEN {number('endpoint')} THEN secret AND named ELSE true END)
 SELECT t.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
        sha256(coalesce(string_agg({said}, ',' ORDER BY start, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
