@@ -18,9 +18,11 @@ from ..shipping import ship
 from .workers import give_back
 
 #: Code points of texts that are split and encoded at once.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 300_000
+#: Rows of an Arrow batch, set for the session: a batch of texts is held as a whole, on both sides.
+BATCH_ROWS = 1000
 #: Words that a task remembers between blocks; beyond that it starts anew.
-MAX_REMEMBERED = 300_000
+MAX_REMEMBERED = 200_000
 #: Bytes of a word up to which it is encoded by the query. The query makes as many rounds as its longest
 #: word has merges, over all of that word's tokens; longer words take the same merges from a heap.
 LONG_WORD = 256
@@ -45,9 +47,8 @@ WITH RECURSIVE step AS (
 SELECT word, tokens FROM step WHERE NOT live ORDER BY word"""
 
 _BYTES = """
-SELECT run, list_aggregate(list(piece ORDER BY place), 'string_agg', '') AS text
-FROM (SELECT run, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM runs) JOIN vocabulary USING (token)
-GROUP BY run ORDER BY run"""
+SELECT text, string_agg(piece, '' ORDER BY place) AS bytes
+FROM tokens JOIN vocabulary USING (token) GROUP BY text ORDER BY text"""
 
 
 def parse_ranks(raw: bytes) -> dict[bytes, int]:
@@ -116,22 +117,18 @@ class _Coder:
         import duckdb
 
         self.ranks = ranks = parse_ranks(raw)
-        self.bytes_of = dict(zip(ranks.values(), ranks.keys(), strict=True))
-        pairs = [
-            (ranks[t[:i]] << 24 | ranks[t[i:]], rank)
-            for t, rank in ranks.items()
-            for i in range(1, len(t))
-            if t[:i] in ranks and t[i:] in ranks
-        ]
+        # A pair of tokens, and the rank of the two together, in one number: lists of tuples would stay in the heap.
+        merges = np.fromiter(
+            (ranks[t[:i]] << 44 | ranks[t[i:]] << 20 | rank for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks),
+            np.int64,
+        )
         self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
-        starts = np.zeros(max(self.bytes_of) + 1, dtype=bool)
-        starts[[r for t, r in ranks.items() if t[:1].isspace()]] = True
-        self.starts_run = starts
-        self.bits = len(starts).bit_length()
+        self.known = np.zeros(max(ranks.values()) + 1, bool)
+        self.known[list(ranks.values())] = True
         self.db = duckdb.connect()
         self.db.execute("SET threads = 1")
-        self.db.execute("SET memory_limit = '200MB'")
-        self._table("merges", pair=pa.array([p for p, _ in pairs], pa.int64()), rank=pa.array([r for _, r in pairs], pa.int64()))
+        self.db.execute("SET memory_limit = '100MB'")
+        self._table("merges", pair=pa.array(merges >> 20), rank=pa.array(merges & (1 << 20) - 1))
         # Bytes as the characters of the same number, since tokens need not be whole characters.
         self._table("vocabulary", token=pa.array(ranks.values(), pa.int64()), piece=pa.array([t.decode("latin-1") for t in ranks]))
         self.words: dict[str, bytes] = {}
@@ -146,13 +143,8 @@ class _Coder:
         self._table(name, **{key: pa.array(range(len(lengths)), pa.int32()), "tokens": lists})
 
     def learn_words(self, words: Iterable[str]) -> None:
-        if len(self.words) > MAX_REMEMBERED:
-            self.words.clear()
-            words = set(words)
         hard: list[tuple[str, bytes]] = []
         for word in words:
-            if word in self.words:
-                continue
             raw = word.encode()
             if (rank := self.ranks.get(raw)) is not None:
                 self.words[word] = rank.to_bytes(4, "little")
@@ -177,45 +169,24 @@ class _Coder:
 
     def encode(self, texts: list[str], split: Callable[[str], list[str]]) -> list[bytes]:
         parts = [split(t) for t in texts]
-        new = set(chain.from_iterable(parts))
-        if len(self.words) <= MAX_REMEMBERED:
-            new.difference_update(self.words)
-        self.learn_words(new)
+        if len(self.words) > MAX_REMEMBERED:
+            self.words.clear()
+        self.learn_words(set(chain.from_iterable(parts)).difference(self.words))
         known = self.words.__getitem__
         return [b"".join(map(known, p)) for p in parts]
 
     def decode(self, coded: list[bytes]) -> list[bytes]:
-        """The tokens of a block are cut into runs, at tokens that start with white space and wherever a run's
-        numbers fill 64 bits. The query decodes each distinct run once; then the runs' bytes are laid out."""
-        ids = np.frombuffer(b"".join(coded), "<u4")
-        if not len(ids):
-            return [b""] * len(coded)
-        if ids.max() >= len(self.starts_run):
-            raise ValueError(f"no token has the number {ids.max()}")
-        per_run = 64 // self.bits
-        ends = np.cumsum([len(c) // 4 for c in coded])
-        first = self.starts_run[ids]
-        first[0] = True
-        first[ends[ends < len(ids)]] = True
-        starts = np.flatnonzero(first)
-        inside = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
-        place = inside % per_run
-        starts = np.flatnonzero(place == 0)
-        # A number is kept plus one, so that runs of fewer tokens differ from longer ones.
-        keys = np.add.reduceat((ids.astype(np.uint64) + np.uint64(1)) << (place * self.bits).astype(np.uint64), starts)
-        distinct, which = np.unique(keys, return_inverse=True)
-        fields = distinct[:, None] >> np.arange(0, per_run * self.bits, self.bits, dtype=np.uint64) & np.uint64((1 << self.bits) - 1)
-        used = fields > 0
-        self._lists("runs", "run", used.sum(axis=1).tolist(), fields[used].astype(np.int64) - 1)
-        texts = self.db.sql(_BYTES).to_arrow_table().column("text").to_pylist()
-        raw = np.frombuffer("".join(texts).encode("latin-1"), np.uint8)
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        at = np.cumsum(sizes) - sizes
-        size = sizes[which]
-        out_end = np.cumsum(size)
-        out = raw[np.arange(int(out_end[-1])) + np.repeat(at[which] - (out_end - size), size)].tobytes()
-        cuts = [0, *np.concatenate([[0], out_end])[np.searchsorted(starts, ends)].tolist()]
-        return [out[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+        """The token-position rows of a block's texts join the vocabulary; the pieces are put together in order."""
+        ids = np.frombuffer(b"".join(coded), "<u4").astype(np.int64)
+        lengths = np.array([len(c) // 4 for c in coded])
+        if len(ids) and (ids.max() >= len(self.known) or not self.known[ids].all()):
+            raise ValueError("the vocabulary lacks a token of these numbers")
+        self._table("tokens", text=pa.array(np.repeat(np.arange(len(coded)), lengths)), place=pa.array(np.arange(len(ids))), token=pa.array(ids))
+        found = self.db.sql(_BYTES).to_arrow_table()
+        out = [b""] * len(coded)
+        for text, piece in zip(found.column("text").to_pylist(), found.column("bytes").to_pylist(), strict=True):
+            out[text] = piece.encode("latin-1")
+        return out
 
 
 def _blocks(column: pa.Array, weight: int) -> Iterator[tuple[int, list]]:
@@ -252,6 +223,7 @@ def _map_column(frame: DataFrame, source: str, targets: list[str], work: Callabl
             give_back()
 
     ship(frame.sparkSession)
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     kinds = [f"`{c}` {t}" for c, t in frame.dtypes if c != source]
     return frame.mapInArrow(run, ", ".join([*kinds, *[f"`{t}` binary" for t in targets]]))
 
