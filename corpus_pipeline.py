@@ -1,7 +1,13 @@
-"""From raw documents to token ids: the stages of the corpus pipeline."""
+"""From raw documents to token ids: the stages of the corpus pipeline.
+
+Each stage takes all rows that the one before kept, whatever their identifiers and further columns, and an empty table too;
+null texts count as empty.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +16,7 @@ from tickloom.llm import bpe, quality
 from tickloom.llm.decontam import contained_items
 from tickloom.llm.exact_dedup import exact_dedup
 from tickloom.llm.near_dedup import near_duplicates
-from tickloom.llm.textops import checkpointed
+from tickloom.llm.textops import checkpointed, shared_dir
 
 #: The stages train a classifier and verify links on full sets; SQL expresses neither.
 ORACLE_SQL = None
@@ -46,12 +52,14 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays: that with the smallest doc_id."""
+    """One document of each group of equal texts stays: that with the smallest doc_id, or one without where none has any. Rows
+    that share a doc_id are told apart by their texts."""
     return exact_dedup(docs, carry=True).filter("kept").select("_row.*")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: that with the smallest doc_id."""
+    """One document of each group of near duplicates stays: that with the smallest doc_id. Rows that share a doc_id belong to
+    one group and stay or go together; rows without a doc_id are in no group and stay."""
     return without(docs, near_duplicates(docs).filter("NOT kept").select("doc_id")).select(docs.columns)
 
 
@@ -62,7 +70,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids (32-bit little-endian numbers), decoded_sha256 (of the bytes that the ids give back)."""
+    """doc_id, n_tokens, ids (32-bit little-endian numbers), decoded_sha256 (of the bytes that the ids give back), for each
+    row, also those that share a doc_id or have none."""
     ranks = public_tokenizers.path(RANKS)
     coded = bpe.bpe_encode(docs, ranks, public_tokenizers.PATTERN, decode=True)
     return coded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
@@ -78,8 +87,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over documents."""
-    docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
+    """All stages, one after the other, over documents. What a stage keeps is written to the shared folder, so that no later
+    one works it out again."""
+    docs, folder = read(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4()}"
+    for name, stage in STAGES:
+        if name != STAGES[0][0]:
+            docs.write.parquet(f"{folder}/{name}")
+            docs = spark.read.parquet(f"{folder}/{name}")
         docs = stage(spark, docs, sf_dir)
     return docs
