@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -80,8 +81,9 @@ def checksum_text(number: Column | str) -> Column:
 
 
 def is_json(text: Column | str) -> Column:
-    """Whether a text is a JSON value with finite numbers only."""
-    return F.try_parse_json(_c(text)).isNotNull() & ~F.rlike(_c(text), F.lit(r"(?<![\w\"])-?(?:NaN|Infinity|INF)(?![\w\"])"))
+    """Whether a text is a JSON value with finite numbers only. What strings say does not count."""
+    values = F.regexp_replace(_c(text), F.lit(r'"(?:[^"\\]|\\.)*"'), F.lit('""'))
+    return F.try_parse_json(_c(text)).isNotNull() & ~F.rlike(values, F.lit(r"NaN|Infinity|INF"))
 
 
 # Redaction. Names whose values are hidden.
@@ -98,27 +100,38 @@ HEADER_NAMES = [
 ]
 
 
-def _names(names: list[str]) -> str:
-    return "|".join(sorted(names, key=lambda n: (-len(n), n)))
+ASSIGNED_WORDS = ["SECRET", "TOKEN", "PASSWORD", "PASSWD", "API_KEY", "ACCESS_KEY"]
+
+# A quoted text on one line, in which a backslash takes the next character along.
+_QUOTED = "(?:" + "|".join(rf"{q}(?:[^{q}\\\r\n]|\\[^\r\n])*{q}" for q in "\"'") + ")"
+
+
+def _one_of(names: list[str], spell: Callable[[str], str] = str) -> str:
+    """Any of the names, longer ones first."""
+    return "(?:" + "|".join(map(spell, sorted(names, key=lambda n: (-len(n), n)))) + ")"
+
+
+def _percent(name: str) -> str:
+    """A name as it may stand in a query: any character as itself or percent-encoded, in either case."""
+    return "".join(f"(?:{c}|" + "|".join(sorted({f"%{ord(v):x}" for v in (c, c.upper())})) + ")" for c in name)
 
 
 def redaction_steps() -> list[tuple[str, str]]:
-    """Pattern and replacement of each step, in a dialect that Java and RE2 share."""
-    return [
-        (r"(?i)socks5h?://[^\s]+", "[REDACTED_PROXY]"),
-        (r"(?i)((?:https?|wss?)://)[^\s/@]+@", "$1"),
-        (rf"(?i)([?&](?:{_names(QUERY_NAMES)})=)[^&\s]*", "$1[REDACTED]"),
-        (rf"(?im)\b({_names(HEADER_NAMES)})[ \t]*:[ \t]*[^\r\n]+", "$1: [REDACTED]"),
-        (
-            r"(?i)\b([A-Z0-9_]*(?:SECRET|TOKEN|PASSWORD|PASSWD|API_KEY|ACCESS_KEY)[A-Z0-9_]*)[ \t]*=[ \t]*"
-            r"(?:\"[^\"\r\n]*\"|'[^'\r\n]*'|[^\s,;&]+)",
-            "$1=[REDACTED]",
-        ),
+    """Pattern and replacement of each step. What introduces a secret is kept, and all of its value hidden."""
+    headers, bare = _one_of(HEADER_NAMES), r"[^\s,;&]+"
+    places = [
+        (r"[?&]" + _one_of(QUERY_NAMES, _percent) + "=", r"[^\s&]*"),
+        (rf"\b{headers}\s*:\s*", r"[^\r\n]+"),  # a header, whose value may begin on the next line
+        (rf"[\"']{headers}[\"']\s*[:,]\s*b?", _QUOTED),  # a header in a printed mapping or list of pairs
+        (rf"\b\w*{_one_of(ASSIGNED_WORDS)}\w*\s*=\s*", f"(?:{_QUOTED}|{bare})"),
+        (r"\bauth[ \t]*=[ \t]*", rf"\([ \t]*b?{_QUOTED}[ \t]*,[ \t]*b?{_QUOTED}[ \t]*\)"),  # user and password
     ]
+    urls = [(r"(?i)socks5h?://\S+", "[REDACTED_PROXY]"), (r"(?i)\b(https?|wss?)://[^\s/?#]*@", "$1://")]
+    return urls + [(f"(?i)({before}){value}", "$1[REDACTED]") for before, value in places]
 
 
 def redacted(text: Column | str) -> Column:
-    """A text without credentials in URLs, headers and assignments."""
+    """A text without credentials in URLs, queries, headers (also printed ones), assignments and authentication pairs."""
     return reduce(lambda t, s: F.regexp_replace(t, F.lit(s[0]), F.lit(s[1])), redaction_steps(), _c(text))
 
 
@@ -171,9 +184,10 @@ def turnover(quote: Column | str, base: Column | str, price: Column | str) -> tu
 
 
 def contract_quantity(size: Column | str, contract_value: Column | str, value_currency: Column | str, base: Column | str, price: Column | str) -> Column:
-    """A derivative's size in base units: contracts times their value, which may be stated in quote units."""
+    """A derivative's size in base units: contracts times their value, which may be stated in quote units; null where the
+    price is zero."""
     notional = _c(size) * _c(contract_value)
-    return F.when(_c(value_currency) == _c(base), notional).otherwise(notional / _c(price))
+    return F.when(_c(value_currency) == _c(base), notional).otherwise(F.try_divide(notional, _c(price)))
 
 
 def mid(bid: Column, ask: Column) -> Column:
@@ -181,15 +195,18 @@ def mid(bid: Column, ask: Column) -> Column:
 
 
 def microprice(bid: Column, bid_qty: Column, ask: Column, ask_qty: Column) -> Column:
-    return (bid * ask_qty + ask * bid_qty) / (bid_qty + ask_qty)
+    """The mid weighted by the other side's quantity; null where there is none."""
+    return F.try_divide(bid * ask_qty + ask * bid_qty, bid_qty + ask_qty)
 
 
 def imbalance(bid: Column, ask: Column) -> Column:
-    return (bid - ask) / (bid + ask)
+    """The share by which one side outweighs the other; null where both are zero."""
+    return F.try_divide(bid - ask, bid + ask)
 
 
 def distance_bps(price: Column, reference: Column) -> Column:
-    return (price - reference) / reference * 10_000
+    """Distance in hundredths of a percent; null for a reference of zero."""
+    return F.try_divide(price - reference, reference) * 10_000
 
 
 # Exact arithmetic, arrays, maps, JSON

@@ -86,7 +86,8 @@ def round_peaks(samples: DataFrame, keys: list[str], round_col: str, values: lis
 def resource_summary(samples: DataFrame, keys: list[str], round_col: str, time: str, value: str, warm_up: int) -> DataFrame:
     """Peak, growth after warm-up, and least-squares slope a minute (never below zero) of a value summed by round.
 
-    `time` is in seconds. The sums are exact decimals, so that the slope does not depend on the partitioning.
+    `time` is in seconds. Sums and their differences are exact decimals: the slope does not depend on the partitioning, and
+    large values do not cancel out.
     """
     number = lambda c: F.col(c).cast("decimal(19,0)")
     rounds = samples.groupBy(*keys, round_col).agg(F.min(time).alias("t"), F.sum(value).alias("v"))
@@ -104,9 +105,9 @@ def resource_summary(samples: DataFrame, keys: list[str], round_col: str, time:
         late((number("x") * number("v")).cast("decimal(38,0)")).alias("sxy"),
         late((number("x") * number("x")).cast("decimal(38,0)")).alias("sxx"),
     )
-    d = lambda c: F.col(c).cast("double")
+    d = lambda c: F.col(c).cast("decimal(38,0)")
     top, bottom = d("n") * d("sxy") - d("sx") * d("sy"), d("n") * d("sxx") - d("sx") * d("sx")
-    slope = F.when(bottom > 0, F.greatest(F.lit(0.0), top * 60 / bottom))
+    slope = F.when(bottom > 0, F.greatest(F.lit(0.0), top.cast("double") * 60 / bottom.cast("double")))
     return sums.select(*keys, "rounds", "peak", "growth", slope.alias("slope_per_minute"))
 
 

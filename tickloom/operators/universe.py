@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+from functools import reduce
+from math import ceil
+from operator import and_
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import SECOND
 from .reconcile import set_digest
 
 # Reasons for being in the universe, as bit flags.
@@ -196,18 +203,31 @@ def capacity(egresses: DataFrame, keys: list[str], per_connection: int, per_inst
 
 
 def stretched(demands: DataFrame, group: list[str], rate: str) -> DataFrame:
-    """Effective intervals under a group's rate limit: fixed-cadence demand first, the rest stretched by the same factor
-    max(1, required / remaining), rounded up to whole nanoseconds. Null where nothing remains.
+    """Effective intervals under a group's rate limit (units a second): fixed-cadence demand first, the rest stretched by the
+    same factor max(1, required / remaining), rounded up to whole nanoseconds. Null where nothing remains for the rest.
 
-    Demand is jobs * cost / interval; both sides of the ratio are exact decimals.
+    Demand is jobs * cost / interval. Spark sums jobs * cost by group and interval; the ratio of a group's few distinct
+    intervals is then taken in whole-number fractions, so that the ceiling is exact.
     """
-    load = (F.col("jobs") * F.col("cost")).cast("decimal(19,4)") / (F.col("requested_ns") / F.lit(1_000_000_000)).cast("decimal(12,3)")
-    load = load.cast("decimal(24,6)")
-    sums = demands.groupBy(*group).agg(F.sum(F.when(F.col("fixed"), load).otherwise(0)).alias("_fixed"), F.sum(F.when(F.col("fixed"), 0).otherwise(load)).alias("_rest"), F.max(rate).cast("decimal(24,6)").alias("_rate"))
-    rows = demands.join(sums, group)
-    left = (F.col("_rate") - F.col("_fixed")).cast("double")
-    factor = F.when(left > 0, F.greatest(F.lit(1.0), F.col("_rest").cast("double") / left))
-    return rows.withColumn("effective_ns", F.when(F.col("fixed"), F.col("requested_ns")).otherwise(F.ceil(F.col("requested_ns") * factor))).drop("_fixed", "_rest", "_rate")
+    load = (F.col("jobs") * F.col("cost")).cast("decimal(28,9)")
+    per = demands.groupBy(*group, "requested_ns").agg(
+        F.coalesce(F.sum(F.when(F.col("fixed"), load)), F.lit(0)).cast("string").alias("_fixed"),
+        F.coalesce(F.sum(F.when(~F.col("fixed"), load)), F.lit(0)).cast("string").alias("_rest"),
+        F.max(F.col(rate).cast("decimal(28,9)")).cast("string").alias("_rate"),
+    )
+
+    def stretch(rows: pd.DataFrame) -> pd.DataFrame:
+        interval = [Fraction(int(v), SECOND) for v in rows["requested_ns"]]
+        demand = {c: sum((Fraction(v) / i for v, i in zip(rows[c], interval, strict=True)), Fraction(0)) for c in ("_fixed", "_rest")}
+        left = max(map(Fraction, rows["_rate"])) - demand["_fixed"]
+        stretched_ns = [ceil(i * SECOND * max(Fraction(1), demand["_rest"] / left)) if left > 0 else None for i in interval]
+        return rows[[*group, "requested_ns"]].assign(_stretched=pd.array(stretched_ns, "Int64"))
+
+    kinds = dict(demands.dtypes)
+    found = per.groupBy(*group).applyInPandas(stretch, ", ".join([*[f"`{c}` {kinds[c]}" for c in group], f"requested_ns {kinds['requested_ns']}", "_stretched long"]))
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*group, "requested_ns")]
+    rows = demands.alias("d").join(found.alias("f"), reduce(and_, same)).select("d.*", "f._stretched")
+    return rows.withColumn("effective_ns", F.when(F.col("fixed"), F.col("requested_ns")).otherwise(F.col("_stretched"))).drop("_stretched")
 
 
 def broken_page_chains(pages: DataFrame, keys: list[str], page: str, cursor: str, following: str) -> DataFrame:

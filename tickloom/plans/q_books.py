@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import HOUR, contract_quantity, distance_bps, imbalance, microprice, mid, redacted, redaction_steps, transform_of
+from ..functions.scalar import HOUR, contract_quantity, distance_bps, imbalance, microprice, mid, redacted, transform_of, HEADER_NAMES, QUERY_NAMES
 from ..operators import books as b
 from ..operators import validate as v
 from ..operators import windows as w
@@ -271,11 +271,18 @@ _LAST = lambda c: f"arg_max({c}, (time_ns, r)) FILTER (WHERE {c} IS NOT NULL)"
 
 
 def _redact_sql() -> str:
+    """Written out by hand, apart from the lists of names."""
+    heads, said = "|".join(reversed(sorted(HEADER_NAMES))), r"(\"([^\"\\\r\n]|\\[^\r\n])*\"|''([^''\\\r\n]|\\[^\r\n])*'')"
+    code = lambda c: f"({c}|%{ord(c):02x}|%{ord(c.upper()):02x})"
+    asked = "|".join("".join(map(code, n)) for n in reversed(sorted(QUERY_NAMES)))
     text = "text"
-    for pattern, to in redaction_steps():
-        flags = "gi" + ("m" if "(?im)" in pattern else "")
-        body = pattern.replace("'", "''")
-        text = f"regexp_replace({text}, '{body}', '{to.replace('$1', chr(92) + '1')}', 'g')"
+    for pattern, to in (
+        (r"socks5h?://[^ \t\n\f\r]+", "[REDACTED_PROXY]"), (r"\b(http|https|ws|wss)://[^ \t\n\f\r/?#]*@", r"\1://"), (rf"([?&]({asked})=)[^ \t\n\f\r&]*", r"\1[REDACTED]"),
+        (rf"(\b({heads})[ \t\n\f\r]*:[ \t\n\f\r]*)[^\r\n]+", r"\1[REDACTED]"), (rf"([\"'']({heads})[\"''][ \t\n\f\r]*[:,][ \t\n\f\r]*b?){said}", r"\1[REDACTED]"),
+        (rf"(\b[a-z0-9_]*(secret|token|password|passwd|api_key|access_key)[a-z0-9_]*[ \t\n\f\r]*=[ \t\n\f\r]*)({said}|[^ \t\n\f\r,;&]+)", r"\1[REDACTED]"),
+        (rf"(\bauth[ \t]*=[ \t]*)\([ \t]*b?{said}[ \t]*,[ \t]*b?{said}[ \t]*\)", r"\1[REDACTED]"),
+    ):
+        text = f"regexp_replace({text}, '{pattern}', '{to}', 'gi')"
     return text
 
 
@@ -289,9 +296,9 @@ ORACLES |= {
 n AS (SELECT *, row_number() OVER (PARTITION BY instrument_key, window_end_ns, side ORDER BY CASE side WHEN 'bid' THEN -p ELSE p END) AS l FROM o),
 f AS (SELECT instrument_key, window_end_ns, max(p) FILTER (WHERE side = 'bid' AND l = 1) AS bid_price, max(q) FILTER (WHERE side = 'bid' AND l = 1) AS bid_quantity, max(p) FILTER (WHERE side = 'ask' AND l = 1) AS ask_price, max(q) FILTER (WHERE side = 'ask' AND l = 1) AS ask_quantity,
   {', '.join(f"coalesce(sum({x}) FILTER (WHERE side = '{s}' AND l <= {d}), 0) AS {s}_{nm}_{d}" for d in (1, 5) for s in ('bid', 'ask') for nm, x in (('quantity', 'q'), ('notional', 'p * q')))} FROM n GROUP BY 1, 2)
-SELECT *, (bid_price + ask_price) / 2 AS mid, ask_price - bid_price AS spread, (bid_price * ask_quantity + ask_price * bid_quantity) / (bid_quantity + ask_quantity) AS microprice,
-  (bid_notional_5 - ask_notional_5) / (bid_notional_5 + ask_notional_5) AS imbalance_5 FROM f""",
-    "e19_valid_coverage": f"""WITH {MESSAGES_SQL}, a AS (SELECT instrument_key, time_ns, max(seq % 3 <> 0) AS valid FROM ms WHERE seq % 50 <> 0 OR seq % 1000 = 500 GROUP BY 1, 2),
+SELECT *, (bid_price + ask_price) / 2 AS mid, ask_price - bid_price AS spread, (bid_price * ask_quantity + ask_price * bid_quantity) / nullif(bid_quantity + ask_quantity, 0) AS microprice,
+  (bid_notional_5 - ask_notional_5) / nullif(bid_notional_5 + ask_notional_5, 0) AS imbalance_5 FROM f""",
+    "e19_valid_coverage": f"""WITH {_valid_sql('e4a_link')}, a AS (SELECT instrument_key, time_ns, arg_max(valid, seq) AS valid FROM val GROUP BY 1, 2),
 n AS (SELECT *, lead(time_ns) OVER (PARTITION BY instrument_key ORDER BY time_ns) AS nx FROM a),
 c AS (SELECT instrument_key, time_ns, nx, valid, unnest(range(CAST(time_ns - time_ns % {STEP} AS BIGINT), CAST(nx AS BIGINT), {STEP})) AS window_start_ns FROM n WHERE nx > time_ns)
 SELECT instrument_key, window_start_ns, CAST(sum(CASE WHEN valid THEN least(nx, window_start_ns + {STEP}) - greatest(time_ns, window_start_ns) ELSE 0 END) AS BIGINT) AS valid_ns, window_start_ns + {STEP} - max(time_ns) AS staleness_ns FROM c GROUP BY 1, 2""",
@@ -307,7 +314,7 @@ SELECT instrument_key, window_start_ns, {_D('mark_price', 'index_price')}, CAST(
 SELECT instrument_key, window_start_ns, CASE length(instrument_key) % 3 WHEN 0 THEN 'complete' WHEN 1 THEN 'lossy_window' ELSE 'unknown' END AS coverage,
   CAST(coalesce(l, CASE WHEN length(instrument_key) % 6 = 0 THEN 0 END) AS DOUBLE) AS liquidation FROM g""",
     "b16_sparse_fields": f"WITH {EVENTS_SQL} SELECT record_index, CASE WHEN record_index % 3 = 0 THEN CAST(price AS DOUBLE) END AS last, CASE WHEN record_index % 4 = 0 THEN CAST(quantity AS DOUBLE) END AS volume FROM ev",
-    "b11_contract_sizes": f"WITH {EVENTS_SQL} SELECT record_index, round(CASE WHEN user_id % 3 = 0 THEN CAST(quantity AS DOUBLE) * 0.5::DOUBLE / CAST(price AS DOUBLE) ELSE CAST(quantity AS DOUBLE) * 0.5::DOUBLE END, 9) AS base_quantity FROM ev",
+    "b11_contract_sizes": f"WITH {EVENTS_SQL} SELECT record_index, round(CASE WHEN user_id % 3 = 0 THEN CAST(quantity AS DOUBLE) * 0.5::DOUBLE / nullif(CAST(price AS DOUBLE), 0) ELSE CAST(quantity AS DOUBLE) * 0.5::DOUBLE END, 9) AS base_quantity FROM ev",
     "e17_expectation_intervals": f"""WITH {EVENTS_SQL} SELECT instrument_key, record_index, time_ns AS start_ns, coalesce(lead(time_ns) OVER (PARTITION BY instrument_key ORDER BY time_ns), {END}) AS end_ns FROM tr WHERE record_index % 700 = 3""",
     "d22_quality_windows": f"""WITH {EVENTS_SQL}, t AS (SELECT *, CASE WHEN record_index % 41 = 0 THEN ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow'][record_index % 5 + 1] END AS k, time_ns - time_ns % {HOUR} AS ws FROM tr WHERE time_source <> 'receive_outlier'),
 x AS (SELECT instrument_key, min(time_ns) - {STEP} AS a, max(time_ns) + {STEP} AS b FROM t GROUP BY 1), g AS (SELECT instrument_key, unnest(range(a - a % {HOUR}, b, {HOUR})) AS window_start_ns FROM x),
@@ -319,7 +326,7 @@ SELECT instrument_key, window_start_ns, coalesce(i, 0) AS input_count, coalesce(
 c AS (SELECT ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow'][user_id % 5 + 1] AS k, unnest([worker_instance_id, instrument_key || ':' || (user_id % 2)]) AS part FROM ev WHERE record_index % 10 = 1)
 SELECT p.part, {', '.join(f"count(*) FILTER (WHERE k = '{k}') AS {n}" for k, n in w.CONTROL_COUNTS.items())} FROM p LEFT JOIN c ON c.part = p.part GROUP BY 1""",
     "h10_book_math": f"""WITH {EVENTS_SQL}, e AS (SELECT record_index, CAST(price AS DOUBLE) AS p, CAST(quantity AS DOUBLE) AS q, CAST(price AS DOUBLE) + 0.5::DOUBLE AS a FROM ev)
-SELECT record_index, round((p + a) / 2, 6) AS mid, round((p * 10.0::DOUBLE + a * q) / (q + 10.0::DOUBLE), 6) AS microprice, round((q - 10.0::DOUBLE) / (q + 10.0::DOUBLE), 6) AS imbalance, round((a - p) / p * 10000, 6) AS bps FROM e""",
+SELECT record_index, round((p + a) / 2, 6) AS mid, round((p * 10.0::DOUBLE + a * q) / nullif(q + 10.0::DOUBLE, 0), 6) AS microprice, round((q - 10.0::DOUBLE) / nullif(q + 10.0::DOUBLE, 0), 6) AS imbalance, round((a - p) / nullif(p, 0) * 10000, 6) AS bps FROM e""",
     "b1_envelope_rules": f"""WITH {ENVELOPES_SQL} SELECT r AS record_index, concat_ws(',', CASE WHEN r % 13 = 0 AND stream <> '_control' THEN 'market_missing' END, CASE WHEN (r % 17 = 0) <> (r % 19 = 0) THEN 'instrument_unpaired' END,
   CASE WHEN stream <> '_control' AND r % 17 = 0 THEN 'instrument_missing' END, CASE WHEN r % 23 = 0 AND stream <> '_control' THEN 'channel_missing' END, CASE WHEN (r % 29 = 0) <> (r % 31 = 0) THEN 'event_time_unpaired' END,
   CASE WHEN transport = 'rest' AND NOT meta THEN 'rest_metadata_missing' END, CASE WHEN stream = 'book_live_bootstrap' AND transport <> 'rest' THEN 'bootstrap_transport' END,

@@ -47,14 +47,14 @@ def i1_ingest(spark, sf_dir):
 
 
 def i2_stream_bars(spark, sf_dir):
-    e = trades(spark, sf_dir).select(KEY, "time_ns", "record_index", "price", "quantity", F.timestamp_micros(F.floor(F.col("time_ns") / 1000)).alias("ts"))
+    e = trades(spark, sf_dir).select(KEY, "time_ns", "record_index", "price", "quantity", F.timestamp_micros(F.expr("time_ns div 1000")).alias("ts"))
     bars = s.windowed_bars(_stream(e, "time_ns"), [KEY], "ts", "1 hour", ["time_ns", "record_index"], delay=None)
     rows = s.results(bars, "update", [KEY, "window_start"])
     return doubles(rows.withColumn("window_start", F.unix_micros("window_start")))
 
 
 def i5_stream_dedup(spark, sf_dir):
-    e = trades(spark, sf_dir).select(KEY, "trade_id", F.timestamp_micros(F.floor(F.col("time_ns") / 1000)).alias("ts"))
+    e = trades(spark, sf_dir).select(KEY, "trade_id", F.timestamp_micros(F.expr("time_ns div 1000")).alias("ts"))
     rows = s.results(s.deduplicated(_stream(e, "ts"), [KEY], "ts", "30 days"))
     return rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("kept"), F.count_distinct("trade_id").alias("identifiers"))
 
@@ -109,7 +109,7 @@ ORACLES = {
     "i1_ingest": "SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1",
     "i2_stream_bars": f"""WITH {EVENTS_SQL} SELECT instrument_key, (time_ns - time_ns % {HOUR}) // 1000 AS window_start, CAST(arg_min(price, (time_ns, record_index)) AS DOUBLE) AS open, CAST(max(price) AS DOUBLE) AS high, CAST(min(price) AS DOUBLE) AS low,
   CAST(arg_max(price, (time_ns, record_index)) AS DOUBLE) AS close, CAST(sum(quantity) AS DOUBLE) AS base_volume, count(*) AS trade_count FROM tr GROUP BY 1, 2""",
-    "i5_stream_dedup": f"WITH {EVENTS_SQL} SELECT instrument_key, count(DISTINCT trade_id) AS kept, count(DISTINCT trade_id) AS identifiers FROM tr GROUP BY 1",
+    "i5_stream_dedup": f"WITH {EVENTS_SQL} SELECT instrument_key, count(DISTINCT trade_id) + count(*) FILTER (WHERE trade_id IS NULL) AS kept, count(DISTINCT trade_id) AS identifiers FROM tr GROUP BY 1",
     "i6_hysteresis": q_universe.ORACLES["e2_exit_grace"],
     "i8_book_validity": f"WITH {_VALID} SELECT seq, valid, broke AS break FROM val",
     "i9_silences": f"""WITH {EVENTS_SQL}, p AS (SELECT instrument_key, received_at_ns AS t, lag(received_at_ns) OVER (PARTITION BY instrument_key ORDER BY received_at_ns) AS b FROM ev)

@@ -152,7 +152,7 @@ def e22_state_transitions(spark, sf_dir):
 
 
 def e23_oldest_open(spark, sf_dir):
-    e = lags(spark, sf_dir).withColumns({"accepted": F.floor(F.col("received_at_ns") / SECOND), "done": F.floor(F.col("received_at_ns") / SECOND) + F.floor(F.col("lag_ns") / 1_000_000)})
+    e = lags(spark, sf_dir).withColumns({"accepted": F.expr(f"received_at_ns div {SECOND}"), "done": F.expr(f"received_at_ns div {SECOND} + lag_ns div 1000000")})
     records = e.select("instrument_key", "accepted", F.when(F.col("record_index") % 7 != 0, F.col("done")).otherwise(F.col("accepted") + 9000).alias("done"))
     samples = e.select("instrument_key", F.col("accepted").alias("at")).distinct()
     return t.oldest_open_age(records, samples, ["instrument_key"], "accepted", "done", "at", 6000, 3600)
@@ -191,10 +191,10 @@ r AS (SELECT instrument_key, hour, sum(l) AS l, sum(e) AS e FROM w GROUP BY 1, 2
 SELECT instrument_key, count(*) AS rounds, CAST(max(l) AS BIGINT) AS peak_lag_ns, CAST(max(e) AS BIGINT) AS peak_events FROM r GROUP BY 1""",
     "d13_resources": f"""WITH {LAGS_SQL}, r AS (SELECT instrument_key, hour, CAST(sum(CAST(floor(price) AS BIGINT) * 1000) AS BIGINT) AS v FROM lg GROUP BY 1, 2),
 x AS (SELECT *, (hour - min(hour) OVER (PARTITION BY instrument_key)) * 3600 AS x FROM r),
-s AS (SELECT instrument_key, count(*) AS rounds, max(v) AS peak, arg_max(v, x) - arg_min(v, x) FILTER (WHERE x >= 7200) AS growth, CAST(count(*) FILTER (WHERE x >= 7200) AS DOUBLE) AS n,
-  CAST(sum(x) FILTER (WHERE x >= 7200) AS DOUBLE) AS sx, CAST(sum(v) FILTER (WHERE x >= 7200) AS DOUBLE) AS sy, CAST(sum(x::HUGEINT * v) FILTER (WHERE x >= 7200) AS DOUBLE) AS sxy,
-  CAST(sum(x::HUGEINT * x) FILTER (WHERE x >= 7200) AS DOUBLE) AS sxx FROM x GROUP BY 1)
-SELECT instrument_key, rounds, peak, growth, greatest(0.0, (n * sxy - sx * sy) * 60 / (n * sxx - sx * sx)) AS slope_per_minute FROM s""",
+s AS (SELECT instrument_key, count(*) AS rounds, max(v) AS peak, arg_max(v, x) - arg_min(v, x) FILTER (WHERE x >= 7200) AS growth, CAST(count(*) FILTER (WHERE x >= 7200) AS HUGEINT) AS n,
+  CAST(sum(x) FILTER (WHERE x >= 7200) AS HUGEINT) AS sx, CAST(sum(v) FILTER (WHERE x >= 7200) AS HUGEINT) AS sy, CAST(sum(x::HUGEINT * v) FILTER (WHERE x >= 7200) AS HUGEINT) AS sxy,
+  CAST(sum(x::HUGEINT * x) FILTER (WHERE x >= 7200) AS HUGEINT) AS sxx FROM x GROUP BY 1)
+SELECT instrument_key, rounds, peak, growth, greatest(0.0, CAST(n * sxy - sx * sy AS DOUBLE) * 60 / CAST(n * sxx - sx * sx AS DOUBLE)) AS slope_per_minute FROM s""",
     "d14_health": f"""WITH {LAGS_SQL}, r AS (SELECT instrument_key, hour, min(received_at_ns) AS a, max(received_at_ns) AS b, max(lag_ns) AS l FROM lg GROUP BY 1, 2),
 g AS (SELECT *, hour - lag(hour) OVER (PARTITION BY instrument_key ORDER BY hour) AS gap FROM r)
 SELECT instrument_key, count(*) AS sample_count, max(b) - min(a) AS coverage, coalesce(max(gap), 0) AS max_gap, count(*) FILTER (WHERE l > 4890000000) AS critical_count,
@@ -228,7 +228,7 @@ SELECT endpoint, record_index, CAST(sum(CASE WHEN failed THEN 1 ELSE 0 END) OVER
     "e22_state_transitions": """WITH p AS (SELECT l_returnflag, lag(l_returnflag) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS previous FROM lineitem)
 SELECT previous, l_returnflag, count(*) AS n FROM p WHERE coalesce(previous, '-') || l_returnflag NOT IN ('-A', 'AA', 'AN', 'NN', 'NR', 'RA') GROUP BY 1, 2""",
     "e23_oldest_open": f"""WITH {LAGS_SQL}, r AS (SELECT instrument_key, record_index, received_at_ns // {SECOND} AS a, CASE WHEN record_index % 7 <> 0 THEN received_at_ns // {SECOND} + lag_ns // 1000000 ELSE received_at_ns // {SECOND} + 9000 END AS d FROM lg),
-s AS (SELECT DISTINCT instrument_key, a AS at_ FROM r WHERE record_index % 20 = 0),
+s AS (SELECT DISTINCT instrument_key, a AS at_ FROM r),
 o AS (SELECT s.instrument_key, s.at_, min(r.a) AS a FROM s JOIN r ON r.instrument_key = s.instrument_key AND r.a <= s.at_ AND r.d > s.at_ GROUP BY 1, 2)
 SELECT s.instrument_key, s.at_ AS "at", s.at_ - o.a AS age, coalesce(s.at_ - o.a > 6000, false) AS critical FROM s LEFT JOIN o ON o.instrument_key = s.instrument_key AND o.at_ = s.at_""",
 }

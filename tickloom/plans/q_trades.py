@@ -68,7 +68,7 @@ def b6_storage_hour(spark, sf_dir):
 
 def b10_normalised_trades(spark, sf_dir):
     e = events(spark, sf_dir)
-    ms = (F.col("received_at_ns") / 1_000_000).cast("long").cast("string")
+    ms = F.expr("received_at_ns div 1000000").cast("string")
     price, size, key = F.col("price").cast("string"), F.col("quantity").cast("string"), F.col("record_index").cast("string")
     one = {
         "okx": F.to_json(F.struct(F.array(F.struct(key.alias("tradeId"), price.alias("px"), size.alias("sz"), F.col("side").alias("side"), ms.alias("ts"))).alias("data"))),

@@ -380,9 +380,8 @@ x AS (SELECT *, max(day) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS B
 SELECT o_orderkey, CASE WHEN newest IS NULL OR day > newest THEN 'applied' WHEN day < newest THEN 'stale' WHEN d = f THEN 'replay' ELSE 'conflict' END AS outcome FROM x""",
     "d18_content_digest": """WITH s AS (SELECT o_orderpriority, sha256('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS d FROM orders), """ + _digest_sql("s", "o_orderpriority", "d"),
     "d24_stretch": """WITH s AS (SELECT s_suppkey, s_nationkey AS e, (s_suppkey % 9 + 1) * (s_suppkey % 4 + 1) AS load, s_suppkey % 5 + 1 AS sec, s_suppkey % 3 = 0 AS fixed, s_nationkey + 10 AS rate FROM supplier),
-l AS (SELECT *, CAST(round(CAST(load AS DOUBLE) / sec, 6) AS DECIMAL(24,6)) AS d FROM s),
-g AS (SELECT e, coalesce(sum(d) FILTER (WHERE fixed), 0) AS f, coalesce(sum(d) FILTER (WHERE NOT fixed), 0) AS r FROM l GROUP BY 1)
-SELECT s_suppkey, CAST(CASE WHEN fixed THEN sec * 1000000000 WHEN CAST(rate - f AS DOUBLE) > 0 THEN ceil(sec * 1000000000 * greatest(1.0, CAST(r AS DOUBLE) / CAST(rate - f AS DOUBLE))) END AS BIGINT) AS effective_ns FROM l JOIN g USING (e)""",
+g AS (SELECT e, rate * 60 - coalesce(sum(load * (60 // sec)) FILTER (WHERE fixed), 0) AS l60, coalesce(sum(load * (60 // sec)) FILTER (WHERE NOT fixed), 0) AS r60 FROM s GROUP BY e, rate)
+SELECT s_suppkey, CAST(CASE WHEN fixed THEN sec * 1000000000 WHEN l60 > 0 THEN greatest(sec * 1000000000, (sec::HUGEINT * 1000000000 * r60 + l60 - 1) // l60) END AS BIGINT) AS effective_ns FROM s JOIN g USING (e)""",
     "d25_capacity": """SELECT s_nationkey AS exchange, count(*) AS egresses, CAST(sum(s_suppkey % 6 + 1) AS BIGINT) AS ws_connections, CAST(sum(s_suppkey % 3) AS BIGINT) AS http_concurrency, CAST(sum(s_suppkey % 6 + 1) * 50 AS BIGINT) AS subscription_slots,
   CAST(sum(s_suppkey % 6 + 1) * 16 AS BIGINT) AS instrument_slots FROM supplier WHERE s_suppkey % 4 <> 0 GROUP BY 1""",
     "e13_page_chains": """WITH l AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS own, max(l_suppkey) AS s FROM lineitem GROUP BY 1, 2)
