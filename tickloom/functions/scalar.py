@@ -61,9 +61,16 @@ def choose_time(
 
 
 def cadence_phase(key: Column | str, interval_ns: int) -> Column:
-    """Start offset of a periodic job in its interval: the first 60 bits of the key's digest, scaled."""
-    share = F.conv(F.substring(F.sha2(_c(key), 256), 1, 15), 16, 10).cast("decimal(20,0)")
-    return F.floor(share * F.lit(interval_ns).cast("decimal(18,0)") / F.lit(1 << 60).cast("decimal(20,0)")).cast("long")
+    """Start offset of a periodic job in its interval: the first 128 bits of the key's digest, as a fraction of the interval.
+
+    The fraction is multiplied 32 bits at a time from the lowest, carrying what exceeds them, so that all is exact.
+    """
+    digest, carry = F.sha2(_c(key), 256), F.lit(0).cast("decimal(38,0)")
+    for at in (25, 17, 9, 1):
+        part = F.conv(F.substring(digest, at, 8), 16, 10).cast("decimal(10,0)")
+        whole = (part * F.lit(interval_ns).cast("decimal(19,0)") + carry).cast("decimal(38,0)")
+        carry = ((whole - F.pmod(whole, F.lit(1 << 32).cast("decimal(38,0)"))) / F.lit(1 << 32).cast("decimal(10,0)")).cast("decimal(38,0)")
+    return carry.cast("long")
 
 
 # Digests

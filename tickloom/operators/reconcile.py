@@ -85,13 +85,17 @@ def merged_traces(parts: list[DataFrame], due: str, key: str) -> tuple[DataFrame
     return whole.orderBy(due, key), repeated
 
 
-def set_digest(rows: DataFrame, keys: list[str], digest: str, levels: int = 256) -> DataFrame:
+def set_digest(rows: DataFrame, keys: list[str], digest: str, level_digits: int = 2, levels: int = 3) -> DataFrame:
     """One SHA-256 for each key's set of row digests, whatever their order and partitioning.
 
-    A tree of two levels: digests are sorted and hashed in buckets of their leading byte, then the buckets' hashes in
-    bucket order, so that no task sorts a whole set.
+    A tree: digests (in hex) that share their first level_digits * levels digits are sorted and hashed together, then the
+    hashes of each higher level in the order of those digits. A leaf holds the set's share by 16 to the power of all digits
+    (16.8 million leaves by default), an inner node at most 16 to the power of level_digits.
     """
-    bucket = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(levels))
-    leaves = rows.groupBy(*keys, bucket.alias("_b")).agg(F.sha2(F.concat_ws("", F.sort_array(F.collect_list(digest))), 256).alias("_leaf"), F.count(F.lit(1)).alias("_n"))
-    ordered = F.sort_array(F.collect_list(F.struct("_b", "_leaf")))
-    return leaves.groupBy(*keys).agg(F.sha2(F.concat_ws("", F.transform(ordered, lambda x: x["_leaf"])), 256).alias("digest"), F.sum("_n").alias("rows"))
+    prefix = F.substring(digest, 1, level_digits * levels).alias("_p")
+    nodes = rows.groupBy(*keys, prefix).agg(F.sha2(F.concat_ws("", F.sort_array(F.collect_list(digest))), 256).alias("_hash"), F.count(F.lit(1)).alias("_n"))
+    for level in range(levels - 1, -1, -1):
+        inner = F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("_p", "_hash"))), lambda x: x["_hash"]))
+        above = F.substring("_p", 1, level_digits * level).alias("_p")
+        nodes = nodes.groupBy(*keys, *([above] if level else [])).agg(F.sha2(inner, 256).alias("_hash"), F.sum("_n").alias("_n"))
+    return nodes.select(*keys, F.col("_hash").alias("digest"), F.col("_n").alias("rows"))

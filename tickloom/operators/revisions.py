@@ -32,10 +32,11 @@ def latest_revisions(revisions: DataFrame, keys: list[str]) -> DataFrame:
     return revisions.join(newest, [*keys, "rev"], "left_semi")
 
 
-def read_latest(spark: SparkSession, revisions: DataFrame, keys: list[str]) -> DataFrame:
-    """The data of the latest revisions. The list of paths is a read's own file list."""
-    paths = [r["path"] for r in latest_revisions(revisions, keys).select("path").collect()]
-    return spark.read.parquet(*paths)
+def read_latest(spark: SparkSession, revisions: DataFrame, keys: list[str], root: str) -> DataFrame:
+    """The data of the latest revisions under root, with the partition columns. Revisions join the folders' own columns, so
+    that Spark prunes folders where it can and no list of paths passes through the driver."""
+    newest = latest_revisions(revisions, keys).select(*keys, "rev")
+    return spark.read.parquet(root).join(newest, [*keys, "rev"], "left_semi")
 
 
 def affected_hours(late: DataFrame, snapshots: DataFrame, keys: list[str], time: str, horizon_ns: int, max_age_ns: int) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,22 +99,23 @@ def trade_bars(
 ) -> DataFrame:
     """Bars of each key and window: open, high, low, close, vwap, volumes by side, counts, first and last time.
 
-    All intervals come from one shuffle: each trade is put into one window of each before a partial aggregate. Rows need a
-    `duplicate` flag, and count as duplicates in the window of their own time.
+    Trades are aggregated once, into windows of the intervals' greatest common divisor; those bars, not the trades, are put
+    into a window of each interval. Rows need a `duplicate` flag, and count as duplicates in the window of their own time.
     """
-    windows = F.explode(F.array(*[F.lit(i).cast("long") for i in check_intervals(intervals)])).alias("interval_ns")
-    rows = trades.select("*", windows).withColumn("window_start_ns", floor_to(time, F.col("interval_ns")))
+    base = gcd(*check_intervals(intervals))
     at = F.struct(*order)
     real = ~F.col("duplicate")
     only = lambda c: F.when(real, c)
     amount = lambda c: F.coalesce(F.sum(only(c)), F.lit(0))
     notional = F.col("price") * F.col("quantity")
     buys, sells = (F.when(F.col("side") == s, F.col("quantity")) for s in ("buy", "sell"))
-    bars = rows.groupBy(*keys, "interval_ns", "window_start_ns").agg(
+    small = trades.withColumn("_base_ns", floor_to(time, base)).groupBy(*keys, "_base_ns").agg(
         F.min_by("price", only(at)).alias("open"),
+        F.max_by("price", only(at)).alias("close"),
+        F.min(only(at)).alias("_from"),
+        F.max(only(at)).alias("_to"),
         F.max(only(F.col("price"))).alias("high"),
         F.min(only(F.col("price"))).alias("low"),
-        F.max_by("price", only(at)).alias("close"),
         amount(F.col("quantity")).alias("base_volume"),
         amount(notional).alias("quote_volume"),
         amount(buys).alias("buy_volume"),
@@ -124,6 +127,13 @@ def trade_bars(
         F.max(only(F.col(time))).alias("last_time_ns"),
         F.count(F.when(F.col("time_source") == "exchange", 1)).alias("exchange_time_count"),
     )
+    windows = F.explode(F.array(*[F.lit(i).cast("long") for i in intervals])).alias("interval_ns")
+    rows = small.select("*", windows).withColumn("window_start_ns", floor_to("_base_ns", F.col("interval_ns")))
+    summed = ["base_volume", "quote_volume", "buy_volume", "sell_volume", "trade_count", "duplicate_count", "unidentified_count", "exchange_time_count"]
+    bars = rows.groupBy(*keys, "interval_ns", "window_start_ns").agg(
+        F.min_by("open", "_from").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "_to").alias("close"),
+        *[F.sum(c).alias(c) for c in summed], F.min("first_time_ns").alias("first_time_ns"), F.max("last_time_ns").alias("last_time_ns"),
+    )
     return bars.withColumns(
         {
             "signed_volume": F.col("buy_volume") - F.col("sell_volume"),

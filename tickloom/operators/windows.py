@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import floor_to
 from .trades import expectation_grid
 
-#: Kinds of control events and what they count.
+# Kinds of control events and what they count.
 CONTROL_COUNTS = {"gap_detected": "gap_count", "reconnect": "reconnect_count", "parse_error": "parse_error_count", "checksum_error": "checksum_error_count", "queue_overflow": "queue_overflow_count"}
 
 

@@ -56,7 +56,7 @@ def a7_revisions(spark, sf_dir):
     first = rv.publish_revision(o.filter("o_orderkey % 2 = 0"), folder, None, {"dataset": "orders"}, 1, ["b", "a"], "digest").withColumn("committed", F.lit(True))
     second = rv.publish_revision(o, folder, first, {"dataset": "orders"}, 2, ["c"], "digest").withColumn("committed", F.lit(True))
     table_ = first.unionByName(second)
-    rows = rv.read_latest(spark, table_, ["dataset"]).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    rows = rv.read_latest(spark, table_, ["dataset"], folder).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
     newest = rv.latest_revisions(table_, ["dataset"]).select("rev", "supersedes", "records")
     return rows.crossJoin(F.broadcast(newest))  # one row
 

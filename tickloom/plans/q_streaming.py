@@ -118,3 +118,13 @@ SELECT instrument_key, b AS silent_from, t AS silent_to FROM p WHERE t - b > {2
     "i11_gap_generations": f"WITH {_VALID} SELECT instrument_key, CAST(sum(broke::INT) AS BIGINT) AS gaps, CAST(sum((NOT valid)::INT) AS BIGINT) AS invalid FROM val GROUP BY 1",
 }
 ORACLES["i4_late_revisions"] = q_storage.ORACLES["c11_affected_hours"]
+ORACLES["i7_lifecycle"] = """WITH RECURSIVE o AS (
+  SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, o_orderstatus = 'F' AS gone, o_orderstatus = 'P' AS pre, o_orderkey % 3 = 0 AS official, o_orderkey % 5 = 0 AS first FROM orders),
+f AS (
+  SELECT o_custkey, o_orderkey, n, state, CAST(state = 'active_new' AS BIGINT) AS generation
+  FROM (SELECT *, CASE WHEN gone THEN 'relist_pending' WHEN pre AND official THEN 'pending_official' WHEN pre THEN 'pending' WHEN official OR NOT first THEN 'active_new' ELSE 'baseline' END AS state FROM o WHERE n = 1)
+  UNION ALL
+  SELECT o_custkey, o_orderkey, n, state, generation + CAST(state = 'active_new' AND before <> 'active_new' AS BIGINT)
+  FROM (SELECT o.*, f.generation, f.state AS before, CASE WHEN gone THEN 'relist_pending' WHEN NOT pre AND f.state IN ('relist_pending', 'pending', 'pending_official') THEN 'active_new' ELSE f.state END AS state
+        FROM f JOIN o ON o.o_custkey = f.o_custkey AND o.n = f.n + 1))
+SELECT o_custkey, o_orderkey, state, generation FROM f"""

@@ -222,6 +222,7 @@ SELECT instrument_key, min(lag) AS lag_min, max(lag) AS lag_max, CAST(sum(lag) A
               CASE WHEN o_orderkey % 3 > 0 THEN length(o_orderpriority) || ':' || o_orderpriority ELSE '~' END)) AS row_sha FROM orders""",
     "h3_checksum_text": f"""WITH {EVENTS_SQL}
 SELECT record_index, regexp_replace(replace(price::VARCHAR, '.', ''), '^0+', '') || regexp_replace(replace(quantity::VARCHAR, '.', ''), '^0+', '') AS text FROM ev""",
-    "h4_cadence_phase": f"""SELECT c_custkey, CAST(floor(CAST(('0x' || substr(sha256(c_name), 1, 15))::BIGINT AS HUGEINT) * {60 * SECOND} // {1 << 60}) AS BIGINT) AS phase_ns,
+    "h4_cadence_phase": f"""SELECT c_custkey, CAST((('0x' || substr(sha256(c_name), 1, 8))::BIGINT::HUGEINT * {60 * SECOND} + (('0x' || substr(sha256(c_name), 9, 8))::BIGINT::HUGEINT * {60 * SECOND} + (('0x' || substr(sha256(c_name), 17, 8))::BIGINT::HUGEINT * {60 * SECOND}
+         + ('0x' || substr(sha256(c_name), 25, 8))::BIGINT::HUGEINT * {60 * SECOND} // {1 << 32}) // {1 << 32}) // {1 << 32}) // {1 << 32} AS BIGINT) AS phase_ns,
        c_custkey - c_custkey % 10 AS floor FROM customer""",
 }

@@ -296,8 +296,10 @@ _STATE = "CASE WHEN a.key IS NULL THEN 'missing_left' WHEN b.key IS NULL THEN 'm
 
 
 def _digest_sql(source: str, key: str, d: str) -> str:
-    return f"""leaf AS (SELECT {key}, ('0x' || substr({d}, 1, 8))::BIGINT % 256 AS b, sha256(string_agg({d}, '' ORDER BY {d})) AS leaf, count(*) AS n FROM {source} GROUP BY 1, 2)
-SELECT {key}, sha256(string_agg(leaf, '' ORDER BY b)) AS digest, CAST(sum(n) AS BIGINT) AS rows FROM leaf GROUP BY 1"""
+    return f"""l3 AS (SELECT {key}, substr({d}, 1, 6) AS p, sha256(string_agg({d}, '' ORDER BY {d})) AS h, count(*) AS n FROM {source} GROUP BY 1, 2),
+l2 AS (SELECT {key}, substr(p, 1, 4) AS p, sha256(string_agg(h, '' ORDER BY p)) AS h, sum(n) AS n FROM l3 GROUP BY {key}, substr(p, 1, 4)),
+l1 AS (SELECT {key}, substr(p, 1, 2) AS p, sha256(string_agg(h, '' ORDER BY p)) AS h, sum(n) AS n FROM l2 GROUP BY {key}, substr(p, 1, 2))
+SELECT {key}, sha256(string_agg(h, '' ORDER BY p)) AS digest, CAST(sum(n) AS BIGINT) AS rows FROM l1 GROUP BY 1"""
 
 
 _GRACE = """m0 AS (SELECT l_partkey, year(l_shipdate) * 12 + month(l_shipdate) AS month, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS t FROM lineitem GROUP BY 1, 2),

@@ -1,4 +1,4 @@
-"""Schemas of raw events. Payloads stay text until a job needs their fields."""
+"""Schemas of raw events. Payloads stay text until a job needs their fields. The names of the fields."""
 
 from __future__ import annotations
 

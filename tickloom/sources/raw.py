@@ -19,6 +19,9 @@ from ..schemas import ENVELOPE, PART_KEYS
 BLOCK = 1 << 22
 
 
+MAX_BROADCAST_CAPABILITIES = 10_000
+
+
 def inventory(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """path, size and sha256 of each file under root; unfinished files (.partial) are left out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
@@ -171,7 +174,9 @@ def dispositions(manifests: DataFrame, files: DataFrame, intents: DataFrame, tom
 
 
 def with_capability(rows: DataFrame, capabilities: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with their market's capabilities; the dimension has a row for each exchange and market (a few dozen)."""
-    return rows.join(F.broadcast(capabilities), keys, "left")
+    """Rows with their market's capabilities. The dimension has a row for each exchange and market, a few dozen; more than
+    MAX_BROADCAST_CAPABILITIES are joined by a shuffle."""
+    small = capabilities.limit(MAX_BROADCAST_CAPABILITIES + 1).count() <= MAX_BROADCAST_CAPABILITIES
+    return rows.join(F.broadcast(capabilities) if small else capabilities, keys, "left")
 
 
