@@ -95,6 +95,9 @@ def test_near_duplicates(spark, docs, texts):
             reach |= new
         assert got[i] == (len(s), min(reach), i == min(reach)), i
     assert near_dedup.near_duplicates(empty(docs)).count() == 0
+    odd = spark.createDataFrame([(None, "a b c d e"), (None, None), (1, "a b c d e f"), (1, "x"), (1, "x")], "doc_id long, text string")
+    rows = [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.near_duplicates(odd, words=4).collect()]
+    assert sorted(rows, key=str) == sorted([(None, 2, None, True), (None, 0, None, True), (1, 3, 1, True), (1, 1, 1, True), (1, 1, 1, True)], key=str)
 
 
 def test_near_duplicates_of_a_group(spark):
