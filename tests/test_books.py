@@ -13,7 +13,7 @@ def book(spark, *rows):
 
 def validity(spark, rule, *rows):
     frame = book(spark, *[(kind, seq, prev, first, n, [], []) for n, (kind, seq, prev, first) in enumerate(rows)])
-    return [r.valid for r in b.validated(frame, ["k"], ["time_ns"], rule).orderBy("time_ns").collect()]
+    return [r.valid for r in b.validated(frame, ["k"], ["time_ns"], rule, 2).orderBy("time_ns").collect()]
 
 
 def test_continuity_rules(spark):
@@ -29,7 +29,7 @@ def test_continuity_rules(spark):
 
 
 def test_state_at_window_end(spark):
-    frame = b.segmented(book(spark, ("snapshot", 1, None, None, 0, [["10", "2"]], [["11", "1"]]), ("update", 2, 1, None, 5, [["10", "0"], ["9", "4"]], [])), ["k"], ["seq"])
+    frame = b.segmented(book(spark, ("snapshot", 1, None, None, 0, [["10", "2"]], [["11", "1"]]), ("update", 2, 1, None, 5, [["10", "0"], ["9", "4"]], [])), ["k"], ["seq"], 1)
     ends = b.segment_ends(frame, ["k"], "time_ns", 20)
     levels = b.exploded_levels(frame, ["k", "segment", "seq", "time_ns"]).join(ends, ["k", "segment"])
     states = b.states_at(b.lifetimes(levels, ["k"], "seq", "time_ns", "until"), ["k"], 10)

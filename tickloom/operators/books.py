@@ -9,16 +9,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import imbalance, microprice, mid
+from ..functions.scalar import HOUR, floor_to, imbalance, microprice, mid
+from .ordered import carried
 
 NUMBER = "decimal(18,9)"
 
 
-def segmented(messages: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def segmented(messages: DataFrame, keys: list[str], order: list[str], width: int) -> DataFrame:
     """Adds `segment`: how many authoritative messages (kind = snapshot) came so far. Segments do not depend on each other,
-    since an authority replaces all state; segment 0 has none."""
-    run = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return messages.withColumn("segment", F.sum(F.when(F.col("kind") == "snapshot", 1).otherwise(0)).over(run))
+    since an authority replaces all state; segment 0 has none.
+
+    Authorities are counted inside stretches of `width` of the first order column, and the counts of those before added."""
+    one = F.when(F.col("kind") == "snapshot", 1).otherwise(0)
+    rows = carried(messages, keys, [floor_to(order[0], width)], "_before", F.sum(one), F.sum)
+    run = Window.partitionBy(*keys, "_s0").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("segment", F.sum(one).over(run) + F.coalesce("_before", F.lit(0))).drop("_before", "_s0")
 
 
 # Continuity: whether a message breaks its segment. Each rule sees the window of the segment before the message.
@@ -73,9 +78,10 @@ CONTINUITY: dict[str, Callable] = {
 }
 
 
-def validated(messages: DataFrame, keys: list[str], order: list[str], rule: str) -> DataFrame:
-    """Adds segment, `break` and `valid`: a segment is invalid from its first break on, and before any authority."""
-    rows = segmented(messages, keys, order)
+def validated(messages: DataFrame, keys: list[str], order: list[str], rule: str, width: int) -> DataFrame:
+    """Adds segment (see segmented()), `break` and `valid`: a segment is invalid from its first break on, and before any
+    authority."""
+    rows = segmented(messages, keys, order, width)
     w = Window.partitionBy(*keys, "segment").orderBy(*order)
     gap = F.coalesce(F.when(F.col("kind") == "snapshot", F.lit(False)).otherwise(CONTINUITY[rule](w)), F.lit(False))
     rows = rows.withColumn("break", gap)
@@ -115,6 +121,12 @@ def states_at(stands: DataFrame, keys: list[str], interval: int) -> DataFrame:
     return ends.select(*keys, "side", "price", "quantity", F.explode(F.sequence("_first", F.col("to_ns") - 1, F.lit(interval).cast("long"))).alias("window_end_ns"))
 
 
+def update_counts(messages: DataFrame, keys: list[str], time: str, interval: int) -> DataFrame:
+    """Of each window: its end, and the number of messages in it that are no authority."""
+    end = (floor_to(time, interval) + interval).alias("window_end_ns")
+    return messages.filter("kind <> 'snapshot'").groupBy(*keys, end).agg(F.count(F.lit(1)).alias("updates"))
+
+
 def book_features(levels: DataFrame, keys: list[str], depths: tuple[int, ...] = (1, 5)) -> DataFrame:
     """Mid, spread, microprice, quantity and notional of the best levels, and imbalance, of each key's book."""
     better = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
@@ -136,20 +148,25 @@ def book_features(levels: DataFrame, keys: list[str], depths: tuple[int, ...] =
     return rows.withColumns({"mid": mid(b, a), "spread": a - b, "microprice": microprice(b, bq, a, aq), f"imbalance_{top}": imbalance(F.col(f"bid_notional_{top}"), F.col(f"ask_notional_{top}"))})
 
 
-def last_authority(messages: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    """As of each message: the columns of the newest authoritative message so far, also from earlier hours."""
-    run = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    latest = F.last(F.when(F.col("kind") == "snapshot", F.struct(*columns)), ignorenulls=True).over(run)
-    return messages.withColumn("authority", latest)
+def last_authority(messages: DataFrame, keys: list[str], order: list[str], columns: list[str], width: int) -> DataFrame:
+    """As of each message: the columns of the newest authoritative message so far, also from earlier stretches of `width` of
+    the first order column."""
+    authority = F.when(F.col("kind") == "snapshot", F.struct(*columns))
+    newest = F.max_by(authority, F.when(F.col("kind") == "snapshot", F.struct(*order)))
+    rows = carried(messages, keys, [floor_to(order[0], width)], "_before", newest, lambda c: F.last(c, ignorenulls=True))
+    run = Window.partitionBy(*keys, "_s0").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    latest = F.last(authority, ignorenulls=True).over(run)
+    return rows.withColumn("authority", F.coalesce(latest, "_before")).drop("_before", "_s0")
 
 
 def valid_coverage(messages: DataFrame, keys: list[str], time: str, interval: int) -> DataFrame:
     """Of each window: how long the book was valid, and how old its last message is at the window's end.
 
-    A message's state lasts until the next one; a state that spans windows is cut at each.
+    A message's state lasts until the next one, also of a later hour; a state that spans windows is cut at each.
     """
-    w = Window.partitionBy(*keys).orderBy(time)
-    rows = messages.withColumn("_next", F.lead(time).over(w)).filter(F.col("_next") > F.col(time))
+    rows = carried(messages, keys, [floor_to(time, HOUR)], "_after", F.min(time), F.min, ahead=True)
+    w = Window.partitionBy(*keys, "_s0").orderBy(time)
+    rows = rows.withColumn("_next", F.coalesce(F.lead(time).over(w), "_after")).filter(F.col("_next") > F.col(time))
     start = F.col(time) - F.pmod(F.col(time), F.lit(interval))
     cut = rows.select(*keys, F.col(time).alias("_t"), "_next", "valid", F.explode(F.sequence(start, F.col("_next") - 1, F.lit(interval).cast("long"))).alias("window_start_ns"))
     length = F.least(F.col("_next"), F.col("window_start_ns") + interval) - F.greatest(F.col("_t"), F.col("window_start_ns"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import HOUR, floor_to
+from .ordered import carried
 
 
 def publish_revision(frame: DataFrame, root: str, revisions: DataFrame | None, key: dict[str, str], revision: int, lineage: list[str], row_digest: str) -> DataFrame:
@@ -43,13 +44,16 @@ def affected_hours(late: DataFrame, snapshots: DataFrame, keys: list[str], time:
     """Hours whose revisions late inputs touch: from the input's own to that of the next authoritative snapshot, or of the
     horizon if there is none; inputs older than the bound are left to explicit reprocessing (`too_late`).
 
-    The next snapshot comes from one ordered stream of both, not from a range join.
+    The next snapshot comes from one ordered stream of both, not from a range join: of the same hour, else the first of
+    the hours after.
     """
     both = late.select(*keys, F.col(time).alias("_t"), F.lit(False).alias("_s"), "received_at_ns").unionByName(
         snapshots.select(*keys, F.col(time).alias("_t"), F.lit(True).alias("_s"), F.lit(None).cast("long").alias("received_at_ns"))
     )
-    ahead = Window.partitionBy(*keys).orderBy("_t").rangeBetween(1, Window.unboundedFollowing)
-    rows = both.withColumn("_next", F.min(F.when(F.col("_s"), F.col("_t"))).over(ahead)).filter(~F.col("_s"))
+    snapshot = F.min(F.when(F.col("_s"), F.col("_t")))
+    both = carried(both, keys, [floor_to("_t", HOUR)], "_after", snapshot, F.min, ahead=True)
+    ahead = Window.partitionBy(*keys, "_s0").orderBy("_t").rangeBetween(1, Window.unboundedFollowing)
+    rows = both.withColumn("_next", F.coalesce(snapshot.over(ahead), "_after")).filter(~F.col("_s"))
     last = F.least(F.coalesce(F.col("_next"), F.col("_t") + horizon_ns), F.col("_t") + horizon_ns)
     hours = F.explode(F.sequence(floor_to("_t", HOUR), floor_to(last - 1, HOUR), F.lit(HOUR))).alias("hour_ns")
     late_ = (F.col("received_at_ns") - F.col("_t") > max_age_ns).alias("too_late")

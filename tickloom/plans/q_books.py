@@ -13,6 +13,8 @@ from .tables import EVENTS_SQL, doubles, events, table, trades
 
 KEY = ["instrument_key"]
 STEP = 6 * HOUR
+#: Numbers of messages that are one stretch of an instrument's history.
+STRETCH = 10_000
 END = 1_800_000_000_000_000_000
 
 
@@ -41,18 +43,18 @@ ms AS (SELECT *, sum(CASE WHEN kind = 'snapshot' THEN 1 ELSE 0 END) OVER (PARTIT
 
 def _continuity(rule):
     def query(spark, sf_dir):
-        rows = b.validated(messages(spark, sf_dir), KEY, ["seq"], rule)
+        rows = b.validated(messages(spark, sf_dir), KEY, ["seq"], rule, STRETCH)
         return rows.groupBy(*KEY, "segment").agg(F.count(F.lit(1)).alias("messages"), F.sum(F.col("break").cast("int")).alias("breaks"), F.sum(F.col("valid").cast("int")).alias("valid"))
 
     return query
 
 
 def e5_segments(spark, sf_dir):
-    return b.segmented(messages(spark, sf_dir), KEY, ["seq"]).groupBy(*KEY, "segment").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
+    return b.segmented(messages(spark, sf_dir), KEY, ["seq"], STRETCH).groupBy(*KEY, "segment").agg(F.min("seq").alias("first"), F.max("seq").alias("last"))
 
 
 def e6_validity(spark, sf_dir):
-    return b.validated(messages(spark, sf_dir), KEY, ["seq"], "okx").select("seq", "valid", "break")
+    return b.validated(messages(spark, sf_dir), KEY, ["seq"], "okx", STRETCH).select("seq", "valid", "break")
 
 
 def j3_levels(spark, sf_dir):
@@ -60,7 +62,7 @@ def j3_levels(spark, sf_dir):
 
 
 def _states(spark, sf_dir):
-    rows = b.segmented(messages(spark, sf_dir), KEY, ["seq"])
+    rows = b.segmented(messages(spark, sf_dir), KEY, ["seq"], STRETCH)
     ends = b.segment_ends(rows, KEY, "time_ns", END)
     levels = b.exploded_levels(rows, [*KEY, "segment", "seq", "time_ns"]).join(ends, [*KEY, "segment"])
     last = rows.groupBy(*KEY).agg(F.max("time_ns").alias("last"))
@@ -73,7 +75,10 @@ def c8_book_states(spark, sf_dir):
 
 
 def e20_book_features(spark, sf_dir):
-    return b.book_features(_one_quantity(_states(spark, sf_dir)), [*KEY, "window_end_ns"])
+    keys = [*KEY, "window_end_ns"]
+    rows = b.book_features(_one_quantity(_states(spark, sf_dir)), keys)
+    updates = b.update_counts(messages(spark, sf_dir), KEY, "time_ns", STEP)
+    return rows.join(updates, keys, "left").fillna(0, ["updates"])
 
 
 def _one_quantity(states):
@@ -83,12 +88,12 @@ def _one_quantity(states):
 
 def e19_valid_coverage(spark, sf_dir):
     """Of messages of one time the last in order tells the state."""
-    rows = b.validated(messages(spark, sf_dir), KEY, ["seq"], "okx")
+    rows = b.validated(messages(spark, sf_dir), KEY, ["seq"], "okx", STRETCH)
     return b.valid_coverage(rows.groupBy(*KEY, "time_ns").agg(F.max_by("valid", "seq").alias("valid")), KEY, "time_ns", STEP)
 
 
 def c9_authority(spark, sf_dir):
-    rows = b.last_authority(messages(spark, sf_dir), KEY, ["seq"], ["seq", "time_ns"])
+    rows = b.last_authority(messages(spark, sf_dir), KEY, ["seq"], ["seq", "time_ns"], STRETCH)
     return rows.select("seq", F.col("authority.seq").alias("authority_seq"))
 
 
@@ -102,7 +107,7 @@ def d15_deep_features(spark, sf_dir):
 
 
 def e4g_checksum_chain(spark, sf_dir):
-    rows = b.segmented(messages(spark, sf_dir), KEY, ["seq"])
+    rows = b.segmented(messages(spark, sf_dir), KEY, ["seq"], STRETCH)
     return b.checksum_chain(rows.select(*KEY, "segment", "seq", "kind", "bids", "asks", "checksum"), KEY, "seq")
 
 
@@ -296,8 +301,9 @@ ORACLES |= {
 n AS (SELECT *, row_number() OVER (PARTITION BY instrument_key, window_end_ns, side ORDER BY CASE side WHEN 'bid' THEN -p ELSE p END) AS l FROM o),
 f AS (SELECT instrument_key, window_end_ns, max(p) FILTER (WHERE side = 'bid' AND l = 1) AS bid_price, max(q) FILTER (WHERE side = 'bid' AND l = 1) AS bid_quantity, max(p) FILTER (WHERE side = 'ask' AND l = 1) AS ask_price, max(q) FILTER (WHERE side = 'ask' AND l = 1) AS ask_quantity,
   {', '.join(f"coalesce(sum({x}) FILTER (WHERE side = '{s}' AND l <= {d}), 0) AS {s}_{nm}_{d}" for d in (1, 5) for s in ('bid', 'ask') for nm, x in (('quantity', 'q'), ('notional', 'p * q')))} FROM n GROUP BY 1, 2)
-SELECT *, (bid_price + ask_price) / 2 AS mid, ask_price - bid_price AS spread, (bid_price * ask_quantity + ask_price * bid_quantity) / nullif(bid_quantity + ask_quantity, 0) AS microprice,
-  (bid_notional_5 - ask_notional_5) / nullif(bid_notional_5 + ask_notional_5, 0) AS imbalance_5 FROM f""",
+SELECT f.*, (bid_price + ask_price) / 2 AS mid, ask_price - bid_price AS spread, (bid_price * ask_quantity + ask_price * bid_quantity) / nullif(bid_quantity + ask_quantity, 0) AS microprice,
+  (bid_notional_5 - ask_notional_5) / nullif(bid_notional_5 + ask_notional_5, 0) AS imbalance_5, coalesce(updates, 0) AS updates
+FROM f LEFT JOIN (SELECT instrument_key, time_ns - time_ns % {STEP} + {STEP} AS window_end_ns, count(*) AS updates FROM ms WHERE kind = 'update' GROUP BY 1, 2) u USING (instrument_key, window_end_ns)""",
     "e19_valid_coverage": f"""WITH {_valid_sql('e4a_link')}, a AS (SELECT instrument_key, time_ns, arg_max(valid, seq) AS valid FROM val GROUP BY 1, 2),
 n AS (SELECT *, lead(time_ns) OVER (PARTITION BY instrument_key ORDER BY time_ns) AS nx FROM a),
 c AS (SELECT instrument_key, time_ns, nx, valid, unnest(range(CAST(time_ns - time_ns % {STEP} AS BIGINT), CAST(nx AS BIGINT), {STEP})) AS window_start_ns FROM n WHERE nx > time_ns)

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import DAY, HOUR, floor_to
+from ..functions.scalar import DAY, HOUR, SECOND, floor_to
 from ..operators import revisions as rv
 from ..sources import raw
+from .q_books import MESSAGES_SQL, messages
 from .tables import EVENTS_SQL, events, table, trades
 
+#: A delay from which on an event counts as late.
+LATE = SECOND // 2
+
 PART = ["instrument_key", "worker_instance_id"]
 
 
@@ -89,11 +93,20 @@ def a8_latest_revision(spark, sf_dir):
     return rv.latest_revisions(_revisions(spark, sf_dir), ["l_suppkey"]).select("l_suppkey", "rev", "records")
 
 
+def late_events(spark, sf_dir):
+    """Events that came at least half a second after their time."""
+    late = events(spark, sf_dir).filter(F.col("received_at_ns") - F.col("event_time_ns") >= LATE)
+    return late.select("instrument_key", F.col("event_time_ns").alias("t"), "received_at_ns")
+
+
+def authorities(spark, sf_dir):
+    """Times of the authoritative book messages."""
+    return messages(spark, sf_dir).filter("kind = 'snapshot'").select("instrument_key", F.col("time_ns").alias("t"))
+
+
 def c11_affected_hours(spark, sf_dir):
-    t = trades(spark, sf_dir)
-    late = t.filter("record_index % 25 = 0").withColumn("t", F.coalesce("event_time_ns", "received_at_ns"))
-    snaps = t.filter("record_index % 61 = 2").withColumn("t", F.col("time_ns"))
-    return rv.affected_hours(late, snaps, ["instrument_key"], "t", 12 * HOUR, DAY)
+    late = late_events(spark, sf_dir)
+    return rv.affected_hours(late, authorities(spark, sf_dir), ["instrument_key"], "t", 12 * HOUR, DAY)
 
 
 def c12_cleanup(spark, sf_dir):
@@ -160,8 +173,9 @@ SELECT *, CASE WHEN differing = '' THEN 'equal' ELSE 'different' END AS state FR
   WHEN k % 13 = 6 THEN 'cleanup_pending' ELSE 'present' END AS disposition FROM mf) SELECT disposition, count(*) AS n, CAST(sum(k) AS BIGINT) AS keys FROM s GROUP BY 1""",
     "a12_capabilities": "SELECT n_regionkey * 10 AS depth, count(*) AS customers FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey GROUP BY 1",
     "a8_latest_revision": """WITH r AS (SELECT l_suppkey, l_orderkey % 5 AS rev, count(*) AS records FROM lineitem GROUP BY 1, 2), c AS (SELECT l_suppkey, max(rev) AS rev FROM r WHERE (l_suppkey + rev) % 4 <> 0 GROUP BY 1) SELECT l_suppkey, rev, records FROM r JOIN c USING (l_suppkey, rev)""",
-    "c11_affected_hours": f"""WITH {EVENTS_SQL}, l AS (SELECT instrument_key, coalesce(event_time_ns, received_at_ns) AS t, received_at_ns AS r FROM tr WHERE record_index % 25 = 0), s AS (SELECT instrument_key, time_ns AS t FROM tr WHERE record_index % 61 = 2),
-n AS (SELECT l.*, (SELECT min(s.t) FROM s WHERE s.instrument_key = l.instrument_key AND s.t > l.t) AS nx FROM l),
+    "c11_affected_hours": f"""WITH {MESSAGES_SQL}, l AS (SELECT instrument_key, event_time_ns AS t, received_at_ns AS r FROM ev WHERE received_at_ns - event_time_ns >= {LATE}), s AS (SELECT instrument_key, time_ns AS s FROM ms WHERE kind = 'snapshot'),
+b AS (SELECT instrument_key, t, r, NULL AS s FROM l UNION ALL SELECT instrument_key, s, NULL, s FROM s),
+n0 AS (SELECT *, min(s) OVER (PARTITION BY instrument_key ORDER BY t RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nx FROM b), n AS (SELECT * FROM n0 WHERE s IS NULL),
 h AS (SELECT instrument_key, r - t > {DAY} AS late, unnest(range(t - t % {HOUR}, least(coalesce(nx, t + {12 * HOUR}), t + {12 * HOUR}), {HOUR})) AS hour_ns FROM n)
 SELECT instrument_key, hour_ns, count(*) AS inputs, min(late) AS too_late FROM h GROUP BY 1, 2""",
     "c12_cleanup": f"""WITH {_MAN}, t AS (SELECT l_orderkey AS k, count(DISTINCT l_linenumber % 2) AS n FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1),

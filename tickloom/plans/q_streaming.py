@@ -60,9 +60,7 @@ def i5_stream_dedup(spark, sf_dir):
 
 
 def i4_late_revisions(spark, sf_dir):
-    t = trades(spark, sf_dir)
-    late = t.filter("record_index % 25 = 0").select(KEY, F.coalesce("event_time_ns", "received_at_ns").alias("t"), "received_at_ns")
-    snaps = t.filter("record_index % 61 = 2").select(KEY, F.col("time_ns").alias("t"))
+    late, snaps = q_storage.late_events(spark, sf_dir), q_storage.authorities(spark, sf_dir)
     return s.results(_stream(late), each=lambda batch, _: rv.affected_hours(batch, snaps, [KEY], "t", 12 * HOUR, DAY)).groupBy(KEY, "hour_ns").agg(F.sum("inputs").alias("inputs"), F.min("too_late").alias("too_late"))
 
 

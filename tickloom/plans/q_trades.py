@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import DAY, HOUR, SECOND, cadence_phase, checksum_text, decode_key, encode_key, floor_to, row_digest, storage_hour, turnover
+from ..operators.ordered import positions
 from ..operators.trades import INTERVALS, deduplicated, expectation_grid, filled_bars, normalise_trades, reconciled_candles, trade_bars
 from .tables import EVENTS_SQL, doubles, events, table, trades
 
@@ -111,16 +112,18 @@ def c18_candle_reconciliation(spark, sf_dir):
 
 
 def f1_canonical_order(spark, sf_dir):
-    w = Window.partitionBy(*KEYS).orderBy(*ORDER)
-    return trades(spark, sf_dir).select(*KEYS, "record_index", F.row_number().over(w).cast("long").alias("position"))
+    rows = positions(trades(spark, sf_dir), KEYS, ORDER, [floor_to("time_ns", HOUR)])
+    return rows.select(*KEYS, "record_index", "position")
 
 
 def f2_causal_order(spark, sf_dir):
     """Worker runs by their first receive time; inside a run by receive time and locator, never by event time."""
-    run = Window.partitionBy(*KEYS, "worker_instance_id")
-    rows = trades(spark, sf_dir).withColumn("run_start", F.min("received_at_ns").over(run))
-    w = Window.partitionBy(*KEYS).orderBy("run_start", "worker_instance_id", "received_at_ns", "record_index")
-    return rows.select(*KEYS, "record_index", F.row_number().over(w).cast("long").alias("position"))
+    t = trades(spark, sf_dir)
+    run = [*KEYS, "worker_instance_id"]
+    rows = t.join(t.groupBy(*run).agg(F.min("received_at_ns").alias("run_start")), run)
+    order = ["run_start", "worker_instance_id", "received_at_ns", "record_index"]
+    stretch = [F.col("run_start"), F.col("worker_instance_id"), floor_to("received_at_ns", HOUR)]
+    return positions(rows, KEYS, order, stretch).select(*KEYS, "record_index", "position")
 
 
 def d27_latency(spark, sf_dir):
