@@ -10,6 +10,7 @@ from tickloom.functions.scalar import HOUR
 from tickloom.operators import books as b
 from tickloom.operators.ordered import positions
 from tickloom.operators.revisions import affected_hours
+from tickloom.operators.windows import expectation_intervals
 
 SCHEMA = "k string, kind string, seq long, prev_seq long, time_ns long, valid boolean"
 
@@ -53,3 +54,10 @@ def test_hours_up_to_the_next_snapshot(spark):
             for hour in range(t // HOUR, (min([*after, t + 12 * HOUR]) - 1) // HOUR + 1):
                 want[k, hour * HOUR] = want.get((k, hour * HOUR), 0) + 1
     assert got == want
+
+
+def test_a_checkpoint_closes_the_one_before(spark):
+    rows = [("a", 0, 1), ("a", 0, 2), ("a", 3 * HOUR, 4), ("a", 3 * HOUR + 5, 3), ("b", 9, 1)]
+    frame = spark.createDataFrame(rows, "k string, t long, n long")
+    got = {(r.k, r.n): (r.start_ns, r.end_ns) for r in expectation_intervals(frame, ["k"], "t", "n", 9 * HOUR).collect()}
+    assert got == {("a", 2): (0, 3 * HOUR), ("a", 4): (3 * HOUR, 3 * HOUR + 5), ("a", 3): (3 * HOUR + 5, 9 * HOUR), ("b", 1): (9, 9 * HOUR)}

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalar import floor_to
+from ..functions.scalar import HOUR, floor_to
+from .ordered import carried
 from .trades import expectation_grid
 
 # Kinds of control events and what they count.
 CONTROL_COUNTS = {"gap_detected": "gap_count", "reconnect": "reconnect_count", "parse_error": "parse_error_count", "checksum_error": "checksum_error_count", "queue_overflow": "queue_overflow_count"}
+#: Events of request rates that quality windows count besides.
+RATE_COUNTS = {"throttled": "throttle_count", "interval_stretched": "stretch_count"}
 
 
 def derivative_windows(updates: DataFrame, keys: list[str], time: str, interval: int, order: list[str], coverage: DataFrame) -> DataFrame:
@@ -32,17 +35,21 @@ def derivative_windows(updates: DataFrame, keys: list[str], time: str, interval:
     ).drop("_oi_first", "_liquidated")
 
 
-def expectation_intervals(checkpoints: DataFrame, keys: list[str], effective: str, end: int | Column) -> DataFrame:
-    """What was expected from when to when: a checkpoint closes the one before."""
-    w = Window.partitionBy(*keys).orderBy(effective)
-    close = F.coalesce(F.lead(effective).over(w), F.lit(end) if isinstance(end, int) else end)
-    return checkpoints.withColumns({"start_ns": F.col(effective), "end_ns": close}).filter("end_ns > start_ns")
+def expectation_intervals(checkpoints: DataFrame, keys: list[str], effective: str, tie: str, end: int | Column) -> DataFrame:
+    """What was expected from when to when: a checkpoint closes the one before, also of an earlier hour. Of those of one time
+    the last by `tie` counts."""
+    rows = carried(checkpoints, keys, [floor_to(effective, HOUR)], "_after", F.min(effective), F.min, ahead=True)
+    w = Window.partitionBy(*keys, "_s0").orderBy(effective, tie)
+    close = F.coalesce(F.lead(effective).over(w), "_after", F.lit(end) if isinstance(end, int) else end)
+    return rows.withColumns({"start_ns": F.col(effective), "end_ns": close}).filter("end_ns > start_ns").drop("_after", "_s0")
 
 
 def quality_windows(expectations: DataFrame, events: DataFrame, keys: list[str], time: str, interval: int) -> DataFrame:
-    """A row for each expected window: inputs, share with exchange time, worst latency, control counts, egress changes, and
-    the age of the last event at the window's end (null until there is one). Silent windows have zero counts."""
-    control = [F.count(F.when(F.col("control_kind") == k, 1)).alias(n) for k, n in CONTROL_COUNTS.items()]
+    """A row for each expected window: inputs, share with exchange time, worst latency, control counts, throttles, stretches,
+    number of egresses, and the age of the last event at the window's end (null until there is one). Silent windows have zero
+    counts."""
+    kinds = CONTROL_COUNTS | RATE_COUNTS
+    control = [F.count(F.when(F.col("control_kind") == k, 1)).alias(n) for k, n in kinds.items()]
     inputs = F.col("control_kind").isNull()
     actual = events.withColumn("window_start_ns", floor_to(time, interval)).groupBy(*keys, "window_start_ns").agg(
         F.count(F.when(inputs, 1)).alias("input_count"), F.count(F.when(inputs & (F.col("time_source") == "exchange"), 1)).alias("exchange_time_count"),
@@ -51,7 +58,7 @@ def quality_windows(expectations: DataFrame, events: DataFrame, keys: list[str],
     rows = expectation_grid(expectations, keys, interval).join(actual, [*keys, "window_start_ns"], "left")
     run = Window.partitionBy(*keys).orderBy("window_start_ns").rowsBetween(Window.unboundedPreceding, 0)
     age = F.col("window_start_ns") + interval - F.last("_last", ignorenulls=True).over(run)
-    zero = ["input_count", "exchange_time_count", "egress_count", *CONTROL_COUNTS.values()]
+    zero = ["input_count", "exchange_time_count", "egress_count", *kinds.values()]
     return rows.withColumn("last_event_age_ns", age).withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero}).withColumn(
         "exchange_time_ratio", F.when(F.col("input_count") > 0, F.col("exchange_time_count") / F.col("input_count"))
     ).drop("_last")

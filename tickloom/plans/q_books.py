@@ -148,18 +148,18 @@ def b11_contract_sizes(spark, sf_dir):
 
 
 def _checkpoints(spark, sf_dir):
-    return trades(spark, sf_dir).filter("record_index % 700 = 3").select(*KEY, F.col("time_ns").alias("effective_ns"), "record_index")
+    return trades(spark, sf_dir).select(*KEY, F.col("time_ns").alias("effective_ns"), "record_index")
 
 
 def e17_expectation_intervals(spark, sf_dir):
-    rows = w.expectation_intervals(_checkpoints(spark, sf_dir), KEY, "effective_ns", END)
+    rows = w.expectation_intervals(_checkpoints(spark, sf_dir), KEY, "effective_ns", "record_index", END)
     return rows.select(*KEY, "record_index", "start_ns", "end_ns")
 
 
 def d22_quality_windows(spark, sf_dir):
     t = trades(spark, sf_dir).filter("time_source <> 'receive_outlier'")
-    kinds = list(w.CONTROL_COUNTS)
-    kind = F.when(F.col("record_index") % 41 == 0, F.get(F.array(*map(F.lit, kinds)), (F.col("record_index") % 5).cast("int")))
+    kinds = [*w.CONTROL_COUNTS, *w.RATE_COUNTS]
+    kind = F.when(F.col("record_index") % 41 == 0, F.get(F.array(*map(F.lit, kinds)), (F.col("record_index") % 7).cast("int")))
     e = t.select(*KEY, "time_ns", "time_source", kind.alias("control_kind"), (F.col("received_at_ns") - F.col("time_ns")).alias("latency_ns"), F.concat(F.lit("egress-"), F.col("user_id") % 2).alias("egress_id"))
     x = t.groupBy(*KEY).agg((F.min("time_ns") - STEP).alias("start_ns"), (F.max("time_ns") + STEP).alias("end_ns"))
     return w.quality_windows(x, e, KEY, "time_ns", HOUR)
@@ -168,7 +168,7 @@ def d22_quality_windows(spark, sf_dir):
 def c10_control_counts(spark, sf_dir):
     e = events(spark, sf_dir)
     kinds = list(w.CONTROL_COUNTS)
-    control = e.filter("record_index % 10 = 1").select(F.get(F.array(*map(F.lit, kinds)), (F.col("user_id") % 5).cast("int")).alias("control_kind"), F.array(F.col("worker_instance_id"), F.concat_ws(":", "instrument_key", F.col("user_id") % 2)).alias("targets"))
+    control = e.select(F.get(F.array(*map(F.lit, kinds)), (F.col("user_id") % 5).cast("int")).alias("control_kind"), F.array(F.col("worker_instance_id"), F.concat_ws(":", "instrument_key", F.col("user_id") % 2)).alias("targets"))
     parts = e.select(F.col("worker_instance_id").alias("part")).union(e.select(F.concat_ws(":", "instrument_key", F.col("user_id") % 3))).distinct()
     return w.control_by_part(control, parts, "part")
 
@@ -321,15 +321,15 @@ SELECT instrument_key, window_start_ns, CASE length(instrument_key) % 3 WHEN 0 T
   CAST(coalesce(l, CASE WHEN length(instrument_key) % 6 = 0 THEN 0 END) AS DOUBLE) AS liquidation FROM g""",
     "b16_sparse_fields": f"WITH {EVENTS_SQL} SELECT record_index, CASE WHEN record_index % 3 = 0 THEN CAST(price AS DOUBLE) END AS last, CASE WHEN record_index % 4 = 0 THEN CAST(quantity AS DOUBLE) END AS volume FROM ev",
     "b11_contract_sizes": f"WITH {EVENTS_SQL} SELECT record_index, round(CASE WHEN user_id % 3 = 0 THEN CAST(quantity AS DOUBLE) * 0.5::DOUBLE / nullif(CAST(price AS DOUBLE), 0) ELSE CAST(quantity AS DOUBLE) * 0.5::DOUBLE END, 9) AS base_quantity FROM ev",
-    "e17_expectation_intervals": f"""WITH {EVENTS_SQL} SELECT instrument_key, record_index, time_ns AS start_ns, coalesce(lead(time_ns) OVER (PARTITION BY instrument_key ORDER BY time_ns), {END}) AS end_ns FROM tr WHERE record_index % 700 = 3""",
-    "d22_quality_windows": f"""WITH {EVENTS_SQL}, t AS (SELECT *, CASE WHEN record_index % 41 = 0 THEN ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow'][record_index % 5 + 1] END AS k, time_ns - time_ns % {HOUR} AS ws FROM tr WHERE time_source <> 'receive_outlier'),
+    "e17_expectation_intervals": f"""WITH {EVENTS_SQL} SELECT instrument_key, record_index, time_ns AS start_ns, coalesce(lead(time_ns) OVER (PARTITION BY instrument_key ORDER BY time_ns, record_index), {END}) AS end_ns FROM tr QUALIFY end_ns > start_ns""",
+    "d22_quality_windows": f"""WITH {EVENTS_SQL}, t AS (SELECT *, CASE WHEN record_index % 41 = 0 THEN ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow', 'throttled', 'interval_stretched'][record_index % 7 + 1] END AS k, time_ns - time_ns % {HOUR} AS ws FROM tr WHERE time_source <> 'receive_outlier'),
 x AS (SELECT instrument_key, min(time_ns) - {STEP} AS a, max(time_ns) + {STEP} AS b FROM t GROUP BY 1), g AS (SELECT instrument_key, unnest(range(a - a % {HOUR}, b, {HOUR})) AS window_start_ns FROM x),
 n AS (SELECT instrument_key, ws AS window_start_ns, count(*) FILTER (WHERE k IS NULL) AS i, count(*) FILTER (WHERE k IS NULL AND time_source = 'exchange') AS e, max(received_at_ns - time_ns) FILTER (WHERE k IS NULL) AS l, max(time_ns) FILTER (WHERE k IS NULL) AS last, count(DISTINCT user_id % 2) FILTER (WHERE k IS NULL) AS eg,
-  {', '.join(f"count(*) FILTER (WHERE k = '{k}') AS {n}" for k, n in w.CONTROL_COUNTS.items())} FROM t GROUP BY 1, 2)
-SELECT instrument_key, window_start_ns, coalesce(i, 0) AS input_count, coalesce(e, 0) AS exchange_time_count, l AS latency_max_ns, coalesce(eg, 0) AS egress_count, {', '.join(f'coalesce({n}, 0) AS {n}' for n in w.CONTROL_COUNTS.values())},
+  {', '.join(f"count(*) FILTER (WHERE k = '{k}') AS {n}" for k, n in (w.CONTROL_COUNTS | w.RATE_COUNTS).items())} FROM t GROUP BY 1, 2)
+SELECT instrument_key, window_start_ns, coalesce(i, 0) AS input_count, coalesce(e, 0) AS exchange_time_count, l AS latency_max_ns, coalesce(eg, 0) AS egress_count, {', '.join(f'coalesce({n}, 0) AS {n}' for n in (w.CONTROL_COUNTS | w.RATE_COUNTS).values())},
   window_start_ns + {HOUR} - max(last) OVER (PARTITION BY instrument_key ORDER BY window_start_ns) AS last_event_age_ns, CASE WHEN i > 0 THEN e / i END AS exchange_time_ratio FROM g LEFT JOIN n USING (instrument_key, window_start_ns)""",
     "c10_control_counts": f"""WITH {EVENTS_SQL}, p AS (SELECT worker_instance_id AS part FROM ev UNION SELECT instrument_key || ':' || (user_id % 3) FROM ev),
-c AS (SELECT ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow'][user_id % 5 + 1] AS k, unnest([worker_instance_id, instrument_key || ':' || (user_id % 2)]) AS part FROM ev WHERE record_index % 10 = 1)
+c AS (SELECT ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow'][user_id % 5 + 1] AS k, unnest([worker_instance_id, instrument_key || ':' || (user_id % 2)]) AS part FROM ev)
 SELECT p.part, {', '.join(f"count(*) FILTER (WHERE k = '{k}') AS {n}" for k, n in w.CONTROL_COUNTS.items())} FROM p LEFT JOIN c ON c.part = p.part GROUP BY 1""",
     "h10_book_math": f"""WITH {EVENTS_SQL}, e AS (SELECT record_index, CAST(price AS DOUBLE) AS p, CAST(quantity AS DOUBLE) AS q, CAST(price AS DOUBLE) + 0.5::DOUBLE AS a FROM ev)
 SELECT record_index, round((p + a) / 2, 6) AS mid, round((p * 10.0::DOUBLE + a * q) / nullif(q + 10.0::DOUBLE, 0), 6) AS microprice, round((q - 10.0::DOUBLE) / nullif(q + 10.0::DOUBLE, 0), 6) AS imbalance, round((a - p) / nullif(p, 0) * 10000, 6) AS bps FROM e""",
