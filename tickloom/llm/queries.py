@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, language_id, licenses, quality, secret_scan, warc
+from . import bpe, decontam, fingerprints, language_id, licenses, periodic, quality, secret_scan, warc
 from .exact_dedup import exact_dedup
 from .near_dedup import near_duplicates
 from .suffix_dedup import repeated_spans
@@ -71,6 +71,27 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbour_likeness(read(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.with_planted_periods(read(spark, sf_dir, "documents")))
+    line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    length, period = -best["l"], best["p"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["s"].alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", lambda r: F.concat(line(r), F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -83,6 +104,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": op8_near_dedup,
         "op9_warc": op9_warc,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_fingerprints": op11_fingerprints,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
