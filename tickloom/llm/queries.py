@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, fingerprints, language_id, licenses, periodic, quality, secret_scan, warc
+from . import bpe, collocations, decontam, fingerprints, language_id, licenses, periodic, quality, secret_scan, warc
 from .exact_dedup import exact_dedup
 from .near_dedup import near_duplicates
 from .suffix_dedup import repeated_spans
@@ -75,6 +75,10 @@ def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbour_likeness(read(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic.periodic_runs(periodic.with_planted_periods(read(spark, sf_dir, "documents")))
     line = lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")])
@@ -105,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_byte_bpe": op10_byte_bpe,
         "op11_fingerprints": op11_fingerprints,
+        "op12_collocations": op12_collocations,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
@@ -123,6 +128,7 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
        sha256(t) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY t)""",
+        "op12_collocations": collocations.oracle_sql(),
         "op9_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 r AS (SELECT *, row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) > 1 AND strlen(html) >= 1000 AS again, max(page_id) OVER (PARTITION BY html) AS first FROM p)
