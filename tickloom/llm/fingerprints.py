@@ -104,8 +104,10 @@ def entropy_counts(texts: list[bytes], width: int) -> np.ndarray:
 def features(texts: list[bytes], level: Level, rank: np.ndarray) -> list[np.ndarray]:
     """The hashes of each text's selected windows, in the order of the text, each once.
 
-    Of each `width` neighbouring windows the first of lowest rank gets a vote, and those with enough votes are selected. A text that
-    has windows, but none with enough votes, gives those of lowest rank; one that is shorter than a window is its own feature.
+    Of each `width` neighbouring windows one of lowest rank gets a vote, and those with enough votes are selected. Of equal ranks a
+    hash of the first four bytes decides, and where a text repeats itself, the place modulo `width`, so that such stretches have
+    features too. A text that has windows, but none with enough votes, gives those of lowest rank; one that is shorter than a window
+    is its own feature.
     """
     width = level.width
     text, number = _joined(texts)
@@ -113,17 +115,20 @@ def features(texts: list[bytes], level: Level, rank: np.ndarray) -> list[np.ndar
     out = [np.zeros(0, np.uint64)] * len(texts)
     if len(text) >= width:
         bins = entropy_bins(text, width)
-        keys = np.where(number[: len(bins)] == number[width - 1 :], rank[bins], BINS + 1) << 40 | np.arange(len(bins))
+        place = np.arange(len(bins))
+        ranks = np.where(number[: len(bins)] == number[width - 1 :], rank[bins], BINS + 1)
+        begin = np.ndarray(len(bins), ">u4", text, strides=(1,)).astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(20)
+        keys = ((ranks << 12 | begin) << 5 | (place - edges[number[: len(bins)]]) % width) << 34 | place
         chosen = np.zeros(0, np.int64)
         if len(keys) >= width:
             whole = number[: len(keys) - width + 1] == number[2 * width - 2 :]
-            winners = _least_of(keys, width)[whole] & (1 << 40) - 1
+            winners = _least_of(keys, width)[whole] & (1 << 34) - 1
             chosen = np.flatnonzero(np.bincount(winners, minlength=len(keys)) >= level.votes)
         bare = np.ones(len(texts), bool)
         bare[number[chosen]] = False
         more = [chosen]
         for i in np.flatnonzero(bare & (np.diff(edges) >= width)):
-            some = keys[edges[i] : edges[i + 1] - width + 1] >> 40
+            some = ranks[edges[i] : edges[i + 1] - width + 1]
             more.append(edges[i] + np.flatnonzero(some == some.min()))
         chosen = np.sort(np.concatenate(more))
         hashes = np.full(len(chosen), 0x9E3779B97F4A7C15, np.uint64)
