@@ -70,8 +70,12 @@ def _states(spark, sf_dir):
     return b.states_at(stands, KEY, STEP)
 
 
+def state_sums(states):
+    return states.groupBy(*KEY, "window_end_ns", "side").agg(F.count(F.lit(1)).alias("levels"), F.sum("quantity").cast("double").alias("quantity"), F.sum("price").cast("double").alias("prices"))
+
+
 def c8_book_states(spark, sf_dir):
-    return _states(spark, sf_dir).groupBy(*KEY, "window_end_ns", "side").agg(F.count(F.lit(1)).alias("levels"), F.sum("quantity").cast("double").alias("quantity"), F.sum("price").cast("double").alias("prices"))
+    return state_sums(_states(spark, sf_dir))
 
 
 def e20_book_features(spark, sf_dir):

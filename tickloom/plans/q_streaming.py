@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.scalar import DAY, HOUR
+from ..operators import books
 from ..operators import revisions as rv
 from ..shared import shared_dir
 from ..shipping import ship
 from ..streaming import jobs as s
+from ..streaming import replay
 from . import q_books, q_storage, q_telemetry, q_universe
 from .tables import EVENTS_SQL, doubles, events, table, trades
 
@@ -84,6 +86,22 @@ def i8_book_validity(spark, sf_dir):
     return s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq"))
 
 
+def _replay(spark, sf_dir, depth=None):
+    rows = q_books.messages(spark, sf_dir).select(KEY, "seq", "prev_seq", "first_seq", "kind", "time_ns", "bids", "asks", "checksum")
+    return s.results(replay.replayed(_stream(rows, "seq"), [KEY], "okx", depth), states=True)
+
+
+def i8_book_replay(spark, sf_dir):
+    """Validity of each message, and the checksum's text of the book that it leaves, trimmed to ten levels a side."""
+    return _replay(spark, sf_dir, 10).filter("NOT late").select("seq", "segment", "valid", "break", F.sha2("text", 256).alias("text_sha256"))
+
+
+def i8_level_states(spark, sf_dir):
+    """The levels at each window's end, as c8_book_states gives them, from the levels that the stream kept in its state."""
+    stands = replay.level_lifetimes(_replay(spark, sf_dir), [KEY], q_books.END)
+    return q_books.state_sums(books.states_at(stands, [KEY], q_books.STEP))
+
+
 def i9_silences(spark, sf_dir):
     rows = events(spark, sf_dir).select(KEY, F.col("received_at_ns").alias("at"))
     return s.results(s.silences(_stream(rows, "at"), KEY, "at", 2 * HOUR))
@@ -100,7 +118,7 @@ def i11_gap_generations(spark, sf_dir):
     return found.join(rows.select(KEY, "seq"), "seq").groupBy(KEY).agg(F.sum(F.col("break").cast("int")).alias("gaps"), F.sum((~F.col("valid")).cast("int")).alias("invalid"))
 
 
-QUERIES = {f.__name__: f for f in (i1_ingest, i2_stream_bars, i4_late_revisions, i5_stream_dedup, i6_hysteresis, i7_lifecycle, i8_book_validity, i9_silences, i10_slo_monitor, i11_gap_generations)}
+QUERIES = {f.__name__: f for f in (i1_ingest, i2_stream_bars, i4_late_revisions, i5_stream_dedup, i6_hysteresis, i7_lifecycle, i8_book_validity, i8_book_replay, i8_level_states, i9_silences, i10_slo_monitor, i11_gap_generations)}
 
 _VALID = q_books._valid_sql("e4a_link")
 ORACLES = {
@@ -115,6 +133,20 @@ SELECT instrument_key, b AS silent_from, t AS silent_to FROM p WHERE t - b > {2
     "i10_slo_monitor": q_telemetry.ORACLES["e8_slo_transitions"],
     "i11_gap_generations": f"WITH {_VALID} SELECT instrument_key, CAST(sum(broke::INT) AS BIGINT) AS gaps, CAST(sum((NOT valid)::INT) AS BIGINT) AS invalid FROM val GROUP BY 1",
 }
+ORACLES["i8_level_states"] = q_books.ORACLES["c8_book_states"]
+# The book of each segment, a message at a time: a level is taken out, put in again if it has a quantity, and ten a side stay.
+_SIDE = lambda name, side, order: f"""CASE WHEN m.side = '{side}' THEN {order}(list_concat(list_filter({name}, lambda x: x.p <> m.p),
+    CASE WHEN m.q > 0 THEN [{{'p': m.p, 'q': m.q}}] ELSE [] END))[:10] ELSE {name} END"""
+_LEVEL = "coalesce(list_aggregate(list_transform({}, lambda x: ltrim(x.p::VARCHAR, '0') || ltrim(x.q::VARCHAR, '0')), 'string_agg', ''), '')"
+ORACLES["i8_book_replay"] = f"""WITH RECURSIVE {_VALID},
+mr AS (SELECT instrument_key AS k, segment, seq, side, valid, broke, CAST(floor(price) AS BIGINT) AS p, CASE WHEN CAST(quantity AS INT) % 10 = 0 THEN 0 ELSE CAST(quantity AS INT) END AS q,
+  row_number() OVER (PARTITION BY instrument_key, segment ORDER BY seq) AS n FROM val),
+book AS (
+  SELECT DISTINCT k, segment, CAST(0 AS BIGINT) AS seq, false AS valid, false AS broke, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(p BIGINT, q INT)[]) AS bids, CAST([] AS STRUCT(p BIGINT, q INT)[]) AS asks FROM mr
+  UNION ALL
+  SELECT m.k, m.segment, m.seq, m.valid, m.broke, m.n, {_SIDE('bids', 'bid', 'list_reverse_sort')}, {_SIDE('asks', 'ask', 'list_sort')}
+  FROM book JOIN mr m ON m.k = book.k AND m.segment = book.segment AND m.n = book.n + 1)
+SELECT seq, CAST(segment AS BIGINT) AS segment, valid, broke AS break, sha256({_LEVEL.format('asks')} || {_LEVEL.format('bids')}) AS text_sha256 FROM book WHERE n > 0"""
 ORACLES["i4_late_revisions"] = q_storage.ORACLES["c11_affected_hours"]
 ORACLES["i7_lifecycle"] = """WITH RECURSIVE o AS (
   SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, o_orderstatus = 'F' AS gone, o_orderstatus = 'P' AS pre, o_orderkey % 3 = 0 AS official, o_orderkey % 5 = 0 AS first FROM orders),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -35,11 +36,23 @@ def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "app
     stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(put).trigger(availableNow=True).start().awaitTermination()
 
 
-def results(stream: DataFrame, mode: str = "append", keys: list[str] | None = None, each: Callable | None = None) -> DataFrame:
-    """Runs a stream over what is there and reads its result; with keys, the last update of each."""
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """The state store that streams with several states for a key need, for the streams that start inside."""
+    name, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def results(stream: DataFrame, mode: str = "append", keys: list[str] | None = None, each: Callable | None = None, states: bool = False) -> DataFrame:
+    """Runs a stream over what is there and reads its result; with keys, the last update of each; with states, in state_store()."""
     spark = stream.sparkSession
     folder = f"{shared_dir(spark)}/stream-{uuid.uuid4()}"
-    run_available(stream, f"{folder}/out", f"{folder}/checkpoint", mode, each)
+    with state_store(spark) if states else nullcontext():
+        run_available(stream, f"{folder}/out", f"{folder}/checkpoint", mode, each)
     rows = spark.read.parquet(f"{folder}/out")
     if keys:
         w = Window.partitionBy(*keys).orderBy(F.desc("batch"))
