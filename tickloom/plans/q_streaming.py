@@ -6,13 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import DAY, HOUR
+from ..functions.scalar import DAY, HOUR, SECOND, floor_to
 from ..operators import books
 from ..operators import revisions as rv
 from ..shared import shared_dir
 from ..shipping import ship
 from ..streaming import jobs as s
-from ..streaming import replay
+from ..streaming import replay, revise, silence
 from . import q_books, q_storage, q_telemetry, q_universe
 from .tables import EVENTS_SQL, doubles, events, table, trades
 
@@ -66,6 +66,37 @@ def i4_late_revisions(spark, sf_dir):
     return s.results(_stream(late), each=lambda batch, _: rv.affected_hours(batch, snaps, [KEY], "t", 12 * HOUR, DAY)).groupBy(KEY, "hour_ns").agg(F.sum("inputs").alias("inputs"), F.min("too_late").alias("too_late"))
 
 
+#: Lateness up to which a trade's window waits for it, and beyond which it is left to explicit reprocessing, in ns.
+DELAY, TOO_LATE = SECOND // 2, SECOND * 9 // 10
+
+
+def _by_lateness(spark, sf_dir):
+    t = trades(spark, sf_dir).select(KEY, "time_ns", "received_at_ns", "record_index", "price", "quantity")
+    return t.withColumn("lateness", F.col("received_at_ns") - F.col("time_ns"))
+
+
+def i3_closed_bars(spark, sf_dir):
+    """Hours that the watermark has closed, each told once: rows that come within the delay are all in them."""
+    rows = _by_lateness(spark, sf_dir).filter(F.col("lateness") <= DELAY).withColumn("ts", F.timestamp_micros(F.expr("time_ns div 1000")))
+    bars = s.windowed_bars(_stream(rows, "received_at_ns"), [KEY], "ts", "1 hour", ["time_ns", "record_index"], f"{DELAY // 1_000_000} milliseconds")
+    return doubles(s.results(bars).withColumn("window_start", F.unix_micros("window_start")))
+
+
+def _hour_bars(rows):
+    at = F.struct("time_ns", "record_index")
+    return rows.groupBy(KEY, floor_to("time_ns", HOUR).alias("hour_ns")).agg(F.count(F.lit(1)).alias("trades"), F.sum("quantity").alias("volume"), F.max_by("price", at).alias("close"))
+
+
+def i4_revised_hours(spark, sf_dir):
+    """The bars of both revisions: of the trades in time, and of the hours that late ones touched, which a stream wrote anew."""
+    rows, root = _by_lateness(spark, sf_dir), f"{shared_dir(spark)}/hours-{uuid.uuid4()}"
+    in_time = rows.filter(F.col("lateness") <= DELAY)
+    revise.publish_first(in_time, _hour_bars, [KEY], root)
+    late = _stream(rows.filter(F.col("lateness") > DELAY), "received_at_ns")
+    s.results(late, each=revise.revising(in_time, _hour_bars, [KEY], "time_ns", root, TOO_LATE))
+    return doubles(revise.revisions(spark, [KEY], root))
+
+
 def i6_hysteresis(spark, sf_dir):
     rows = q_universe._months(spark, sf_dir).select("p_partkey", "month", "rank", "eligible")
     return s.results(s.hysteresis(_stream(rows, "month"), "p_partkey", "month", 3))
@@ -107,6 +138,16 @@ def i9_silences(spark, sf_dir):
     return s.results(s.silences(_stream(rows, "at"), KEY, "at", 2 * HOUR))
 
 
+#: How long an instrument may be silent, in ms.
+SILENCE_MS = 2 * HOUR // 1_000_000
+
+
+def i9_silence_alarms(spark, sf_dir):
+    """Every silence is told, also the one at the end, which no event ends."""
+    rows = events(spark, sf_dir).select(KEY, F.timestamp_millis(F.expr("received_at_ns div 1000000")).alias("at"))
+    return s.results(silence.silence_alarms(_stream(rows, "at"), KEY, "at", "1 second", SILENCE_MS), states=True).select(KEY, "silent_from_ms")
+
+
 def i10_slo_monitor(spark, sf_dir):
     rows = q_telemetry.lags(spark, sf_dir).select("worker_instance_id", "hour", "lag_ns")
     return s.results(s.slo_monitor(_stream(rows, "hour"), "worker_instance_id", "hour", 2, 4_850_000_000))
@@ -118,7 +159,7 @@ def i11_gap_generations(spark, sf_dir):
     return found.join(rows.select(KEY, "seq"), "seq").groupBy(KEY).agg(F.sum(F.col("break").cast("int")).alias("gaps"), F.sum((~F.col("valid")).cast("int")).alias("invalid"))
 
 
-QUERIES = {f.__name__: f for f in (i1_ingest, i2_stream_bars, i4_late_revisions, i5_stream_dedup, i6_hysteresis, i7_lifecycle, i8_book_validity, i8_book_replay, i8_level_states, i9_silences, i10_slo_monitor, i11_gap_generations)}
+QUERIES = {f.__name__: f for f in (i1_ingest, i2_stream_bars, i3_closed_bars, i4_revised_hours, i4_late_revisions, i5_stream_dedup, i6_hysteresis, i7_lifecycle, i8_book_validity, i8_book_replay, i8_level_states, i9_silences, i9_silence_alarms, i10_slo_monitor, i11_gap_generations)}
 
 _VALID = q_books._valid_sql("e4a_link")
 ORACLES = {
@@ -133,6 +174,20 @@ SELECT instrument_key, b AS silent_from, t AS silent_to FROM p WHERE t - b > {2
     "i10_slo_monitor": q_telemetry.ORACLES["e8_slo_transitions"],
     "i11_gap_generations": f"WITH {_VALID} SELECT instrument_key, CAST(sum(broke::INT) AS BIGINT) AS gaps, CAST(sum((NOT valid)::INT) AS BIGINT) AS invalid FROM val GROUP BY 1",
 }
+_HOUR = f"time_ns - time_ns % {HOUR}"
+_CLOSED = f"(SELECT (max(time_ns) // 1000000 - {DELAY // 1_000_000}) * 1000000 FROM t)"
+ORACLES["i3_closed_bars"] = f"""WITH {EVENTS_SQL}, t AS (SELECT * FROM tr WHERE received_at_ns - time_ns <= {DELAY})
+SELECT instrument_key, ({_HOUR}) // 1000 AS window_start, CAST(arg_min(price, (time_ns, record_index)) AS DOUBLE) AS open, CAST(max(price) AS DOUBLE) AS high, CAST(min(price) AS DOUBLE) AS low,
+  CAST(arg_max(price, (time_ns, record_index)) AS DOUBLE) AS close, CAST(sum(quantity) AS DOUBLE) AS base_volume, count(*) AS trade_count FROM t GROUP BY 1, 2
+HAVING window_start * 1000 + {HOUR} <= {_CLOSED}"""
+_BARS = "count(*) AS trades, CAST(sum(quantity) AS DOUBLE) AS volume, CAST(arg_max(price, (time_ns, record_index)) AS DOUBLE) AS close"
+ORACLES["i4_revised_hours"] = f"""WITH {EVENTS_SQL}, t AS (SELECT *, {_HOUR} AS hour_ns, received_at_ns - time_ns AS late FROM tr)
+SELECT instrument_key, hour_ns, 1 AS rev, {_BARS} FROM t WHERE late <= {DELAY} GROUP BY 1, 2
+UNION ALL
+SELECT instrument_key, hour_ns, CASE WHEN bool_or(late <= {DELAY}) THEN 2 ELSE 1 END AS rev, {_BARS} FROM t WHERE late <= {TOO_LATE} GROUP BY 1, 2 HAVING bool_or(late > {DELAY})"""
+ORACLES["i9_silence_alarms"] = f"""WITH {EVENTS_SQL}, m AS (SELECT DISTINCT instrument_key, received_at_ns // 1000000 AS t FROM ev),
+p AS (SELECT *, lead(t) OVER (PARTITION BY instrument_key ORDER BY t) AS after, max(t) OVER () - 1000 AS mark FROM m)
+SELECT instrument_key, t AS silent_from_ms FROM p WHERE after - t > {SILENCE_MS} OR (after IS NULL AND mark - t > {SILENCE_MS})"""
 ORACLES["i8_level_states"] = q_books.ORACLES["c8_book_states"]
 # The book of each segment, a message at a time: a level is taken out, put in again if it has a quantity, and ten a side stay.
 _SIDE = lambda name, side, order: f"""CASE WHEN m.side = '{side}' THEN {order}(list_concat(list_filter({name}, lambda x: x.p <> m.p),

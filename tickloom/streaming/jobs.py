@@ -171,24 +171,6 @@ def silences(events: DataFrame, key: str, time: str, threshold: int) -> DataFram
     return stateful(events, [key], time, {"last": -1}, step, f"{key} string, silent_from long, silent_to long", "last long")
 
 
-def silence_alarms(events: DataFrame, key: str, time: str, delay: str, threshold_ms: int) -> DataFrame:
-    """A row for each key whose watermark time passes its last event by the threshold: an alarm from a timer, not from an event."""
-
-    def run(k: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
-        if kept.hasTimedOut:
-            (last,) = kept.get
-            kept.remove()
-            yield pd.DataFrame({key: [k[0]], "last_event_ms": [last]})
-            return
-        last = max(int(b[time].max().timestamp() * 1000) for b in batches)
-        last = max(last, kept.get[0]) if kept.exists else last
-        kept.update((last,))
-        kept.setTimeoutTimestamp(max(last + threshold_ms, kept.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({key: [], "last_event_ms": []})
-
-    return events.withWatermark(time, delay).groupBy(key).applyInPandasWithState(run, f"{key} string, last_event_ms long", "last_event_ms long", "append", GroupStateTimeout.EventTimeTimeout)
-
-
 def slo_monitor(samples: DataFrame, key: str, slot: str, slots: int, slo_ns: int) -> DataFrame:
     """Transitions between met and breached of a rolling histogram over the last `slots` slots. The state is the histogram of each
     live slot; a sample older than that ends the stream with an error. Batches should hold whole slots: each slot's state is
