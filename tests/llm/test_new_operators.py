@@ -233,7 +233,7 @@ def phrase_rows():
 
 @pytest.mark.parametrize("max_words,hot", [(3, False), (3, True), (5, False)])
 def test_collocations(spark, monkeypatch, max_words, hot):
-    monkeypatch.setattr(collocations, "GATHERED_EDGES", 700)
+    monkeypatch.setattr(collocations, "GATHERED_WORDS", 700)
     monkeypatch.setattr(collocations, "BLOCK_BYTES", 900)
     if hot:  # every node that is there more than once counts as hot
         monkeypatch.setattr(collocations, "_hot_nodes", lambda texts, node, n, seed: [tuple(r) for r in collocations._edges(texts, n, seed).groupBy(*node).count().filter("count > 1").drop("count").collect()])
@@ -267,3 +267,18 @@ def test_collocations_of_nothing_and_shared_numbers(spark, monkeypatch):
     assert seeds == [0, 1] and got == brute_phrases(rows)
     one = np.frombuffer(b"internationalisation extraordinarily\n", np.uint8)
     assert (collocations.word_numbers(one, 0)[3] < 0).all() and (collocations.word_numbers(one, 0)[3] != collocations.word_numbers(one, 1)[3]).all()
+
+
+def test_wide_grams_are_added_up_in_halves():
+    rng = np.random.default_rng(2)
+    number, lang = rng.integers(1, 1 << 60, 3000), rng.integers(0, 5000, 3000).astype(np.int32)
+    number[1000:1500] = number[:500]
+    lang[1000:1500] = lang[:500]
+    left = rng.integers(1, 7, 3000).astype(np.int8)
+    left[-6:] = np.arange(6, 0, -1)
+    columns, times = collocations.added_up(lang, number, left, 6)
+    got = collections.Counter()
+    for row, n in zip(zip(*columns, strict=True), times, strict=True):
+        got[tuple(map(int, row))] += int(n)
+    want = collections.Counter((int(lang[i]), *[int(number[i + k]) if left[i] > k else 0 for k in range(6)]) for i in range(3000))
+    assert got == want

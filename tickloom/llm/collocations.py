@@ -17,15 +17,15 @@ from .textops import checkpointed, partitions, shared_dir, text_of
 from .workers import give_back
 
 #: Bytes of texts that are cut into words at once; a longer text is cut alone.
-BLOCK_BYTES = 4 << 20
-#: Edges that a task gathers before it adds up equal ones.
-GATHERED_EDGES = 1 << 21
+BLOCK_BYTES = 1 << 20
+#: Words that a task gathers before it adds up their grams.
+GATHERED_WORDS = 1 << 19
 #: Bytes of a word up to which its number holds the word itself; longer words are numbered by 63 bits of hash.
 SHORT_BYTES = 7
 #: Stands where a piece has ended.
 END = 0
 #: Documents of the sample that finds nodes too frequent for one partition.
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS = 1000
 #: Parts into which the edges of such a node are dealt, by their last word.
 HOT_PARTS = 64
 #: Parts of a language's candidates that are ranked apart before the best of each are ranked together.
@@ -66,29 +66,28 @@ def word_numbers(text: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, n
     return starts, lengths, piece, number.view(np.int64)
 
 
-def added_up(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows, and how often each is there. Rows are packed into 64 bits by numbering each column's values."""
-    codes, values, bits = [], [], 0
-    for c in columns:
-        code, value = pd.factorize(c)
-        codes.append(code.astype(np.uint64))
-        values.append(value)
-        bits += max(1, int(len(value) - 1).bit_length())
-    if bits > 64:  # halves have fewer values
-        half = len(columns[0]) // 2
-        parts = [added_up([c[:half] for c in columns]), added_up([c[half:] for c in columns])]
+def added_up(lang: np.ndarray, number: np.ndarray, left: np.ndarray, size: int, begin: int = 0, end: int | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct grams of `size` words that begin at the words [begin, end), as columns of languages and words, END where fewer
+    words are left in the piece; and how often each is there. A gram is packed into 64 bits by numbering the words."""
+    end = len(number) if end is None else end
+    codes, words = pd.factorize(number[begin : end + size - 1])
+    bits, lang_bits = len(words).bit_length(), int(lang.max()).bit_length()
+    if size * bits + lang_bits > 64:  # halves have fewer words
+        middle = (begin + end) // 2
+        parts = [added_up(lang, number, left, size, a, b) for a, b in ((begin, middle), (middle, end))]
         return [np.concatenate(x) for x in zip(*(p[0] for p in parts), strict=True)], np.concatenate([p[1] for p in parts])
-    key = np.zeros(len(columns[0]), np.uint64)
-    for code, value in zip(codes, values, strict=True):
-        key = key << np.uint64(max(1, int(len(value) - 1).bit_length())) | code
+    key = lang[begin:end].astype(np.uint64)
+    codes = np.concatenate([codes + 1, np.zeros(size, codes.dtype)]).astype(np.uint64)
+    for k in range(size):
+        key = key << np.uint64(bits) | np.where(left[begin:end] > k, codes[k : k + end - begin], np.uint64(0))
     key.sort()
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     times, key, out = np.diff(np.append(first, len(key))), key[first], []
-    for value in reversed(values):
-        size = np.uint64(max(1, int(len(value) - 1).bit_length()))
-        out.append(value[(key & (np.uint64(1) << size) - np.uint64(1)).astype(np.int64)])
-        key = key >> size
-    return out[::-1], times
+    words = np.concatenate([[END], words])
+    for _ in range(size):
+        out.append(words[(key & np.uint64((1 << bits) - 1)).astype(np.int64)])
+        key = key >> np.uint64(bits)
+    return [key.astype(np.int64), *out[::-1]], times
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[str]]]:
@@ -109,31 +108,29 @@ def _edges(texts: DataFrame, max_words: int, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
-        parts: list[list[np.ndarray]] = []
+        parts: list[tuple[np.ndarray, ...]] = []
+        gathered = 0
 
         def summed() -> pa.RecordBatch:
-            columns, times = added_up([np.concatenate(c) for c in zip(*parts, strict=True)])
+            columns, times = added_up(*[np.concatenate(c) for c in zip(*parts, strict=True)], max_words)
             parts.clear()
             lang = pa.array(list(known), pa.string()).take(pa.array(columns[0]))
             return pa.RecordBatch.from_arrays([lang, *map(pa.array, columns[1:]), pa.array(times)], names=["lang", *names, "n"])
 
-        gathered = 0
         for block, langs in _blocks(batches):
             starts, _, piece, number = word_numbers(np.frombuffer(b"".join(block), np.uint8), seed)
-            code = np.array([known.setdefault(x, len(known)) for x in langs], np.int64)
+            if not len(number):
+                continue
+            code = np.array([known.setdefault(x, len(known)) for x in langs], np.int32)
             of_text = np.searchsorted(np.cumsum([len(t) for t in block]), starts, "right")
-            columns = [code[of_text], number]
-            for k in range(1, max_words):
-                follows = np.full(len(number), END, np.int64)
-                same = piece[k:] == piece[:-k] if len(piece) > k else np.zeros(0, bool)
-                follows[: len(same)] = np.where(same, number[k:], END)
-                columns.append(follows)
-            for at in range(0, len(number), GATHERED_EDGES):
-                parts.append([c[at : at + GATHERED_EDGES] for c in columns])
-                gathered += len(parts[-1][0])
-                if gathered >= GATHERED_EDGES:
-                    yield summed()
-                    gathered = 0
+            left = np.ones(len(number), np.int8)  # words of the piece from here on, as far as they count
+            for k in range(1, min(max_words, len(number))):
+                left[:-k] += piece[k:] == piece[:-k]
+            parts.append((code[of_text], number, left))
+            gathered += len(number)
+            if gathered >= GATHERED_WORDS:
+                yield summed()
+                gathered = 0
         if parts:
             yield summed()
         give_back()
@@ -170,9 +167,75 @@ def _hot_nodes(texts: DataFrame, node: list[str], max_words: int, seed: int) ->
     return [tuple(r[c] for c in node) for r in found.filter(F.col("rows") >= least).collect()]
 
 
+def _flows(max_words: int, least: int):
+    """For edges sorted by w1, lang and the other words: adds up equal ones, and what flows out of nodes. Gives lang, words, f, edges:
+    the grams and nodes that occur `least` times or more, the parts of hot nodes, and for the shorter phrases what flows out of each
+    stretch of rows. A node that a batch leaves open is held back, with its edges added up."""
+    names = [f"w{k + 1}" for k in range(max_words)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        held: list[np.ndarray] = []
+        waiting: list[list[np.ndarray]] = []
+        rows = 0
+
+        def worked_off(last: bool) -> pa.RecordBatch:
+            nonlocal held
+            parts = [held, *waiting] if held else waiting
+            lang, *words, times, part = (np.concatenate(c) for c in zip(*parts, strict=True))
+            waiting.clear()
+            new = np.concatenate([[True], (lang[1:] != lang[:-1]) | (words[0][1:] != words[0][:-1])])
+            levels = [new]  # where a phrase of one word, of two words ... begins
+            for w in words[1:]:
+                new = new.copy()
+                new[1:] |= w[1:] != w[:-1]
+                levels.append(new)
+            grams = np.flatnonzero(levels[-1])
+            f, part = np.add.reduceat(times, grams), np.maximum.reduceat(part, grams)
+            lang, words, levels = lang[grams], [w[grams] for w in words], [level[grams] for level in levels[:-1]]
+            held = []
+            if not last:
+                cut = np.flatnonzero(levels[-1])[-1]
+                held = [x[cut:] for x in (lang, *words, f, part)]
+                lang, words, f, part, levels = lang[:cut], [w[:cut] for w in words], f[:cut], part[:cut], [level[:cut] for level in levels]
+            out = []
+
+            def give(at: np.ndarray, size: int, f: np.ndarray, edges: np.ndarray) -> None:
+                blank = np.full(len(at), END, np.int64)
+                out.append([lang[at], *[w[at] for w in words[:size]], *[blank] * (max_words - size), f, edges])
+
+            if len(f):
+                heavy = np.flatnonzero((f >= least) & (words[-1] != END))
+                give(heavy, max_words, f[heavy], np.ones(len(heavy), np.int64))
+                for size in range(1, max_words):
+                    at = np.flatnonzero(levels[size - 1])
+                    flow, edges = np.add.reduceat(f, at), np.diff(np.append(at, len(f)))
+                    ok = words[size - 1][at] != END
+                    if size == max_words - 1:
+                        ok &= (flow >= least) | (np.maximum.reduceat(part, at) >= 0)
+                    give(at[ok], size, flow[ok], edges[ok])
+            columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * (max_words + 3)
+            langs = pa.array(list(known), pa.string()).take(pa.array(columns[0]))
+            return pa.RecordBatch.from_arrays([langs, *map(pa.array, columns[1:])], names=["lang", *names, "f", "edges"])
+
+        for batch in batches:
+            named = batch.column("lang").dictionary_encode()
+            code = np.array([known.setdefault(x, len(known)) for x in named.dictionary.to_pylist()], np.int64)
+            waiting.append([code[named.indices.to_numpy()], *[batch.column(c).to_numpy() for c in (*names, "n", "part")]])
+            rows += batch.num_rows
+            if rows >= GATHERED_WORDS >> 2:
+                yield worked_off(False)
+                rows = 0
+        if waiting or held:
+            yield worked_off(True)
+        give_back()
+
+    return run
+
+
 def _gram_counts(texts: DataFrame, max_words: int, least: int, seed: int) -> DataFrame:
-    """lang, words (array of numbers), f: the phrases of 1 to max_words words that occur `least` times or more, and for each language
-    the number of its words under an empty array.
+    """lang, words (array of numbers), f, edges (by which nodes that begin with the words are left, END included): all words, and the
+    phrases of 2 to max_words words that occur `least` times or more.
 
     Only the longest grams are counted in the texts. They are the edges of a graph, from the node of their first words to that of
     their last ones; a phrase of fewer words occurs as often as flows out of it, where the edges into END stand for the pieces that
@@ -187,24 +250,15 @@ def _gram_counts(texts: DataFrame, max_words: int, least: int, seed: int) -> Dat
         known = texts.sparkSession.createDataFrame([(*h, True) for h in hot], kinds)
         edges = edges.join(F.broadcast(known), node, "left")  # at most 2 rows a partition
         edges = edges.withColumn("part", F.when(F.col("hot"), F.pmod(F.xxhash64(last), F.lit(HOT_PARTS))).otherwise(-1))
+        place = [*node, "part"]
     else:
-        edges = edges.withColumn("part", F.lit(-1).cast("long"))
+        edges, place = edges.withColumn("part", F.lit(-1).cast("long")), node
     # A node's edges are in one partition, or a hot one's in parts, so that this is the only shuffle of the edges.
-    dealt = edges.select("lang", *names, "n", "part").repartition(*node, "part")
-    grams = dealt.filter(F.col(names[-2]) != END).groupBy(*node, "part", last).agg(F.sum("n").alias("a"))
-    heavy = F.when((F.col("a") >= least) & (F.col(last) != END), F.struct(F.col(last).alias("w"), "a"))
-    nodes = grams.groupBy(*node, "part").agg(F.sum("a").alias("f"), F.collect_list(heavy).alias("outs"))
-    words = F.array(*names[:-1])
-    whole = F.transform("outs", lambda o: F.struct(F.array_append(words, o["w"]).alias("words"), o["a"].alias("f")))
-    found = nodes.filter(f"f >= {least} OR part >= 0").select("lang", F.explode(F.concat(F.array(F.struct(words.alias("words"), "f")), whole)).alias("x"))
-    found = found.select("lang", "x.words", "x.f")
-    for k in range(max_words - 2, 0, -1):
-        shorter = dealt.filter(F.col(f"w{k}") != END).groupBy("lang", *names[:k]).agg(F.sum("n").alias("f"))
-        found = found.unionByName(shorter.filter(F.col("f") >= least).select("lang", F.array(*names[:k]).alias("words"), "f"))
-    if hot:  # a hot node's parts are added up; few rows are left by now
-        found = found.groupBy("lang", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-    totals = dealt.groupBy("lang").agg(F.sum("n").alias("f"))
-    return found.unionByName(totals.select("lang", F.expr("CAST(array() AS array<bigint>)").alias("words"), "f"))
+    dealt = edges.select("lang", *names, "n", "part").repartition(*place).sortWithinPartitions("w1", "lang", *names[1:])
+    flows = dealt.mapInArrow(_flows(max_words, least), ", ".join(["lang string", *[f"{c} long" for c in names], "f long", "edges long"]))
+    found = flows.groupBy("lang", *names).agg(F.sum("f").alias("f"), F.sum("edges").alias("edges"))
+    found = found.filter((F.col("f") >= least) | (F.col(names[1]) == END))
+    return found.select("lang", F.filter(F.array(*names), lambda w: w != END).alias("words"), "f", "edges")
 
 
 def _paths(edges: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -215,12 +269,12 @@ def _paths(edges: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     many rounds as the number of edges of the longest path has binary digits. All paths have a first edge: pieces begin somewhere,
     and a node at which one begins is not unary.
     """
-    flow = nodes.select("lang", F.col("words").alias("node"), F.col("f").alias("through"))
+    flow = nodes.filter("edges = 1").select("lang", F.col("words").alias("node"), F.col("f").alias("through"))
     ends = edges.select("lang", "words", "f", F.slice("words", 1, n - 1).alias("source"), F.slice("words", 2, n - 1).alias("target"))
     ends = checkpointed(ends.withColumn("e", F.monotonically_increasing_id()))
     into = ends.select("lang", F.col("target").alias("node"), F.col("e").alias("before"), F.col("f").alias("f_in"))
-    out = ends.select("lang", F.col("source").alias("node"), "e", F.col("f").alias("f_out"))
-    unary = into.join(flow, ["lang", "node"]).filter("f_in = through").join(out, ["lang", "node"]).filter("f_out = through")
+    out = ends.select("lang", F.col("source").alias("node"), "e")
+    unary = into.join(flow, ["lang", "node"]).filter("f_in = through").join(out, ["lang", "node"])
     open_ = checkpointed(unary.select("e", F.col("before").alias("head"), F.lit(1).cast("long").alias("steps")))
     first = ends.join(open_, "e", "left_anti").select("e", F.col("e").alias("head"), F.lit(0).cast("long").alias("steps"))
     first = done = checkpointed(first)
@@ -283,26 +337,27 @@ def collocations(
     texts = docs.select(text_of(text_col).alias("text"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"))
     folder = f"{shared_dir(spark)}/phrases-{uuid.uuid4()}"
 
-    def saved(frame: DataFrame, name: str) -> DataFrame:
-        frame.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+    def saved(frame: DataFrame, name: str, *parts: str) -> DataFrame:
+        frame.write.partitionBy(*parts).parquet(f"{folder}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
 
+    size = F.size("words")
     for seed in count():
-        counts = saved(_gram_counts(texts, max_words, least, seed), f"counts-{seed}")
+        found = _gram_counts(texts, max_words, least, seed).withColumn("frequent", (F.col("f") >= least).cast("int"))
+        every = saved(found, f"counts-{seed}", "frequent")
+        counts = every.filter("frequent = 1").drop("frequent")
         long = counts.select(F.explode("words").alias("number")).filter("number < 0").distinct()
         names = saved(_long_words(texts, seed).join(long, "number", "left_semi").distinct(), f"names-{seed}")
         if names.groupBy("number").count().filter("count > 1").isEmpty():
             break
-    size = F.size("words")
-    totals = counts.filter(size == 0).select("lang", F.col("f").alias("n"))
-    counts = counts.filter(size > 0)
+    totals = every.filter(size == 1).groupBy("lang").agg(F.sum("f").alias("n"))
     nodes = counts.filter(size == max_words - 1)
     paths = checkpointed(_paths(counts.filter(size == max_words), nodes, max_words))
     inner = paths.select("lang", _windows(max_words - 1, 1).alias("words"))
     candidates = (
         paths.select("lang", _windows(max_words).alias("words"), F.col("f").alias("a"))
-        .unionByName(nodes.join(inner, ["lang", "words"], "left_anti").withColumnRenamed("f", "a"))
-        .unionByName(counts.filter((size > 1) & (size < max_words - 1)).withColumnRenamed("f", "a"))
+        .unionByName(nodes.join(inner, ["lang", "words"], "left_anti").select("lang", "words", F.col("f").alias("a")))
+        .unionByName(counts.filter((size > 1) & (size < max_words - 1)).select("lang", "words", F.col("f").alias("a")))
     )
     parts = F.array(F.slice("words", F.lit(1), size - 1), F.slice("words", F.lit(2), size - 1))
     longer = counts.filter(size > 2).select("lang", F.explode(parts).alias("words"), "f").groupBy("lang", "words").agg(F.max("f").alias("longer"))
