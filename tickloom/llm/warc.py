@@ -83,16 +83,12 @@ def write_warc(
     revisit = F.coalesce(F.col("_first_row") != F.col("_row"), F.lit(False))
     size = F.octet_length("_payload")
     count = F.when(revisit, 1).otherwise(F.greatest(F.lit(1), F.ceil(size / F.lit(chunk_bytes)))).cast("int")
+    # A payload is cut once, and its segments do not carry it: they have a block each, and no other text.
+    cut = F.transform(F.sequence(F.lit(1), count), lambda i: F.substring("_payload", (i - 1) * chunk_bytes + 1, F.lit(chunk_bytes)))
     segments = rows.select(
-        "*",
-        revisit.alias("_revisit"),
-        count.alias("_count"),
-        F.sha1("_payload").alias("_digest"),
-        F.explode(F.sequence(F.lit(1), count)).alias("_segment"),
-    )
-    block = F.when(F.col("_revisit"), F.lit(b"")).otherwise(
-        F.substring("_payload", (F.col("_segment") - 1) * chunk_bytes + 1, F.lit(chunk_bytes))
-    )
+        "_row", "_id", f"_{url_col}", "_first_id", "_first_row", revisit.alias("_revisit"), count.alias("_count"), size.alias("_size"),
+        F.sha1("_payload").alias("_digest"), F.posexplode(F.when(revisit, F.array(F.lit(b""))).otherwise(cut)).alias("_at", "_block"),
+    ).withColumn("_segment", F.col("_at") + 1)
     url = F.replace(F.replace(F.col(f"_{url_col}"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
     kind = F.when(F.col("_revisit"), "revisit").when(F.col("_segment") > 1, "continuation").otherwise("response")
     archive = Archive(path, str(uuid.uuid4()))
@@ -106,13 +102,13 @@ def write_warc(
         _line("Page-ID", F.col("_id")),
         _line("WARC-Target-URI", F.coalesce(url, F.lit("urn:page:unknown"))),
         _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("_digest"))),
-        _line("Payload-Length", F.octet_length("_payload")),
+        _line("Payload-Length", F.col("_size")),
         _line("WARC-Profile", F.when(F.col("_revisit"), F.lit("http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"))),
         _line("WARC-Refers-To", F.when(F.col("_revisit"), _record_id(archive, F.col("_first_row"), one))),
         _line("Refers-To-Page-ID", F.when(F.col("_revisit"), F.col("_first_id"))),
         _line("WARC-Segment-Number", F.when(F.col("_count") > 1, segment)),
         _line("WARC-Segment-Origin-ID", F.when(segment > 1, _record_id(archive, F.col("_row"), one))),
-        _line("WARC-Segment-Total-Length", F.when((F.col("_count") > 1) & (segment == F.col("_count")), F.octet_length("_payload"))),
+        _line("WARC-Segment-Total-Length", F.when((F.col("_count") > 1) & (segment == F.col("_count")), F.col("_size"))),
         _line("Segment-Count", F.when(F.col("_count") > 1, F.col("_count"))),
         _line("Record-Row", F.col("_row")),
         _line("Content-Length", F.octet_length("_block")),
@@ -124,7 +120,7 @@ def write_warc(
     info = f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{archive.info_id}>\r\nWARC-Date: {date}\r\nContent-Type: application/warc-fields\r\n"
     info += f"Content-Length: {len(block_)}\r\n\r\n{block_}\r\n\r"
     spark.createDataFrame([(info,)], "value string").coalesce(1).write.text(path, lineSep="\n")
-    segments.withColumn("_block", block).select(record.alias("value")).write.mode("append").text(path, lineSep="\n")
+    segments.select(record.alias("value")).write.mode("append").text(path, lineSep="\n")
     return archive
 
 
