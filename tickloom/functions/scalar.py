@@ -156,11 +156,32 @@ def request_outcome(status: Column | str, explicit_ban: Column | None = None) ->
     )
 
 
+def http_date(text: Column) -> Column:
+    """The forms that mail parsers take: `Sun, 6 Nov 1994 08:49:37 GMT` (also without the day's name, with an offset such as +0100, and
+    with two digits of the year), `Sunday, 06-Nov-94 08:49:37 GMT` and `Sun Nov  6 08:49:37 1994`. Two digits of a year are 2000 to 2068
+    up to 68, else 1969 to 1999. Null for anything else."""
+    first = r"^(?:[A-Za-z]+, *)?([0-9]{1,2})[ -]([A-Za-z]{3})[ -]([0-9]{2}|[0-9]{4}) +([0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?) *([+-][0-9]{4}|[A-Za-z]{1,3})?$"
+    last = r"^[A-Za-z]{3} ([A-Za-z]{3}) +([0-9]{1,2}) ([0-9]{2}:[0-9]{2}:[0-9]{2}) ([0-9]{4})$"
+    part = lambda pattern, n: F.regexp_extract(F.trim(text), pattern, n)
+    is_last = F.rlike(F.trim(text), F.lit(last))
+    year = F.when(is_last, part(last, 4)).otherwise(part(first, 3))
+    full = F.when(F.length(year) == 2, F.concat(F.when(year <= "68", "20").otherwise("19"), year)).otherwise(year)
+    clock = F.when(is_last, part(last, 3)).otherwise(part(first, 4))
+    clock = F.when(F.length(clock) - F.length(F.replace(clock, F.lit(":"))) == 1, F.concat(clock, F.lit(":00"))).otherwise(clock)
+    day, month = F.when(is_last, part(last, 2)).otherwise(part(first, 1)), F.initcap(F.when(is_last, part(last, 1)).otherwise(part(first, 2)))
+    zone = F.when(is_last, F.lit("")).otherwise(part(first, 5))
+    at = F.try_to_timestamp(F.concat_ws(" ", day, month, full, clock, F.lit("+0000")), F.lit("d MMM yyyy H:mm:ss Z"))
+    sign = F.when(zone.startswith("-"), -1).otherwise(1)
+    minutes = F.when(F.rlike(zone, F.lit("^[+-]")), sign * (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 4, 2).cast("int"))).otherwise(0)
+    known = F.upper(zone).isin("", "GMT", "UTC", "UT", "Z") | F.rlike(zone, F.lit("^[+-]"))
+    return F.when(known, F.timestamp_micros(F.unix_micros(at) - minutes.cast("long") * 60_000_000))
+
+
 def retry_after_ns(value: Column | str, now_ns: Column | str, max_digits: int = 9) -> Column:
     """A Retry-After header as a delay: seconds, or an HTTP date; null if it is neither."""
     text = _c(value)
     seconds = F.when(F.length(text) <= max_digits, text.cast("long") * SECOND)
-    date = F.try_to_timestamp(F.regexp_extract(text, r"^[A-Za-z]{3}, (.*) GMT$", 1), F.lit("dd MMM yyyy HH:mm:ss"))
+    date = http_date(text)
     until = F.when(date.isNotNull(), F.greatest(F.lit(0).cast("long"), F.unix_micros(date) * 1000 - _c(now_ns)))
     return F.when(F.rlike(text, F.lit(r"^[0-9]+$")), seconds).otherwise(until)
 
@@ -225,9 +246,37 @@ def ceil_ratio(a: Column | str, b: Column | str) -> Column:
     return ((up - F.pmod(up, _c(b))) / _c(b)).cast("long")
 
 
+def quotient_text(a: Column | str, b: Column | str, digits: int) -> Column:
+    """a / b rounded half to even to so many digits (at most 18), as text, exactly: for whole numbers of up to 38 digits over ones
+    of up to 18, whose quotient has up to 32 digits before the point. Null where b is zero or either is null.
+
+    Long division in two parts: the whole quotient, which is a multiple of b divided by b and so comes out even, and the digits
+    behind the point from what is left, both far from the 38 digits that decimals have.
+    """
+    if not 0 <= digits <= 18:
+        raise ValueError("0 to 18 digits")
+    wide = "decimal(38,0)"
+    top, low = F.abs(_c(a).cast(wide)), F.nullif(F.abs(_c(b).cast("decimal(18,0)")), F.lit(0).cast("decimal(18,0)"))
+    left = top % low
+    whole = ((top - left) / low).cast(wide)
+    shifted = left.cast("decimal(18,0)") * F.lit(10**digits).cast("decimal(19,0)")
+    rest = shifted % low
+    behind = ((shifted - rest) / low).cast(wide)
+    odd = (behind if digits else whole) % 2 == 1
+    up = (rest * 2 > low) | ((rest * 2 == low) & odd)
+    behind = behind + F.when(up & F.lit(digits > 0), 1).otherwise(0)
+    over = behind == F.lit(10**digits).cast(wide)
+    whole = whole + F.when((over & F.lit(digits > 0)) | (up & F.lit(digits == 0)), 1).otherwise(0)
+    behind = F.when(over, F.lit(0).cast(wide)).otherwise(behind)
+    text = F.concat(whole.cast("string"), F.lit("."), F.lpad(behind.cast("string"), digits, "0")) if digits else whole.cast("string")
+    negative = ((_c(a) < 0) != (_c(b) < 0)) & ((whole > 0) | (behind > 0))
+    return F.when(negative, F.concat(F.lit("-"), text)).otherwise(text)
+
+
 def half_even(a: Column | str, b: Column | str, digits: int) -> Column:
-    """a / b rounded half to even, from an exact decimal quotient."""
-    return F.bround(_c(a).cast("decimal(20,6)") / _c(b).cast("decimal(12,3)"), digits)
+    """a / b rounded half to even, from an exact quotient (see quotient_text()) of numbers with up to six digits behind the point."""
+    whole = lambda c: (_c(c).cast("decimal(38,6)") * 1_000_000).cast("decimal(38,0)")
+    return quotient_text(whole(a), whole(b), digits).cast(f"decimal(38,{digits})")
 
 
 def added(a: Column | str, b: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import HOUR, floor_to, imbalance, microprice, mid
-from .ordered import carried
+from .ordered import carried, carried_all
 
 NUMBER = "decimal(18,9)"
 
@@ -26,49 +26,42 @@ def segmented(messages: DataFrame, keys: list[str], order: list[str], width: int
     return rows.withColumn("segment", F.sum(one).over(run) + F.coalesce("_before", F.lit(0))).drop("_before", "_s0")
 
 
-# Continuity: whether a message breaks its segment. Each rule sees the window of the segment before the message.
+# Continuity: whether a message breaks its segment. Each rule sees the number of the segment's message before it (`_last`), the largest
+# number so far (`_seen`) and the message's place in the segment, from 1 (`_place`).
 
-
-def _previous(column: str, w) -> Column:
-    return F.lag(column).over(w)
-
-
-def _link(w) -> Column:
+def _link() -> Column:
     """prev_seq names the last seq. A heartbeat repeats it (seq = prev_seq); a maintenance reset goes back (seq < prev_seq)."""
-    return F.col("prev_seq") != _previous("seq", w)
+    return F.col("prev_seq") != F.col("_last")
 
 
-def _range_ids(w) -> Column:
+def _range_ids() -> Column:
     """first_seq .. seq must reach up to the next number; messages that end before it are stale, not wrong."""
-    seen = F.max("seq").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return (F.col("seq") > seen) & (F.col("first_seq") > seen + 1)
+    return (F.col("seq") > F.col("_seen")) & (F.col("first_seq") > F.col("_seen") + 1)
 
 
-def _named_previous(w) -> Column:
+def _named_previous() -> Column:
     """The first update covers the snapshot's number; later ones name the number before (prev_seq)."""
-    first = F.row_number().over(w) == 2
-    covers = (F.col("first_seq") <= _previous("seq", w)) & (F.col("seq") >= _previous("seq", w))
-    return F.when(first, ~covers).otherwise(F.col("prev_seq") != _previous("seq", w))
+    covers = (F.col("first_seq") <= F.col("_last")) & (F.col("seq") >= F.col("_last"))
+    return F.when(F.col("_place") == 2, ~covers).otherwise(F.col("prev_seq") != F.col("_last"))
 
 
-def _overlap_then_link(w) -> Column:
+def _overlap_then_link() -> Column:
     """The first update overlaps the snapshot; then prev_seq links exactly. A prev_seq of 0 resets."""
-    first = F.row_number().over(w) == 2
-    overlaps = (F.col("prev_seq") < _previous("seq", w)) & (F.col("seq") > _previous("seq", w))
-    return (F.col("prev_seq") != 0) & F.when(first, ~overlaps).otherwise(F.col("prev_seq") != _previous("seq", w))
+    overlaps = (F.col("prev_seq") < F.col("_last")) & (F.col("seq") > F.col("_last"))
+    return (F.col("prev_seq") != 0) & F.when(F.col("_place") == 2, ~overlaps).otherwise(F.col("prev_seq") != F.col("_last"))
 
 
-def _monotone(w) -> Column:
+def _monotone() -> Column:
     """Numbers only grow; a jump is no break, a repeat or a step back is."""
-    return F.col("seq") <= _previous("seq", w)
+    return F.col("seq") <= F.col("_last")
 
 
-def _snapshot_chain(w) -> Column:
+def _snapshot_chain() -> Column:
     """Snapshots reset; numbers between them carry no rule."""
     return F.lit(False)
 
 
-CONTINUITY: dict[str, Callable] = {
+CONTINUITY: dict[str, Callable[[], Column]] = {
     "okx": _link,
     "binance_spot": _range_ids,
     "binance_futures": _named_previous,
@@ -80,13 +73,26 @@ CONTINUITY: dict[str, Callable] = {
 
 def validated(messages: DataFrame, keys: list[str], order: list[str], rule: str, width: int) -> DataFrame:
     """Adds segment (see segmented()), `break` and `valid`: a segment is invalid from its first break on, and before any
-    authority."""
+    authority.
+
+    A prefix scan: what a segment's earlier stretches (`width` of the first order column) leave to the later ones is the last and the
+    largest number, the number of messages, and whether one was a break; so a long segment, also the one before any authority, is the
+    work of many tasks.
+    """
     rows = segmented(messages, keys, order, width)
-    w = Window.partitionBy(*keys, "segment").orderBy(*order)
-    gap = F.coalesce(F.when(F.col("kind") == "snapshot", F.lit(False)).otherwise(CONTINUITY[rule](w)), F.lit(False))
-    rows = rows.withColumn("break", gap)
-    broken = F.max(F.col("break").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.withColumn("valid", (F.col("segment") > 0) & (broken == 0))
+    by, stretch = [*keys, "segment"], [floor_to(order[0], width)]
+    last = lambda c: F.last(c, ignorenulls=True)
+    rows = carried_all(rows, by, stretch, {"_b_last": (F.max_by("seq", F.struct(*order)), last), "_b_seen": (F.max("seq"), F.max), "_b_place": (F.count(F.lit(1)), F.sum)})
+    w = Window.partitionBy(*by, "_s0").orderBy(*order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns(
+        {"_last": F.coalesce(F.lag("seq").over(w), F.col("_b_last")), "_seen": F.greatest(F.max("seq").over(before), F.col("_b_seen")), "_place": F.row_number().over(w) + F.coalesce("_b_place", F.lit(0))}
+    )
+    gap = F.coalesce(F.when(F.col("kind") == "snapshot", F.lit(False)).otherwise(CONTINUITY[rule]()), F.lit(False))
+    rows = rows.withColumn("break", gap).drop("_s0", "_last", "_seen", "_place", "_b_last", "_b_seen", "_b_place")
+    rows = carried_all(rows, by, stretch, {"_broken": (F.max(F.col("break").cast("int")), F.max)})
+    broken = F.greatest(F.max(F.col("break").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.coalesce("_broken", F.lit(0)))
+    return rows.withColumn("valid", (F.col("segment") > 0) & (broken == 0)).drop("_s0", "_broken")
 
 
 def exploded_levels(messages: DataFrame, keep: list[str]) -> DataFrame:
@@ -122,9 +128,27 @@ def states_at(stands: DataFrame, keys: list[str], interval: int) -> DataFrame:
 
 
 def update_counts(messages: DataFrame, keys: list[str], time: str, interval: int) -> DataFrame:
-    """Of each window: its end, and the number of messages in it that are no authority."""
+    """Of each window: its end, and the number of messages in it that are neither an authority nor a heartbeat, which repeats the last
+    number (seq = prev_seq) and changes nothing."""
     end = (floor_to(time, interval) + interval).alias("window_end_ns")
-    return messages.filter("kind <> 'snapshot'").groupBy(*keys, end).agg(F.count(F.lit(1)).alias("updates"))
+    return messages.filter("kind <> 'snapshot' AND NOT seq <=> prev_seq").groupBy(*keys, end).agg(F.count(F.lit(1)).alias("updates"))
+
+
+def valid_at_ends(messages: DataFrame, keys: list[str], order: str, time: str, interval: int) -> DataFrame:
+    """keys, window_end_ns, valid: as of the last message up to each window's end. Only ends of windows with messages have a row; each
+    holds until the next one."""
+    end = (F.col(time) + F.pmod(-F.col(time), F.lit(interval))).alias("window_end_ns")
+    return messages.groupBy(*keys, end).agg(F.max_by("valid", F.struct(time, order)).alias("valid"))
+
+
+def only_valid(features: DataFrame, validity: DataFrame, keys: list[str], kept: list[str]) -> DataFrame:
+    """The features with `valid`, all but keys and `kept` null where the book was not valid at the window's end. Both sides are one
+    sequence of ends for each key, in which features take the last validity."""
+    names = [c for c in features.columns if c not in (*keys, "window_end_ns")]
+    rows = features.withColumn("_is", F.lit(True)).unionByName(validity.select(*keys, "window_end_ns", F.col("valid").alias("_valid")), allowMissingColumns=True)
+    so_far = Window.partitionBy(*keys).orderBy("window_end_ns", F.col("_valid").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("valid", F.coalesce(F.last("_valid", ignorenulls=True).over(so_far), F.lit(False))).filter("_is")
+    return rows.select(*keys, "window_end_ns", *[F.col(c) if c in kept else F.when(F.col("valid"), F.col(c)).alias(c) for c in names], "valid")
 
 
 def book_features(levels: DataFrame, keys: list[str], depths: tuple[int, ...] = (1, 5)) -> DataFrame:

@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import floor_to
+from .ordered import positions
+
 
 def reconciled(left: DataFrame, right: DataFrame, keys: list[str], facts: list[str]) -> DataFrame:
     """Both sides' rows by key, with `state` (equal, different, missing_left, missing_right) and the facts that differ.
@@ -85,6 +88,12 @@ def merged_traces(parts: list[DataFrame], due: str, key: str) -> tuple[DataFrame
     return whole.orderBy(due, key), repeated
 
 
+def trace_places(rows: DataFrame, due: str, key: str, part: str, width: int = 1 << 16) -> DataFrame:
+    """The place of each row, from 1, in the order of (due, key, part) of the whole trace. Places are counted inside stretches (a due
+    time and `width` keys), and those of the stretches before are added, so that no task sees more than one of them."""
+    return positions(rows, [], [due, key, part], [F.col(due), floor_to(key, width)], "place")
+
+
 def set_digest(rows: DataFrame, keys: list[str], digest: str, level_digits: int = 2, levels: int = 3) -> DataFrame:
     """One SHA-256 for each key's set of row digests, whatever their order and partitioning.
 

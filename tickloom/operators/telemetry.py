@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.histograms import BOUNDS_NS, as_array, bucket_counts, nearest_rank
+from ..functions.scalar import floor_to
+from .ordered import carried
 
 WINDOW_SECONDS = 60
 OTHER = "_other"
@@ -166,16 +168,27 @@ def invalid_transitions(log: DataFrame, keys: list[str], order: list[str], state
 
 def oldest_open_age(records: DataFrame, samples: DataFrame, keys: list[str], accepted: str, done: str, at: str, threshold: int, bucket: int) -> DataFrame:
     """For each sample time: the age of the oldest record accepted by then and not done, and whether it is over the threshold.
+    Records without an end are open for good.
 
-    A record is put into each bucket of `bucket` time units that its open time touches, so that the interval join is an
-    equi-join on the bucket; a record that stays open long costs a row a bucket.
+    In the order of acceptance, the oldest open record at a time is the first whose end lies behind it; so only those count that are
+    open longer than all before them, and each of them from the end of the longest one before. These and the samples are one
+    sequence, in which a sample takes the last such record before it. Both the longest end and the last record are carried over
+    stretches of `bucket` time units, so that rows stay as many as records and samples, and no task gets a key's whole history.
     """
-    last = F.max(at)
-    hit = samples.select(*keys, F.col(at).alias("_at"), F.floor(F.col(at) / bucket).alias("_b"))
-    end = samples.groupBy(*keys).agg(last.alias("_end"))
-    until = F.least(F.coalesce(F.col(done), F.col("_end") + 1), F.col("_end") + 1)
-    spans = records.join(end, keys).filter(F.col(accepted) < until)
-    spans = spans.select(*keys, F.col(accepted).alias("_a"), until.alias("_u"), F.explode(F.sequence(F.floor(F.col(accepted) / bucket), F.floor((until - 1) / bucket))).alias("_b"))
-    oldest = hit.join(spans, [*keys, "_b"]).filter((F.col("_a") <= F.col("_at")) & (F.col("_at") < F.col("_u"))).groupBy(*keys, "_at").agg(F.min("_a").alias("_oldest"))
-    age = F.col("_at") - F.col("_oldest")
-    return hit.join(oldest, [*keys, "_at"], "left").select(*keys, F.col("_at").alias(at), age.alias("age"), F.coalesce(age > threshold, F.lit(False)).alias("critical"))
+    end = F.coalesce(F.col(done), F.lit((1 << 63) - 1))
+    rows = records.select(*keys, F.col(accepted).alias("_a"), end.alias("_d")).filter("_a < _d")
+    rows = carried(rows, keys, [floor_to("_a", bucket)], "_before", F.max("_d"), F.max)
+    earlier = Window.partitionBy(*keys, "_s0").orderBy("_a").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_longest", F.greatest(F.max("_d").over(earlier), F.col("_before")))
+    steps = rows.filter("_longest IS NULL OR _d > _longest").select(*keys, F.greatest("_longest", "_a").alias("_at"), F.lit(0).alias("_kind"), F.struct("_d", "_a").alias("_open"))
+    hits = samples.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast("struct<_d:bigint,_a:bigint>").alias("_open"))
+    both = steps.withColumn("_open", F.struct(F.col("_open._d").cast("long").alias("_d"), F.col("_open._a").cast("long").alias("_a"))).unionByName(hits)
+    # Of two steps at one time the one with the later end came last.
+    newest = F.max_by("_open", F.when(F.col("_open").isNotNull(), F.struct("_at", "_open")))
+    both = carried(both, keys, [floor_to("_at", bucket)], "_before", newest, lambda c: F.last(c, ignorenulls=True))
+    so_far = Window.partitionBy(*keys, "_s0").orderBy("_at", "_kind", "_open").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.coalesce(F.last("_open", ignorenulls=True).over(so_far), F.col("_before"))
+    told = both.withColumn("_last", last).filter("_kind = 1")
+    oldest = F.when((F.col("_last._d") > F.col("_at")) & (F.col("_last._a") <= F.col("_at")), F.col("_last._a"))
+    age = F.col("_at") - oldest
+    return told.select(*keys, F.col("_at").alias(at), age.alias("age"), F.coalesce(age > threshold, F.lit(False)).alias("critical"))

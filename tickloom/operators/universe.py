@@ -28,6 +28,19 @@ def top_n(catalog: DataFrame, scope: list[str], n: int, now_ns: Column | int, ma
     return catalog.filter(fit).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def bound_turnover(catalog: DataFrame, observed: DataFrame, revisions: DataFrame, keys: list[str]) -> DataFrame:
+    """The catalog's rows with the newest turnover (turnover, turnover_currency, turnover_observed_at_ns) that was taken from the
+    catalog revision that they are of, while that revision was valid; a turnover of another revision binds to nobody.
+
+    `revisions` has catalog_revision, valid_from_ns and valid_to_ns (half-open). Observations are reduced to one for each key and
+    revision before they meet the catalog.
+    """
+    taken = observed.join(revisions, "catalog_revision").filter("turnover_observed_at_ns >= valid_from_ns AND turnover_observed_at_ns < valid_to_ns")
+    value = F.struct("turnover", "turnover_currency", "turnover_observed_at_ns")
+    newest = taken.groupBy(*keys, "catalog_revision").agg(F.max_by(value, F.struct("turnover_observed_at_ns", "turnover")).alias("_t"))
+    return catalog.join(newest, [*keys, "catalog_revision"], "left").select(*catalog.columns, "_t.*")
+
+
 def active_new_listings(catalog: DataFrame, now_ns: int, duration_ns: int) -> DataFrame:
     """Listings in their half-open capture window [start, start + duration)."""
     start = F.col("new_listing_started_at_ns")
@@ -183,17 +196,26 @@ def packed(rows: DataFrame, bucket: list[str], key: str, size: int) -> DataFrame
     return rows.withColumn("chunk", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
 
 
-def rendezvous(keys: DataFrame, key: str, buckets: DataFrame, bucket: str, max_buckets: int = 10_000) -> DataFrame:
-    """Each key's bucket: that with the largest digest of key and bucket; ties by bucket.
+def rendezvous(keys: DataFrame, key: str, buckets: DataFrame, bucket: str, block: int = 1000) -> DataFrame:
+    """Each key's bucket: that with the largest digest of key and bucket; ties by bucket. Fails without buckets.
 
-    The healthy buckets are a small list, whose size is checked; they ride along as an array, so that a key costs no rows.
+    Buckets ride along as arrays of at most about `block` names. A key meets each array once and keeps its best of it, and the best
+    of those is the largest of a partial aggregate; so however many buckets there are, a key costs a row for each thousand of them,
+    and no row is wider than a thousand names.
     """
-    names = [r[0] for r in buckets.select(bucket).distinct().limit(max_buckets + 1).collect()]
-    if not names or len(names) > max_buckets:
-        raise ValueError(f"1 to {max_buckets} buckets are needed")
-    choices = F.array(*[F.lit(n) for n in sorted(names)])
-    scored = F.transform(choices, lambda b: F.struct(F.sha2(F.concat(F.col(key), F.lit("\0"), b), 256).alias("d"), b.alias("b")))
-    return keys.withColumn(bucket, F.array_max(scored)["b"])
+    named = buckets.select(F.col(bucket).alias("_b")).filter("_b IS NOT NULL").distinct()
+    n = named.count()
+    if not n:
+        raise ValueError("a bucket is needed")
+    count = -(-n // block)
+    blocks = named.groupBy(F.pmod(F.xxhash64("_b"), F.lit(count)).alias("_block")).agg(F.collect_list("_b").alias("_names"))
+    wide = keys.withColumn("_key", F.monotonically_increasing_id()).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))))
+    digest = lambda b: F.struct(F.sha2(F.concat(F.col(key), F.lit("\0"), b), 256).alias("d"), b.alias("b"))
+    best = wide.join(blocks, "_block").withColumn("_best", F.array_max(F.transform("_names", digest)))
+    if count == 1:
+        return best.select(*keys.columns, F.col("_best.b").alias(bucket))
+    kept = [F.first(c).alias(c) for c in keys.columns]
+    return best.groupBy("_key").agg(*kept, F.max("_best")["b"].alias(bucket)).drop("_key")
 
 
 def capacity(egresses: DataFrame, keys: list[str], per_connection: int, per_instrument: int) -> DataFrame:

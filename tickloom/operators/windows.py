@@ -46,19 +46,24 @@ def expectation_intervals(checkpoints: DataFrame, keys: list[str], effective: st
 
 def quality_windows(expectations: DataFrame, events: DataFrame, keys: list[str], time: str, interval: int) -> DataFrame:
     """A row for each expected window: inputs, share with exchange time, worst latency, control counts, throttles, stretches,
-    number of egresses, and the age of the last event at the window's end (null until there is one). Silent windows have zero
+    number of egresses and of changes between them (from one input to the next of the window), and the age of the last event at the window's end (null until there is one). Silent windows have zero
     counts."""
     kinds = CONTROL_COUNTS | RATE_COUNTS
     control = [F.count(F.when(F.col("control_kind") == k, 1)).alias(n) for k, n in kinds.items()]
     inputs = F.col("control_kind").isNull()
-    actual = events.withColumn("window_start_ns", floor_to(time, interval)).groupBy(*keys, "window_start_ns").agg(
+    order = F.struct(time, *[c for c in ("record_index",) if c in events.columns])
+    steps = Window.partitionBy(*keys, "window_start_ns", "_input").orderBy(order)
+    events = events.withColumn("window_start_ns", floor_to(time, interval)).withColumn("_input", inputs)
+    events = events.withColumn("_changed", F.col("_input") & (F.col("egress_id") != F.lag("egress_id").over(steps)))
+    actual = events.groupBy(*keys, "window_start_ns").agg(
         F.count(F.when(inputs, 1)).alias("input_count"), F.count(F.when(inputs & (F.col("time_source") == "exchange"), 1)).alias("exchange_time_count"),
-        F.max(F.when(inputs, F.col("latency_ns"))).alias("latency_max_ns"), F.max(F.when(inputs, F.col(time))).alias("_last"), F.count_distinct(F.when(inputs, F.col("egress_id"))).alias("egress_count"), *control,
+        F.max(F.when(inputs, F.col("latency_ns"))).alias("latency_max_ns"), F.max(F.when(inputs, F.col(time))).alias("_last"), F.count_distinct(F.when(inputs, F.col("egress_id"))).alias("egress_count"),
+        F.count(F.when(F.col("_changed"), 1)).alias("egress_changes"), *control,
     )
     rows = expectation_grid(expectations, keys, interval).join(actual, [*keys, "window_start_ns"], "left")
     run = Window.partitionBy(*keys).orderBy("window_start_ns").rowsBetween(Window.unboundedPreceding, 0)
     age = F.col("window_start_ns") + interval - F.last("_last", ignorenulls=True).over(run)
-    zero = ["input_count", "exchange_time_count", "egress_count", *kinds.values()]
+    zero = ["input_count", "exchange_time_count", "egress_count", "egress_changes", *kinds.values()]
     return rows.withColumn("last_event_age_ns", age).withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero}).withColumn(
         "exchange_time_ratio", F.when(F.col("input_count") > 0, F.col("exchange_time_count") / F.col("input_count"))
     ).drop("_last")

@@ -82,7 +82,9 @@ def e20_book_features(spark, sf_dir):
     keys = [*KEY, "window_end_ns"]
     rows = b.book_features(_one_quantity(_states(spark, sf_dir)), keys)
     updates = b.update_counts(messages(spark, sf_dir), KEY, "time_ns", STEP)
-    return rows.join(updates, keys, "left").fillna(0, ["updates"])
+    rows = rows.join(updates, keys, "left").fillna(0, ["updates"])
+    told = b.validated(messages(spark, sf_dir), KEY, ["seq"], "okx", STRETCH)
+    return b.only_valid(rows, b.valid_at_ends(told, KEY, "seq", "time_ns", STEP), KEY, ["updates"])
 
 
 def _one_quantity(states):
@@ -161,10 +163,10 @@ def e17_expectation_intervals(spark, sf_dir):
 
 
 def d22_quality_windows(spark, sf_dir):
-    t = trades(spark, sf_dir).filter("time_source <> 'receive_outlier'")
+    t = trades(spark, sf_dir)
     kinds = [*w.CONTROL_COUNTS, *w.RATE_COUNTS]
     kind = F.when(F.col("record_index") % 41 == 0, F.get(F.array(*map(F.lit, kinds)), (F.col("record_index") % 7).cast("int")))
-    e = t.select(*KEY, "time_ns", "time_source", kind.alias("control_kind"), (F.col("received_at_ns") - F.col("time_ns")).alias("latency_ns"), F.concat(F.lit("egress-"), F.col("user_id") % 2).alias("egress_id"))
+    e = t.select(*KEY, "time_ns", "record_index", "time_source", kind.alias("control_kind"), (F.col("received_at_ns") - F.col("time_ns")).alias("latency_ns"), F.concat(F.lit("egress-"), F.col("user_id") % 2).alias("egress_id"))
     x = t.groupBy(*KEY).agg((F.min("time_ns") - STEP).alias("start_ns"), (F.max("time_ns") + STEP).alias("end_ns"))
     return w.quality_windows(x, e, KEY, "time_ns", HOUR)
 
@@ -301,13 +303,15 @@ ORACLES |= {
     "e6_validity": f"WITH {_valid_sql('e4a_link')} SELECT seq, valid, broke AS break FROM val",
     "j3_levels": f"WITH {MESSAGES_SQL} SELECT seq, side, 0 AS place, CAST(floor(price) AS DOUBLE) AS price, CAST(CASE WHEN CAST(quantity AS INT) % 10 = 0 THEN 0 ELSE quantity END AS DOUBLE) AS quantity FROM ms",
     "c8_book_states": f"WITH {_STATES_SQL} SELECT instrument_key, window_end_ns, side, count(*) AS levels, CAST(sum(q) AS DOUBLE) AS quantity, CAST(sum(p) AS DOUBLE) AS prices FROM st GROUP BY 1, 2, 3",
-    "e20_book_features": f"""WITH {_STATES_SQL}, o AS (SELECT instrument_key, window_end_ns, side, CAST(p AS DOUBLE) AS p, CAST(max(q) AS DOUBLE) AS q FROM st GROUP BY 1, 2, 3, 4),
+    "e20_book_features": f"""WITH {_STATES_SQL.replace(MESSAGES_SQL, _valid_sql('e4a_link'))}, ve AS (SELECT instrument_key, time_ns + ({STEP} - time_ns % {STEP}) % {STEP} AS e, arg_max(valid, (time_ns, seq)) AS valid FROM val GROUP BY 1, 2), o AS (SELECT instrument_key, window_end_ns, side, CAST(p AS DOUBLE) AS p, CAST(max(q) AS DOUBLE) AS q FROM st GROUP BY 1, 2, 3, 4),
 n AS (SELECT *, row_number() OVER (PARTITION BY instrument_key, window_end_ns, side ORDER BY CASE side WHEN 'bid' THEN -p ELSE p END) AS l FROM o),
 f AS (SELECT instrument_key, window_end_ns, max(p) FILTER (WHERE side = 'bid' AND l = 1) AS bid_price, max(q) FILTER (WHERE side = 'bid' AND l = 1) AS bid_quantity, max(p) FILTER (WHERE side = 'ask' AND l = 1) AS ask_price, max(q) FILTER (WHERE side = 'ask' AND l = 1) AS ask_quantity,
   {', '.join(f"coalesce(sum({x}) FILTER (WHERE side = '{s}' AND l <= {d}), 0) AS {s}_{nm}_{d}" for d in (1, 5) for s in ('bid', 'ask') for nm, x in (('quantity', 'q'), ('notional', 'p * q')))} FROM n GROUP BY 1, 2)
-SELECT f.*, (bid_price + ask_price) / 2 AS mid, ask_price - bid_price AS spread, (bid_price * ask_quantity + ask_price * bid_quantity) / nullif(bid_quantity + ask_quantity, 0) AS microprice,
+SELECT instrument_key, window_end_ns, updates, valid, CASE WHEN valid THEN COLUMNS(* EXCLUDE (instrument_key, window_end_ns, updates, valid)) END FROM (
+SELECT f.*, coalesce(ve.valid, false) AS valid, (bid_price + ask_price) / 2 AS mid, ask_price - bid_price AS spread, (bid_price * ask_quantity + ask_price * bid_quantity) / nullif(bid_quantity + ask_quantity, 0) AS microprice,
   (bid_notional_5 - ask_notional_5) / nullif(bid_notional_5 + ask_notional_5, 0) AS imbalance_5, coalesce(updates, 0) AS updates
-FROM f LEFT JOIN (SELECT instrument_key, time_ns - time_ns % {STEP} + {STEP} AS window_end_ns, count(*) AS updates FROM ms WHERE kind = 'update' GROUP BY 1, 2) u USING (instrument_key, window_end_ns)""",
+FROM f LEFT JOIN (SELECT instrument_key, time_ns - time_ns % {STEP} + {STEP} AS window_end_ns, count(*) AS updates FROM ms WHERE kind = 'update' AND seq IS DISTINCT FROM prev_seq GROUP BY 1, 2) u USING (instrument_key, window_end_ns)
+  ASOF LEFT JOIN ve ON ve.instrument_key = f.instrument_key AND f.window_end_ns >= ve.e)""",
     "e19_valid_coverage": f"""WITH {_valid_sql('e4a_link')}, a AS (SELECT instrument_key, time_ns, arg_max(valid, seq) AS valid FROM val GROUP BY 1, 2),
 n AS (SELECT *, lead(time_ns) OVER (PARTITION BY instrument_key ORDER BY time_ns) AS nx FROM a),
 c AS (SELECT instrument_key, time_ns, nx, valid, unnest(range(CAST(time_ns - time_ns % {STEP} AS BIGINT), CAST(nx AS BIGINT), {STEP})) AS window_start_ns FROM n WHERE nx > time_ns)
@@ -326,12 +330,13 @@ SELECT instrument_key, window_start_ns, CASE length(instrument_key) % 3 WHEN 0 T
     "b16_sparse_fields": f"WITH {EVENTS_SQL} SELECT record_index, CASE WHEN record_index % 3 = 0 THEN CAST(price AS DOUBLE) END AS last, CASE WHEN record_index % 4 = 0 THEN CAST(quantity AS DOUBLE) END AS volume FROM ev",
     "b11_contract_sizes": f"WITH {EVENTS_SQL} SELECT record_index, round(CASE WHEN user_id % 3 = 0 THEN CAST(quantity AS DOUBLE) * 0.5::DOUBLE / nullif(CAST(price AS DOUBLE), 0) ELSE CAST(quantity AS DOUBLE) * 0.5::DOUBLE END, 9) AS base_quantity FROM ev",
     "e17_expectation_intervals": f"""WITH {EVENTS_SQL} SELECT instrument_key, record_index, time_ns AS start_ns, coalesce(lead(time_ns) OVER (PARTITION BY instrument_key ORDER BY time_ns, record_index), {END}) AS end_ns FROM tr QUALIFY end_ns > start_ns""",
-    "d22_quality_windows": f"""WITH {EVENTS_SQL}, t AS (SELECT *, CASE WHEN record_index % 41 = 0 THEN ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow', 'throttled', 'interval_stretched'][record_index % 7 + 1] END AS k, time_ns - time_ns % {HOUR} AS ws FROM tr WHERE time_source <> 'receive_outlier'),
+    "d22_quality_windows": f"""WITH {EVENTS_SQL}, t AS (SELECT *, CASE WHEN record_index % 41 = 0 THEN ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow', 'throttled', 'interval_stretched'][record_index % 7 + 1] END AS k, time_ns - time_ns % {HOUR} AS ws FROM tr),
+ch AS (SELECT instrument_key, ws AS window_start_ns, count(*) FILTER (WHERE eg <> b) AS changes FROM (SELECT *, user_id % 2 AS eg, lag(user_id % 2) OVER (PARTITION BY instrument_key, ws ORDER BY time_ns, record_index) AS b FROM t WHERE k IS NULL) GROUP BY 1, 2),
 x AS (SELECT instrument_key, min(time_ns) - {STEP} AS a, max(time_ns) + {STEP} AS b FROM t GROUP BY 1), g AS (SELECT instrument_key, unnest(range(a - a % {HOUR}, b, {HOUR})) AS window_start_ns FROM x),
 n AS (SELECT instrument_key, ws AS window_start_ns, count(*) FILTER (WHERE k IS NULL) AS i, count(*) FILTER (WHERE k IS NULL AND time_source = 'exchange') AS e, max(received_at_ns - time_ns) FILTER (WHERE k IS NULL) AS l, max(time_ns) FILTER (WHERE k IS NULL) AS last, count(DISTINCT user_id % 2) FILTER (WHERE k IS NULL) AS eg,
   {', '.join(f"count(*) FILTER (WHERE k = '{k}') AS {n}" for k, n in (w.CONTROL_COUNTS | w.RATE_COUNTS).items())} FROM t GROUP BY 1, 2)
-SELECT instrument_key, window_start_ns, coalesce(i, 0) AS input_count, coalesce(e, 0) AS exchange_time_count, l AS latency_max_ns, coalesce(eg, 0) AS egress_count, {', '.join(f'coalesce({n}, 0) AS {n}' for n in (w.CONTROL_COUNTS | w.RATE_COUNTS).values())},
-  window_start_ns + {HOUR} - max(last) OVER (PARTITION BY instrument_key ORDER BY window_start_ns) AS last_event_age_ns, CASE WHEN i > 0 THEN e / i END AS exchange_time_ratio FROM g LEFT JOIN n USING (instrument_key, window_start_ns)""",
+SELECT instrument_key, window_start_ns, coalesce(i, 0) AS input_count, coalesce(e, 0) AS exchange_time_count, l AS latency_max_ns, coalesce(eg, 0) AS egress_count, coalesce(changes, 0) AS egress_changes, {', '.join(f'coalesce({n}, 0) AS {n}' for n in (w.CONTROL_COUNTS | w.RATE_COUNTS).values())},
+  window_start_ns + {HOUR} - max(last) OVER (PARTITION BY instrument_key ORDER BY window_start_ns) AS last_event_age_ns, CASE WHEN i > 0 THEN e / i END AS exchange_time_ratio FROM g LEFT JOIN n USING (instrument_key, window_start_ns) LEFT JOIN ch USING (instrument_key, window_start_ns)""",
     "c10_control_counts": f"""WITH {EVENTS_SQL}, p AS (SELECT worker_instance_id AS part FROM ev UNION SELECT instrument_key || ':' || (user_id % 3) FROM ev),
 c AS (SELECT ['gap_detected', 'reconnect', 'parse_error', 'checksum_error', 'queue_overflow'][user_id % 5 + 1] AS k, unnest([worker_instance_id, instrument_key || ':' || (user_id % 2)]) AS part FROM ev)
 SELECT p.part, {', '.join(f"count(*) FILTER (WHERE k = '{k}') AS {n}" for k, n in w.CONTROL_COUNTS.items())} FROM p LEFT JOIN c ON c.part = p.part GROUP BY 1""",

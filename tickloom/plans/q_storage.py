@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import uuid
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions.scalar import DAY, HOUR, SECOND, floor_to
 from ..operators import revisions as rv
-from ..sources import raw
+from ..shared import shared_dir
+from ..sources import parts, raw
 from .q_books import MESSAGES_SQL, messages
 from .tables import EVENTS_SQL, events, table, trades
 
@@ -28,6 +33,68 @@ def a4_part_facts(spark, sf_dir):
     return raw.part_facts(_records(spark, sf_dir), PART)
 
 
+#: Lines of a frame and bytes of a task of the test parts, so that each part has several frames and tasks.
+FRAME, SPLIT = 100, 1 << 12
+
+
+def _part_lines(spark, sf_dir):
+    """A part for each event type and fifth of the users: events as JSON lines, in the order of their numbers."""
+    e = table(spark, sf_dir, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp"))).drop("ts")
+    part = F.concat_ws("-", F.col("event_type"), (F.col("user_id") % 5).cast("string"))
+    return e.select(part.alias("part"), "event_id", F.to_json(F.struct("event_id", "us", "user_id", "event_type", "value", "props")).alias("line"))
+
+
+def _written_parts(spark, sf_dir):
+    root = f"{shared_dir(spark)}/parts-{uuid.uuid4()}"
+    parts.write_parts(_part_lines(spark, sf_dir), "part", "event_id", "line", root, FRAME)
+    return root
+
+
+def a2_part_scan(spark, sf_dir):
+    """All events, written to compressed parts by tasks and read back by ranges of frames."""
+    lines = parts.numbered(parts.scan_frames(spark, _written_parts(spark, sf_dir), split_bytes=SPLIT))
+    e = F.from_json("line", "event_id long, us long, user_id long, event_type string, value double, props string")
+    return lines.select("record_index", e.alias("e")).select("record_index", "e.*")
+
+
+def _damaged(spark, root):
+    """The parts as unfinished ones: by the last digit of their name whole, cut short, with a changed byte in their second
+    frame, or with a third frame that does not begin as one."""
+    to = f"{root}-damaged"
+
+    def damage(frames):
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"], strict=True):
+                data, ends = bytearray(content), [0]
+                while ends[-1] < len(data):
+                    ends.append(parts.frame_end(io.BytesIO(content), ends[-1], len(data)))
+                name = path.rsplit("/", 1)[1]
+                kind = int(name.split("-")[1])
+                if kind == 1:
+                    del data[-3:]
+                elif kind in (2, 3):
+                    n = min(kind - 1, len(ends) - 2)
+                    data[(ends[n] + ends[n + 1]) // 2 if kind == 2 else ends[n]] ^= 0xFF
+                files, inner = parts._files(to)
+                files.create_dir(inner, recursive=True)
+                with files.open_output_stream(f"{inner}/{name}.partial") as out:
+                    out.write(bytes(data))
+                yield pd.DataFrame({"path": [path]})
+
+    made = spark.read.format("binaryFile").load(root).select("path", "content").mapInPandas(damage, "path string")
+    made.write.format("noop").mode("overwrite").save()
+    return to
+
+
+def a6_salvage(spark, sf_dir):
+    """Of each damaged part: the records before its first bad frame, the sum of their numbers, and whether bytes go to quarantine."""
+    rows, facts = raw.salvage(spark, _damaged(spark, _written_parts(spark, sf_dir)))
+    part = F.regexp_extract("path", r"([^/]*-[0-9]+)-[^/]*$", 1).alias("part")
+    sums = rows.groupBy(part).agg(F.max("record_index").alias("last"), F.sum(F.get_json_object("line", "$.event_id").cast("long")).alias("ids"))
+    told = facts.select(part, "records", (F.col("invalid_bytes") > 0).alias("quarantine"))
+    return told.join(sums, "part", "left")
+
+
 def a5_manifest_check(spark, sf_dir):
     facts = ["records", "first_received_ns", "last_sequence"]
     actual = raw.part_facts(_records(spark, sf_dir), PART)
@@ -150,7 +217,7 @@ def d30_lineage(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        a4_part_facts, a5_manifest_check, b7_single_hour, e3_sequence_growth, a1_discovery, a11_inventory, c17_disposition, a12_capabilities, a8_latest_revision, c11_affected_hours, c12_cleanup,
+        a2_part_scan, a6_salvage, a4_part_facts, a5_manifest_check, b7_single_hour, e3_sequence_growth, a1_discovery, a11_inventory, c17_disposition, a12_capabilities, a8_latest_revision, c11_affected_hours, c12_cleanup,
         c15_acknowledged, c16_receipts, c19_abandoned_jobs, d29_identity, d30_lineage,
     )
 }
@@ -158,6 +225,11 @@ QUERIES = {
 _FACTS = """count(*) AS records, min(received_at_ns) AS first_received_ns, max(received_at_ns) AS last_received_ns, min(ws) AS first_sequence, max(ws) AS last_sequence, count(DISTINCT received_at_ns // 3600000000000) AS hours"""
 _MAN = "mf AS (SELECT o_orderkey AS k, o_orderkey::VARCHAR AS ks, '/raw/' || o_orderkey AS path, o_custkey AS size, o_orderpriority AS ex, sha256(o_orderkey::VARCHAR) AS sha, sha256('d' || o_orderkey) AS d, epoch_us(o_orderdate) * 1000 AS closed FROM orders)"
 ORACLES = {
+    "a2_part_scan": """SELECT row_number() OVER (PARTITION BY event_type, user_id % 5 ORDER BY event_id) - 1 AS record_index, event_id, epoch_us(ts) AS us, user_id, event_type, value, props FROM events""",
+    "a6_salvage": f"""WITH e AS (SELECT event_type || '-' || (user_id % 5) AS part, user_id % 5 AS kind, event_id, row_number() OVER (PARTITION BY event_type, user_id % 5 ORDER BY event_id) - 1 AS i,
+  count(*) OVER (PARTITION BY event_type, user_id % 5) AS n FROM events),
+k AS (SELECT *, {FRAME} * CASE kind WHEN 1 THEN (n - 1) // {FRAME} WHEN 2 THEN least(1, (n - 1) // {FRAME}) WHEN 3 THEN least(2, (n - 1) // {FRAME}) ELSE n END AS upto FROM e)
+SELECT part, count(*) FILTER (WHERE i < upto) AS records, kind IN (1, 2, 3) AS quarantine, max(i) FILTER (WHERE i < upto) AS last, CAST(sum(event_id) FILTER (WHERE i < upto) AS BIGINT) AS ids FROM k GROUP BY part, kind""",
     "a4_part_facts": f"""WITH {RECORDS_SQL} SELECT instrument_key, worker_instance_id, {_FACTS}, string_agg(DISTINCT 'c' || (user_id % 3), ',' ORDER BY 'c' || (user_id % 3)) AS connection_ids,
   string_agg(DISTINCT 'e' || (user_id % 4), ',' ORDER BY 'e' || (user_id % 4)) AS egress_ids FROM rc GROUP BY 1, 2""",
     "a5_manifest_check": f"""WITH {RECORDS_SQL}, a AS (SELECT instrument_key, worker_instance_id, {_FACTS} FROM rc GROUP BY 1, 2), d AS (SELECT instrument_key, worker_instance_id, {_FACTS} FROM rc WHERE record_index % 9000 <> 5 GROUP BY 1, 2),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import row_digest
 from ..operators import reconcile as r
 from ..operators import universe as u
+from ..operators.ordered import order_digest, positions
 from .tables import doubles, table
 
 MONEY = "decimal(18,2)"
@@ -84,10 +85,18 @@ def a10_merged_traces(spark, sf_dir):
     return repeated
 
 
+def a10_trace_order(spark, sf_dir):
+    """The merged trace in one order of (due, event, part): each row's place in it, and the digest of the whole order."""
+    l = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("due"), F.col("l_orderkey").alias("event"), F.col("l_linenumber").cast("long").alias("part"))
+    whole, _ = r.merged_traces([l.filter("part % 2 = 0"), l.filter("part % 2 = 1")], "due", "event")
+    placed = r.trace_places(whole, "due", "event", "part")
+    one = order_digest(placed.withColumn("d", row_digest("event", "part")), [], "place", "d", block=100, levels=3)
+    return placed.select("event", "part", "place").join(F.broadcast(one))  # one row
+
+
 def f4_trace_order(spark, sf_dir):
     l = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("due"), F.col("o_orderkey").alias("event"), "o_orderpriority")
-    w = Window.partitionBy("o_orderpriority").orderBy("due", "event")
-    return l.select("event", F.row_number().over(w).cast("long").alias("place"))
+    return positions(l, ["o_orderpriority"], ["due", "event"], [F.col("due")], "place").select("event", "place")
 
 
 def d17_set_digest(spark, sf_dir):
@@ -141,6 +150,20 @@ def e1_topn_per_quote(spark, sf_dir):
     return doubles(_top(spark, sf_dir).select("market", "quote_asset", F.col("rank").cast("long").alias("rank"), "instrument_key", "turnover"))
 
 
+def e1_bound_turnover(spark, sf_dir):
+    """The ranking by turnovers that are bound to their catalog revision: a line is an observation of its part's turnover."""
+    l, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("catalog_revision"), (F.col("r_regionkey") * 200).cast("long").alias("valid_from_ns"), (F.col("r_regionkey") * 200 + 300).cast("long").alias("valid_to_ns"))
+    seen = l.join(p.select("p_partkey", "p_brand"), F.col("p_partkey") == F.col("l_partkey")).select(
+        F.col("l_partkey").alias("instrument_key"), (F.col("l_linenumber") % 5).alias("catalog_revision"), F.col("l_extendedprice").cast(MONEY).alias("turnover"), F.col("p_brand").alias("turnover_currency"),
+        (F.col("l_orderkey") % 1000).cast("long").alias("turnover_observed_at_ns"),
+    )
+    listed = p.select(F.col("p_partkey").alias("instrument_key"), F.col("p_brand").alias("quote_asset"), (F.col("p_size") % 3).alias("market"), (F.col("p_size") % 5).cast("int").alias("catalog_revision"), F.lit(True).alias("present"), (F.col("p_size") % 7 != 0).alias("tradable"))
+    bound = u.bound_turnover(listed, seen, region, ["instrument_key"]).withColumn("covered", F.col("turnover").isNotNull())
+    rows = u.top_n(bound, ["market"], 10, 1000, 900)
+    return doubles(rows.select("market", "quote_asset", F.col("rank").cast("long").alias("rank"), "instrument_key", "turnover", "turnover_observed_at_ns"))
+
+
 def f5_topk_orders(spark, sf_dir):
     w = Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
     return table(spark, sf_dir, "orders").withColumn("rank", F.row_number().over(w).cast("long")).filter("rank <= 3").select("o_custkey", "rank", "o_orderkey")
@@ -285,7 +308,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         c1_reconcile, c2_one_sided, c3_plan_trace, c14_worker_facts, d11_second_buckets, d12_stream_summary, d19_inconsistent_config, d20_ordinals, d21_distinct_counts, g5_set_differences,
-        a10_merged_traces, f4_trace_order, d17_set_digest, e1_topn_per_quote, f5_topk_orders, e18_new_listings, g1_universe, e15_admission, e16_connections, e14_packing, c13_rendezvous,
+        a10_merged_traces, a10_trace_order, f4_trace_order, d17_set_digest, e1_topn_per_quote, e1_bound_turnover, f5_topk_orders, e18_new_listings, g1_universe, e15_admission, e16_connections, e14_packing, c13_rendezvous,
         c4_fixed_requests, c5_announcements, c6_turnover_apply, g2_snapshot_diff, e2_exit_grace, g3_selection_delta, g4_change_feed, f3_feed_order, g6_replays, d18_content_digest, d24_stretch,
         d25_capacity, e13_page_chains, h9_reason_flags,
     )
@@ -342,9 +365,21 @@ SELECT stream, second, coalesce(scheduled, 0) AS scheduled, coalesce(scheduled_b
     "g5_set_differences": """WITH a AS (SELECT l_returnflag, l_linestatus, l_suppkey FROM lineitem WHERE l_orderkey % 3 <> 0), b AS (SELECT l_returnflag, l_linestatus, l_suppkey FROM lineitem WHERE l_orderkey % 5 <> 0),
 d AS (SELECT *, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) SELECT *, count(*) AS n FROM d GROUP BY ALL""",
     "a10_merged_traces": "SELECT l_orderkey AS event, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1",
+    "a10_trace_order": f"""WITH p AS (SELECT l_orderkey AS event, l_linenumber::BIGINT AS part, row_number() OVER (ORDER BY l_shipdate::DATE, l_orderkey, l_linenumber) AS place FROM lineitem),
+l0 AS (SELECT place - 1 AS at_, sha256(length(event::VARCHAR) || ':' || event || '|' || length(part::VARCHAR) || ':' || part) AS h FROM p),
+l1 AS (SELECT at_ // 100 AS at_, sha256(string_agg(h, '' ORDER BY at_)) AS h FROM l0 GROUP BY at_ // 100),
+l2 AS (SELECT at_ // 100 AS at_, sha256(string_agg(h, '' ORDER BY at_)) AS h FROM l1 GROUP BY at_ // 100),
+l3 AS (SELECT at_ // 100 AS at_, sha256(string_agg(h, '' ORDER BY at_)) AS h FROM l2 GROUP BY at_ // 100),
+l4 AS (SELECT sha256(string_agg(h, '' ORDER BY at_)) AS digest FROM l3)
+SELECT event, part, place, digest, (SELECT count(*) FROM lineitem) AS rows FROM p, l4""",
     "f4_trace_order": "SELECT o_orderkey AS event, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate::DATE, o_orderkey) AS place FROM orders",
     "d17_set_digest": "WITH s AS (SELECT o_orderpriority, sha256(length(o_orderkey::VARCHAR) || ':' || o_orderkey || '|' || length(o_orderstatus) || ':' || o_orderstatus) AS d FROM orders), " + _digest_sql("s", "o_orderpriority", "d"),
     "e1_topn_per_quote": f"WITH {CATALOG_SQL} SELECT market, quote_asset, rank, instrument_key, CAST(turnover AS DOUBLE) AS turnover FROM top",
+    "e1_bound_turnover": """WITH t AS (SELECT l_partkey AS k, l_linenumber % 5 AS rev, CAST(l_extendedprice AS DECIMAL(18,2)) AS turnover, l_orderkey % 1000 AS at_ FROM lineitem
+  JOIN region ON r_regionkey = l_linenumber % 5 WHERE l_orderkey % 1000 >= r_regionkey * 200 AND l_orderkey % 1000 < r_regionkey * 200 + 300),
+n AS (SELECT k, rev, max((at_, turnover)) AS m FROM t GROUP BY 1, 2),
+c AS (SELECT p_size % 3 AS market, p_brand AS quote_asset, p_partkey AS instrument_key, CAST(m[2] AS DOUBLE) AS turnover, m[1] AS turnover_observed_at_ns FROM part JOIN n ON k = p_partkey AND rev = p_size % 5 WHERE p_size % 7 <> 0 AND 1000 - m[1] <= 900)
+SELECT * FROM (SELECT market, quote_asset, row_number() OVER (PARTITION BY market, quote_asset ORDER BY turnover DESC, instrument_key) AS rank, instrument_key, turnover, turnover_observed_at_ns FROM c) WHERE rank <= 10""",
     "f5_topk_orders": "SELECT * FROM (SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank, o_orderkey FROM orders) WHERE rank <= 3",
     "e18_new_listings": f"WITH {CATALOG_SQL} SELECT instrument_key, market FROM fresh",
     "g1_universe": f"WITH {CATALOG_SQL} SELECT market, instrument_key, reasons, priority FROM cand",

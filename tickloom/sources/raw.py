@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import io
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +9,9 @@ from ..functions.histograms import as_array, bucket_counts
 from ..functions.scalar import encode_key, storage_hour
 from ..operators.reconcile import reconciled
 from ..schemas import ENVELOPE, PART_KEYS
+from . import parts
 
-#: Bytes of decoded text that a scan task hands over at a time.
-BLOCK = 1 << 22
-
-
+#: Rows of the table of capabilities up to which it is broadcast.
 MAX_BROADCAST_CAPABILITIES = 10_000
 
 
@@ -46,36 +39,15 @@ def discovered_parts(manifests: DataFrame, files: DataFrame, tombstones: DataFra
     return alive.withColumn("place", F.row_number().over(Window.partitionBy("exchange").orderBy("manifest_sha256")))
 
 
-def _lines(content: bytes) -> Iterator[list[str]]:
-    """The lines of concatenated zstd frames, in blocks."""
-    import zstandard
-
-    with zstandard.ZstdDecompressor().stream_reader(io.BytesIO(content), read_across_frames=True) as stream:
-        rest = b""
-        while block := stream.read(BLOCK):
-            *whole, rest = (rest + block).split(b"\n")
-            yield [line.decode() for line in whole]
-        if rest:
-            yield [rest.decode()]
-
-
-def scan_parts(spark: SparkSession, root: str, pattern: str = "*.jsonl.zst") -> DataFrame:
+def scan_parts(spark: SparkSession, root: str, suffix: str = ".jsonl.zst", split_bytes: int = parts.SPLIT_BYTES) -> DataFrame:
     """Raw envelopes of all parts under root, with path and record_index (from 0, in file order).
 
-    The codec is not one that Spark's text reader has here, so that tasks decode the frames and hand lines on in blocks of
-    bounded size; a part is the unit of work, and parts are rotated by size. Parsing is the JVM's, by the explicit schema.
+    A part is read by several tasks, each a range of its frames (see parts.scan_frames()). Parsing is the JVM's, by the explicit
+    schema. Fails on a frame that cannot be read: parts are closed, and salvage() is for those that are not.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-
-    def decode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for path, content in zip(part["path"], part["content"], strict=True):
-                at = 0
-                for lines in _lines(content):
-                    yield pd.DataFrame({"path": path, "record_index": range(at, at + len(lines)), "line": lines})
-                    at += len(lines)
-
-    lines = files.select("path", "content").mapInPandas(decode, "path string, record_index long, line string")
+    frames = parts.scan_frames(spark, root, suffix, split_bytes)
+    whole = frames.filter(F.col("ok") | F.raise_error(F.concat(F.lit("a frame cannot be read: "), F.col("path"))).cast("boolean"))
+    lines = parts.numbered(whole)
     text_payload = F.get_json_object("line", "$.payload")
     parsed = lines.select("path", "record_index", "line", F.from_json("line", ENVELOPE).alias("_e"))
     return parsed.select("path", "record_index", *[F.col(f"_e.{f}").alias(f) for f in ENVELOPE.names if f != "payload"], text_payload.alias("payload"))
@@ -89,41 +61,10 @@ def bounded(rows: DataFrame, max_rows: int, max_bytes: int, text: str) -> DataFr
     return rows
 
 
-def _salvaged(content: bytes) -> tuple[list[str], int]:
-    """Lines of the longest prefix of whole frames with whole JSON lines, and the prefix's length."""
-    import zstandard
-
-    lines, at = [], 0
-    while at < len(content):
-        frame = zstandard.ZstdDecompressor().decompressobj()
-        try:
-            text = frame.decompress(content[at:])
-            if not frame.eof:
-                break
-            rows = text.decode().splitlines()
-            for row in rows:
-                json.loads(row)
-        except (zstandard.ZstdError, ValueError):
-            break
-        lines += rows
-        at = len(content) - len(frame.unused_data)
-    return lines, at
-
-
-def salvage(spark: SparkSession, root: str, pattern: str = "*.partial") -> tuple[DataFrame, DataFrame]:
+def salvage(spark: SparkSession, root: str, suffix: str = ".partial") -> tuple[DataFrame, DataFrame]:
     """Rows of unfinished parts up to their first bad frame, and for each file how many bytes are valid and how many go to
     quarantine."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-
-    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for path, content in zip(part["path"], part["content"], strict=True):
-                lines, valid = _salvaged(content)
-                yield pd.DataFrame({"path": [path], "lines": [lines], "valid_bytes": [valid], "invalid_bytes": [len(content) - valid]})
-
-    found = files.select("path", "content").mapInPandas(scan, "path string, lines array<string>, valid_bytes long, invalid_bytes long")
-    rows = found.select("path", F.posexplode("lines").alias("record_index", "line"))
-    return rows, found.select("path", "valid_bytes", "invalid_bytes", F.size("lines").alias("records"))
+    return parts.salvaged(spark, root, suffix)
 
 
 def write_hours(events: DataFrame, root: str, rows_per_file: int = 5_000_000) -> None:
@@ -132,8 +73,8 @@ def write_hours(events: DataFrame, root: str, rows_per_file: int = 5_000_000) ->
     rows = events.withColumns(
         {"p_exchange": F.col("exchange"), "p_market": F.coalesce("market", F.lit("_market")), "p_key": scope("instrument_key", "_control"), "p_stream": F.col("logical_stream"), "p_hour": F.replace(storage_hour("received_at_ns"), F.lit("/"), F.lit("-"))}
     )
-    parts = ["p_exchange", "p_market", "p_key", "p_stream", "p_hour"]
-    rows.write.partitionBy(*parts).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).mode("append").parquet(root)
+    folders = ["p_exchange", "p_market", "p_key", "p_stream", "p_hour"]
+    rows.write.partitionBy(*folders).option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).mode("append").parquet(root)
 
 
 def part_facts(events: DataFrame, keys: list[str] = PART_KEYS, lag_ns: str | None = None) -> DataFrame:
