@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from ..functions.scalar import DAY, HOUR, SECOND, floor_to
 from ..operators import books
 from ..operators import revisions as rv
+from ..operators.trades import INTERVALS
 from ..shared import shared_dir
 from ..shipping import ship
 from ..streaming import jobs as s
-from ..streaming import replay, revise, silence
+from ..streaming import chain, replay, revise, silence
 from . import q_books, q_storage, q_telemetry, q_universe
 from .tables import EVENTS_SQL, doubles, events, table, trades
 
 KEY = "instrument_key"
+#: How long the chain's first windows wait, in ms: trades come within a second of their time.
+CHAIN_MS = 1000
 
 
 def _stream(frame, order=None):
@@ -55,6 +58,14 @@ def i2_stream_bars(spark, sf_dir):
     return doubles(rows.withColumn("window_start", F.unix_micros("window_start")))
 
 
+def i2_chained_bars(spark, sf_dir):
+    """All five sizes, each from the closed bars of the one before; the last windows of each size are open still."""
+    e = trades(spark, sf_dir).select(KEY, "time_ns", "received_at_ns", "record_index", "price", "quantity", F.timestamp_micros(F.expr("time_ns div 1000")).alias("ts"))
+    root = f"{shared_dir(spark)}/chain-{uuid.uuid4()}"
+    bars = chain.chained_bars(_stream(e, "received_at_ns"), [KEY], "ts", [i // 1000 for i in INTERVALS], ["time_ns", "record_index"], f"{CHAIN_MS} milliseconds", root)
+    return doubles(bars)
+
+
 def i5_stream_dedup(spark, sf_dir):
     e = trades(spark, sf_dir).select(KEY, "trade_id", F.timestamp_micros(F.expr("time_ns div 1000")).alias("ts"))
     rows = s.results(s.deduplicated(_stream(e, "ts"), [KEY], "ts", "30 days"))
@@ -99,7 +110,7 @@ def i4_revised_hours(spark, sf_dir):
 
 def i6_hysteresis(spark, sf_dir):
     rows = q_universe._months(spark, sf_dir).select("p_partkey", "month", "rank", "eligible")
-    return s.results(s.hysteresis(_stream(rows, "month"), "p_partkey", "month", 3))
+    return s.in_time(s.results(s.hysteresis(_stream(rows, "month"), "p_partkey", "month", 3)))
 
 
 def _snapshots(spark, sf_dir):
@@ -109,12 +120,12 @@ def _snapshots(spark, sf_dir):
 
 
 def i7_lifecycle(spark, sf_dir):
-    return s.results(s.lifecycle(_stream(_snapshots(spark, sf_dir), "o_orderkey"), "o_custkey", "o_orderkey"))
+    return s.in_time(s.results(s.lifecycle(_stream(_snapshots(spark, sf_dir), "o_orderkey"), "o_custkey", "o_orderkey")))
 
 
 def i8_book_validity(spark, sf_dir):
     rows = q_books.messages(spark, sf_dir).select(KEY, "seq", "prev_seq", "kind")
-    return s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq"))
+    return s.in_time(s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq")))
 
 
 def _replay(spark, sf_dir, depth=None):
@@ -135,7 +146,7 @@ def i8_level_states(spark, sf_dir):
 
 def i9_silences(spark, sf_dir):
     rows = events(spark, sf_dir).select(KEY, F.col("received_at_ns").alias("at"))
-    return s.results(s.silences(_stream(rows, "at"), KEY, "at", 2 * HOUR))
+    return s.in_time(s.results(s.silences(_stream(rows, "at"), KEY, "at", 2 * HOUR)))
 
 
 #: How long an instrument may be silent, in ms.
@@ -155,11 +166,11 @@ def i10_slo_monitor(spark, sf_dir):
 
 def i11_gap_generations(spark, sf_dir):
     rows = q_books.messages(spark, sf_dir).select(KEY, "seq", "prev_seq", "kind")
-    found = s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq"))
+    found = s.in_time(s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq")))
     return found.join(rows.select(KEY, "seq"), "seq").groupBy(KEY).agg(F.sum(F.col("break").cast("int")).alias("gaps"), F.sum((~F.col("valid")).cast("int")).alias("invalid"))
 
 
-QUERIES = {f.__name__: f for f in (i1_ingest, i2_stream_bars, i3_closed_bars, i4_revised_hours, i4_late_revisions, i5_stream_dedup, i6_hysteresis, i7_lifecycle, i8_book_validity, i8_book_replay, i8_level_states, i9_silences, i9_silence_alarms, i10_slo_monitor, i11_gap_generations)}
+QUERIES = {f.__name__: f for f in (i1_ingest, i2_stream_bars, i2_chained_bars, i3_closed_bars, i4_revised_hours, i4_late_revisions, i5_stream_dedup, i6_hysteresis, i7_lifecycle, i8_book_validity, i8_book_replay, i8_level_states, i9_silences, i9_silence_alarms, i10_slo_monitor, i11_gap_generations)}
 
 _VALID = q_books._valid_sql("e4a_link")
 ORACLES = {
@@ -188,6 +199,21 @@ SELECT instrument_key, hour_ns, CASE WHEN bool_or(late <= {DELAY}) THEN 2 ELSE 1
 ORACLES["i9_silence_alarms"] = f"""WITH {EVENTS_SQL}, m AS (SELECT DISTINCT instrument_key, received_at_ns // 1000000 AS t FROM ev),
 p AS (SELECT *, lead(t) OVER (PARTITION BY instrument_key ORDER BY t) AS after, max(t) OVER () - 1000 AS mark FROM m)
 SELECT instrument_key, t AS silent_from_ms FROM p WHERE after - t > {SILENCE_MS} OR (after IS NULL AND mark - t > {SILENCE_MS})"""
+
+
+def _chain_sql() -> str:
+    """Of each size those windows that end by the last start of a closed bar of the size before; of the first, by the watermark."""
+    parts, mark = [], f"(SELECT max(time_ns) // 1000000 * 1000 - {CHAIN_MS * 1000} FROM tr)"
+    for i, size in enumerate(i // 1000 for i in INTERVALS):
+        start = f"time_ns // 1000 - time_ns // 1000 % {size}"
+        parts.append(f"""b{i} AS (SELECT instrument_key, {size} AS interval_us, {start} AS window_start, CAST(arg_min(price, (time_ns, record_index)) AS DOUBLE) AS open, CAST(max(price) AS DOUBLE) AS high,
+  CAST(min(price) AS DOUBLE) AS low, CAST(arg_max(price, (time_ns, record_index)) AS DOUBLE) AS close, CAST(sum(quantity) AS DOUBLE) AS base_volume, count(*) AS trade_count
+  FROM tr WHERE {start} + {size} <= {mark} GROUP BY 1, 2, 3)""")
+        mark = f"(SELECT max(window_start) // 1000 * 1000 FROM b{i})"
+    return f"WITH {EVENTS_SQL}, {', '.join(parts)} " + " UNION ALL ".join(f"SELECT * FROM b{i}" for i in range(len(INTERVALS)))
+
+
+ORACLES["i2_chained_bars"] = _chain_sql()
 ORACLES["i8_level_states"] = q_books.ORACLES["c8_book_states"]
 # The book of each segment, a message at a time: a level is taken out, put in again if it has a quantity, and ten a side stay.
 _SIDE = lambda name, side, order: f"""CASE WHEN m.side = '{side}' THEN {order}(list_concat(list_filter({name}, lambda x: x.p <> m.p),

@@ -80,22 +80,42 @@ def deduplicated(trades: DataFrame, keys: list[str], time: str, delay: str = "1
 
 def stateful(stream: DataFrame, keys: list[str], order: str, start: dict, step: Callable[[dict, dict], dict | None], out: str, state: str) -> DataFrame:
     """A fold over each key's rows in order: step(state, row) changes the state and may give a row. The state is as large as
-    `state` says, and the last row's order, whatever the number of rows. Batches must come in order too: a row behind one
-    that an earlier batch has folded ends the stream with an error."""
+    `state` says, and the last row's order, whatever the number of rows.
+
+    Batches must come in order too. A row behind one that an earlier batch has folded changes nothing: it is given back with
+    `late` set, its order and its keys, and in_time() and late_rows() tell the two apart. A batch's rows of a key are sorted in one
+    task; the number of files in a batch bounds them.
+    """
     names = [x.split()[0] for x in state.split(", ")]
-    columns = [x.split()[0] for x in out.split(", ")]
+    columns = [x.split()[0] for x in out.split(", ")] + ["late", "late_key", "late_order"]
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
         *values, last = kept.get if kept.exists else (*(start[n] for n in names), None)
         now = dict(zip(names, values, strict=True))
         rows = pd.concat(list(batches)).sort_values(order)
-        if last is not None and rows[order].iloc[0] < last:
-            raise ValueError(f"{key}: {order} {rows[order].iloc[0]} came after {last}")
-        made = [r for r in (step(now, row) for row in rows.astype(object).where(rows.notna(), None).to_dict("records")) if r is not None]
-        kept.update((*(now[n] for n in names), int(rows[order].iloc[-1])))
-        yield pd.DataFrame(made, columns=columns)
+        behind = rows[order] < last if last is not None else pd.Series(False, index=rows.index)
+        made = [{"late": True, "late_key": ",".join(map(str, key)), "late_order": int(o)} for o in rows[order][behind]]
+        rows = rows[~behind]
+        for row in rows.astype(object).where(rows.notna(), None).to_dict("records"):
+            if (given := step(now, row)) is not None:
+                made.append(given | {"late": False})
+        if len(rows):
+            kept.update((*(now[n] for n in names), int(rows[order].iloc[-1])))
+        made = pd.DataFrame(made, columns=columns, dtype=object)
+        yield made.where(made.notna(), None)
+
+    kinds = f"{out}, late boolean, late_key string, late_order long"
+    return stream.groupBy(*keys).applyInPandasWithState(run, kinds, f"{state}, _order long", "append", GroupStateTimeout.NoTimeout)
+
+
+def in_time(rows: DataFrame) -> DataFrame:
+    """What a fold gave for the rows that came in order."""
+    return rows.filter("NOT late").drop("late", "late_key", "late_order")
+
 
-    return stream.groupBy(*keys).applyInPandasWithState(run, out, f"{state}, _order long", "append", GroupStateTimeout.NoTimeout)
+def late_rows(rows: DataFrame) -> DataFrame:
+    """key (as text) and order of the rows that came too late for a fold."""
+    return rows.filter("late").select(F.col("late_key").alias("key"), F.col("late_order").alias("order"))
 
 
 def hysteresis(refreshes: DataFrame, key: str, time: str, grace: int, key_type: str = "long") -> DataFrame:
@@ -173,7 +193,7 @@ def silences(events: DataFrame, key: str, time: str, threshold: int) -> DataFram
 
 def slo_monitor(samples: DataFrame, key: str, slot: str, slots: int, slo_ns: int) -> DataFrame:
     """Transitions between met and breached of a rolling histogram over the last `slots` slots. The state is the histogram of each
-    live slot; a sample older than that ends the stream with an error. Batches should hold whole slots: each slot's state is
+    live slot; a sample older than that belongs to no window that is still to be told, and is passed over. Batches should hold whole slots: each slot's state is
     told as of the batch it comes in."""
     size = len(BOUNDS_NS)
 
@@ -185,7 +205,7 @@ def slo_monitor(samples: DataFrame, key: str, slot: str, slots: int, slo_ns: int
         buckets = pd.Series(BOUNDS_NS, dtype="int64").searchsorted(rows["lag_ns"])
         for now, part in rows.assign(_b=buckets).groupby(slot):
             if live and now <= max(live) - slots:
-                raise ValueError(f"{k}: {slot} {now} came after {max(live)}")
+                continue
             slot_counts, top = live.setdefault(int(now), [[0] * size, 0])
             for b, n in part["_b"].value_counts().items():
                 slot_counts[int(b)] += int(n)
