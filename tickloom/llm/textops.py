@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import shared_dir  # noqa: F401  (where operators keep tables between stages)
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Runs of bytes below 0x80 that are neither digits nor a-z part words (after lower-casing A-Z).
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -46,14 +48,6 @@ def keyed(docs: DataFrame, id_col: str, *columns: str) -> DataFrame:
     )
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-
-
 def checkpointed(frame: DataFrame) -> DataFrame:
     """The frame with its lineage cut by a reliable checkpoint."""
     context = frame.sparkSession.sparkContext
