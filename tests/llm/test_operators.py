@@ -209,8 +209,15 @@ def test_secret_scan(spark, docs):
     assert {s.split(":")[0] for s in got[4].spans.split(",")} == {"ident", "weak", "endpoint"}
     assert got[5].spans == got[6].spans == got[11].spans == got[12].spans == ""
     plain = lambda p: p and given[13][p.start : p.end]
-    assert [tuple(map(plain, link)) for link in got[13].links] == [("secret: longvalue123", "login: ann", "http://a/")]
-    assert [tuple(x and x.kind for x in link) for link in got[4].links] == [("weak", "ident", "endpoint")]
+    secret = "secret: longvalue123"
+    assert {tuple(map(plain, link)) for link in got[13].links} == {(secret, "login: ann", None), (secret, "login: eve", None), (secret, None, "http://a/"), (secret, None, "http://b/")}
+    assert [tuple(x and x.kind for x in link) for link in got[4].links] == [("weak", None, "endpoint"), ("weak", "ident", None)]
+    assert got[4].link_spans == "weak:9:20+endpoint:21:45,weak:9:20+ident:0:8" and got[5].link_spans == ""
+    many = "user=u1 pwd=secret1 http://h/1 " * 60  # each secret meets what lies within the scope, and no more
+    (r,) = secret_scan.secret_scan(spark.createDataFrame([(1, many)], "doc_id int, text string")).collect()
+    parts = [(m.start(), m.end(), k) for k, p in (("ident", "user=u1"), ("weak", "pwd=secret1"), ("endpoint", "http://h/1")) for m in re.finditer(p, many)]
+    near = {f"weak:{a}:{b}+{k}:{c}:{d}" for a, b, q in parts if q == "weak" for c, d, k in parts if k != "weak" and abs(a - c) <= secret_scan.SCOPE}
+    assert set(r.link_spans.split(",")) == near and len(r.links) == len(near)
     assert secret_scan.secret_scan(docs).count() == docs.count() and secret_scan.secret_scan(empty(docs)).count() == 0
 
 
@@ -338,3 +345,37 @@ def test_quality(spark):
     assert np.mean([got[i] == (i % 5 != 0) for i in range(400)]) > 0.97
     one = quality.train(docs, frame.filter("quality = 1"))
     assert {r.kept for r in quality.score(docs, one).collect()} == {True}
+
+
+def test_one_round_of_cotraining_by_hand(spark, monkeypatch):
+    """What each view hands over, and the models that follow, from numpy alone."""
+    monkeypatch.setattr(quality, "ROUNDS", 1)
+    monkeypatch.setattr(quality, "HANDED", 12)
+    monkeypatch.setattr(quality, "SURE", 0.6)
+    good = [(i, prose(i, 40 + i % 50), f"s{i % 3}", "en", 300 + i) for i in range(120)]
+    bad = [(1000 + i, "x " * (30 + i) + "| " * (i % 7), f"t{i % 3}", "en", 60 + 2 * i) for i in range(60)]
+    rows = good + bad + [(None, good[5][1], "s1", "en", 9), (5000, None, None, None, None), (5001, bad[3][1], "t0", "en", 66)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = [(i, int(i < 1000)) for i, *_ in good[::3] + bad[::3]]
+    model = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    known = dict(labels)
+    numbers = docs.select("doc_id", quality._part("doc_id", 3).alias("fold"), F.xxhash64(F.coalesce("text", F.lit("")), "source", "lang", "n_chars").alias("key")).collect()
+    views = lambda r: [v.astype(np.float16).astype(np.float64) for v in (quality.text_view(r[1] or ""), quality.meta_view(*r[2:]))]
+    fit = [(views(r), known[r[0]]) for r, n in zip(rows, numbers, strict=True) if r[0] in known and n.fold >= 0.2]
+    pool = {n.key: views(r) for r, n in zip(rows, numbers, strict=True) if r[0] not in known}
+    y = np.array([float(t) for _, t in fit])
+    prior = sum(known.values()) / len(known)
+    counts = {1: int(12 * prior), 0: int(12 * (1 - prior))}
+    first = [quality.logistic(np.stack([v[c] for v, _ in fit]), y, np.ones(len(y)), 0.5) for c in (0, 1)]
+    told = []
+    for giver, taker in ((0, 1), (1, 0)):
+        p = {k: float(quality.sigmoid(quality.apply(v[giver], first[giver]))) for k, v in pool.items()}
+        picks = []
+        for label in (1, 0):
+            sure = sorted((-(q if label else 1 - q), k) for k, q in p.items() if (q if label else 1 - q) >= 0.6)[: counts[label]]
+            picks += [(k, float(label)) for _, k in sure]
+        told.append(("ab"[giver], *[sum(t == v for _, t in picks) for v in (1, 0)]))
+        x = np.stack([v[taker] for v, _ in fit] + [pool[k][taker] for k, _ in picks])
+        w = quality.logistic(x, np.append(y, [t for _, t in picks]), np.append(np.ones(len(y)), np.full(len(picks), 0.5)), 0.5)
+        assert np.allclose(w, (model.text, model.meta)[taker], atol=1e-6)
+    assert list(model.handed) == told and sum(a + b for _, a, b in told) > 12

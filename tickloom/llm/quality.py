@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from operator import eq
 from typing import NamedTuple
 
@@ -13,15 +14,16 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from .features import apply, logistic, map_rows, ngram_counts, sigmoid, unit
+from .textops import checkpointed
+from .workers import give_back
 
 #: Buckets of hashed byte trigrams in the text view.
 DIMS = 512
-#: The views are fit on at most about so many labelled documents, and label at most about as many others.
+#: The views are fit on at most about so many labelled documents.
 MAX_LABELLED = 4000
-MAX_POOL = 4000
 ROUNDS = 4
-#: Share of the pool that a view hands to the other in each round, if it is at least so sure.
-HANDED = 0.1
+#: Of all other documents a view hands so many to the other view in each round: those it is surest of, if it is at least so sure.
+HANDED = 400
 SURE = 0.9
 #: Documents below this score are rejected.
 THRESHOLD = 0.5
@@ -36,6 +38,7 @@ class Model(NamedTuple):
     text_scale: tuple[float, float]  # Platt's slope and constant
     meta_scale: tuple[float, float]
     prior: float
+    handed: tuple[tuple[str, int, int], ...] = ()  # of each round and view that gave: the view, good and bad ones
 
 
 def text_view(text: str) -> np.ndarray:
@@ -102,10 +105,57 @@ def _part(id_col: str, salt: int):
     return F.pmod(F.xxhash64(F.col(id_col), F.lit(salt)), F.lit(1_000_000)) / 1_000_000
 
 
+def _surest(given: DataFrame, model: dict[str, np.ndarray], taken: set[int], counts: dict[int, int]) -> dict[str, list[tuple[int, int, bytes]]]:
+    """Giving view -> (label, key, other view's features) of the documents that it is surest of, counts[label] of each label at most.
+
+    All documents are looked at. A task keeps the surest of its own, and of those Spark takes the surest of all; so the driver gets
+    what is handed over and nothing else. Documents that hold the same are one, known by a 64-bit key.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[str, int], dict[int, tuple[float, bytes]]] = {(g, y): {} for g in "ab" for y in counts}
+
+        def trimmed(found: dict[int, tuple[float, bytes]], most: int) -> dict[int, tuple[float, bytes]]:
+            return dict(sorted(found.items(), key=lambda x: (-x[1][0], x[0]))[:most])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                text, source, lang, n, keys = (part.column(c).to_pylist() for c in ("_text", "_source", "_lang", "_n", "_key"))
+                a = np.stack([text_view(t) for t in text]).astype(np.float16)
+                b = np.stack([meta_view(*m) for m in zip(source, lang, n, strict=True)]).astype(np.float16)
+                for giver, own, other in (("a", a, b), ("b", b, a)):
+                    p = sigmoid(apply(own.astype(np.float64), model[giver]))
+                    for label, most in counts.items():
+                        sure = p if label else 1 - p
+                        found = best[giver, label]
+                        for i in np.flatnonzero(sure >= SURE):
+                            if keys[i] not in taken:
+                                found[keys[i]] = (float(sure[i]), other[i].tobytes())
+                        if len(found) > 4 * most:
+                            best[giver, label] = trimmed(found, most)
+        rows = [(g, y, s, k, v) for (g, y), found in best.items() for k, (s, v) in trimmed(found, counts[y]).items()]
+        columns = list(zip(*rows, strict=True)) or [()] * 5
+        kinds = [pa.string(), pa.int32(), pa.float64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["giver", "label", "sure", "key", "view"])
+        give_back()
+
+    ship(given.sparkSession)
+    keyed = given.select("_text", "_source", "_lang", "_n", F.xxhash64("_text", "_source", "_lang", "_n").alias("_key"))
+    found = checkpointed(keyed.mapInArrow(run, "giver string, label int, sure double, key long, view binary"))
+    picks: dict[str, list[tuple[int, int, bytes]]] = {}
+    for giver in "ab":
+        picks[giver] = []
+        for label, most in counts.items():
+            mine = found.filter((F.col("giver") == giver) & (F.col("label") == label)).groupBy("key").agg(F.max("sure").alias("sure"), F.first("view").alias("view"))
+            picks[giver] += [(label, r["key"], r["view"]) for r in mine.orderBy(F.desc("sure"), "key").limit(most).collect()]
+    return picks
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model:
-    """Fits both views on a sample of the labelled documents and a pool of others.
+    """Fits both views on a sample of the labelled documents, and on what they learn from each other of all others.
 
-    In each round each view is fit on its own labelled set, and hands the pool documents that it is
+    In each round each view is fit on its own labelled set, looks at all documents outside the sample, and hands those that it is
     surest of to the other view's set, good and bad ones in the proportion of the labels. A fifth of the
     labelled sample is held back to calibrate the views (Platt scaling).
 
@@ -114,14 +164,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     score; null identifiers have no label; missing metadata are unknown; other columns are ignored, whatever their names.
     """
     known = labels.groupBy(F.col(id_col).alias("_id")).agg(F.avg(label_col).alias("_y")).filter("_id IS NOT NULL AND _y IS NOT NULL")
-    n_labels, n_docs = labels.count(), docs.count()
+    n_labels = labels.count()
     sample = known.filter(_part("_id", 1) < min(1.0, MAX_LABELLED / max(n_labels, 1)))
     given = _given(docs, F.col(id_col).alias("_id"))  # no other column's name can clash from here on
-    chosen = given.join(F.broadcast(sample), "_id", "left").filter(  # a bounded sample
-        F.col("_y").isNotNull() | (_part("_id", 2) < min(1.0, MAX_POOL / max(n_docs, 1)))
-    )
-    rows = _with_views(chosen.withColumn("_fold", _part("_id", 3)).drop("_id"), ["_y", "_fold"]).collect()
-    seen = [r for r in rows if r["_y"] is not None]
+    marked = given.join(F.broadcast(sample), "_id", "left")  # a bounded sample
+    chosen = marked.filter("_y IS NOT NULL").withColumn("_fold", _part("_id", 3)).drop("_id")
+    seen = _with_views(chosen, ["_y", "_fold"]).collect()
     good = sum(r["_y"] >= 0.5 for r in seen)
     prior = good / len(seen) if seen else 1.0
     if not 0 < good < len(seen):
@@ -133,38 +181,35 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
         fit = seen
     if len({r["_y"] >= 0.5 for r in held}) < 2:
         held = seen
-    pool = [r for r in rows if r["_y"] is None]
     y = np.array([float(r["_y"] >= 0.5) for r in fit])
-    views = {c: (matrix(fit, c), matrix(pool, c) if pool else None) for c in "ab"}
-    own = {c: (views[c][0], y, np.ones(len(y))) for c in "ab"}
-    free = np.ones(len(pool), dtype=bool)
+    own = {c: (matrix(fit, c), y, np.ones(len(y))) for c in "ab"}
+    others = marked.filter("_y IS NULL").drop("_id", "_y")
+    counts = {1: max(1, int(HANDED * prior)), 0: max(1, int(HANDED * (1 - prior)))}
+    taken: set[int] = set()
+    told = []
     model: dict[str, np.ndarray] = {}
     for turn in range(ROUNDS + 1):
         for c in "ab":
             model[c] = logistic(*own[c], penalty=0.5)
-        if turn == ROUNDS or not free.any():
+        if turn == ROUNDS:
             break
-        handed = {}
+        picks = _surest(others, model, taken, counts)
         for giver, taker in ("ab", "ba"):
-            p = sigmoid(apply(views[giver][1], model[giver]))
-            most = max(1, int(HANDED * len(pool)))
-            picks = []
-            for label, sure, count in ((1.0, p, max(1, int(most * prior))), (0.0, 1 - p, max(1, int(most * (1 - prior))))):
-                order = [i for i in np.argsort(-sure) if free[i] and sure[i] >= SURE][:count]
-                picks += [(i, label) for i in order]
-            handed[taker] = picks
-        for taker, picks in handed.items():
-            if picks:
-                at = [i for i, _ in picks]
+            told.append((giver, sum(label for label, *_ in picks[giver]), sum(1 - label for label, *_ in picks[giver])))
+            if picks[giver]:
                 x, t, w = own[taker]
-                own[taker] = (np.vstack([x, views[taker][1][at]]), np.append(t, [v for _, v in picks]), np.append(w, np.full(len(at), 0.5)))
-                free[at] = False
+                more = np.stack([np.frombuffer(v, np.float16) for *_, v in picks[giver]]).astype(np.float64)
+                own[taker] = (np.vstack([x, more]), np.append(t, [float(label) for label, *_ in picks[giver]]), np.append(w, np.full(len(more), 0.5)))
+        handed = {key for giver in "ab" for _, key, _ in picks[giver]}
+        if not handed:
+            break
+        taken |= handed
     truth = np.array([float(r["_y"] >= 0.5) for r in held])
     scales = []
     for c in "ab":
         w = logistic(apply(matrix(held, c), model[c])[:, None], truth, np.ones(len(truth)), penalty=0.01)
         scales.append((float(w[0]), float(w[1])))
-    return Model(model["a"], model["b"], scales[0], scales[1], prior)
+    return Model(model["a"], model["b"], scales[0], scales[1], prior, tuple(told))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", carry: bool = False) -> DataFrame:

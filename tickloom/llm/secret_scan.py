@@ -78,14 +78,19 @@ def _matches(kind: str) -> Column:
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: <id_col>, n_assign, n_access, n_hex, base_sha256, spans (text
     kind:start:end by start, comma-joined), found (the same as an array of structs), links (array of the
-    credentials put together: secret, name and endpoint, each with kind, start and end).
+    credentials put together: secret, and a name or an endpoint, each with kind, start and end), link_spans (the links as sorted
+    texts secret+part, comma-joined).
 
     Base kinds are reported wherever they match, leftmost and without overlaps in a kind. The weak kinds
     (account names, short or oddly named secrets, endpoints) are parts of credentials. A part's scope is its
-    block of text (blank lines part blocks), as far as starts lie within SCOPE code points of its own. The interval
-    join gives each part the nearest name, secret and endpoint of its scope (the earlier of two equally near), so that no
-    pairs are made. A name is reported with a secret in its scope, a weak secret (outside base matches) with a name or
-    an endpoint, an endpoint with both; a secret with a name or an endpoint gives a link.
+    block of text (blank lines part blocks), as far as starts lie within SCOPE code points of its own. A name is reported with a
+    secret in its scope, a weak secret (outside base matches) with a name or an endpoint, an endpoint with both. Whether a scope has
+    them is told by windows over its range.
+
+    An interval join then links each secret with each name and each endpoint of its scope: a link is a secret and one of them, or
+    null where the scope has none of the two kinds. The join is by block and stretch of SCOPE code points, in which a secret looks
+    into its own and the two beside it; a scope holds no more parts than so many code points have room for, so that the
+    pairs grow with the text's length, not with its square.
 
     Defined cases: null and empty texts have no spans, and the digest of the empty text; rows that
     repeat an identifier give a row each; other columns are ignored.
@@ -121,15 +126,13 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     blocks = fresh.withColumn("_block", F.count(F.when(F.col("kind") == _FOUND.index("blank"), True)).over(doc.rangeBetween(Window.unboundedPreceding, 0)))
     block = Window.partitionBy("_row", "_id", "_block").orderBy("start")
 
-    def nearest(kinds: list[str]) -> Column:
-        """The nearest part of these kinds in the scope, with its distance."""
-        part = F.when(F.col("kind").isin([number(k) for k in kinds]) & ~F.col("_shadowed"), F.struct("start", "kind", "end"))
-        back = F.last(part, ignorenulls=True).over(block.rangeBetween(-SCOPE, 0))
-        ahead = F.first(part, ignorenulls=True).over(block.rangeBetween(0, SCOPE))
-        return F.when(back.isNull() | (ahead["start"] - F.col("start") < F.col("start") - back["start"]), ahead).otherwise(back)
+    def near(kinds: list[str]) -> Column:
+        """Whether a part of these kinds is in the scope."""
+        part = F.when(F.col("kind").isin([number(k) for k in kinds]) & ~F.col("_shadowed"), True)
+        return F.count(part).over(block.rangeBetween(-SCOPE, SCOPE)) > 0
 
-    linked = blocks.withColumns({"_secret": nearest(SECRETS), "_name": nearest(NAMES), "_place": nearest(["endpoint"])})
-    has = lambda c: F.col(c).isNotNull()
+    linked = blocks.withColumns({"_secret": near(SECRETS), "_name": near(NAMES), "_place": near(["endpoint"])})
+    has = F.col
     is_secret = F.col("kind").isin([number(k) for k in SECRETS]) & ~F.col("_shadowed") & (has("_name") | has("_place"))
     kept = is_base | (
         F.when(F.col("kind") == number("ident"), has("_secret"))
@@ -138,14 +141,27 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
     span = F.struct("start", "kind", "end")
     names = F.array(*[F.lit(k) for k in KINDS])
-    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+    one = lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])
+    text = lambda spans: F.array_join(F.transform(spans, one), ",")
+    # The interval join. Only parts whose scope has something to link with take part in it.
+    at = ["_row", "_block"]
+    stretch = F.floor(F.col("start") / SCOPE)
+    secrets = linked.filter(is_secret).select(*at, F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("_stretch"), span.alias("secret"))
+    company = linked.filter(F.col("kind").isin([number(k) for k in [*NAMES, "endpoint"]]) & has("_secret"))
+    company = company.select(*at, stretch.alias("_stretch"), (F.col("kind") == number("endpoint")).alias("_endpoint"), span.alias("part"))
+    pairs = secrets.join(company, [*at, "_stretch"]).filter(F.abs(F.col("part.start") - F.col("secret.start")) <= SCOPE)
+    links = pairs.groupBy("_row").agg(
+        F.array_sort(F.collect_list(F.struct("secret", F.when(~F.col("_endpoint"), F.col("part")).alias("name"), F.when(F.col("_endpoint"), F.col("part")).alias("endpoint")))).alias("_links")
+    )
     spans = linked.groupBy("_row", "_id").agg(
         *[F.count(F.when(F.col("kind") == number(k), True)).alias(f"n_{k}") for k in BASE],
         F.sort_array(F.collect_list(F.when(is_base, span))).alias("_base"),
         F.sort_array(F.collect_list(F.when(kept, span))).alias("_all"),
-        F.sort_array(F.collect_list(F.when(is_secret, F.struct(span.alias("secret"), F.col("_name").alias("name"), F.col("_place").alias("endpoint"))))).alias("_links"),
     )
     told = lambda s: F.when(s.isNotNull(), F.struct(F.get(names, s["kind"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    no_links = F.array().cast("array<struct<secret:struct<start:bigint,kind:int,end:bigint>,name:struct<start:bigint,kind:int,end:bigint>,endpoint:struct<start:bigint,kind:int,end:bigint>>>")
+    spans = spans.join(links, "_row", "left").withColumn("_links", F.coalesce(F.col("_links"), no_links))
+    linked_text = F.array_sort(F.transform("_links", lambda x: F.concat(one(x["secret"]), F.lit("+"), one(F.coalesce(x["name"], x["endpoint"])))))
     return spans.select(
         F.col("_id").alias(id_col),
         *[f"n_{k}" for k in BASE],
@@ -153,6 +169,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         text(F.col("_all")).alias("spans"),
         F.transform("_all", told).alias("found"),
         F.transform("_links", lambda x: F.struct(*[told(x[n]).alias(n) for n in ("secret", "name", "endpoint")])).alias("links"),
+        F.array_join(linked_text, ",").alias("link_spans"),
     )
 
 
@@ -173,6 +190,7 @@ def oracle_sql() -> str:
     number = KINDS.index
     ids = lambda *kinds: ", ".join(str(number(k)) for k in kinds)
     near = lambda *kinds: f"count(*) FILTER (WHERE kind IN ({ids(*kinds)}) AND NOT shadowed) OVER s > 0"
+    told = lambda x: f"(CASE {x}.kind {order} END || ':' || {x}.start || ':' || {x}.stop)"
     said = f"CASE kind {order} END || ':' || start || ':' || stop"
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -188,8 +206,12 @@ linked AS (
   WINDOW s AS (PARTITION BY doc_id, block ORDER BY start RANGE BETWEEN {SCOPE} PRECEDING AND {SCOPE} FOLLOWING)),
 kept AS (
   SELECT * FROM linked WHERE kind < {len(KINDS)} AND CASE kind WHEN {number('ident')} THEN secret WHEN {number('weak')} THEN NOT shadowed AND (named OR placed)
-    WHEN {number('endpoint')} THEN secret AND named ELSE true END)
+    WHEN {number('endpoint')} THEN secret AND named ELSE true END),
+pairs AS (
+  SELECT a.doc_id, string_agg({told('a')} || '+' || {told('b')}, ',' ORDER BY encode({told('a')} || '+' || {told('b')})) AS links
+  FROM linked a JOIN linked b ON a.doc_id = b.doc_id AND a.block = b.block AND abs(a.start - b.start) <= {SCOPE}
+  WHERE a.kind IN ({ids(*SECRETS)}) AND NOT a.shadowed AND b.kind IN ({ids(*NAMES, 'endpoint')}) GROUP BY a.doc_id)
 SELECT t.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
        sha256(coalesce(string_agg({said}, ',' ORDER BY start, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
-       coalesce(string_agg({said}, ',' ORDER BY start, kind), '') AS spans
-FROM t LEFT JOIN kept ON kept.doc_id = t.doc_id GROUP BY t.doc_id"""
+       coalesce(string_agg({said}, ',' ORDER BY start, kind), '') AS spans, coalesce(any_value(pairs.links), '') AS link_spans
+FROM t LEFT JOIN kept ON kept.doc_id = t.doc_id LEFT JOIN pairs ON pairs.doc_id = t.doc_id GROUP BY t.doc_id"""
