@@ -232,18 +232,19 @@ def near_duplicates(
     ranked = saved(
         ranked.filter(F.col("rank") <= F.col("m") - least_large + 1).select("h", "_id", "n", "class", "rest", (F.col("rank") <= F.col("m") - least_small + 1).alias("small")), "open-prefix"
     )
-    side = lambda c: ranked.select("h", F.col("_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("class").alias(f"class_{c}"), F.col("rest").alias(f"rest_{c}"), F.col("small").alias(f"small_{c}"))
-    # Only members of different classes meet: the pairs of a shingle's classes come first, their members then. A class of many near
-    # copies is not compared with itself, and shingles of one class alone (most of its own) are left out.
-    present = ranked.groupBy("h", "class").agg(F.max("small").alias("some_small"))
-    many = present.groupBy("h").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("h")
-    present = saved(present.join(many, "h", "left_semi"), "open-classes")
-    apart = present.filter("some_small").select("h", F.col("class").alias("class_s")).join(present.select("h", F.col("class").alias("class_l")), "h").filter("class_s <> class_l")
+    # Only members of different classes need to meet. Shingles of one class alone are left out, which most shingles of a group of near
+    # copies are; and of the others, the members of the class that has most of them meet the rest only, not each other.
+    sizes = ranked.groupBy("h", "class").agg(F.count(F.lit(1)).alias("members"))
+    shared_ = sizes.groupBy("h").agg(F.max_by("class", F.struct("members", "class")).alias("most"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    ranked = ranked.join(shared_.drop("classes"), "h").withColumn("large", F.col("class") == F.col("most")).drop("most")
+    ranked = saved(ranked, "open-shared")
+    meets = {"s": F.array("large"), "l": F.when(F.col("large"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))}
+    side = lambda c: ranked.select("h", F.explode(meets[c]).alias("meets"), F.col("_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("class").alias(f"class_{c}"), F.col("rest").alias(f"rest_{c}"), F.col("small").alias(f"small_{c}"))
     # At the first shingle that two sets share, enough must be left of both.
     enough = F.least("rest_s", "rest_l") + 1 >= F.ceil((F.col("n_s") + F.col("n_l")) * percent / (100 + percent))
     rest = (
-        side("s").filter("small_s").join(apart, ["h", "class_s"]).join(side("l"), ["h", "class_l"])
-        .filter(enough & (F.struct("n_s", "s") < F.struct("n_l", "l")) & similar_enough(F.col("n_s"), F.col("n_l")))
+        side("s").filter("small_s").join(side("l"), ["h", "meets"])
+        .filter(enough & (F.struct("n_s", "s") < F.struct("n_l", "l")) & (F.col("class_s") != F.col("class_l")) & similar_enough(F.col("n_s"), F.col("n_l")))
         .select(F.least("s", "l").alias("a"), F.greatest("s", "l").alias("b")).distinct().join(first_pairs, ["a", "b"], "left_anti")
     )
     more = confirmed(matching(rest, "matching-rest"), "rest")
