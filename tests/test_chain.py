@@ -29,7 +29,7 @@ def test_late_rows_go_aside(spark, tmp_path):
     for rows in ([("a", 1), ("a", 5)], [("a", 3), ("a", 20), ("b", 2)], [("b", 1), ("a", 50)], [("a", 49)]):
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     stream = jobs.file_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], SCHEMA).schema, "*.parquet", files_per_batch=1)
-    got = jobs.results(jobs.silences(stream, "k", "at", 10))
+    got = jobs.results(jobs.silences(stream, "k", "at", 10), states=True)
     assert sorted(tuple(r) for r in jobs.late_rows(got).collect()) == [("a", 3), ("a", 49), ("b", 1)]
     assert sorted(tuple(r) for r in jobs.in_time(got).collect()) == [("a", 5, 20), ("a", 20, 50)]
 

@@ -110,7 +110,7 @@ def i4_revised_hours(spark, sf_dir):
 
 def i6_hysteresis(spark, sf_dir):
     rows = q_universe._months(spark, sf_dir).select("p_partkey", "month", "rank", "eligible")
-    return s.in_time(s.results(s.hysteresis(_stream(rows, "month"), "p_partkey", "month", 3)))
+    return s.in_time(s.results(s.hysteresis(_stream(rows, "month"), "p_partkey", "month", 3), states=True))
 
 
 def _snapshots(spark, sf_dir):
@@ -120,12 +120,12 @@ def _snapshots(spark, sf_dir):
 
 
 def i7_lifecycle(spark, sf_dir):
-    return s.in_time(s.results(s.lifecycle(_stream(_snapshots(spark, sf_dir), "o_orderkey"), "o_custkey", "o_orderkey")))
+    return s.in_time(s.results(s.lifecycle(_stream(_snapshots(spark, sf_dir), "o_orderkey"), "o_custkey", "o_orderkey"), states=True))
 
 
 def i8_book_validity(spark, sf_dir):
     rows = q_books.messages(spark, sf_dir).select(KEY, "seq", "prev_seq", "kind")
-    return s.in_time(s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq")))
+    return s.in_time(s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq"), states=True))
 
 
 def _replay(spark, sf_dir, depth=None):
@@ -146,7 +146,7 @@ def i8_level_states(spark, sf_dir):
 
 def i9_silences(spark, sf_dir):
     rows = events(spark, sf_dir).select(KEY, F.col("received_at_ns").alias("at"))
-    return s.in_time(s.results(s.silences(_stream(rows, "at"), KEY, "at", 2 * HOUR)))
+    return s.in_time(s.results(s.silences(_stream(rows, "at"), KEY, "at", 2 * HOUR), states=True))
 
 
 #: How long an instrument may be silent, in ms.
@@ -166,7 +166,7 @@ def i10_slo_monitor(spark, sf_dir):
 
 def i11_gap_generations(spark, sf_dir):
     rows = q_books.messages(spark, sf_dir).select(KEY, "seq", "prev_seq", "kind")
-    found = s.in_time(s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq")))
+    found = s.in_time(s.results(s.book_validity(_stream(rows, "seq"), KEY, "seq"), states=True))
     return found.join(rows.select(KEY, "seq"), "seq").groupBy(KEY).agg(F.sum(F.col("break").cast("int")).alias("gaps"), F.sum((~F.col("valid")).cast("int")).alias("invalid"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from ..functions.histograms import BOUNDS_NS
 from ..operators.universe import lifecycle_step  # noqa: F401  (the batch rule that lifecycle() follows)
 from ..shared import shared_dir
+from .folds import in_time, late_rows, stateful  # noqa: F401
 
 #: How long a window stays open for late events (0 to 60 minutes).
 CLOSE_DELAY = "5 minutes"
@@ -78,46 +79,6 @@ def deduplicated(trades: DataFrame, keys: list[str], time: str, delay: str = "1
     return known.unionByName(trades.filter(F.col("trade_id").isNull()))
 
 
-def stateful(stream: DataFrame, keys: list[str], order: str, start: dict, step: Callable[[dict, dict], dict | None], out: str, state: str) -> DataFrame:
-    """A fold over each key's rows in order: step(state, row) changes the state and may give a row. The state is as large as
-    `state` says, and the last row's order, whatever the number of rows.
-
-    Batches must come in order too. A row behind one that an earlier batch has folded changes nothing: it is given back with
-    `late` set, its order and its keys, and in_time() and late_rows() tell the two apart. A batch's rows of a key are sorted in one
-    task; the number of files in a batch bounds them.
-    """
-    names = [x.split()[0] for x in state.split(", ")]
-    columns = [x.split()[0] for x in out.split(", ")] + ["late", "late_key", "late_order"]
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
-        *values, last = kept.get if kept.exists else (*(start[n] for n in names), None)
-        now = dict(zip(names, values, strict=True))
-        rows = pd.concat(list(batches)).sort_values(order)
-        behind = rows[order] < last if last is not None else pd.Series(False, index=rows.index)
-        made = [{"late": True, "late_key": ",".join(map(str, key)), "late_order": int(o)} for o in rows[order][behind]]
-        rows = rows[~behind]
-        for row in rows.astype(object).where(rows.notna(), None).to_dict("records"):
-            if (given := step(now, row)) is not None:
-                made.append(given | {"late": False})
-        if len(rows):
-            kept.update((*(now[n] for n in names), int(rows[order].iloc[-1])))
-        made = pd.DataFrame(made, columns=columns, dtype=object)
-        yield made.where(made.notna(), None)
-
-    kinds = f"{out}, late boolean, late_key string, late_order long"
-    return stream.groupBy(*keys).applyInPandasWithState(run, kinds, f"{state}, _order long", "append", GroupStateTimeout.NoTimeout)
-
-
-def in_time(rows: DataFrame) -> DataFrame:
-    """What a fold gave for the rows that came in order."""
-    return rows.filter("NOT late").drop("late", "late_key", "late_order")
-
-
-def late_rows(rows: DataFrame) -> DataFrame:
-    """key (as text) and order of the rows that came too late for a fold."""
-    return rows.filter("late").select(F.col("late_key").alias("key"), F.col("late_order").alias("order"))
-
-
 def hysteresis(refreshes: DataFrame, key: str, time: str, grace: int, key_type: str = "long") -> DataFrame:
     """Exit grace across refreshes, a key at a time; the stream's twin of exit_grace()."""
 
@@ -200,16 +161,19 @@ def slo_monitor(samples: DataFrame, key: str, slot: str, slots: int, slo_ns: int
     def run(k: tuple, batches: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
         old, counts, tops, breached = kept.get if kept.exists else ([], [], [], False)
         live = {int(s): [list(counts[i * size : (i + 1) * size]), int(tops[i])] for i, s in enumerate(old)}
-        made = []
-        rows = pd.concat(list(batches))
-        buckets = pd.Series(BOUNDS_NS, dtype="int64").searchsorted(rows["lag_ns"])
-        for now, part in rows.assign(_b=buckets).groupby(slot):
+        made, came = [], {}
+        for chunk in batches:  # only counts of a slot outlive their chunk
+            buckets = pd.Series(BOUNDS_NS, dtype="int64").searchsorted(chunk["lag_ns"])
+            for now, part in chunk.assign(_b=buckets).groupby(slot):
+                added = came.setdefault(int(now), [[0] * size, 0])
+                for b, n in part["_b"].value_counts().items():
+                    added[0][int(b)] += int(n)
+                added[1] = max(added[1], int(part["lag_ns"].max()))
+        for now in sorted(came):
             if live and now <= max(live) - slots:
                 continue
-            slot_counts, top = live.setdefault(int(now), [[0] * size, 0])
-            for b, n in part["_b"].value_counts().items():
-                slot_counts[int(b)] += int(n)
-            live[int(now)][1] = max(top, int(part["lag_ns"].max()))
+            slot_counts, top = live.setdefault(now, [[0] * size, 0])
+            live[now] = [[a + b for a, b in zip(slot_counts, came[now][0], strict=True)], max(top, came[now][1])]
             live = {s: v for s, v in live.items() if s > max(live) - slots}
             total = [sum(v[0][i] for v in live.values()) for i in range(size)]
             rank, seen, p99 = max(1, -(-99 * sum(total) // 100)), 0, None
