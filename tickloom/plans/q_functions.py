@@ -61,11 +61,6 @@ def a7_revisions(spark, sf_dir):
     return rows.crossJoin(F.broadcast(newest))  # one row
 
 
-def a9_bounded_evidence(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", "props")
-    return raw.bounded(rows, 10**9, 10**12, "props").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("props")).alias("bytes"))
-
-
 def g7_optimistic_commit(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     state = o.filter("o_custkey % 3 <> 0").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("revision"))
@@ -73,7 +68,7 @@ def g7_optimistic_commit(spark, sf_dir):
     return rv.committed_if_current(state, proposals, ["o_custkey"]).select("proposal", "accepted", "revision")
 
 
-QUERIES = {f.__name__: f for f in (h5_exact_math, h6_arrays, h7_maps, h8_json, h1_text, a3_hour_sink, a7_revisions, a9_bounded_evidence, g7_optimistic_commit)}
+QUERIES = {f.__name__: f for f in (h5_exact_math, h6_arrays, h7_maps, h8_json, h1_text, a3_hour_sink, a7_revisions, g7_optimistic_commit)}
 
 ORACLES = {
     "h5_exact_math": """WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, (l_orderkey + l_linenumber - 1) // l_linenumber AS up, l_partkey * 100 // 8 AS q, l_partkey * 100 % 8 AS r FROM lineitem)
@@ -84,7 +79,6 @@ SELECT l_orderkey, array_to_string(list_transform(range(1, greatest(len(s), len(
     "h7_maps": "SELECT p_partkey, 'trade' AS channel, lower(p_name) AS symbol FROM part UNION ALL SELECT p_partkey, 'book', upper(p_brand) FROM part",
     "h8_json": """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, '{"event_id":' || event_id || ',"event_type":"' || event_type || '"}' AS json FROM events""",
     "h1_text": "SELECT lower(trim(c_mktsegment)) AS segment, count(DISTINCT lower(c_name)) AS names FROM customer GROUP BY 1",
-    "a9_bounded_evidence": "SELECT count(*) AS n, CAST(sum(strlen(props)) AS BIGINT) AS bytes FROM events",
     "a7_revisions": "SELECT o_orderpriority, count(*) AS n, 2 AS rev, 1 AS supersedes, (SELECT count(*) FROM orders) AS records FROM orders GROUP BY 1",
     "g7_optimistic_commit": """WITH s AS (SELECT o_custkey, count(*) AS now FROM orders WHERE o_custkey % 3 <> 0 GROUP BY 1), x AS (SELECT o.o_custkey, o_orderkey AS proposal, now, (CASE WHEN o.o_custkey % 3 <> 0 THEN o_orderkey % 20 END) IS NOT DISTINCT FROM now AS f FROM orders o LEFT JOIN s ON s.o_custkey = o.o_custkey),
 a AS (SELECT *, f AND row_number() OVER (PARTITION BY o_custkey, f ORDER BY proposal) = 1 AS accepted FROM x) SELECT proposal, accepted, CASE WHEN accepted THEN coalesce(now, 0) + 1 ELSE now END AS revision FROM a""",

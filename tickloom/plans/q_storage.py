@@ -89,12 +89,35 @@ def _damaged(spark, root):
 def a6_salvage(spark, sf_dir):
     """Of each damaged part: the records before its first bad frame, the sum of their numbers, and whether bytes go to quarantine."""
     rows, facts = raw.salvage(spark, _damaged(spark, _written_parts(spark, sf_dir)))
-    part = F.regexp_extract("path", r"([^/]*-[0-9]+)-[^/]*$", 1).alias("part")
+    part = F.regexp_extract("path", PART_NAME, 1).alias("part")
     sums = rows.groupBy(part).agg(F.max("record_index").alias("last"), F.sum(F.get_json_object("line", "$.event_id").cast("long")).alias("ids"))
     told = facts.select(part, "records", (F.col("invalid_bytes") > 0).alias("quarantine"))
     return told.join(sums, "part", "left")
 
 
+#: A part's name by its path.
+PART_NAME = r"([^/]*-[0-9]+)-[^/]*$"
+
+
+def a9_bounded_evidence(spark, sf_dir):
+    """Compressed parts that are read only if they are what is declared of them and within bounds: one row less than the largest has,
+    the bytes of the average one, and a byte less than the longest line. Declared are a row too many for the parts of every fifth user,
+    and a byte too few for those of another fifth."""
+    e = table(spark, sf_dir, "events")
+    rows = e.select(F.concat_ws("-", "event_type", (F.col("user_id") % 5).cast("string")).alias("part"), "event_id", F.to_json(F.struct("event_id", "event_type")).alias("line"))
+    root = f"{shared_dir(spark)}/evidence-{uuid.uuid4()}"
+    parts.write_parts(rows, "part", "event_id", "line", root, FRAME)
+    size = F.octet_length("line").cast("long")
+    facts = rows.groupBy("part").agg(F.count("line").alias("rows"), F.sum(size + 1).alias("bytes"), F.max(size).alias("longest"))
+    bound = facts.agg(F.max("rows") - 1, F.expr("sum(bytes) div count(*)"), F.max("longest") - 1).first()
+    fifth = F.substring("part", -1, 1)
+    declared = facts.select("part", (F.col("rows") + F.when(fifth == "4", 1).otherwise(0)).alias("rows"), (F.col("bytes") - F.when(fifth == "3", 1).otherwise(0)).alias("bytes"))
+    lines, verdicts = parts.evidence(spark, root, declared, F.regexp_extract("path", PART_NAME, 1), *bound, split_bytes=SPLIT)
+    ids = F.sum(F.get_json_object("line", "$.event_id").cast("long"))
+    given = lines.groupBy("part").agg(F.count("line").alias("lines"), F.max("record_index").alias("last"), ids.alias("ids"))
+    return verdicts.join(given, "part", "left")
+
+
 def a5_manifest_check(spark, sf_dir):
     facts = ["records", "first_received_ns", "last_sequence"]
     actual = raw.part_facts(_records(spark, sf_dir), PART)
@@ -217,7 +240,7 @@ def d30_lineage(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        a2_part_scan, a6_salvage, a4_part_facts, a5_manifest_check, b7_single_hour, e3_sequence_growth, a1_discovery, a11_inventory, c17_disposition, a12_capabilities, a8_latest_revision, c11_affected_hours, c12_cleanup,
+        a2_part_scan, a6_salvage, a9_bounded_evidence, a4_part_facts, a5_manifest_check, b7_single_hour, e3_sequence_growth, a1_discovery, a11_inventory, c17_disposition, a12_capabilities, a8_latest_revision, c11_affected_hours, c12_cleanup,
         c15_acknowledged, c16_receipts, c19_abandoned_jobs, d29_identity, d30_lineage,
     )
 }
@@ -230,6 +253,12 @@ ORACLES = {
   count(*) OVER (PARTITION BY event_type, user_id % 5) AS n FROM events),
 k AS (SELECT *, {FRAME} * CASE kind WHEN 1 THEN (n - 1) // {FRAME} WHEN 2 THEN least(1, (n - 1) // {FRAME}) WHEN 3 THEN least(2, (n - 1) // {FRAME}) ELSE n END AS upto FROM e)
 SELECT part, count(*) FILTER (WHERE i < upto) AS records, kind IN (1, 2, 3) AS quarantine, max(i) FILTER (WHERE i < upto) AS last, CAST(sum(event_id) FILTER (WHERE i < upto) AS BIGINT) AS ids FROM k GROUP BY part, kind""",
+    "a9_bounded_evidence": """WITH e AS (SELECT event_type || '-' || (user_id % 5) AS part, user_id % 5 AS kind, event_id, strlen('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}') AS b FROM events),
+f AS (SELECT part, kind, count(*) AS n, CAST(sum(b + 1) AS BIGINT) AS bytes, max(b) AS longest, CAST(sum(event_id) AS BIGINT) AS ids FROM e GROUP BY 1, 2),
+m AS (SELECT max(n) - 1 AS max_n, sum(bytes) // count(*) AS max_bytes, max(longest) - 1 AS max_line FROM f),
+v AS (SELECT *, CASE WHEN n + CAST(kind = 4 AS INT) > max_n THEN 'rows_over' WHEN bytes > max_bytes THEN 'bytes_over' WHEN longest > max_line THEN 'line_over'
+  WHEN kind = 4 THEN 'rows_differ' WHEN kind = 3 THEN 'bytes_differ' ELSE 'accepted' END AS verdict FROM f, m)
+SELECT part, verdict, n AS rows, bytes, CASE WHEN verdict = 'accepted' THEN n END AS lines, CASE WHEN verdict = 'accepted' THEN n - 1 END AS last, CASE WHEN verdict = 'accepted' THEN ids END AS ids FROM v""",
     "a4_part_facts": f"""WITH {RECORDS_SQL} SELECT instrument_key, worker_instance_id, {_FACTS}, string_agg(DISTINCT 'c' || (user_id % 3), ',' ORDER BY 'c' || (user_id % 3)) AS connection_ids,
   string_agg(DISTINCT 'e' || (user_id % 4), ',' ORDER BY 'e' || (user_id % 4)) AS egress_ids FROM rc GROUP BY 1, 2""",
     "a5_manifest_check": f"""WITH {RECORDS_SQL}, a AS (SELECT instrument_key, worker_instance_id, {_FACTS} FROM rc GROUP BY 1, 2), d AS (SELECT instrument_key, worker_instance_id, {_FACTS} FROM rc WHERE record_index % 9000 <> 5 GROUP BY 1, 2),

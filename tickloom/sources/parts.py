@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
@@ -228,3 +228,35 @@ def salvaged(spark: SparkSession, root: str, suffix: str = ".partial", split_byt
     )
     good = lines.join(ends, "path").filter(F.col("frame_start") < valid).drop("_bad", "_size")
     return numbered(good), facts
+
+
+def evidence(
+    spark: SparkSession, root: str, declared: DataFrame, part: Column, max_rows: int, max_bytes: int, max_line_bytes: int,
+    suffix: str = ".jsonl.zst", split_bytes: int = SPLIT_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """Parts that have to be what is declared of them (part, rows, bytes: of the lines with their ends), within bounds: part,
+    record_index and line of those that are accepted, and for every part its verdict, rows and bytes.
+
+    A part (`part` tells its name by its path) is refused as a whole, for the first of: undeclared, missing (a file without a frame
+    too), rows_over, bytes_over (as declared or as found), damaged (a frame cannot be read), line_over, rows_differ, bytes_differ.
+    A null declaration differs from everything. The facts are one row a part, added up where its ranges are read; only then are
+    the lines read again, so that nothing of a refused part is handed on.
+    """
+    lines = scan_frames(spark, root, suffix, split_bytes)
+    size = F.octet_length("line").cast("long")
+    found = lines.groupBy(part.alias("part")).agg(
+        F.count("line").alias("rows"), F.coalesce(F.sum(size + 1), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(size), F.lit(0)).alias("_longest"), F.every("ok").alias("_whole"),
+    )
+    told = declared.select("part", F.col("rows").alias("_rows"), F.col("bytes").alias("_bytes"), F.lit(True).alias("_told"))
+    verdict = (
+        F.when(F.col("_told").isNull(), "undeclared").when(F.col("_whole").isNull(), "missing")
+        .when(F.greatest("rows", "_rows") > max_rows, "rows_over").when(F.greatest("bytes", "_bytes") > max_bytes, "bytes_over")
+        .when(~F.col("_whole"), "damaged").when(F.col("_longest") > max_line_bytes, "line_over")
+        .when(~F.col("rows").eqNullSafe(F.col("_rows")), "rows_differ").when(~F.col("bytes").eqNullSafe(F.col("_bytes")), "bytes_differ")
+        .otherwise("accepted")
+    )
+    verdicts = found.join(told, "part", "full").select("part", verdict.alias("verdict"), "rows", "bytes")
+    accepted = verdicts.filter("verdict = 'accepted'").select("part")
+    given = numbered(lines.withColumn("part", part).join(accepted, "part", "left_semi"))
+    return given.select(part.alias("part"), "record_index", "line"), verdicts

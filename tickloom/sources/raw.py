@@ -53,14 +53,6 @@ def scan_parts(spark: SparkSession, root: str, suffix: str = ".jsonl.zst", split
     return parsed.select("path", "record_index", *[F.col(f"_e.{f}").alias(f) for f in ENVELOPE.names if f != "payload"], text_payload.alias("payload"))
 
 
-def bounded(rows: DataFrame, max_rows: int, max_bytes: int, text: str) -> DataFrame:
-    """The rows, or a failure if they are more than an evidence file may hold."""
-    found = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("b")).first()
-    if found["n"] > max_rows or found["b"] > max_bytes:
-        raise ValueError(f"{found['n']} rows and {found['b']} bytes exceed {max_rows} and {max_bytes}")
-    return rows
-
-
 def salvage(spark: SparkSession, root: str, suffix: str = ".partial") -> tuple[DataFrame, DataFrame]:
     """Rows of unfinished parts up to their first bad frame, and for each file how many bytes are valid and how many go to
     quarantine."""
