@@ -1,17 +1,36 @@
 """Cases that only large tables bring: sums past 64 bits, frames by the thousand, parts and keys that need no row."""
 
 import datetime
+import glob
+
+from pyspark.sql import functions as F
 
 from tickloom.plans import registry
+from tickloom.streaming import chain, jobs
 
 
 def test_latency_total_passes_64_bits(spark, tmp_path):
     at = datetime.datetime(2024, 1, 1)
     events = spark.range(50, 20_000 * 50 + 1, 50).selectExpr("id AS event_id", "1L AS user_id", "'view' AS event_type", "1.0D AS value", "'{}' AS props")
-    from pyspark.sql import functions as F
-
     events.withColumn("ts", F.lit(at)).write.parquet(f"{tmp_path}/events.parquet")
     (got,) = registry.queries()["d27_latency"](spark, str(tmp_path)).collect()
     n = sum(i % 33 != 0 for i in range(50, 20_000 * 50 + 1, 50))
     assert n * 8 * 86400 * 10**9 > 2**63
     assert (got.samples, got.lag_total) == (n, str(n * 8 * 86400 * 10**9))
+
+
+def test_files_of_one_closing_are_not_parted(spark, tmp_path):
+    """Closed bars in more files than a batch of a stream takes by default."""
+    rows = spark.range(0, 600).selectExpr("'k' AS k", "id * 1000000 AS t", "timestamp_micros(id * 1000000) AS ts", "CAST(id AS DECIMAL(18,9)) AS price", "CAST(1 AS DECIMAL(18,9)) AS quantity")
+    rows = rows.withColumn("k", F.expr("CAST(t div 1000000 % 150 AS STRING)"))
+    rows.coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", rows.schema, "*.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "130")
+    try:
+        got = chain.chained_bars(stream, ["k"], "ts", [1_000_000, 60_000_000], ["t"], "1 second", f"{tmp_path}/out")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(glob.glob(f"{tmp_path}/out/1000000/*/*.parquet")) > 100
+    closed = [i for i in range(600) if i + 1 <= 598]
+    assert got.filter("interval_us = 60000000").agg(F.sum("trade_count")).first()[0] == sum(i // 60 * 60 + 60 <= max(closed) for i in closed)

@@ -36,8 +36,9 @@ def chained_bars(trades: DataFrame, keys: list[str], time: str, sizes_us: list[i
     found = []
     for i, size in enumerate(sizes_us):
         if i:
-            # Files of a batch are one batch again, in the order of their times.
-            bars = rolled_bars(file_stream(spark, f"{root}/{sizes_us[i - 1]}/*", schema, "*.parquet"), keys, size)
+            # The files of one closing hold bars of the same times, so a batch takes all files: were they parted, the first would
+            # move the watermark past bars of the rest.
+            bars = rolled_bars(file_stream(spark, f"{root}/{sizes_us[i - 1]}/*", schema, "*.parquet", files_per_batch=None), keys, size)
         schema = bars.schema
         run_available(bars, f"{root}/{size}", f"{root}/checkpoint-{size}")
         found.append(spark.read.schema(schema).parquet(f"{root}/{size}/*").withColumn("interval_us", F.lit(size).cast("long")))

@@ -21,9 +21,11 @@ from .folds import in_time, late_rows, stateful  # noqa: F401
 CLOSE_DELAY = "5 minutes"
 
 
-def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str, files_per_batch: int = 100) -> DataFrame:
-    """Closed files of a folder as a stream: each once, also after a restart from its checkpoint; unfinished ones never."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str, files_per_batch: int | None = 100) -> DataFrame:
+    """Closed files of a folder as a stream: each once, also after a restart from its checkpoint; unfinished ones never. Without a
+    number of files, a batch takes all that are there."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(folder)
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "append", each: Callable[[DataFrame, int], DataFrame] | None = None) -> None:
