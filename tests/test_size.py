@@ -5,7 +5,7 @@ import glob
 
 from pyspark.sql import functions as F
 
-from tickloom.plans import registry
+from tickloom.plans import q_universe, registry
 from tickloom.streaming import chain, jobs
 
 
@@ -34,3 +34,13 @@ def test_files_of_one_closing_are_not_parted(spark, tmp_path):
     assert len(glob.glob(f"{tmp_path}/out/1000000/*/*.parquet")) > 100
     closed = [i for i in range(600) if i + 1 <= 598]
     assert got.filter("interval_us = 60000000").agg(F.sum("trade_count")).first()[0] == sum(i // 60 * 60 + 60 <= max(closed) for i in closed)
+
+
+def test_parts_that_were_never_in_the_top_have_no_months(spark, tmp_path):
+    """Nine parts of a brand, of which a month's first four are in the top."""
+    rows = [(p, datetime.datetime(2024, m, 3), float(100 - p if m != 2 else p)) for p in range(1, 10) for m in (1, 2, 4)]
+    spark.createDataFrame(rows, "l_partkey long, l_shipdate timestamp, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(p, "b") for p in range(1, 13)], "p_partkey long, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {(r.p_partkey, r.month - 2024 * 12): r.rank for r in q_universe._months(spark, str(tmp_path)).collect()}
+    first = {(p, m): p for p in (1, 2, 3, 4) for m in (1, 4)} | {(p, 2): 10 - p for p in (9, 8, 7, 6)}
+    assert got == {(p, m): first.get((p, m)) for p in (1, 2, 3, 4, 6, 7, 8, 9) for m in (1, 2, 3, 4)}

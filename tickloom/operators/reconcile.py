@@ -29,6 +29,12 @@ def reconciled(left: DataFrame, right: DataFrame, keys: list[str], facts: list[s
     return found.withColumn("differing", F.when(in_both, F.array_join("_d", ",")).otherwise("")).drop("_l", "_r", "_d")
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """The rows by hash of the keys, in as many partitions as the session's shuffles have. Adaptive execution leaves a given number as it
+    is; it merges others by their compressed bytes, which of narrow rows puts many millions into a task."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def one_sided(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that only one side has, with the side."""
     only = lambda a, b, side: a.join(b, keys, "left_anti").select(*keys, F.lit(side).alias("side"))
