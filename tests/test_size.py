@@ -6,6 +6,7 @@ import glob
 from pyspark.sql import functions as F
 
 from tickloom.plans import q_universe, registry
+from tickloom.sources import parts
 from tickloom.streaming import chain, jobs
 
 
@@ -44,3 +45,14 @@ def test_parts_that_were_never_in_the_top_have_no_months(spark, tmp_path):
     got = {(r.p_partkey, r.month - 2024 * 12): r.rank for r in q_universe._months(spark, str(tmp_path)).collect()}
     first = {(p, m): p for p in (1, 2, 3, 4) for m in (1, 4)} | {(p, 2): 10 - p for p in (9, 8, 7, 6)}
     assert got == {(p, m): first.get((p, m)) for p in (1, 2, 3, 4, 6, 7, 8, 9) for m in (1, 2, 3, 4)}
+
+
+def test_small_ranges_are_limited_in_number(spark, tmp_path, monkeypatch):
+    """A part of many frames is not walked over once for each few bytes."""
+    rows = spark.range(3000).selectExpr("'p-0' AS part", "id", "CONCAT('{\"i\":', id, '}') AS line")
+    parts.write_parts(rows, "part", "id", "line", str(tmp_path), frame_lines=2)
+    monkeypatch.setattr(parts, "MAX_RANGES", 8)
+    ranges = parts._Reader({"path": str(tmp_path), "splitbytes": "16"}).partitions()
+    assert len(ranges) <= 9 and ranges[-1].end == ranges[0].size
+    got = parts.numbered(parts.scan_frames(spark, str(tmp_path), split_bytes=16)).select("record_index", F.get_json_object("line", "$.i").cast("int")).collect()
+    assert sorted(map(tuple, got)) == [(i, i) for i in range(3000)]

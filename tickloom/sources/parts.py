@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from ..shared import shared_dir
 from ..shipping import ship
 
 #: Bytes of a part that one task reads, whole frames of them.
 SPLIT_BYTES = 32 << 20
+#: Ranges smaller than SPLIT_BYTES that a scan is cut into at most, beside one for each part.
+MAX_RANGES = 256
 #: Lines of a frame, and of a batch that a reader hands over.
 FRAME_LINES, BATCH_LINES = 10_000, 4096
 _MAGIC = b"\x28\xb5\x2f\xfd"
@@ -86,13 +89,16 @@ class _Reader(DataSourceReader):
         self.root, self.suffix, self.split = options["path"], options.get("suffix", ".jsonl.zst"), int(options.get("splitbytes", SPLIT_BYTES))
 
     def partitions(self) -> list[InputPartition]:
-        """Ranges of the files' sizes alone; tasks find the frames that begin in theirs."""
+        """Ranges of the files' sizes alone; tasks find the frames that begin in theirs. A splitBytes below SPLIT_BYTES makes
+        MAX_RANGES of them and one a part at most: as each task walks over the frames before its own, the walks then grow with the
+        bytes, not with their square."""
         from pyarrow import fs
 
         files, inner = _files(self.root)
         found = files.get_file_info(fs.FileSelector(inner, recursive=True))
         parts = [f for f in found if f.is_file and f.path.endswith(self.suffix)]
-        return [_Range(f.path, f.size, at, min(at + self.split, f.size)) for f in parts for at in range(0, f.size, self.split)]
+        split = max(self.split, min(SPLIT_BYTES, -(-sum(f.size for f in parts) // MAX_RANGES)))
+        return [_Range(f.path, f.size, at, min(at + split, f.size)) for f in parts for at in range(0, f.size, split)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         """Lines of the frames that begin in the range; a frame that cannot be read is one row without a line, and ends the part."""
@@ -205,9 +211,10 @@ def scan_frames(spark: SparkSession, root: str, suffix: str = ".jsonl.zst", spli
     return _registered(spark).read.format("jsonparts").option("suffix", suffix).option("splitBytes", split_bytes).load(root)
 
 
-def numbered(lines: DataFrame) -> DataFrame:
-    """path, record_index (from 0, in the order of the part), line. The lines before each frame are summed over one row a frame."""
-    frames = lines.groupBy("path", "frame_start").agg(F.count("line").alias("_n"))
+def numbered(lines: DataFrame, frames: DataFrame | None = None) -> DataFrame:
+    """path, record_index (from 0, in the order of the part), line. The lines before each frame are summed over one row a frame;
+    `frames` (path, frame_start, _n), if it is known, spares reading the parts for that."""
+    frames = frames or lines.groupBy("path", "frame_start").agg(F.count("line").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("path").orderBy("frame_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     frames = frames.select("path", "frame_start", before.alias("_before"))
     return lines.join(frames, ["path", "frame_start"]).select("path", (F.col("_before") + F.col("line_no")).alias("record_index"), "line")
@@ -239,14 +246,20 @@ def evidence(
 
     A part (`part` tells its name by its path) is refused as a whole, for the first of: undeclared, missing (a file without a frame
     too), rows_over, bytes_over (as declared or as found), damaged (a frame cannot be read), line_over, rows_differ, bytes_differ.
-    A null declaration differs from everything. The facts are one row a part, added up where its ranges are read; only then are
-    the lines read again, so that nothing of a refused part is handed on.
+    A null declaration differs from everything. Parts are read twice: for the facts, of which a row for each frame is kept in the
+    shared folder, and then for the lines of accepted ones, so that nothing of a refused part is handed on. A part's name is taken once a file.
     """
     lines = scan_frames(spark, root, suffix, split_bytes)
     size = F.octet_length("line").cast("long")
-    found = lines.groupBy(part.alias("part")).agg(
-        F.count("line").alias("rows"), F.coalesce(F.sum(size + 1), F.lit(0)).alias("bytes"),
-        F.coalesce(F.max(size), F.lit(0)).alias("_longest"), F.every("ok").alias("_whole"),
+    facts = f"{shared_dir(spark)}/facts-{uuid.uuid4()}"
+    lines.groupBy("path", "frame_start").agg(
+        F.count("line").alias("_n"), F.sum(size + 1).alias("_size"), F.max(size).alias("_most"), F.every("ok").alias("_ok")
+    ).write.parquet(facts)
+    frames = spark.read.parquet(facts)
+    paths = frames.groupBy("path").agg(F.sum("_n").alias("_n"), F.sum("_size").alias("_size"), F.max("_most").alias("_most"), F.every("_ok").alias("_ok")).withColumn("part", part)
+    found = paths.groupBy("part").agg(
+        F.sum("_n").alias("rows"), F.coalesce(F.sum("_size"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max("_most"), F.lit(0)).alias("_longest"), F.every("_ok").alias("_whole"),
     )
     told = declared.select("part", F.col("rows").alias("_rows"), F.col("bytes").alias("_bytes"), F.lit(True).alias("_told"))
     verdict = (
@@ -257,6 +270,6 @@ def evidence(
         .otherwise("accepted")
     )
     verdicts = found.join(told, "part", "full").select("part", verdict.alias("verdict"), "rows", "bytes")
-    accepted = verdicts.filter("verdict = 'accepted'").select("part")
-    given = numbered(lines.withColumn("part", part).join(accepted, "part", "left_semi"))
-    return given.select(part.alias("part"), "record_index", "line"), verdicts
+    accepted = paths.select("path", "part").join(verdicts.filter("verdict = 'accepted'").select("part"), "part", "left_semi")
+    given = numbered(lines.join(accepted.select("path"), "path", "left_semi"), frames.select("path", "frame_start", "_n"))
+    return given.join(accepted, "path").select("part", "record_index", "line"), verdicts
