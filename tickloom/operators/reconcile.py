@@ -36,7 +36,8 @@ def dealt(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def one_sided(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that only one side has, with the side."""
+    """Keys that only one side has, with the side. Both anti-joins use the same shuffles of the keys."""
+    left, right = dealt(left.select(*keys), *keys), dealt(right.select(*keys), *keys)
     only = lambda a, b, side: a.join(b, keys, "left_anti").select(*keys, F.lit(side).alias("side"))
     return only(left, right, "left").unionAll(only(right, left, "right"))
 
