@@ -2,9 +2,12 @@
 
 import datetime
 import glob
+import hashlib
 
 from pyspark.sql import functions as F
 
+from tickloom.functions.scalar import packed_digest, unpacked_digest
+from tickloom.operators.reconcile import dealt, one_sided
 from tickloom.plans import q_universe, registry
 from tickloom.sources import parts
 from tickloom.streaming import chain, jobs
@@ -56,3 +59,18 @@ def test_small_ranges_are_limited_in_number(spark, tmp_path, monkeypatch):
     assert len(ranges) <= 9 and ranges[-1].end == ranges[0].size
     got = parts.numbered(parts.scan_frames(spark, str(tmp_path), split_bytes=16)).select("record_index", F.get_json_object("line", "$.i").cast("int")).collect()
     assert sorted(map(tuple, got)) == [(i, i) for i in range(3000)]
+
+
+def test_packed_digests_tell_texts_apart(spark):
+    a = hashlib.sha256(b"a").hexdigest()
+    texts = [a, a.upper(), a + "\n", a[:63], "x", "", " " * 31, "\u00e9" * 16, None]
+    got = spark.createDataFrame([(x,) for x in texts], "t string").select("t", packed_digest("t").alias("p")).select("t", "p", unpacked_digest("p").alias("u")).collect()
+    assert [r.u for r in got] == texts and len({None if r.p is None else bytes(r.p) for r in got}) == len(texts)
+    assert len(got[0].p) == 32
+
+
+def test_narrow_keys_are_dealt_over_all_partitions(spark):
+    """Adaptive execution merges partitions of few bytes, however many rows they have."""
+    found = one_sided(spark.range(200_000).toDF("k"), spark.range(3, 200_003).toDF("k"), ["k"])
+    assert sorted(map(tuple, found.collect())) == [(0, "left"), (1, "left"), (2, "left"), *((k, "right") for k in (200_000, 200_001, 200_002))]
+    assert dealt(spark.range(1000).toDF("k"), "k").select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))

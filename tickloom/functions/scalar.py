@@ -304,3 +304,16 @@ def wire_symbols(names: Column | str, symbols: Column | str) -> Column:
 def canonical_json(*columns: Column | str) -> Column:
     """Compact JSON of some columns in the given order; null fields are left out."""
     return F.to_json(F.struct(*columns))
+
+
+def packed_digest(c: Column | str) -> Column:
+    """A SHA-256 in lowercase hex as its 32 bytes, any other text as more bytes than that: equal just where the texts are, at half the
+    width. unpacked_digest() gives the text."""
+    text = F.col(c) if isinstance(c, str) else c
+    return F.when(text.rlike(r"^[0-9a-f]{64}\z"), F.unhex(text)).otherwise(F.encode(F.concat(F.lit(" " * 33), text), "UTF-8"))
+
+
+def unpacked_digest(c: Column | str) -> Column:
+    """The text of a packed_digest()."""
+    data = F.col(c) if isinstance(c, str) else c
+    return F.when(F.octet_length(data) == 32, F.lower(F.hex(data))).otherwise(F.decode(F.substring(data, 34, 1 << 30), "UTF-8"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.histograms import as_array, bucket_counts
-from ..functions.scalar import encode_key, storage_hour
+from ..functions.scalar import encode_key, packed_digest, storage_hour, unpacked_digest
 from ..operators.reconcile import reconciled
 from ..schemas import ENVELOPE, PART_KEYS
 from . import parts
@@ -32,10 +32,11 @@ def inventory_differences(declared: DataFrame, observed: DataFrame) -> DataFrame
 def discovered_parts(manifests: DataFrame, files: DataFrame, tombstones: DataFrame, versions: tuple[int, ...] = (1,)) -> DataFrame:
     """Manifests of closed parts: supported, with their data in place at the declared size and digest, and no tombstone; in
     manifest order (`place`), not path order."""
-    there = files.select(F.col("path").alias("data_path"), F.col("size").alias("_size"), F.col("sha256").alias("_sha"))
-    fit = manifests.filter(F.col("schema_version").isin(*versions)).join(there, "data_path")
-    fit = fit.filter((F.col("data_size") == F.col("_size")) & (F.col("data_sha256") == F.col("_sha"))).drop("_size", "_sha")
-    alive = fit.join(tombstones.select("manifest_sha256"), "manifest_sha256", "left_anti")
+    there = files.select(F.col("path").alias("data_path"), F.col("size").alias("_size"), packed_digest("sha256").alias("_sha"))
+    fit = manifests.filter(F.col("schema_version").isin(*versions)).withColumns({"manifest_sha256": packed_digest("manifest_sha256"), "_own": packed_digest("data_sha256")})
+    fit = fit.join(there, "data_path").filter((F.col("data_size") == F.col("_size")) & (F.col("_own") == F.col("_sha"))).drop("_size", "_sha", "_own")
+    alive = fit.join(tombstones.select(packed_digest("manifest_sha256").alias("manifest_sha256")), "manifest_sha256", "left_anti")
+    alive = alive.withColumn("manifest_sha256", unpacked_digest("manifest_sha256"))
     return alive.withColumn("place", F.row_number().over(Window.partitionBy("exchange").orderBy("manifest_sha256")))
 
 
@@ -94,16 +95,19 @@ def sequence_breaks(events: DataFrame, keys: list[str] = PART_KEYS, order: str =
 def dispositions(manifests: DataFrame, files: DataFrame, intents: DataFrame, tombstones: DataFrame) -> DataFrame:
     """What became of each manifest's data: present, changed, cleanup_pending, tombstoned (its proof binds the exact digests)
     or missing without explanation."""
-    there = files.select(F.col("path").alias("data_path"), F.col("sha256").alias("_sha"))
-    wish = intents.select("manifest_sha256", F.lit(True).alias("_intent"))
-    gone = tombstones.select("manifest_sha256", F.col("data_sha256").alias("_proof"))
-    rows = manifests.join(there, "data_path", "left").join(wish, "manifest_sha256", "left").join(gone, "manifest_sha256", "left")
+    there = files.select(F.col("path").alias("data_path"), packed_digest("sha256").alias("_sha"))
+    wish = intents.select(packed_digest("manifest_sha256").alias("_id"), F.lit(True).alias("_intent"))
+    gone = tombstones.select(packed_digest("manifest_sha256").alias("_id"), packed_digest("data_sha256").alias("_proof"))
+    own = manifests.withColumns({"_id": packed_digest("manifest_sha256"), "_own": packed_digest("data_sha256")})
+    # Whether the file is the declared one is told before the next shuffle, which need not carry its digest.
+    seen = own.join(there, "data_path", "left").withColumn("_same", F.when(F.col("_sha").isNotNull(), F.coalesce(F.col("_sha") == F.col("_own"), F.lit(False)))).drop("_sha")
+    rows = seen.join(wish, "_id", "left").join(gone, "_id", "left")
     state = (
-        F.when(F.col("_proof") == F.col("data_sha256"), "tombstoned").when(F.col("_proof").isNotNull(), "proof_mismatch")
-        .when(F.col("_sha") == F.col("data_sha256"), F.when(F.col("_intent"), "cleanup_pending").otherwise("present"))
-        .when(F.col("_sha").isNotNull(), "changed").otherwise("missing_unexplained")
+        F.when(F.col("_proof") == F.col("_own"), "tombstoned").when(F.col("_proof").isNotNull(), "proof_mismatch")
+        .when(F.col("_same"), F.when(F.col("_intent"), "cleanup_pending").otherwise("present"))
+        .when(F.col("_same").isNotNull(), "changed").otherwise("missing_unexplained")
     )
-    return rows.withColumn("disposition", state).drop("_sha", "_intent", "_proof")
+    return rows.withColumn("disposition", state).drop("_id", "_own", "_same", "_intent", "_proof")
 
 
 def with_capability(rows: DataFrame, capabilities: DataFrame, keys: list[str]) -> DataFrame:
