@@ -10,7 +10,7 @@ from tickloom.functions.scalar import packed_digest, unpacked_digest
 from tickloom.operators.reconcile import dealt, one_sided
 from tickloom.plans import q_universe, registry
 from tickloom.sources import parts
-from tickloom.streaming import chain, jobs
+from tickloom.streaming import chain, folds, jobs
 
 
 def test_latency_total_passes_64_bits(spark, tmp_path):
@@ -74,3 +74,20 @@ def test_narrow_keys_are_dealt_over_all_partitions(spark):
     found = one_sided(spark.range(200_000).toDF("k"), spark.range(3, 200_003).toDF("k"), ["k"])
     assert sorted(map(tuple, found.collect())) == [(0, "left"), (1, "left"), (2, "left"), *((k, "right") for k in (200_000, 200_001, 200_002))]
     assert dealt(spark.range(1000).toDF("k"), "k").select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_keys_of_a_fold_share_groups(spark, tmp_path, monkeypatch):
+    """Many keys in one group, over two batches: each has its own state and its own late rows."""
+    monkeypatch.setattr(folds, "GROUPS", 1)
+    for rows in ([(k, t) for k in (2, 10, None) for t in (3, 1, 2)], [(2, 5), (10, 2), (7, 1)]):
+        spark.createDataFrame(rows, "k long, at long").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def step(s, r):
+        s["n"] += 1
+        return {"k": r["k"], "at": r["at"], "n": s["n"]}
+
+    stream = jobs.file_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], "k long, at long").schema, "*.parquet", files_per_batch=1)
+    got = jobs.results(folds.stateful(stream, ["k"], "at", {"n": 0}, step, "k long, at long, n long", "n long"), states=True)
+    told = sorted((tuple(r) for r in folds.in_time(got).collect()), key=str)
+    assert told == sorted([(k, t, t) for k in (2, 10, None) for t in (1, 2, 3)] + [(2, 5, 4), (7, 1, 1)], key=str)
+    assert [tuple(r) for r in folds.late_rows(got).collect()] == [("10", 2)]

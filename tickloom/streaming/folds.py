@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Callable, Iterator
-from itertools import chain, islice
+from itertools import chain, groupby, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -14,8 +14,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: Rows of a piece of a parked run, and runs that are merged at a time: a task holds one piece of each of them.
 PIECE, FAN_IN = 250, 32
+#: Rows of a frame that a fold hands over.
+BATCH = 4096
+#: Keys share this many groups, as a group costs more than the rows of a small key.
+GROUPS = 2048
 #: Rows reach a processor as named tuples, which do not keep names that begin with an underscore.
-ROW = "row_text"
+ROW, KEY_TEXT, GROUP = "row_text", "key_text", "key_group"
 LATE = "late boolean, late_key string, late_order long"
 
 
@@ -24,7 +28,7 @@ class Parking:
     merged by FAN_IN until so few are left that the last merge can be read off."""
 
     def __init__(self, handle: StatefulProcessorHandle, order: str):
-        self.order = order
+        self.order, self.by_key = order, False
         self.pieces = handle.getMapState("parked", "run long, piece long", "rows string")
 
     def in_order(self, chunks: Iterator[list[str]]) -> Iterator[tuple[int | None, dict]]:
@@ -43,9 +47,9 @@ class Parking:
         for at, _, row in self._merged(runs):
             yield at, row
 
-    @staticmethod
-    def _place(entry: tuple) -> tuple[bool, int]:
-        return entry[0] is not None, entry[0] or 0
+    def _place(self, entry: tuple) -> tuple:
+        at = entry[0]
+        return (entry[2][KEY_TEXT] if self.by_key else "", at is not None, at or 0)
 
     def _sorted(self, texts: list[str]) -> list[tuple[int | None, str, dict]]:
         read = ((text, json.loads(text)) for text in texts)
@@ -75,25 +79,29 @@ class OrderedFold(StatefulProcessor):
         self.order, self.start, self.step, self.columns, self.kinds = order, start, step, columns, state
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("kept", f"{self.kinds}, _order long")
+        self.kept = handle.getMapState("kept", f"{KEY_TEXT} string", f"{self.kinds}, _order long")
         self.parking = Parking(handle, self.order)
+        self.parking.by_key = True
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        *values, through = self.kept.get() if self.kept.exists() else (*self.start.values(), None)
-        now, last = dict(zip(self.start, values, strict=True)), through
-        made, changed = [], False
-        for at, row in self.parking.in_order(c[ROW].tolist() for c in rows if len(c)):
-            if at is None or (through is not None and at < through):
-                made.append({"late": True, "late_key": ",".join(map(str, key)), "late_order": at})
-            else:
-                last, changed = at, True
-                if (given := self.step(now, row)) is not None:
-                    made.append(given | {"late": False})
-            if len(made) == PIECE:
-                yield self._frame(made)
-                made = []
-        if changed:
-            self.kept.update((*(now[n] for n in self.start), last))
+        """Rows come by key, then order; the state of one key is held at a time."""
+        made = []
+        for text, mine in groupby(self.parking.in_order(c[ROW].tolist() for c in rows if len(c)), lambda r: r[1][KEY_TEXT]):
+            values = self.kept.getValue((text,)) if self.kept.containsKey((text,)) else None
+            *values, through = values or (*self.start.values(), None)
+            now, last, changed = dict(zip(self.start, values, strict=True)), through, False
+            for at, row in mine:
+                if at is None or (through is not None and at < through):
+                    made.append({"late": True, "late_key": ",".join(map(str, json.loads(text))), "late_order": at})
+                else:
+                    last, changed = at, True
+                    if (given := self.step(now, row)) is not None:
+                        made.append(given | {"late": False})
+                if len(made) == BATCH:
+                    yield self._frame(made)
+                    made = []
+            if changed:
+                self.kept.updateValue((text,), (*(now[n] for n in self.start), last))
         yield self._frame(made)
 
     def close(self) -> None:
@@ -112,16 +120,18 @@ def stateful(stream: DataFrame, keys: list[str], order: str, start: dict, step:
     nothing: it is given back with `late` set, its order and its keys, and in_time() and late_rows() tell the two apart. Rows of equal
     order are folded in any order.
 
-    However many rows a batch has for a key, a task holds one chunk of them, or FAN_IN pieces: the rest is parked in the state, as
+    Keys are worked off in GROUPS groups, by hash, each with the states of its keys in a map; a group is sorted by key, then order, and one
+    key's state is held at a time. However many rows a batch has for a group, a task holds one chunk of them, or FAN_IN pieces: the rest is parked in the state, as
     sorted runs, while the batch is worked off. Whole numbers reach step() exactly, also in columns with nulls. The stream needs a
     state store with column families, which results(states=True) sets while it runs.
     """
     if [x.split()[0] for x in state.split(", ")] != list(start):
         raise ValueError("start and state name different values")
     columns = [x.split()[0] for x in f"{out}, {LATE}".split(", ")]
-    kept = [F.col(k).cast("string").alias(k) for k in keys]  # null numbers would come as NaN, which equals no other key
-    texts = stream.select(*kept, F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(ROW))
-    return texts.groupBy(*keys).transformWithStateInPandas(OrderedFold(order, start, step, columns, state), f"{out}, {LATE}", "Append", "None")
+    key = F.to_json(F.array(*[F.col(k).cast("string") for k in keys]), {"ignoreNullFields": "false"})
+    row = F.to_json(F.struct("*", key.alias(KEY_TEXT)), {"ignoreNullFields": "false"})
+    texts = stream.select(F.pmod(F.xxhash64(key), F.lit(GROUPS)).alias(GROUP), row.alias(ROW))
+    return texts.groupBy(GROUP).transformWithStateInPandas(OrderedFold(order, start, step, columns, state), f"{out}, {LATE}", "Append", "None")
 
 
 def in_time(rows: DataFrame) -> DataFrame:
