@@ -130,7 +130,9 @@ def i8_book_validity(spark, sf_dir):
 
 def _replay(spark, sf_dir, depth=None):
     rows = q_books.messages(spark, sf_dir).select(KEY, "seq", "prev_seq", "first_seq", "kind", "time_ns", "bids", "asks", "checksum")
-    return s.results(replay.replayed(_stream(rows, "seq"), [KEY], "okx", depth), states=True)
+    root = f"{shared_dir(spark)}/replay-{uuid.uuid4()}"
+    s.results(_stream(rows, "seq"), each=replay.replaying([KEY], "okx", root, depth))
+    return replay.told(spark, root)
 
 
 def i8_book_replay(spark, sf_dir):
@@ -139,7 +141,7 @@ def i8_book_replay(spark, sf_dir):
 
 
 def i8_level_states(spark, sf_dir):
-    """The levels at each window's end, as c8_book_states gives them, from the levels that the stream kept in its state."""
+    """The levels at each window's end, as c8_book_states gives them, from the levels that the stream kept from batch to batch."""
     stands = replay.level_lifetimes(_replay(spark, sf_dir), [KEY], q_books.END)
     return q_books.state_sums(books.states_at(stands, [KEY], q_books.STEP))
 
