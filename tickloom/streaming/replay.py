@@ -303,7 +303,7 @@ def replaying(keys: list[str], rule: str, root: str, depth: int | None = None, w
         rows = _numbered(batch, books, keys, width).withColumn("left", F.lit(False)).unionByName(books, allowMissingColumns=True)
         rows = rows.repartition(*keys, "segment").sortWithinPartitions(*keys, "segment", F.desc("left"), "seq", "_tie").drop("_tie")
         out = [x.split()[0] for x in schema.split(", ")]
-        rows.mapInArrow(_segments(keys, rule, depth, out), schema).write.mode("overwrite").partitionBy("left").parquet(path)
+        rows.mapInArrow(_segments(keys, rule, depth, out), schema).write.mode("overwrite").parquet(path)
         return _newest(spark.read.schema(schema).parquet(path), keys).select(*keys, "segment", "seq")
 
     return replay
@@ -323,13 +323,13 @@ def _newest(stored: DataFrame, keys: list[str]) -> DataFrame:
 def told(spark: SparkSession, root: str) -> DataFrame:
     """The rows of replayed(), from what replaying() stored. Levels that an authority ended are not in its row's `ended`: they are those
     in books_left() of the segment before."""
-    return spark.read.parquet(root).filter(~F.col("left").cast("boolean")).drop("batch", "left", "place", "levels")
+    return spark.read.parquet(root).filter("NOT left").drop("batch", "left", "place", "levels")
 
 
 def books_left(spark: SparkSession, keys: list[str], root: str) -> DataFrame:
     """The book that each segment left when it ended, or that it has now: keys, segment, seq (its last number), valid, levels."""
     kept = ["seq", "valid", "levels"]
-    found = spark.read.parquet(root).filter(F.col("left").cast("boolean")).groupBy(*keys, "segment").agg(F.max_by(F.struct(*kept), "batch").alias("_b"))
+    found = spark.read.parquet(root).filter("left").groupBy(*keys, "segment").agg(F.max_by(F.struct(*kept), "batch").alias("_b"))
     return found.select(*keys, "segment", *[F.col(f"_b.{c}").alias(c) for c in kept])
 
 
